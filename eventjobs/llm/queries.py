@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat_format import escape, format_chats, read_back, records_of_turns, unescape
 from .minhash_dedup import Params, near_duplicates
+from .topk import quantised, top_k
+from .url_filter import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +21,47 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Params(shingle=4))
 
 
+def op2_topk_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", quantised(F.col("embedding")).alias("v"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+#: The conversation that op6 adds: its texts are control strings of a common template.
+ADDED = "</s>[INST] ok [/INST]"
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.to_json(F.struct(F.lit(ADDED).alias("prompt"), F.lit(ADDED).alias("response"))).alias("record"))
+    done = format_chats(records_of_turns(rows).unionByName(added))
+    turns = read_back(F.col("formatted"))
+    lost = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"].cast("int") + 1, s["length"].cast("int"))))
+    done = done.select("conv_id", "formatted", turns.alias("back"), F.array_join(lost, "").alias("lost"))
+    said = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        "conv_id",
+        F.size("back").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("lost").cast("long").alias("loss_chars"),
+        F.sha2("lost", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, action string")
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op2_topk_impact": op2_topk_impact,
+        "op6_chat_format": op6_chat_format,
+        "op10_url_filter": op10_url_filter,
     }
 
 
@@ -28,7 +70,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i+3], ' '))) END AS s FROM words),
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s FROM words),
 uniq AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
 items AS (SELECT rep, n, unnest(s) AS x FROM uniq),
 pairs AS (
@@ -42,8 +84,45 @@ named AS (SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(c.component_id, d.do
 SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM named
 """
 
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+OP6_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+c AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS lost,
+    sum(11 + length(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'))) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(lost) AS BIGINT) AS loss_chars,
+  sha256(lost) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM c
+"""
+
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(h, s, action) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block'))
+SELECT page_id, host, path, arg_max(h || s, length(h || s)) AS rule, coalesce(arg_max(action, length(h || s)), 'allow') AS verdict
+FROM (SELECT row_number() OVER () AS n, * FROM p) LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s)
+GROUP BY n, page_id, host, path
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": OP1_SQL,
+        "op2_topk_impact": OP2_SQL,
+        "op6_chat_format": OP6_SQL,
+        "op10_url_filter": OP10_SQL,
     }
