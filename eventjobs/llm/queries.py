@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import escape, format_chats, read_back, records_of_turns, unescape
 from .minhash_dedup import Params, near_duplicates
+from .substring_dedup import remove_repeats
 from .topk import quantised, top_k
 from .url_filter import judge_urls
 
@@ -48,6 +49,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(documents).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
 
@@ -61,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_minhash_dedup": op1_minhash_dedup,
         "op2_topk_impact": op2_topk_impact,
         "op6_chat_format": op6_chat_format,
+        "op7_substring_dedup": op7_substring_dedup,
         "op10_url_filter": op10_url_filter,
     }
 
@@ -108,6 +115,17 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, n_turns, sha256(said) AS turns_sha256
   sha256(lost) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM c
 """
 
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i+19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM rep)),
+ws AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (SELECT ws.doc_id, string_agg(x, ' ' ORDER BY ws.j) AS k, count(*) AS n FROM ws ANTI JOIN gone ON ws.doc_id = gone.doc_id AND ws.j = gone.j GROUP BY ws.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH p AS (
   SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
@@ -124,5 +142,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_minhash_dedup": OP1_SQL,
         "op2_topk_impact": OP2_SQL,
         "op6_chat_format": OP6_SQL,
+        "op7_substring_dedup": OP7_SQL,
         "op10_url_filter": OP10_SQL,
     }
