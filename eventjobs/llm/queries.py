@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from .chat_format import escape, format_chats, read_back, records_of_turns, unescape
 from .minhash_dedup import Params, near_duplicates
+from .labelled import fold, sample
+from .packing import Params as PackingParams
+from .packing import pack_best_fit, pack_harmonic
+from .quality import Params as QualityParams
+from .quality import score_quality
+from .quality import train as train_quality
 from .substring_dedup import remove_repeats
 from .topk import quantised, top_k
 from .url_filter import judge_urls
@@ -54,6 +60,34 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def packing_params() -> PackingParams:
+    """Production parameters; the tokenizer's file is a public one that is installed beside the library."""
+    import public_tokenizers
+
+    return PackingParams(tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(table(spark, sf_dir, "documents"), packing_params())
+
+
+def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_harmonic(table(spark, sf_dir, "documents"), packing_params(), with_ids=False)
+
+
+def quality_model(spark: SparkSession, sf_dir: str):
+    """Trained on the labels of the rows that op5 does not hold out."""
+    p = QualityParams()
+    return train_quality(sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", fold(F.col("doc_id"), 4) != 2, p.each), p)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = score_quality(documents, quality_model(spark, sf_dir), QualityParams())
+    held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return done.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
 
@@ -67,6 +101,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_minhash_dedup": op1_minhash_dedup,
         "op2_topk_impact": op2_topk_impact,
         "op6_chat_format": op6_chat_format,
+        "op5_quality": op5_quality,
+        "op8_token_matrix": op8_token_matrix,
+        "op9_harmonic_packing": op9_harmonic_packing,
         "op7_substring_dedup": op7_substring_dedup,
         "op10_url_filter": op10_url_filter,
     }
