@@ -15,6 +15,9 @@ from .packing import pack_best_fit, pack_harmonic
 from .quality import Params as QualityParams
 from .quality import score_quality
 from .quality import train as train_quality
+from .toxicity import Params as ToxicityParams
+from .toxicity import score_toxicity
+from .toxicity import train as train_toxicity
 from .substring_dedup import remove_repeats
 from .topk import quantised, top_k
 from .url_filter import judge_urls
@@ -88,6 +91,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = ToxicityParams()
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(sample(documents, table(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 5) != 0, p.each), p)
+    held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    done = score_toxicity(documents, model, p)
+    return done.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
+
+
 URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
 
@@ -101,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_minhash_dedup": op1_minhash_dedup,
         "op2_topk_impact": op2_topk_impact,
         "op6_chat_format": op6_chat_format,
+        "op3_toxicity": op3_toxicity,
         "op5_quality": op5_quality,
         "op8_token_matrix": op8_token_matrix,
         "op9_harmonic_packing": op9_harmonic_packing,
