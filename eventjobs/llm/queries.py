@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import escape, format_chats, read_back, records_of_turns, unescape
 from .minhash_dedup import Params, near_duplicates
+from .decontaminate import judge_contamination
 from .labelled import fold, sample
 from .packing import Params as PackingParams
 from .packing import pack_best_fit, pack_harmonic
@@ -100,6 +101,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge_contamination(documents, table(spark, sf_dir, "benchmark")).drop("text")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
 
@@ -114,11 +126,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_topk_impact": op2_topk_impact,
         "op6_chat_format": op6_chat_format,
         "op3_toxicity": op3_toxicity,
+        "op4_decontaminate": op4_decontaminate,
         "op5_quality": op5_quality,
         "op8_token_matrix": op8_token_matrix,
         "op9_harmonic_packing": op9_harmonic_packing,
         "op7_substring_dedup": op7_substring_dedup,
         "op10_url_filter": op10_url_filter,
+        "pipeline": pipeline,
     }
 
 

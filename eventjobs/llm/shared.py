@@ -5,13 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of a bitmap that drops rows before an exact join: a fixed size, whatever the data (2 MB).
 BITMAP_BITS = 1 << 24
+#: The coordinate of a null doc_id: before all others.
+NULL_DOC = -(1 << 63)
 #: Bytes of text that one numpy pass works on.
 PASS_BYTES = 1 << 21
 
@@ -59,6 +63,16 @@ def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def _kept_rows(batches: Iterator[pa.RecordBatch], bits: np.ndarray, inside: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array(in_bitmap(bits, batch.column(0).to_numpy()) == inside))
+
+
+def rows_by_bitmap(df: DataFrame, bits: np.ndarray, inside: bool) -> DataFrame:
+    """The rows of df whose first column (a long that is not null) may be in bits, or those that cannot be."""
+    return df.mapInArrow(partial(_kept_rows, bits=bits, inside=inside), df.schema)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on uint64 that spreads every bit."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
