@@ -1,7 +1,7 @@
 """Exact top-k inner products with an impact-ordered, score-at-a-time index.
 
 Vectors are dealt into shards. A shard's index keeps, for every dimension, its vectors in posting segments by
-quantised value. A query sees a segment's quantised impact: how much it can add over the dimension's least
+quantised value. A query sees a segment's quantised impact: how much it adds for sure over the dimension's least
 contribution. Segments are processed by descending impact into accumulators of lower bounds. The processing stops
 only on proof: when the k-th best lower bound shows that all but a few vectors cannot reach the result. Those
 possible members (ties included) are rescored exactly, and the shards' best are ranked together.
@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 from .shared import spread, written
 
 #: Vectors of a shard and queries of a block, on average.
-SHARD, BLOCK = 8192, 1024
-#: Segments of a dimension.
-SEGMENTS = 12
+SHARD, BLOCK = 16384, 1024
+#: Queries that go through a shard's segments together.
+BATCH = 32
+#: Segments of a dimension at most.
+SEGMENTS = 32
 #: Parts of the segments after which the bounds are looked at.
-LOOKS = (0.55, 0.7, 0.8, 0.88, 0.94)
+LOOKS = (0.75,)
 OUT = "query_id long, vec_id long, score long"
 
 
@@ -41,52 +43,62 @@ def quantised(embedding: Column) -> Column:
 
 
 class ShardIndex:
-    """Posting segments of a matrix of integers (rows: vectors)."""
+    """Posting segments of a matrix of integers (rows: vectors): for each dimension, the rows of each quantised value.
+
+    A quantised value stands for `width` whole numbers in a row, so a vector that is wholly processed is known but for
+    width - 1 in each dimension, which is the same for all."""
 
     def __init__(self, vectors: np.ndarray, segments: int = SEGMENTS):
         self.vectors = vectors
-        n, dims = vectors.shape
-        order = np.argsort(vectors, axis=0, kind="stable").astype(np.int32)
-        bounds = np.unique(np.linspace(0, n, min(segments, n) + 1).astype(np.int64))
-        self.ids, low, high, dim = [], [], [], []
-        for d in range(dims):
-            column = vectors[order[:, d], d]
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                self.ids.append(np.sort(order[a:b, d]))
-                low.append(column[a])
-                high.append(column[b - 1])
+        low, high = int(vectors.min(initial=0)), int(vectors.max(initial=0))
+        self.width = max(1, -(-(high - low + 1) // segments))
+        self.most = max(abs(low), abs(high)) + self.width
+        levels = (vectors - low) // self.width
+        self.ids, level, dim = [], [], []
+        for d in range(vectors.shape[1]):
+            order = np.argsort(levels[:, d], kind="stable")
+            held, starts = np.unique(levels[order, d], return_index=True)
+            for x, a, b in zip(held, starts, [*starts[1:], order.size], strict=True):
+                self.ids.append(order[a:b])
+                level.append(x)
                 dim.append(d)
-        self.low, self.high, self.dim = np.array(low, dtype=np.float64), np.array(high, dtype=np.float64), np.array(dim)
+        self.low, self.dim = np.array(level, dtype=np.int64) * self.width + low, np.array(dim, dtype=np.int64)
+
+    def possible(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each query a set of rows that holds every member of its best k, ties included; mostly a small one.
 
-    def possible(self, query: np.ndarray, k: int) -> np.ndarray:
-        """A set of rows that holds every member of the best k, ties included; mostly a small one."""
+        The queries of a batch go through the segments together, by the largest impact that one of them sees."""
         n, dims = self.vectors.shape
         if n <= k:
-            return np.arange(n)
-        q = query.astype(np.float64)[self.dim]
-        least, most = np.minimum(q * self.low, q * self.high), np.maximum(q * self.low, q * self.high)
-        base = np.full(dims, np.inf)
+            return [np.arange(n)] * len(queries)
+        q = queries.T[self.dim]
+        least = np.where(q >= 0, q * self.low[:, None], q * (self.low[:, None] + self.width - 1))
+        base = np.full((dims, len(queries)), np.iinfo(np.int64).max)
         np.minimum.at(base, self.dim, least)
-        least, most = least - base[self.dim], most - base[self.dim]  # impacts: over the dimension's least contribution
-        impact = np.ceil(most)
-        order = np.argsort(-impact, kind="stable")
-        sure = np.zeros(n)
-        wide = np.zeros(n)
+        impact = least - base[self.dim]  # what a posting adds for sure, over the least that its dimension adds
+        unsure = np.abs(queries).sum(axis=1) * (self.width - 1)
+        largest = impact.max(axis=1, initial=0)
+        order = np.argsort(-largest, kind="stable")
+        order = order[: np.count_nonzero(largest)]  # segments of no impact add nothing
+        fits = dims * self.most * int(np.abs(queries).max(initial=0)) * 2 < 1 << 31
+        added = impact.astype(np.int32 if fits else np.int64)
+        sure = np.zeros((n, len(queries)), dtype=added.dtype)
         looks = {int(x * order.size) for x in LOOKS}
-        for step, s in enumerate(order):
-            ids = self.ids[s]
-            sure[ids] += least[s]
-            wide[ids] += most[s] - least[s]
+
+        def within(rest: np.ndarray) -> list[np.ndarray]:
+            bars = np.partition(sure, n - k, axis=0)[n - k]
+            return [np.flatnonzero(sure[:, j] >= bars[j] - unsure[j] - rest[j]) for j in range(len(queries))]
+
+        for step, s in enumerate(order.tolist()):
+            sure[self.ids[s]] += added[s]
             if step in looks:
                 # What a dimension can still add is its largest unprocessed impact.
-                rest = np.zeros(dims)
-                np.maximum.at(rest, self.dim[order[step + 1 :]], most[order[step + 1 :]])
-                bar = np.partition(sure, n - k)[n - k]
-                can = np.flatnonzero(sure + wide + rest.sum() >= bar)
-                if can.size <= max(64, n // 32):
+                rest = np.zeros((dims, len(queries)), dtype=np.int64)
+                np.maximum.at(rest, self.dim[order[step + 1 :]], impact[order[step + 1 :]])
+                can = within(rest.sum(axis=0))
+                if max(c.size for c in can) <= max(64, n // 32):
                     return can
-        bar = np.partition(sure, n - k)[n - k]
-        return np.flatnonzero(sure + wide >= bar)
+        return within(np.zeros(len(queries), dtype=np.int64))
 
 
 def _cell(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -96,13 +108,17 @@ def _cell(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
         filled = lambda s: np.array([x if len(x) == dims else np.pad(x, (0, dims - len(x))) for x in s], dtype=np.int64).reshape(len(s), dims)
         ids, matrix = vectors["vec_id"].to_numpy(), filled(vectors["v"])
         index = ShardIndex(matrix)
-        for query_id, q in zip(queries["vec_id"], filled(queries["v"]), strict=True):
-            own = int((ids == query_id).sum())
-            rows = index.possible(q, k + own)
-            rows = rows[ids[rows] != query_id]
-            scores = matrix[rows] @ q
-            best = np.lexsort((ids[rows], -scores))[:k]
-            found.append((np.full(best.size, query_id), ids[rows][best], scores[best]))
+        asked, names = filled(queries["v"]), queries["vec_id"].to_numpy()
+        held, times = np.unique(ids, return_counts=True)
+        own = dict(zip(held.tolist(), times.tolist(), strict=True))  # rows that a query must not find
+        for at in range(0, len(asked), BATCH):
+            batch = asked[at : at + BATCH]
+            more = max(own.get(x, 0) for x in names[at : at + BATCH].tolist())
+            for query_id, q, rows in zip(names[at : at + BATCH], batch, index.possible(batch, k + more), strict=True):
+                rows = rows[ids[rows] != query_id]
+                scores = matrix[rows] @ q
+                best = np.lexsort((ids[rows], -scores))[:k]
+                found.append((np.full(best.size, query_id), ids[rows][best], scores[best]))
     columns = [np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in zip(*found, strict=True)] if found else [np.zeros(0, dtype=np.int64)] * 3
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
