@@ -588,3 +588,203 @@ def e5(spark: SparkSession, d: str) -> DataFrame:
 def e6(spark: SparkSession, d: str) -> DataFrame:
     rows = resolve.group_events(filters.in_window(listings(spark, d), AS_OF), view(spark, d, "registry"))
     return rows.select("cluster", "fingerprint", "title", "start_at", "city", "venue", F.array_join("source_ids", ",").alias("source_ids"))
+
+
+# cleaning and recurrence
+
+from ..functions import text as texts  # noqa: E402
+from ..operators import recur  # noqa: E402
+from ..sources import extract as ex  # noqa: E402
+from ..sources import feeds  # noqa: E402
+from . import daily  # noqa: E402
+
+DAY = AS_OF.date()
+
+
+def pages(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url", "html")
+
+
+@_query("c1_clean_text", r"SELECT doc_id, trim(regexp_replace(text, '[ \t\n\v\f\r\x1c-\x1f]+', ' ', 'g')) AS cleaned FROM documents WHERE NOT regexp_matches(text, '&|[^\x00-\x7F]')")
+def c1(spark: SparkSession, d: str) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.where(~F.col("text").rlike(r"&|[^\x00-\x7F]")).select("doc_id", texts.clean_text("text").alias("cleaned"))
+
+
+@_query("c1_clean_pages")
+def c1p(spark: SparkSession, d: str) -> DataFrame:
+    """Rows only: entities and compatibility forms are not expressible in SQL; tests hold the helper against cases."""
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", texts.clean_text("text").alias("cleaned"))
+
+
+@_query("c2_html_to_text")
+def c2(spark: SparkSession, d: str) -> DataFrame:
+    return pages(spark, d).select("page_id", texts.html_to_text("html").alias("text"))
+
+
+@_query("c3_clean_description")
+def c3(spark: SparkSession, d: str) -> DataFrame:
+    return listings(spark, d).select("ord", texts.clean_description("description", "title").alias("description"))
+
+
+@_query("c4_truncate_desc")
+def c4(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", texts.truncate_desc("text", 200).alias("text"))
+
+
+@_query("c7_time_from_text", "SELECT ord, CAST((8 + ord % 12) * 60 AS INTEGER) AS minutes FROM listings", ("listings",))
+def c7(spark: SparkSession, d: str) -> DataFrame:
+    hour = 8 + F.col("ord") % 12
+    text = F.concat("title", F.lit(" doors "), F.when(hour > 12, hour - 12).otherwise(hour).cast("string"), F.when(hour >= 12, " PM").otherwise(" a.m."))
+    return listings(spark, d).select("ord", texts.time_from_text(text).alias("minutes"))
+
+
+@_query("b6_find_dates", "SELECT ord, strftime(start_at + INTERVAL 336 MONTH, '%Y-%m-%d') AS start FROM listings", ("listings",))
+def b6(spark: SparkSession, d: str) -> DataFrame:
+    said = F.concat("title", F.lit(" on "), F.date_format(F.add_months("start_at", 336), "MMMM d, yyyy"), F.lit(" at the hall"))
+    return listings(spark, d).select("ord", F.get(texts.find_dates(said, F.lit(DAY)), F.lit(0))["start"].cast("string").alias("start"))
+
+
+@_query("b7_find_time", "SELECT ord, CAST(CASE WHEN ord % 12 + 1 = 12 THEN 12 ELSE ord % 12 + 13 END * 60 AS INTEGER) AS minutes FROM listings", ("listings",))
+def b7(spark: SparkSession, d: str) -> DataFrame:
+    return listings(spark, d).select("ord", texts.find_time(F.concat("title", F.lit(" "), (F.col("ord") % 12 + 1).cast("string"), F.lit(":00 p.m."))).alias("minutes"))
+
+
+@_query("c5_parse_wall_time", "SELECT ord, start_at AS parsed, timezone('America/Chicago', timezone('UTC', start_at)) AS instant FROM listings", ("listings",))
+def c5(spark: SparkSession, d: str) -> DataFrame:
+    iso = F.date_format("start_at", "yyyy-MM-dd'T'HH:mm:ss")
+    return listings(spark, d).select("ord", ex.parse_wall_time(iso, AS_OF).alias("parsed"), ex.parse_wall_time(F.concat(iso, F.lit("Z")), AS_OF).alias("instant"))
+
+
+@_query("c6_from_epoch", "SELECT ord, timezone('America/Chicago', to_timestamp(epoch(start_at))) AS wall FROM listings", ("listings",))
+def c6(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.columns import from_epoch
+
+    return listings(spark, d).select("ord", from_epoch(F.unix_timestamp(F.col("start_at").cast("timestamp"))).alias("wall"))
+
+
+@_query("c9_map_category", "SELECT ord, CASE WHEN contains(lower(title), 'fest') THEN 'community' WHEN contains(lower(title), 'concert') THEN 'music' WHEN contains(lower(title), 'shop') THEN 'education' ELSE 'other' END AS category FROM listings", ("listings",))
+def c9(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.columns import map_category
+
+    return listings(spark, d).select("ord", map_category("title", (("fest", "community"), ("concert", "music"), ("shop", "education"))).alias("category"))
+
+
+@_query("c10_expand_weekly", f"""
+WITH base AS (SELECT ord, start_at, CASE WHEN ord % 3 = 0 THEN 1 ELSE 7 END * (1 + ord % 2) AS step FROM listings WHERE start_at <= {AS_OF_SQL} AND ord % 5 = 1),
+n AS (SELECT ord, start_at, step, unnest(range(0, 61)) AS k, CAST(greatest(0, ceil((DATE '1998-06-01' - CAST(start_at AS DATE)) / step)) AS BIGINT) AS skipped FROM base)
+SELECT ord, start_at + INTERVAL 1 DAY * ((skipped + k) * step) AS start_at FROM n WHERE k < 60 AND CAST(start_at AS DATE) + CAST((skipped + k) * step AS INTEGER) <= DATE '1998-06-01' + 60""", ("listings",))
+def c10(spark: SparkSession, d: str) -> DataFrame:
+    rows = listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 5 == 1))
+    ruled = rows.select("ord", "start_at", "end_at", F.when(F.col("ord") % 3 == 0, "DAILY").otherwise("WEEKLY").alias("freq"), (1 + F.col("ord") % 2).cast("int").alias("interval"), F.lit(None).cast("timestamp_ntz").alias("until"))
+    return recur.expand_weekly(ruled, DAY).select("ord", "start_at")
+
+
+@_query("c10_expand_rrule")
+def c10r(spark: SparkSession, d: str) -> DataFrame:
+    rows = listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 50 == 1))
+    ruled = rows.select("ord", "start_at", "end_at", F.lit("FREQ=MONTHLY;BYDAY=2TU").alias("rule"), F.array().cast("array<timestamp_ntz>").alias("exdates"))
+    return recur.expand_rrule(ruled, AS_OF).select("ord", "start_at")
+
+
+@_query("c11_recurrence_text", """
+WITH base AS (SELECT ord, CAST(start_at AS DATE) AS f FROM listings WHERE start_at <= TIMESTAMP '1998-06-01 06:00:00' AND ord % 40 = 1),
+d AS (SELECT ord, f, CAST(x AS DATE) AS day FROM base, (SELECT unnest(generate_series(DATE '1998-06-01', DATE '1998-12-18', INTERVAL 1 DAY)) AS x))
+SELECT ord, CAST(day AS STRING) AS day FROM d WHERE CASE ord % 4 WHEN 1 THEN dayname(day) IN ('Tuesday', 'Saturday') AND ((day - (f - (isodow(f) - 1)::INTEGER)) // 7) % 2 = 0
+  WHEN 3 THEN dayname(day) = 'Friday' AND month(day + 7) <> month(day) ELSE dayofmonth(day) = 15 END""", ("listings",))
+def c11(spark: SparkSession, d: str) -> DataFrame:
+    rows = listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 40 == 1))
+    says = F.when(F.col("ord") % 4 == 1, "Recurring every 2 weeks on Tuesday, Saturday").when(F.col("ord") % 4 == 3, "monthly on the last friday").otherwise("Monthly on day 15")
+    return recur.expand_recurrence_text(rows.select("ord", says.alias("recurrence"), F.to_date("start_at").alias("first"), F.lit(None).cast("date").alias("last")), DAY).select("ord", F.col("day").cast("string").alias("day"))
+
+
+@_query("c12_date_runs", """
+WITH days AS (SELECT DISTINCT title, CAST(start_at AS DATE) AS day FROM listings), g AS (SELECT title, day, day - CAST(row_number() OVER (PARTITION BY title ORDER BY day) AS INTEGER) AS island FROM days)
+SELECT title, CAST(min(day) AS STRING) AS first, CAST(max(day) AS STRING) AS last FROM g GROUP BY title, island""", ("listings",))
+def c12(spark: SparkSession, d: str) -> DataFrame:
+    return recur.date_runs(listings(spark, d).withColumn("date", F.to_date("start_at")), ["title"], "date").select("title", F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"))
+
+
+@_query("c13_fix_midnight", """
+WITH x AS (SELECT ord, start_at, end_at, all_day, NOT all_day AND strftime(start_at, '%H:%M') = '00:00' AS doubt, end_at IS NOT NULL AND strftime(end_at, '%H:%M') = '00:00' AND CAST(end_at AS DATE) > CAST(start_at AS DATE) AS zero FROM listings)
+SELECT ord, start_at, CASE WHEN doubt AND zero AND end_at - INTERVAL 1 SECOND > start_at THEN end_at - INTERVAL 1 SECOND WHEN doubt AND (zero OR end_at IS NULL OR end_at = start_at) THEN NULL ELSE end_at END AS end_at,
+  all_day OR doubt AND (zero OR end_at IS NULL OR end_at = start_at) AS all_day FROM x""", ("listings",))
+def c13(spark: SparkSession, d: str) -> DataFrame:
+    return recur.fix_midnight(listings(spark, d)).select("ord", "start_at", "end_at", "all_day")
+
+
+@_query("c14_fix_series_span", """
+SELECT ord, CASE WHEN end_at >= start_at AND NOT (NOT all_day AND end_at > start_at + INTERVAL 6 DAY AND contains(description, 'weekly')) THEN end_at END AS end_at FROM listings""", ("listings",))
+def c14(spark: SparkSession, d: str) -> DataFrame:
+    return recur.fix_series_span(listings(spark, d)).select("ord", "end_at")
+
+
+@_query("c17_normalize")
+def c17(spark: SparkSession, d: str) -> DataFrame:
+    return recur.normalize(filters.in_window(listings(spark, d), AS_OF)).select("ord", "title", "description", "category", "start_at", "end_at", "all_day")
+
+
+# extraction from payloads that Spark makes of the listings, so that the listing is the expected result
+
+def _bodies(spark: SparkSession, d: str) -> DataFrame:
+    iso = F.date_format("start_at", "yyyy-MM-dd'T'HH:mm:ss")
+    node = F.struct(F.lit("MusicEvent").alias("@type"), F.col("title").alias("name"), iso.alias("startDate"), F.struct(F.col("venue").alias("name"), F.struct(F.col("city").alias("addressLocality")).alias("address")).alias("location"), F.struct(F.lit("0").alias("price")).alias("offers"))
+    page = F.concat(F.lit('<html><head><script type="application/ld+json">{"@graph":['), F.to_json(node), F.lit("]}</script></head><body><p>x</p></body></html>"))
+    return filters.in_window(listings(spark, d), AS_OF).select("ord", "title", "venue", "city", "start_at", page.alias("html"))
+
+
+@_query("b1_extract_jsonld", f"SELECT ord AS page_id, title, venue, city, start_at, 'Free' AS price FROM listings WHERE {WINDOW}", ("listings",))
+def b1(spark: SparkSession, d: str) -> DataFrame:
+    found = ex.extract_jsonld(_bodies(spark, d).select(F.col("ord").alias("page_id"), F.lit("https://a.example/").alias("url"), "html"))
+    return found.select("page_id", "title", "venue", "city", ex.parse_wall_time("start_text", AS_OF).alias("start_at"), "price")
+
+
+@_query("b3_extract_ics", f"SELECT CAST(ord AS STRING) AS uid, title, venue, start_at FROM listings WHERE {WINDOW}", ("listings",))
+def b3(spark: SparkSession, d: str) -> DataFrame:
+    rows = filters.in_window(listings(spark, d), AS_OF)
+    item = F.concat(F.lit("BEGIN:VEVENT\r\nUID:"), F.col("ord").cast("string"), F.lit("\r\nSUMMARY:"), F.substring("title", 1, 6), F.lit("\r\n "), F.expr("substring(title, 7)"), F.lit("\r\nDTSTART:"), F.date_format("start_at", "yyyyMMdd'T'HHmmss"), F.lit("\r\nLOCATION:"), F.col("venue"), F.lit("\\, Main St\r\nEND:VEVENT\r\n"))
+    found = ex.extract_ics(rows.select(F.col("ord").alias("source_id"), F.lit("").alias("url"), item.alias("body")))
+    return found.select("uid", "title", "venue", ex.parse_compact("start_text").alias("start_at"))
+
+
+@_query("b5_map_json_feed", f"SELECT ord AS source_id, title, venue, city, start_at FROM listings WHERE {WINDOW} AND NOT starts_with(title, 'CANCELLED')", ("listings",))
+def b5(spark: SparkSession, d: str) -> DataFrame:
+    rows = filters.in_window(listings(spark, d), AS_OF)
+    record = F.struct("title", F.date_format("start_at", "yyyy-MM-dd HH:mm:ss").alias("start_date"), F.struct("venue", "city").alias("venue"), F.when(F.col("title").startswith("CANCELLED"), "canceled").otherwise("scheduled").alias("status"))
+    payloads = rows.select(F.col("ord").alias("source_id"), F.to_json(F.struct(F.array(record).alias("events"))).alias("body"))
+    return feeds.map_json_feed(payloads, feeds.PRESETS["tribe"], AS_OF).select("source_id", "title", "venue", "city", "start_at")
+
+
+@_query("b10_html_blocks")
+def b10(spark: SparkSession, d: str) -> DataFrame:
+    return ex.html_blocks(pages(spark, d))
+
+
+@_query("b11_extract_prose")
+def b11(spark: SparkSession, d: str) -> DataFrame:
+    return ex.extract_prose(pages(spark, d), AS_OF)
+
+
+@_query("b16_candidate_links")
+def b16(spark: SparkSession, d: str) -> DataFrame:
+    return ex.candidate_links(pages(spark, d))
+
+
+@_query("b17_discover_feeds")
+def b17(spark: SparkSession, d: str) -> DataFrame:
+    return ex.discover_feeds(pages(spark, d))
+
+
+@_query("b18_thin_pages")
+def b18(spark: SparkSession, d: str) -> DataFrame:
+    return ex.thin_pages(pages(spark, d))
+
+
+@_query("k1_daily_run")
+def k1(spark: SparkSession, d: str) -> DataFrame:
+    """What a whole run publishes; its parts have SQL of their own."""
+    old, seen, _ = _old(spark, d)
+    rows = recur.normalize(filters.tag_from_source(listings(spark, d), view(spark, d, "registry")))
+    empty = rows.where("false").withColumn("snapshot_at", filters.wall(AS_OF))
+    out = daily.daily_run(daily.Inputs(rows, view(spark, d, "registry"), empty, decisions(spark, d), view(spark, d, "corrections"), no_rules(spark), old, seen), AS_OF)
+    return out.published.select("fingerprint", "title", "start_at", "category", "verification", "tabling", "corrected")
