@@ -7,8 +7,9 @@ independent trees are repeated until a pair at the threshold is missed with less
 whose signatures come near the threshold are confirmed on the full sets.
 
 Only connections matter for the result, so what is known to be connected is never compared again: equal sets are one
-row from the beginning; a first round links a spanning forest of small random blocks of every node, which joins
-large groups of copies at linear cost; then trees only follow nodes that still hold two components or more.
+row from the beginning; first rounds link a spanning forest of small random blocks of every node, which joins
+large groups of copies at linear cost; then trees only follow nodes that still hold two components or more, and
+where one component has nearly all of a node only the rest is compared with it.
 
 Defined cases. A null text or one without words: empty set, linked with nothing, kept. Fewer words than a shingle:
 the whole sequence is the one shingle. A null doc_id: links with nothing, component null, kept. Rows that repeat a
@@ -44,7 +45,8 @@ class Params:
     positions: int = 128
     slack: float = 0.1
     leaf: int = 64
-    depth: int = 12
+    depth: int = 8
+    forest_rounds: int = 2
     forest_trees: int = 2
     recall: float = 0.999
 
@@ -147,41 +149,83 @@ def _grown(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(1).take(pa.array(at))], names=["key", "node"])
 
 
-def _compared(batches: Iterator[pa.RecordBatch], p: Params, forest: bool) -> Iterator[pa.RecordBatch]:
-    """Of each list of (node, component, sketch, side): the pairs whose estimate is near the threshold or above.
+def _near(sketches: np.ndarray, components: np.ndarray, sides: np.ndarray, p: Params) -> Iterator[tuple[int, int, int]]:
+    """(minus the equal positions, k, j) of the pairs of two components whose estimate is near the threshold or above.
 
-    forest: only a spanning forest of them, the likeliest first. Otherwise every pair of two components; where sides
-    differ in a list, only pairs across them."""
+    Where sides differ in a list, only pairs across them."""
     cut = (p.similarity - p.slack) * p.positions
+    mixed = sides.min() != sides.max()
+    for k in range(len(sketches) - 1):
+        same = np.count_nonzero(sketches[k + 1 :] == sketches[k], axis=1)
+        hit = (same >= cut) & (components[k + 1 :] != components[k])
+        if mixed:
+            hit &= sides[k + 1 :] != sides[k]
+        for j in np.flatnonzero(hit):
+            yield -int(same[j]), k, k + 1 + int(j)
+
+
+def _members(lists: pa.ListArray, p: Params) -> tuple[np.ndarray, ...]:
+    inner = lists.values
+    columns = [inner.field(k).to_numpy(zero_copy_only=False) for k in ("node", "component", "side")]
+    sketches = np.frombuffer(b"".join(inner.field("sketch").to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
+    return lists.offsets.to_numpy(), *columns, sketches
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
+    """Of each cell's list: the members that have a partner to be checked, at most as many rows as came in."""
     for batch in batches:
-        lists = batch.column(0)
-        ends, inner = lists.offsets.to_numpy(), lists.values
-        nodes, components, sides = (inner.field(k).to_numpy(zero_copy_only=False) for k in ("node", "component", "side"))
-        sketches = np.frombuffer(b"".join(inner.field("sketch").to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
+        ends, nodes, components, sides, sketches = _members(batch.column(1), p)
+        keep, cells = [], []
+        for cell, a, b in zip(batch.column(0).to_pylist(), ends[:-1], ends[1:], strict=True):
+            asked = sorted({x for _, k, j in _near(sketches[a:b], components[a:b], sides[a:b], p) for x in (k, j)})
+            keep += [a + x for x in asked]
+            cells += [cell] * len(asked)
+        keep = np.array(keep, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(nodes[keep]), pa.array(components[keep]), pa.array(sides[keep]), pa.array([x.tobytes() for x in sketches[keep]], pa.binary())], names=["cell", "node", "component", "side", "sketch"])
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by their first column, in tables that never end inside a run of it."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        cells = rows.column(0).to_numpy()
+        before = np.flatnonzero(cells != cells[-1]) if cells.size else cells
+        cut = int(before[-1]) + 1 if before.size else 0
+        if cut:
+            yield rows.slice(0, cut)
+        rest = rows.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _linked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
+    """Of each cell's rows with full sets: confirmed links that join all its members that can be joined, likeliest first."""
+    for rows in _whole_cells(batches):
+        cells, nodes, components, sides = (rows.column(k).to_numpy() for k in range(4))
+        sketches = np.frombuffer(b"".join(rows.column(4).to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
+        sets = rows.column(5)
+        ends = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [cells.size]])
         left, right = [], []
         for a, b in zip(ends[:-1], ends[1:], strict=True):
-            s, c, d, ids = sketches[a:b], components[a:b], sides[a:b], nodes[a:b]
-            mixed = d.min() != d.max()
-            parent = list(range(b - a))
-            found = []
-            for k in range(b - a - 1):
-                same = np.count_nonzero(s[k + 1 :] == s[k], axis=1)
-                hit = (same >= cut) & (c[k + 1 :] != c[k]) & (ids[k + 1 :] != ids[k])
-                if mixed:
-                    hit &= d[k + 1 :] != d[k]
-                found += [(-int(same[j]), k, k + 1 + int(j)) for j in np.flatnonzero(hit)]
-            for _, x, y in sorted(found) if forest else found:
-                if forest:
-                    rx, ry = x, y
-                    while parent[rx] != rx:
-                        rx = parent[rx]
-                    while parent[ry] != ry:
-                        ry = parent[ry]
-                    if rx == ry:
-                        continue
-                    parent[max(rx, ry)] = min(rx, ry)
-                left.append(min(ids[x], ids[y]))
-                right.append(max(ids[x], ids[y]))
+            parent: dict[int, int] = {}
+
+            def root(x: int, parent: dict[int, int] = parent) -> int:
+                while x in parent:
+                    x = parent[x]
+                return x
+
+            for _, k, j in sorted(_near(sketches[a:b], components[a:b], sides[a:b], p)):
+                x, y = root(int(components[a + k])), root(int(components[a + j]))
+                if x == y:
+                    continue
+                one, two = (np.frombuffer(sets[int(a + i)].as_buffer(), dtype=np.uint64) for i in (k, j))
+                both = np.intersect1d(one, two, assume_unique=True).size
+                if p.part * both >= p.whole * (one.size + two.size - both):
+                    parent[max(x, y)] = min(x, y)
+                    left.append(nodes[a + k])
+                    right.append(nodes[a + j])
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
@@ -205,26 +249,17 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().astype(np.int64).view(np.uint64)).view(np.int64))], names=["h"])
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-            both = np.intersect1d(x, y, assume_unique=True).size
-            if p.part * both >= p.whole * (x.size + y.size - both):
-                keep.append(k)
-        yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
-
-
-def confirm(pairs: DataFrame, sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) of nodes that are links by their full sets. Full sets are made for the nodes in pairs only."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = sets.select("node", "rep").join(ends, "node", "left_semi")
+def confirmed(cells: DataFrame, sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) of nodes, confirmed on full sets, from cells (cell, members): at most one less than a cell's members.
+
+    Full sets are made and sent only for members that have a partner near the threshold in their cell."""
+    asked = written(cells.mapInArrow(partial(_candidates, p=p), "cell long, node long, component long, side long, sketch binary"))
+    wanted = sets.select("node", "rep").join(asked.select("node").distinct(), "node", "left_semi")
     bits = bitmap(wanted.select("rep").mapInArrow(_mixed, "h long"), "h")
     full = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").mapInArrow(partial(_wanted_sets, p=p, bits=bits), "node long, set binary")
-    full = full.join(ends, "node", "left_semi").dropDuplicates(["node"])
-    joined = pairs.join(full.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(full.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(partial(_confirmed, p=p), "a long, b long")
+    full = full.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    listed = asked.join(full, "node").select("cell", "node", "component", "side", "sketch", "set").repartition("cell").sortWithinPartitions("cell")
+    return listed.mapInArrow(partial(_linked, p=p), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -242,48 +277,85 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def open_nodes(entries: DataFrame) -> DataFrame:
+    """key, n, main, few of the nodes that hold two components or more: their sets, the component with most of them, and how many are not in it."""
+    parts = entries.groupBy("key", "component").agg(F.count("*").alias("n"))
+    nodes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"))
+    return nodes.where("top.n < n").select("key", "n", F.col("top.component").alias("main"), (F.col("n") - F.col("top.n")).alias("few"))
+
+
+def _cells(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("cell").agg(F.collect_list(F.struct("node", "component", "side", "sketch")).alias("members")).where(F.size("members") > 1)
+
+
 def _blocks(entries: DataFrame, p: Params) -> DataFrame:
-    """Entries (key, node, component, sketch, n) of nodes with n sets, as lists of at most about 2 * leaf: all pairs of blocks where n is too large."""
-    n = F.ceil(F.col("n") / p.leaf).cast("long")
-    side = F.when(F.col("n") <= p.leaf, F.lit(0)).otherwise(spread("node", n)).cast("long")
-    to = F.when(F.col("n") <= p.leaf, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), n - 1))
-    cells = entries.withColumn("side", side).withColumn("other", F.explode(to))
-    return cells.groupBy("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")).agg(F.collect_list(F.struct("node", "component", "sketch", "side")).alias("members")).where(F.size("members") > 1).select("members")
+    """Entries (key, node, component, sketch, n, main, few) as cells of at most about 2 * leaf members that hold every pair of two components.
+
+    A node of up to leaf sets is one cell. Of a larger one the sets outside the main component go, in blocks, with
+    every block of the main component and with one another; pairs inside the main component are connected already."""
+    n, nought = F.col("n"), F.lit(0).cast("long")
+    small, outside = n <= p.leaf, F.col("component") != F.col("main")
+    blocks = lambda x: F.greatest(F.lit(1).cast("long"), F.ceil(x / p.leaf).cast("long"))
+    few, many = blocks(F.col("few")), blocks(n - F.col("few"))
+    mine = spread("node", F.when(outside, few).otherwise(many))
+    to = lambda kind, low, high, side: F.struct(F.lit(kind).alias("kind"), low.cast("long").alias("low"), high.cast("long").alias("high"), side.cast("long").alias("side"))
+    across = F.transform(F.sequence(nought, many - 1), lambda j: to(1, mine, j, F.lit(1)))
+    among = F.transform(F.sequence(nought, few - 1), lambda j: to(2, F.least(mine, j), F.greatest(mine, j), mine))
+    inside = F.transform(F.sequence(nought, few - 1), lambda j: to(1, j, mine, F.lit(0)))
+    places = F.when(small, F.array(to(0, nought, nought, nought))).when(outside, F.concat(across, among)).otherwise(inside)
+    dealt = entries.withColumn("place", F.explode(places))
+    return _cells(dealt.select(F.xxhash64("key", "place.kind", "place.low", "place.high").alias("cell"), "node", "component", F.col("place.side").alias("side"), "sketch"))
+
+
+def _named(df: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """df (node, ...) with the component that is known so far, else the node itself."""
+    if labels is None:
+        return df.withColumn("component", F.col("node"))
+    return df.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """labels (node, component) after further links (a, b) of nodes."""
+    if labels is None:
+        return components(links)
+    end = lambda c: _named(links.select(F.col(c).alias("node"), F.col("b" if c == "a" else "a").alias("other")), labels)
+    ends = end("a").select(F.col("component").alias("a"), F.col("other").alias("node"))
+    between = _named(ends, labels).select("a", F.col("component").alias("b")).where("a <> b")
+    joined = components(between)
+    merged = joined.select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    first = labels.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
+    return written(first.union(joined.join(labels, "node", "left_anti")))
 
 
 def similar_sets(sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     """node, component for the distinct sets (node, rep, signature) that link with another one."""
-    # 1. A spanning forest of every node's blocks joins most copies, whatever their number, at linear cost.
-    entries = sets.select("node", "signature").mapInArrow(partial(_roots, p=p, trees=list(range(1000, 1000 + p.forest_trees)), sketch=True), "key long, node long, sketch binary")
-    sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    block = F.when(F.col("n") <= p.leaf, F.lit(0).cast("long")).otherwise(spread("node", F.ceil(F.col("n") / p.leaf).cast("long")))
-    chunks = entries.join(sizes, "key").groupBy("key", block.alias("block")).agg(F.collect_list(F.struct("node", F.col("node").alias("component"), "sketch", F.lit(0).cast("long").alias("side"))).alias("members"))
-    forest = written(chunks.where(F.size("members") > 1).select("members").mapInArrow(partial(_compared, p=p, forest=True), "a long, b long").distinct())
-    labels = components(confirm(forest, sets, documents, p))
-
-    # 2. Trees, from here only along nodes that hold two components or more.
-    known = lambda e: e.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # 1. Two rounds over random blocks of every node join most copies, whatever their number, at linear cost.
+    labels = None
+    for turn in range(p.forest_rounds):
+        trees = list(range(1000 + turn * p.forest_trees, 1000 + (turn + 1) * p.forest_trees))
+        entries = sets.select("node", "signature").mapInArrow(partial(_roots, p=p, trees=trees, sketch=True), "key long, node long, sketch binary")
+        entries = _named(entries, labels)
+        met = entries.join(open_nodes(entries).select("key", "n"), "key")
+        block = spread("node", F.ceil(F.col("n") / p.leaf).cast("long"), turn)
+        cells = _cells(met.select(F.xxhash64("key", block).alias("cell"), "node", "component", F.lit(0).cast("long").alias("side"), "sketch"))
+        labels = _merged(labels, confirmed(cells, sets, documents, p))
+
+    # 2. Trees, from here only along nodes that hold two components or more; a node is compared as soon as it is small
+    # or all but a few of its sets are of one component.
     level = sets.select("node", "signature").mapInArrow(partial(_roots, p=p, trees=list(range(p.trees)), sketch=False), "key long, node long")
     leaves, depth = None, 1
     while True:
-        level = known(level)
-        open_nodes = level.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "n")
-        level = written(level.join(open_nodes, "key"))
-        small = level.where(F.col("n") <= p.leaf) if depth < p.depth else level
-        leaves = small if leaves is None else leaves.union(small)
-        large = level.where(F.col("n") > p.leaf)
+        level = _named(level, labels)
+        level = written(level.join(open_nodes(level), "key"))
+        ready = (F.col("n") <= p.leaf) | (F.col("few") <= 2 * p.leaf) if depth < p.depth else F.lit(True)
+        leaves = level.where(ready) if leaves is None else leaves.union(level.where(ready))
+        large = level.where(~ready)
         if depth >= p.depth or large.isEmpty():
             break
         depth += 1
         level = large.select("key", "node").join(sets.select("node", "signature"), "node").select("key", "node", "signature").mapInArrow(partial(_grown, p=p), "key long, node long")
     sketches = sets.select("node", "signature").mapInArrow(partial(_sketches, p=p), "node long, sketch binary")
-    pairs = _blocks(leaves.join(sketches, "node"), p).mapInArrow(partial(_compared, p=p, forest=False), "a long, b long").distinct()
-    more = confirm(written(pairs), sets, documents, p)
-    named = lambda e, c: e.join(labels.withColumnRenamed("node", c).withColumnRenamed("component", f"{c}_component"), c, "left").withColumn(c, F.coalesce(f"{c}_component", c)).drop(f"{c}_component")
-    joined = components(named(named(more, "a"), "b").where("a <> b"))
-    merged = joined.withColumnRenamed("component", "merged").withColumnRenamed("node", "component")
-    first = labels.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
-    return first.union(joined.join(labels, "node", "left_anti"))
+    return _merged(labels, confirmed(_blocks(leaves.join(sketches, "node"), p), sets, documents, p))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
