@@ -62,11 +62,3 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables, text = VIEWS[name]
     return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables})
 
-
-def duck(sql: str, *names: str) -> str:
-    """sql over the named views, as DuckDB reads them from the tables."""
-    parts = []
-    for name in names:
-        tables, text = VIEWS[name]
-        parts.append(f"{name} AS ({text.format(**{t: t for t in tables})})")
-    return "WITH " + ",\n".join(parts) + ("," if sql.lstrip().startswith("--") else "") + "\n" + sql.lstrip().removeprefix("--,")

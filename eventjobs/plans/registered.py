@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as texts
 from ..functions.columns import CATEGORY_RULES, annual_signal, classify_tabling, features, fingerprint, infer_category, norm, series_key, site_of
-from ..operators import feedback, filters, reports, resolve, series, trust
-from .bridge import AS_OF, AS_OF_SQL, view
+from ..operators import feedback, filters, recur, reports, resolve, series, trust
+from ..sources import extract as ex
+from ..sources import feeds
+from ..sources.io import written
+from . import daily
+from .bridge import AS_OF, AS_OF_SQL, VIEWS, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,8 +34,6 @@ def _query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Ca
 
 
 def _duck(sql: str, views: tuple[str, ...]) -> str:
-    from .bridge import VIEWS
-
     parts = [f"{v} AS ({VIEWS[v][1].format(**{t: t for t in VIEWS[v][0]})})" for v in views]
     body = sql.strip()
     if body.upper().startswith("WITH "):
@@ -592,12 +595,6 @@ def e6(spark: SparkSession, d: str) -> DataFrame:
 
 # cleaning and recurrence
 
-from ..functions import text as texts  # noqa: E402
-from ..operators import recur  # noqa: E402
-from ..sources import extract as ex  # noqa: E402
-from ..sources import feeds  # noqa: E402
-from . import daily  # noqa: E402
-
 DAY = AS_OF.date()
 
 
@@ -784,7 +781,7 @@ def b18(spark: SparkSession, d: str) -> DataFrame:
 def k1(spark: SparkSession, d: str) -> DataFrame:
     """What a whole run publishes; its parts have SQL of their own."""
     old, seen, _ = _old(spark, d)
-    rows = recur.normalize(filters.tag_from_source(listings(spark, d), view(spark, d, "registry")))
+    rows = written(recur.normalize(filters.tag_from_source(listings(spark, d), view(spark, d, "registry"))))
     empty = rows.where("false").withColumn("snapshot_at", filters.wall(AS_OF))
     out = daily.daily_run(daily.Inputs(rows, view(spark, d, "registry"), empty, decisions(spark, d), view(spark, d, "corrections"), no_rules(spark), old, seen), AS_OF)
     return out.published.select("fingerprint", "title", "start_at", "category", "verification", "tabling", "corrected")
