@@ -74,7 +74,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     rules = rules.where("rule_host <> ''").groupBy("rule_host", "rule_path").agg(F.min("action").alias("action")).withColumn("key", F.concat("rule_host", F.lit("\n"), "rule_path")).withColumn("key_hash", F.xxhash64("key"))
     spark = pages.sparkSession
     held = bloom(rules)
-    lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().limit(10_000).collect())  # as many as the longest path has characters
+    lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())  # as many as the longest path has characters
     n_rules = rules.limit(BROADCAST_RULES + 1).count()
 
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
