@@ -83,7 +83,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers 0 to n of an odd base modulo 2^64, and of its inverse."""
     if "up" not in _powers or _powers["up"].size <= n:
-        size = max(n + 1, PASS_BYTES * 2)
+        size = max(n + 1, PASS_BYTES)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1

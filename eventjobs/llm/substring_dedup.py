@@ -7,8 +7,9 @@ corpus hold no repeated window and go. An anchor whose paths all have the same c
 is one edge of the compacted graph. Where contents branch, the windows of one path per content are compared one by
 one. Source coordinates (document, word) say which occurrence is the first and give the exact spans of all later ones.
 
-Work: two scans; the first shuffles one (anchor, count) pair for every few words, the second only paths whose anchor
-repeats. A fixed-size bitmap of repeated anchors makes the second scan cheap; the join after it is exact.
+Work: scans of the texts, of which the first shuffles one (anchor, count) pair for every few words, the second only
+paths whose anchor repeats, and the third only the first path of each content whose anchor branches, with its windows. Fixed-size bitmaps
+make the later scans cheap; the joins after them are exact. Only documents that lose words are shuffled.
 
 Defined cases. A null text has no words. Coordinates order by doc_id (null first), then word. Rows that repeat a
 doc_id have the same coordinates, so neither is earlier than the other by its place, only by an earlier word.
@@ -27,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, bitmap, in_bitmap, mix, passes, powers, rolled, written
+from .shared import NULL_DOC, PASS_BYTES, Words, bitmap, in_bitmap, mix, passes, powers, rolled, rows_by_bitmap, written
 
 #: Words of a window; words of an anchor run.
 WINDOW, ANCHOR = 20, 6
-FIRST = "doc_id long, text_hash long"
 
 
 class Paths:
@@ -70,9 +70,21 @@ class Paths:
     def _hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
-    def windows(self, k: int) -> np.ndarray:
-        starts = self.begin[k] + np.arange(self.n[k])
-        return self._hash(starts, starts + self.window)
+    def windows(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the windows of the paths in keep, path by path, and where each path's end."""
+        ends = np.cumsum(self.n[keep])
+        starts = np.repeat(self.begin[keep] - ends + self.n[keep], self.n[keep]) + np.arange(ends[-1] if ends.size else 0)
+        return self._hash(starts, starts + self.window), ends
+
+
+def _place(content: np.ndarray, doc_key: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of one occurrence of a content."""
+    return mix(content.view(np.uint64) + mix(doc_key.view(np.uint64) * np.uint64(3) + start.view(np.uint64))).view(np.int64)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_place(*(batch.column(k).to_numpy() for k in range(3))))], names=["h"])
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -82,20 +94,28 @@ def _texts(column: pa.Array) -> list[bytes]:
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, anchor: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = _texts(batch.column(0))
-        for a, b in passes(texts):
+        for a, b in passes(texts, PASS_BYTES // 2):
             found, counts = np.unique(Paths(texts[a:b], window, anchor, contents=False).anchor, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["anchor", "n"])
 
 
-def _paths(batches: Iterator[pa.RecordBatch], window: int, anchor: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _paths(batches: Iterator[pa.RecordBatch], window: int, anchor: int, bits: np.ndarray, unrolled: bool) -> Iterator[pa.RecordBatch]:
+    """The paths whose anchor may be in bits; unrolled: those whose place may be, with the hash of each of their windows."""
     for batch in batches:
-        texts = _texts(batch.column(2))
-        for a, b in passes(texts):
+        texts, keys = _texts(batch.column(2)), batch.column(0).to_numpy()
+        for a, b in passes(texts, PASS_BYTES // 2):
             p = Paths(texts[a:b], window, anchor)
-            keep = np.flatnonzero(in_bitmap(bits, p.anchor.view(np.int64))) if p.anchor.size else np.zeros(0, dtype=np.int64)
-            hashes = [p.windows(k).tobytes() for k in keep]
+            if not p.n.size:
+                continue
+            named = _place(p.content, keys[p.row + a], p.start) if unrolled else p.anchor.view(np.int64)
+            keep = np.flatnonzero(in_bitmap(bits, named))
             rows = pa.array(p.row[keep] + a)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(p.start[keep]), pa.array(p.n[keep]), pa.array(p.anchor[keep].view(np.int64)), pa.array(p.content[keep].view(np.int64)), pa.array(hashes, pa.binary())], names=["doc_id", "text_hash", "start", "n", "anchor", "content", "windows"])
+            columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(p.start[keep]), pa.array(p.n[keep]), pa.array(p.anchor[keep].view(np.int64)), pa.array(p.content[keep].view(np.int64))]
+            if unrolled:
+                hashes, ends = p.windows(keep)
+                offsets = np.concatenate([[0], ends * 8]).astype(np.int32)
+                columns.append(pa.Array.from_buffers(pa.binary(), keep.size, [None, pa.py_buffer(offsets), pa.py_buffer(hashes)]))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_key", "text_hash", "start", "n", "anchor", "content", "windows"][: len(columns)])
 
 
 def _unrolled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,20 +129,22 @@ def _unrolled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_key (doc_id, null as the least long), text_hash, start, n: the words from start on, n of them, are covered by repeated windows."""
-    keyed = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+    keyed = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
     counts = keyed.select("text").mapInArrow(partial(_anchors, window=window, anchor=anchor), "anchor long, n long")
     repeated = written(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
     bits = bitmap(repeated, "anchor")
-    found = keyed.mapInArrow(partial(_paths, window=window, anchor=anchor, bits=bits), f"{FIRST}, start long, n long, anchor long, content long, windows binary")
-    paths = written(found.withColumnRenamed("doc_id", "doc_key"))
+    columns = "doc_key long, text_hash long, start long, n long, anchor long, content long"
+    paths = written(keyed.mapInArrow(partial(_paths, window=window, anchor=anchor, bits=bits, unrolled=False), columns))
 
     contents = written(paths.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_key", "start")).alias("first")).select("anchor", "content", "times", F.col("first.doc_key").alias("first_doc"), F.col("first.start").alias("first_start")))
     # Paths of a content after its first one are repeated as a whole.
-    later = paths.drop("windows").join(contents.where("times > 1").drop("times"), ["anchor", "content"]).where("doc_key > first_doc or start > first_start").select("doc_key", "text_hash", "start", (F.col("n") + window - 1).alias("n"))
+    later = paths.join(contents.where("times > 1").drop("times"), ["anchor", "content"]).where("doc_key > first_doc or start > first_start").select("doc_key", "text_hash", "start", (F.col("n") + window - 1).alias("n"))
     # Where an anchor's contents branch, the windows of each content's first path are compared one by one.
     branching = contents.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1").select("anchor")
-    firsts = contents.join(branching, "anchor", "left_semi").select("anchor", "content", F.col("first_doc").alias("doc_key"), F.col("first_start").alias("start"))
-    rows = written(paths.join(firsts, ["anchor", "content", "doc_key", "start"]).select("anchor", "content", "doc_key", "start", "n", "windows", "text_hash"))
+    firsts = written(contents.join(branching, "anchor", "left_semi").select("anchor", "content", F.col("first_doc").alias("doc_key"), F.col("first_start").alias("start")))
+    places = bitmap(firsts.select("content", "doc_key", "start").mapInArrow(_places, "h long"), "h")
+    open_paths = keyed.mapInArrow(partial(_paths, window=window, anchor=anchor, bits=places, unrolled=True), f"{columns}, windows binary")
+    rows = written(open_paths.join(firsts, ["anchor", "content", "doc_key", "start"]).select("anchor", "content", "doc_key", "start", "n", "windows", "text_hash"))
     single = rows.drop("text_hash").dropDuplicates(["anchor", "content", "doc_key", "start"]).select("anchor", "content", "doc_key", "start", "n", "windows").mapInArrow(_unrolled, "anchor long, content long, doc_key long, start long, window long, nth long")
     single = written(single)
     least = single.groupBy("anchor", "window").agg(F.count("*").alias("times"), F.min(F.struct("doc_key", "start")).alias("first")).where("times > 1")
@@ -132,11 +154,18 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANC
     return later.union(branched)
 
 
-def _without(batches: Iterator[pa.RecordBatch], text_at: int, spans_at: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text_at: int, spans_at: int | None, bits: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """The text column without its spans' words, and what that leaves; no column spans_at: nothing goes.
+
+    bits: only the rows whose first column cannot be in it, without that column."""
     for batch in batches:
-        spans = batch.column(spans_at)
-        ends = spans.offsets.to_numpy()
-        starts, sizes = (spans.values.field(k).to_numpy(zero_copy_only=False) for k in ("start", "n"))
+        if bits is not None:
+            batch = batch.filter(pa.array(~in_bitmap(bits, batch.column(0).to_numpy()))).select(list(range(1, batch.num_columns)))
+        ends = np.zeros(batch.num_rows + 1, dtype=np.int64)
+        if spans_at is not None:
+            spans = batch.column(spans_at)
+            ends = spans.offsets.to_numpy()
+            starts, sizes = (spans.values.field(k).to_numpy(zero_copy_only=False) for k in ("start", "n"))
         kept, digests, words_in, words_out = [], [], [], []
         for k, (raw, text) in enumerate(zip(_texts(batch.column(text_at)), batch.column(text_at), strict=True)):
             words = raw.split()
@@ -152,22 +181,26 @@ def _without(batches: Iterator[pa.RecordBatch], text_at: int, spans_at: int) ->
             digests.append(hashlib.sha256(joined).hexdigest())
             words_in.append(n)
             words_out.append(n - len(words))
-        left = [batch.column(j) for j in range(batch.num_columns) if j not in (text_at, spans_at)]
+        left = [batch.column(j) for j in range(text_at)]
         yield pa.RecordBatch.from_arrays([*left, pa.array(kept, pa.string()), pa.array(words_in, pa.int64()), pa.array(words_out, pa.int64()), pa.array(digests, pa.string())], names=[*(f"c{j}" for j in range(len(left))), "kept", "n_words", "n_removed", "kept_sha256"])
 
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """documents with kept_text (null stays null; unchanged where nothing goes, else the kept words joined by a space), n_words, n_removed and kept_sha256 (of the kept words joined by a space)."""
-    spans = repeated_spans(documents, window, anchor).distinct().groupBy("doc_key", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("__spans"))
+    spans = written(repeated_spans(documents, window, anchor).distinct())
+    bits = bitmap(spans.select(F.xxhash64("doc_key", "text_hash").alias("h")), "h")
+    spans = spans.groupBy("doc_key", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     columns = documents.columns
     others = [c for c in columns if c != "text"]
-    named = documents.toDF(*[f"__c{k}" for k in range(len(columns))])
-    at = lambda c: F.col(f"__c{columns.index(c)}")
-    key = F.coalesce(at("doc_id").cast("long"), F.lit(-(1 << 63)))
-    joined = named.withColumn("__key", key).withColumn("__hash", F.xxhash64(at("text"))).join(spans, (F.col("__key") == F.col("doc_key")) & (F.col("__hash") == F.col("text_hash")), "left")
-    ready = joined.select(*[at(c) for c in others], at("text").cast("string").alias("__text"), F.coalesce("__spans", F.array().cast("array<struct<start:bigint,n:bigint>>")).alias("__spans"))
-    fields = {f.name: f.dataType.simpleString() for f in documents.schema}
-    schema = ", ".join([*(f"c{k} {fields[c]}" for k, c in enumerate(others)), "kept_text string, n_words long, n_removed long, kept_sha256 string"])
-    done = ready.mapInArrow(partial(_without, text_at=len(others), spans_at=len(others) + 1), schema)
+    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
+    named = documents.toDF(*[f"c_{k}" for k in range(len(columns))])
+    at = lambda c: F.col(f"c_{columns.index(c)}")
+    named = named.select(F.coalesce(at("doc_id").cast("long"), F.lit(NULL_DOC)).alias("key"), F.xxhash64(at("text")).alias("hash"), *[at(c).alias(f"c{k}") for k, c in enumerate(others)], at("text").cast("string").alias("text"))
+    named = named.select(F.xxhash64("key", "hash").alias("h"), *named.columns)
+    plain = [f"c{k}" for k in range(len(others))]
+    schema = ", ".join([*(f"c{k} {kinds[c]}" for k, c in enumerate(others)), "kept_text string, n_words long, n_removed long, kept_sha256 string"])
+    untouched = named.select("h", *plain, "text").mapInArrow(partial(_cut, text_at=len(others), spans_at=None, bits=bits), schema)
+    joined = rows_by_bitmap(named, bits, True).join(spans, (F.col("key") == F.col("doc_key")) & (F.col("hash") == F.col("text_hash")), "left")
+    touched = joined.select(*plain, "text", F.coalesce("spans", F.array().cast("array<struct<start:bigint,n:bigint>>")).alias("spans")).mapInArrow(partial(_cut, text_at=len(others), spans_at=len(others) + 1), schema)
     new = ["kept_text", "n_words", "n_removed", "kept_sha256"]
-    return done.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(others) if c not in new], *new)
+    return untouched.union(touched).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(others) if c not in new], *new)
