@@ -85,6 +85,12 @@ class Tokens:
         self.features = np.stack([(h >> np.uint64(40)).astype(np.int64) & (p.buckets - 1) for h in kinds], axis=1) if word.size else np.zeros((0, len(kinds)), dtype=np.int64)
         self.first, self.words, self.starts, self.ends = words.first, words, starts, ends
 
+    def lean(self) -> Tokens:
+        """Itself without the texts' bytes, the features in half the room."""
+        self.features = self.features.astype(np.int32)
+        self.words = self.starts = self.ends = None
+        return self
+
 
 def segments(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts with the tokens first[k] to first[k + 1]: each segment's text, place in it, first token and size."""
@@ -152,10 +158,14 @@ def marginals(scores: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.nd
     return (both[:, :, 1] / both.sum(axis=2)).T[there]
 
 
-def covering(tokens: Tokens, labels: np.ndarray, p: Params) -> np.ndarray:
+def covering(parts: list[Tokens], labels: np.ndarray, p: Params) -> np.ndarray:
     """The buckets that mark toxic tokens: greedily the one in most toxic documents that no chosen one explains."""
-    doc = np.repeat(np.arange(labels.size), np.diff(tokens.first))
-    pairs = np.unique(doc[:, None] * p.buckets + tokens.features[:, : tokens.own])
+    found, at = [], 0
+    for t in parts:
+        own = at + np.repeat(np.arange(t.first.size - 1), np.diff(t.first))
+        found.append(np.unique(own[:, None] * p.buckets + t.features[:, : t.own]))
+        at += t.first.size - 1
+    pairs = np.concatenate(found)
     doc, bucket = pairs // p.buckets, pairs % p.buckets
     clean = np.bincount(bucket[labels[doc] == 0], minlength=p.buckets)
     toxic = labels[doc] == 1
@@ -200,17 +210,23 @@ def train(sample: pd.DataFrame, p: Params) -> Model:
         model.output[0] = np.log((share + 1e-3) / (1 - share + 1e-3))
         return model
     labels = sample["label"].to_numpy()
-    tokens = Tokens([t.encode() for t in sample["text"]], p)
-    marked = np.isin(tokens.features[:, : tokens.own], covering(tokens, labels, p)).any(axis=1)
-    marked &= np.repeat(labels == 1, np.diff(tokens.first))
+    texts = [t.encode() for t in sample["text"]]
+    parts = [Tokens(texts[a:b], p).lean() for a, b in passes(texts)]  # a few MB of text at a time
+    mark = np.zeros(p.buckets, dtype=bool)
+    mark[covering(parts, labels, p)] = True
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(t.first) for t in parts]))])
+    marked = np.concatenate([mark[t.features[:, : t.own]].any(axis=1) for t in parts])
+    marked &= np.repeat(labels == 1, np.diff(first))
+    features = np.concatenate([t.features for t in parts])
     # Segments, all with a labelled token first, up to the bound.
-    _, _, start, size = segments(tokens.first)
+    _, _, start, size = segments(first)
     hits = np.concatenate([[0], np.cumsum(marked)])
     order = np.lexsort((mix(np.arange(start.size, dtype=np.uint64)), hits[start + size] == hits[start]))
     use = order[: np.searchsorted(np.cumsum(size[order]), p.tokens)]
     at = np.concatenate([np.arange(a, a + n) for a, n in zip(start[use], size[use], strict=True)])
-    first = np.concatenate([[0], np.cumsum(size[use])])
-    x, y = tokens.features[at], marked[at].astype(float)
+    first = np.concatenate([[0], np.cumsum(size[use])])  # from here on of the segments used
+    x, y = features[at], marked[at].astype(float)
+    del features
     mean, square = np.zeros(p.buckets), np.zeros(p.buckets)
     buckets, index = np.unique(x, return_inverse=True)
     index = index.reshape(x.shape)
@@ -236,7 +252,7 @@ def train(sample: pd.DataFrame, p: Params) -> Model:
             q += 0.01 * g * g
             v -= p.rate * (m / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.99**step)) + 1e-9)
     model.weights[buckets], model.moves = w, moves
-    z = summary(marginals(model.weights[tokens.features].sum(axis=1), moves, tokens.first), tokens.first)
+    z = np.concatenate([summary(marginals(model.weights[t.features].sum(axis=1), moves, t.first), t.first) for t in parts])
     balance = (0.5 / np.bincount(labels, minlength=2))[labels]
     for _ in range(2000):
         wrong = (1 / (1 + np.exp(-np.clip(z @ model.output, -30, 30))) - labels) * balance
