@@ -636,7 +636,7 @@ def c7(spark: SparkSession, d: str) -> DataFrame:
     return listings(spark, d).select("ord", texts.time_from_text(text).alias("minutes"))
 
 
-@_query("b6_find_dates", "SELECT ord, strftime(start_at + INTERVAL 336 MONTH, '%Y-%m-%d') AS start FROM listings", ("listings",))
+@_query("b6_find_dates", "SELECT ord, CASE WHEN NOT ends_with(title, 'closed') THEN strftime(start_at + INTERVAL 336 MONTH, '%Y-%m-%d') END AS start FROM listings", ("listings",))
 def b6(spark: SparkSession, d: str) -> DataFrame:
     said = F.concat("title", F.lit(" on "), F.date_format(F.add_months("start_at", 336), "MMMM d, yyyy"), F.lit(" at the hall"))
     return listings(spark, d).select("ord", F.get(texts.find_dates(said, F.lit(DAY)), F.lit(0))["start"].cast("string").alias("start"))
