@@ -41,6 +41,21 @@ def _duck(sql: str, views: tuple[str, ...]) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
+def _whole(name: str, of: str, *changes: tuple[str, str]) -> Callable[[Query], Query]:
+    """Registers a query over all listings: its SQL is that of a sampled query without the sampling."""
+    sql = SQL[of]
+    for old, new in changes:
+        if old not in sql:
+            raise ValueError(f"{of}: no {old!r} in its SQL")
+        sql = sql.replace(old, new)
+
+    def put(f: Query) -> Query:
+        QUERIES[name], SQL[name] = f, sql
+        return f
+
+    return put
+
+
 ALNUM = "regexp_replace(lower(coalesce({0}, '')), '[^a-z0-9]', '', 'g')"
 FP = f"substr(sha1({ALNUM.format('title')} || '|' || strftime(start_at, '%Y-%m-%d') || '|' || {ALNUM.format('city')}), 1, 16)"
 TIER = "CASE WHEN tier IN ('trusted','source','potential') THEN tier WHEN trust = 'high' THEN 'trusted' WHEN trust = 'low' THEN 'source' WHEN category IN ('social','aggregator') THEN 'source' ELSE 'trusted' END"
@@ -375,9 +390,9 @@ def g1(spark: SparkSession, d: str) -> DataFrame:
     return feedback.load_corrections(view(spark, d, "corrections")).select("event", F.array_join(F.transform("fixes", lambda x: F.concat(x["field"], F.lit("="), x["value"])), ";").alias("fixes"))
 
 
-def _events(spark: SparkSession, d: str) -> DataFrame:
+def _events(spark: SparkSession, d: str, rows: str = "ord % 40 = 1") -> DataFrame:
     """Listings under the fingerprints that corrections name."""
-    return listings(spark, d).where("ord % 40 = 1").withColumn("fingerprint", F.concat(F.lit("e"), (F.col("ord") % 1500).cast("string")))
+    return listings(spark, d).where(rows).withColumn("fingerprint", F.concat(F.lit("e"), (F.col("ord") % 1500).cast("string")))
 
 
 @_query("g3_apply_corrections", """
@@ -389,6 +404,11 @@ def g3(spark: SparkSession, d: str) -> DataFrame:
     return feedback.apply_corrections(_events(spark, d), view(spark, d, "corrections")).select("ord", "category", "start_at", "end_at", "all_day", "corrected")
 
 
+@_whole("g3_apply_corrections_all", "g3_apply_corrections", (" WHERE ord % 40 = 1", ""))
+def g3_all(spark: SparkSession, d: str) -> DataFrame:
+    return feedback.apply_corrections(_events(spark, d, "true"), view(spark, d, "corrections")).select("ord", "category", "start_at", "end_at", "all_day", "corrected")
+
+
 @_query("g10_screen_reports", """
 SELECT id, visitor, kind FROM reports WHERE website = '' AND elapsed_ms >= 2500 AND kind <> 'spam' AND event IN (SELECT fingerprint FROM published_keys)
 QUALIFY row_number() OVER (PARTITION BY visitor, date_trunc('hour', "at") ORDER BY "at", id) <= 8""", ("reports", "published_keys"))
@@ -417,8 +437,17 @@ SELECT ord, CAST(nullif(regexp_extract(title, '(?i)\\b(\\d{1,3})(?:st|nd|rd|th)\
   CASE WHEN regexp_matches(title, '(?i)\\b\\d{1,3}(?:st|nd|rd|th)\\s+annual\\b') THEN 'title says "' || regexp_extract(title, '(?i)\\b\\d{1,3}(?:st|nd|rd|th)\\s+annual\\b') || '"' WHEN regexp_matches(title, '(?i)\\bannual\\b') THEN 'title says "annual"' END AS reason
 FROM listings WHERE contains(title, 'Annual')""", ("listings",))
 def h2(spark: SparkSession, d: str) -> DataFrame:
+    return _signals(listings(spark, d).where(F.col("title").contains("Annual")))
+
+
+@_whole("h2_annual_signal_all", "h2_annual_signal", (" WHERE contains(title, 'Annual')", ""))
+def h2_all(spark: SparkSession, d: str) -> DataFrame:
+    return _signals(listings(spark, d))
+
+
+def _signals(rows: DataFrame) -> DataFrame:
     signal = annual_signal("title")
-    return listings(spark, d).where(F.col("title").contains("Annual")).select("ord", signal["claimed_number"].alias("claimed_number"), signal["reason"].alias("reason"))
+    return rows.select("ord", signal["claimed_number"].alias("claimed_number"), signal["reason"].alias("reason"))
 
 
 @_query("h3_edition_clusters", f"""
@@ -466,7 +495,16 @@ r AS (SELECT key, CASE WHEN length(key) % 7 = 0 THEN 'rejected' WHEN length(key)
   strftime(CAST(last_date AS DATE) + INTERVAL 12 MONTH, '%Y-%m-%d') AS predicted FROM s JOIN t USING (key) WHERE key NOT IN (SELECT key FROM freq))
 SELECT * FROM r WHERE status IS NOT NULL""", ("listings",))
 def h7(spark: SparkSession, d: str) -> DataFrame:
-    rows = _published(spark, d).where("ord % 211 = 3")
+    return _recurring(_published(spark, d).where("ord % 211 = 3"))
+
+
+@_whole("h7_recurring_view_all", "h7_recurring_view", (" WHERE ord % 211 = 3", ""), ("AS key FROM listings", "AS key FROM (SELECT * REPLACE (area || ' lot ' || CAST(ord % 211 AS STRING) AS area) FROM listings)"))
+def h7_all(spark: SparkSession, d: str) -> DataFrame:
+    """All listings; the area, a part of the series' key, is divided so that series are rare enough to recur yearly."""
+    return _recurring(_published(spark, d).withColumn("area", F.concat("area", F.lit(" lot "), (F.col("ord") % 211).cast("string"))))
+
+
+def _recurring(rows: DataFrame) -> DataFrame:
     now = rows.where(F.col("start_at") >= filters.wall(AS_OF))
     known = series.series_rows(rows).join(series.edition_clusters(now).select("key", "too_frequent"), "key", "left")
     owner = known.select("key", F.when(F.length("key") % 7 == 0, "reject").when(F.length("key") % 7 == 1, "confirm").alias("decision")).where("decision is not null")
@@ -672,14 +710,22 @@ WITH base AS (SELECT ord, start_at, CASE WHEN ord % 3 = 0 THEN 1 ELSE 7 END * (1
 n AS (SELECT ord, start_at, step, unnest(range(0, 61)) AS k, CAST(greatest(0, ceil((DATE '1998-06-01' - CAST(start_at AS DATE)) / step)) AS BIGINT) AS skipped FROM base)
 SELECT ord, start_at + INTERVAL 1 DAY * ((skipped + k) * step) AS start_at FROM n WHERE k < 60 AND CAST(start_at AS DATE) + CAST((skipped + k) * step AS INTEGER) <= DATE '1998-06-01' + 60""", ("listings",))
 def c10(spark: SparkSession, d: str) -> DataFrame:
-    rows = listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 5 == 1))
+    return _weekly(listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 5 == 1)))
+
+
+@_whole("c10_expand_weekly_all", "c10_expand_weekly", (" AND ord % 5 = 1", ""))
+def c10_all(spark: SparkSession, d: str) -> DataFrame:
+    return _weekly(listings(spark, d).where(F.col("start_at") <= filters.wall(AS_OF)))
+
+
+def _weekly(rows: DataFrame) -> DataFrame:
     ruled = rows.select("ord", "start_at", "end_at", F.when(F.col("ord") % 3 == 0, "DAILY").otherwise("WEEKLY").alias("freq"), (1 + F.col("ord") % 2).cast("int").alias("interval"), F.lit(None).cast("timestamp_ntz").alias("until"))
     return recur.expand_weekly(ruled, DAY).select("ord", "start_at")
 
 
 @_query("c10_expand_rrule")
 def c10r(spark: SparkSession, d: str) -> DataFrame:
-    rows = listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 50 == 1))
+    rows = listings(spark, d).where(F.col("start_at") <= filters.wall(AS_OF))
     ruled = rows.select("ord", "start_at", "end_at", F.lit("FREQ=MONTHLY;BYDAY=2TU").alias("rule"), F.array().cast("array<timestamp_ntz>").alias("exdates"))
     return recur.expand_rrule(ruled, AS_OF).select("ord", "start_at")
 
@@ -690,7 +736,15 @@ d AS (SELECT ord, f, CAST(x AS DATE) AS day FROM base, (SELECT unnest(generate_s
 SELECT ord, CAST(day AS STRING) AS day FROM d WHERE CASE ord % 4 WHEN 1 THEN dayname(day) IN ('Tuesday', 'Saturday') AND ((day - (f - (isodow(f) - 1)::INTEGER)) // 7) % 2 = 0
   WHEN 3 THEN dayname(day) = 'Friday' AND month(day + 7) <> month(day) ELSE dayofmonth(day) = 15 END""", ("listings",))
 def c11(spark: SparkSession, d: str) -> DataFrame:
-    rows = listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 40 == 1))
+    return _said(listings(spark, d).where((F.col("start_at") <= filters.wall(AS_OF)) & (F.col("ord") % 40 == 1)))
+
+
+@_whole("c11_recurrence_text_all", "c11_recurrence_text", (" AND ord % 40 = 1", ""))
+def c11_all(spark: SparkSession, d: str) -> DataFrame:
+    return _said(listings(spark, d).where(F.col("start_at") <= filters.wall(AS_OF)))
+
+
+def _said(rows: DataFrame) -> DataFrame:
     says = F.when(F.col("ord") % 4 == 1, "Recurring every 2 weeks on Tuesday, Saturday").when(F.col("ord") % 4 == 3, "monthly on the last friday").otherwise("Monthly on day 15")
     return recur.expand_recurrence_text(rows.select("ord", says.alias("recurrence"), F.to_date("start_at").alias("first"), F.lit(None).cast("date").alias("last")), DAY).select("ord", F.col("day").cast("string").alias("day"))
 
