@@ -4,13 +4,15 @@ Texts become tokens (words without surrounding punctuation, in lower case); numb
 placeholders. Windows of the resulting template are hashed, and the documents' windows meet the benchmark's in a hash
 join. Windows of one document and one item on one alignment are then taken together: each value that stood in a slot
 of the item must have one value in the document, which accepts a question with other numbers and names, and not a
-text that only has the shape. A document is contaminated where a consistent alignment covers enough of an item.
+text that only has the shape. A document is contaminated where a consistent alignment covers enough of an item, or
+where the windows of an alignment that repeat the item's own values do so by themselves. Windows of placeholders only
+are hashed with their values, so that they match verbatim copies and nothing else.
 
 A fixed-size bitmap of the benchmark's windows drops nearly all document windows where they are made; the join after
 it is exact. The benchmark side is broadcast only while its windows are few, which is checked.
 
-Defined cases. Null or empty texts and items match nothing; items without any literal word match nothing, and of
-items shorter than a window the whole template is the window. A null doc_id is judged like any other; rows that repeat a doc_id
+Defined cases. Null or empty texts and items match nothing; items with few literal words match their verbatim copies
+only, and of items shorter than a window the whole template is the window. A null doc_id is judged like any other; rows that repeat a doc_id
 are judged each by its own text. Ties of items go to the smaller item_id. Other columns pass through; the new columns'
 names give way to the new ones. An empty benchmark leaves all documents clean.
 """
@@ -44,7 +46,7 @@ _STOP = np.isin(_byte, [ord(c) for c in ".!?:;"])
 
 @dataclass(frozen=True)
 class Params:
-    """window: tokens. literals: of a window that must not be placeholders. covered: tokens of an item that contaminate (all of a shorter one)."""
+    """window: tokens. literals: tokens of an alignment that must not be placeholders where values differ (half of a shorter window). covered: tokens of an item that contaminate (all of a shorter one)."""
 
     window: int = 8
     literals: int = 4
@@ -93,14 +95,18 @@ class Template:
         self.text = text
         self.first = np.searchsorted(text, np.arange(len(texts) + 1))
 
-    def windows(self, n: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the windows of n tokens with so many literals at least, and their first tokens."""
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the windows of n tokens, and their first tokens. Windows without a literal have their values in the hash."""
         if self.codes.size < n:
             return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         plain = np.concatenate([[0], np.cumsum(self.slots == 0)])
         at = np.arange(self.codes.size - n + 1)
-        good = (self.text[at] == self.text[at + n - 1]) & (plain[at + n] - plain[at] >= literals)
-        return rolled(self.codes, n)[good] + np.uint64(n), at[good]
+        good = self.text[at] == self.text[at + n - 1]
+        hashes = rolled(self.codes, n)
+        bare = good & (plain[at + n] == plain[at])
+        if bare.any():
+            hashes = np.where(bare, mix(rolled(self.codes ^ mix(self.slots), n)), hashes)
+        return hashes[good] + np.uint64(n), at[good]
 
 
 _lists: dict[str, np.ndarray] = {}
@@ -127,7 +133,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.R
             own = Template.__new__(Template)
             own.codes, own.slots, own.text = t.codes[a:b], t.slots[a:b], t.text[a:b]
             n = min(p.window, int(b - a))
-            hashes, at = own.windows(n, max(1, min(p.literals, n // 2)))
+            hashes, at = own.windows(n)
             rows += [(int(np.int64(h.view(np.int64))), item, int(x), n, int(b - a), own.slots[x : x + n].view(np.int64).tolist()) for h, x in zip(hashes, at, strict=True)]
         columns = list(zip(*rows, strict=True)) or [()] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -140,7 +146,7 @@ def _document_windows(batches: Iterator[pa.RecordBatch], p: Params, bits: np.nda
         for a, b in passes(texts):
             t = Template(texts[a:b])
             for n in widths:
-                hashes, at = t.windows(n, max(1, min(p.literals, n // 2)))
+                hashes, at = t.windows(n)
                 hit = in_bitmap(bits, hashes.view(np.int64))
                 hashes, at = hashes[hit], at[hit]
                 row = t.text[at]
@@ -162,16 +168,23 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, p: Params = Params(
     few = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     met = hits.join(F.broadcast(items) if few else items, "h")
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
-    lines = met.groupBy("doc_key", "text_hash", "item_id", "item_tokens", "width", (F.col("at") - F.col("item_at")).alias("line")).agg(F.array_sort(F.collect_set("item_at")).alias("places"), F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"))
+    words = F.filter(F.transform("item_slots", lambda x, k: F.when(x == 0, F.col("item_at") + k)), lambda x: x.isNotNull())
+    same = F.when(F.col("item_slots") == F.col("slots"), F.col("item_at"))
+    # The sets hold at most one entry for each window of the item, or each placeholder of it, and are made before the shuffle, too.
+    lines = met.groupBy("doc_key", "text_hash", "item_id", "item_tokens", "width", (F.col("at") - F.col("item_at")).alias("line")).agg(
+        F.array_sort(F.collect_set("item_at")).alias("places"), F.array_sort(F.collect_set(same)).alias("same"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.size(F.array_distinct(F.flatten(F.collect_set(words)))).alias("words")
+    )
     width = F.col("width")
-    covered = F.size("places") * 0 + F.aggregate(
-        "places",
+    covered = lambda places: F.aggregate(
+        places,
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
         lambda acc, x: F.struct((acc["n"] + x + width - F.greatest(acc["end"], x)).alias("n"), (x + width).alias("end")),
         lambda acc: acc["n"],
     )
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"]))) == F.size("pairs")
-    found = lines.where(consistent).select("doc_key", "text_hash", "item_id", "item_tokens", covered.alias("n")).where(F.col("n") >= F.least(F.lit(p.covered), F.col("item_tokens")))
+    literal = F.col("words") >= F.greatest(F.lit(1), F.least(F.lit(p.literals), F.floor(width / 2)))
+    n = F.when(consistent & literal, covered("places")).otherwise(covered("same"))
+    found = lines.select("doc_key", "text_hash", "item_id", "item_tokens", n.alias("n")).where(F.col("n") >= F.least(F.lit(p.covered), F.col("item_tokens")))
     best = F.min(F.struct((-F.col("n")).alias("n"), "item_id"))
     return found.groupBy("doc_key", "text_hash").agg(best.alias("best"), F.count_distinct("item_id").alias("n_items")).select("doc_key", "text_hash", F.col("best.item_id").alias("item_id"), "n_items", (-F.col("best.n")).alias("matched_tokens"))
 

@@ -194,6 +194,24 @@ def test_decontamination(spark):
     assert decontaminate.clean_documents(df, bench.limit(0)).count() == 7 and decontaminate.clean_documents(df.limit(0), bench).count() == 0
 
 
+def verdicts(spark, texts, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {r.doc_id: r.item_id for r in decontaminate.judge_contamination(docs(spark, texts), bench).collect() if r.contaminated}
+
+
+def test_contamination_by_items_of_few_words(spark):
+    items = ["What is 3 + 4 * 5 - 6", "Convert 5 km 3 m 20 cm to mm", "guests: Ann Bob Cid Dan Eve Fay Gus Hal Ida Jon Kit Lea", "7 13 21 34 55 89 144 233 377 610 987 1597 2584 4181"]
+    texts = [f"so it began.\n{x}\nand it went on" for x in items]
+    texts += ["so.\nWhat is 1 + 2 * 7 - 9\nand on", "so.\nguests: Tim Ann Bob Cid Dan Eve Una Vic Wes Xan Yul Zoe\nand on", "so.\n7 13 21 34 55 89 145 233 377 610 987 1597 2584 4181\nand on"]
+    assert verdicts(spark, texts, items) == {0: 0, 1: 1, 2: 2, 3: 3}
+
+
+def test_contamination_by_a_run_of_equal_values(spark):
+    item = "if Tom has 5 apples and Ann has 7 kg of pears then Tom gives some of his 5 apples to Ann and she bakes them into a cake for the fair"
+    texts = [f"x. {item} y", f"x. {item.replace('his 5', 'his 6')} y", "x. if Bob has 9 apples and Eve has 4 kg of pears then Tom gives some of his 5 apples to Eve and she ran"]
+    assert verdicts(spark, texts, [item]) == {0: 0, 1: 0}
+
+
 def test_exact_benchmark_passages(spark):
     rng = random.Random(8)
     vocabulary = [f"w{k}" for k in range(500)]
