@@ -8,11 +8,16 @@ text that only has the shape. A document is contaminated where a consistent alig
 where the windows of an alignment that repeat the item's own values do so by themselves. Windows of placeholders only
 are hashed with their values, so that they match verbatim copies and nothing else.
 
+A capital letter says name inside a sentence and nothing at its beginning, and where an item stands in a document moves
+sentences and lines. Documents' words at a beginning are read both as a name and as a word; items' in every combination,
+and all of an item's names as words once more, which finds copies without capitals (or all in capitals). A word that
+is a name only by its second reading must be the same word in both texts.
+
 A fixed-size bitmap of the benchmark's windows drops nearly all document windows where they are made; the join after
 it is exact. The benchmark side is broadcast only while its windows are few, which is checked.
 
 Defined cases. Null or empty texts and items match nothing; items with few literal words match their verbatim copies
-only, and of items shorter than a window the whole template is the window. A null doc_id is judged like any other; rows that repeat a doc_id
+only, and of items shorter than a window the whole template is the window. Longer ones may miss one token of theirs. A null doc_id is judged like any other; rows that repeat a doc_id
 are judged each by its own text. Ties of items go to the smaller item_id. Other columns pass through; the new columns'
 names give way to the new ones. An empty benchmark leaves all documents clean.
 """
@@ -20,6 +25,7 @@ names give way to the new ones. An empty benchmark leaves all documents clean.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
 from functools import partial
 
@@ -46,7 +52,7 @@ _STOP = np.isin(_byte, [ord(c) for c in ".!?:;"])
 
 @dataclass(frozen=True)
 class Params:
-    """window: tokens. literals: tokens of an alignment that must not be placeholders where values differ (half of a shorter window). covered: tokens of an item that contaminate (all of a shorter one)."""
+    """window: tokens. literals: tokens of an alignment that must not be placeholders where values differ (half of a shorter window). covered: tokens of an item that contaminate (all but one of a shorter one, all of one not longer than a window)."""
 
     window: int = 8
     literals: int = 4
@@ -54,7 +60,9 @@ class Params:
 
 
 class Template:
-    """Codes (hash or placeholder), slots (hash of a placeholder's value, else 0) and the first token of each text."""
+    """Codes (hash or placeholder), slots (hash of a placeholder's value, else 0) and the first token of each text.
+
+    values: hashes of all tokens. capital, either: tokens that may be names by their letters; words at a beginning."""
 
     def __init__(self, texts: list[bytes]):
         words = Words(texts, hashed=False)
@@ -88,13 +96,29 @@ class Template:
         unit = np.isin(hashes, _hashes(UNITS))
         unit[1:] &= number[:-1] & (text[1:] == text[:-1])
         unit[:1] = False
-        name = capital[np.minimum(starts, raw.size - 1)] & (capitals == 1) & (letters > 1) & ~opens & ~number
-        kind = np.select([number, unit, name], [NUMBER, UNIT, NAME], 0)
-        self.codes = np.where(kind == 0, hashes, kind.astype(np.uint64))
-        self.slots = np.where(kind == 0, np.uint64(0), hashes | np.uint64(1))
-        self.text = text
+        self.capital = capital[np.minimum(starts, raw.size - 1)] & (capitals == 1) & (letters > 1) & ~number & ~unit
+        self.either = opens & (letters > 1) & ~number & ~unit
+        self.values, self.text = hashes, text
+        self.read(np.select([number, unit, self.capital & ~opens], [NUMBER, UNIT, NAME], 0))
         self.first = np.searchsorted(text, np.arange(len(texts) + 1))
 
+    def read(self, kind: np.ndarray) -> None:
+        self.kind = kind
+        self.codes = np.where(kind == 0, self.values, kind.astype(np.uint64))
+        self.slots = np.where(kind == 0, np.uint64(0), self.values | np.uint64(1))
+
+    def other(self) -> Template:
+        """The same texts with the words at a beginning that may be names as names."""
+        t = copy(self)
+        t.read(np.where(self.capital & self.either, NAME, self.kind))
+        return t
+
+    def part(self, a: int, b: int) -> Template:
+        t = Template.__new__(Template)
+        for name in ("values", "text", "capital", "either", "kind", "codes", "slots"):
+            setattr(t, name, getattr(self, name)[a:b])
+        return t
+
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the windows of n tokens, and their first tokens. Windows without a literal have their values in the hash."""
         if self.codes.size < n:
@@ -122,6 +146,31 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _readings(own: Template, n: int) -> tuple[Template, np.ndarray, list[int]]:
+    """Windows of one item, each as a text of its own: with every choice of names among its words at a beginning, and without names.
+
+    Also the tokens of each window that are names only by that choice, and its place."""
+    at = np.arange(own.kind.size - n + 1)
+    kinds, exact, places = [], [], []
+    for x in at.tolist():
+        kind, free = own.kind[x : x + n], np.flatnonzero(own.either[x : x + n])
+        chosen = np.zeros((1 << free.size, n), dtype=bool)
+        chosen[:, free] = np.arange(1 << free.size)[:, None] >> np.arange(free.size) & 1
+        all_kinds = np.where(chosen, NAME, kind)
+        if (kind == NAME).any():
+            all_kinds = np.concatenate([all_kinds, np.where(kind == NAME, 0, kind)[None]])
+            chosen = np.concatenate([chosen, np.zeros((1, n), dtype=bool)])
+        kinds.append(all_kinds)
+        exact.append(chosen)
+        places += [x] * len(all_kinds)
+    rows = np.array(places)
+    t = Template.__new__(Template)
+    t.values = own.values[rows[:, None] + np.arange(n)].ravel()
+    t.text = np.repeat(np.arange(rows.size), n)
+    t.read(np.concatenate(kinds).ravel())
+    return t, np.concatenate(exact), places
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         t = Template(_texts(batch.column(1)))
@@ -130,24 +179,27 @@ def _item_windows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.R
             a, b = t.first[k], t.first[k + 1]
             if b == a:
                 continue
-            own = Template.__new__(Template)
-            own.codes, own.slots, own.text = t.codes[a:b], t.slots[a:b], t.text[a:b]
-            n = min(p.window, int(b - a))
-            hashes, at = own.windows(n)
-            rows += [(int(np.int64(h.view(np.int64))), item, int(x), n, int(b - a), own.slots[x : x + n].view(np.int64).tolist()) for h, x in zip(hashes, at, strict=True)]
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["h", "item_id", "item_at", "width", "item_tokens", "item_slots"])
+            own, n = t.part(a, b), min(p.window, int(b - a))
+            part, exact, at = _readings(own, n)
+            hashes, _ = part.windows(n)
+            rows += [(int(np.int64(h.view(np.int64))), item, x, n, int(b - a), part.slots[k * n : k * n + n].view(np.int64).tolist(), exact[k].tolist()) for k, (h, x) in enumerate(zip(hashes, at, strict=True))]
+        columns = list(zip(*rows, strict=True)) or [()] * 7
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["h", "item_id", "item_at", "width", "item_tokens", "item_slots", "exact"])
 
 
 def _document_windows(batches: Iterator[pa.RecordBatch], p: Params, bits: np.ndarray, widths: list[int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = _texts(batch.column(2))
         for a, b in passes(texts):
-            t = Template(texts[a:b])
-            for n in widths:
+            first = Template(texts[a:b])
+            second = first.other()
+            changed = np.concatenate([[0], np.cumsum(first.kind != second.kind)])
+            for n, t in [(n, t) for n in widths for t in (first, second)]:
                 hashes, at = t.windows(n)
                 hit = in_bitmap(bits, hashes.view(np.int64))
+                if t is second:
+                    hit &= changed[at + n] > changed[at]
                 hashes, at = hashes[hit], at[hit]
                 row = t.text[at]
                 slots = t.slots[at[:, None] + np.arange(n)].view(np.int64)
@@ -161,14 +213,16 @@ NEW = ["contaminated", "item_id", "n_items", "matched_tokens"]
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_key (doc_id, null as the least long), text_hash, item_id (of the longest match), n_items, matched_tokens of the contaminated rows of documents."""
-    items = written(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_item_windows, p=p), "h long, item_id long, item_at long, width long, item_tokens long, item_slots array<long>"))
+    items = written(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_item_windows, p=p), "h long, item_id long, item_at long, width long, item_tokens long, item_slots array<long>, exact array<boolean>"))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most as many as a window has tokens
     keyed = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC)).alias("doc_key"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
     hits = keyed.mapInArrow(partial(_document_windows, p=p, bits=bitmap(items, "h"), widths=widths), "h long, doc_key long, text_hash long, at long, slots array<long>")
     few = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     met = hits.join(F.broadcast(items) if few else items, "h")
-    pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
-    words = F.filter(F.transform("item_slots", lambda x, k: F.when(x == 0, F.col("item_at") + k)), lambda x: x.isNotNull())
+    three = F.arrays_zip("item_slots", "slots", "exact")
+    met = met.where(F.forall(three, lambda x: ~x["exact"] | (x["item_slots"] == x["slots"])))
+    pairs = F.transform(F.filter(three, lambda x: (x["item_slots"] != 0) & ~x["exact"]), lambda x: x.dropFields("exact"))
+    words = F.filter(F.transform(three, lambda x, k: F.when((x["item_slots"] == 0) | x["exact"], F.col("item_at") + k)), lambda x: x.isNotNull())
     same = F.when(F.col("item_slots") == F.col("slots"), F.col("item_at"))
     # The sets hold at most one entry for each window of the item, or each placeholder of it, and are made before the shuffle, too.
     lines = met.groupBy("doc_key", "text_hash", "item_id", "item_tokens", "width", (F.col("at") - F.col("item_at")).alias("line")).agg(
@@ -184,7 +238,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, p: Params = Params(
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"]))) == F.size("pairs")
     literal = F.col("words") >= F.greatest(F.lit(1), F.least(F.lit(p.literals), F.floor(width / 2)))
     n = F.when(consistent & literal, covered("places")).otherwise(covered("same"))
-    found = lines.select("doc_key", "text_hash", "item_id", "item_tokens", n.alias("n")).where(F.col("n") >= F.least(F.lit(p.covered), F.col("item_tokens")))
+    enough = F.least(F.lit(p.covered), F.when(F.col("item_tokens") > p.window, F.col("item_tokens") - 1).otherwise(F.col("item_tokens")))
+    found = lines.select("doc_key", "text_hash", "item_id", "item_tokens", n.alias("n"), enough.alias("enough")).where("n >= enough")
     best = F.min(F.struct((-F.col("n")).alias("n"), "item_id"))
     return found.groupBy("doc_key", "text_hash").agg(best.alias("best"), F.count_distinct("item_id").alias("n_items")).select("doc_key", "text_hash", F.col("best.item_id").alias("item_id"), "n_items", (-F.col("best.n")).alias("matched_tokens"))
 

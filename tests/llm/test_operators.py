@@ -212,6 +212,13 @@ def test_contamination_by_a_run_of_equal_values(spark):
     assert verdicts(spark, texts, [item]) == {0: 0, 1: 0}
 
 
+def test_contamination_wherever_an_item_stands(spark):
+    items = ["Which river flows through the old town of Ulm", "Where did Mary and John Smith meet. They met in Rome on a very warm day", "Name one king of France"]
+    texts = [f"they asked me, {x}, and went on" for x in items] + [f"they asked: {x.lower()}; and went on" for x in items] + [f"they asked ({x.upper()}) and went on" for x in items]
+    texts += ["so\n" + items[1].replace(" ", "\n") + "\nso", "so. " + items[0].replace("Which river", "which river") + " so", "they asked me, Their river flows through the old town of", "they asked me, Give one king of France so"]
+    assert verdicts(spark, texts, items) == {k: k % 3 for k in range(9)} | {9: 1, 10: 0}
+
+
 def test_exact_benchmark_passages(spark):
     rng = random.Random(8)
     vocabulary = [f"w{k}" for k in range(500)]
