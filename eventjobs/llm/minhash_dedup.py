@@ -22,7 +22,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -55,13 +56,34 @@ class Params:
         return self.whole / self.part
 
     @property
-    def trees(self) -> int:
-        """So many that a pair at the threshold which is together in a tree's first three levels is met once at least."""
-        stay, two = 1.0, min(1.0, 1 / self.similarity - 1)
-        for _ in range(3):
-            one = self.similarity * stay
+    def cut(self) -> int:
+        """Equal positions from which a pair is checked: slack below the threshold, or less where that would take half of what recall allows."""
+        below = np.cumsum(self._equal())  # below[k]: share of pairs at the threshold with up to k equal positions
+        return min(math.ceil((self.similarity - self.slack) * self.positions), int(np.searchsorted(below, (1 - self.recall) / 2, side="right")))
+
+    def missed(self, trees: int) -> float:
+        """The share of pairs at the threshold that so many trees or the estimate miss, where nodes branch to the last level.
+
+        All trees choose from the same positions, so that the share of equal ones of a pair is what counts in each."""
+        share, two = np.arange(self.positions + 1) / self.positions, min(1.0, 1 / self.similarity - 1)
+        stay = np.ones(self.positions + 1)
+        for _ in range(self.depth):
+            one = share * stay
             stay = (1 - two) * one + two * (1 - (1 - one) ** 2)
-        return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - stay))) + 1
+        return float(np.sum(self._equal() * np.where(np.arange(self.positions + 1) < self.cut, 1.0, (1 - stay) ** trees)))
+
+    def _equal(self) -> np.ndarray:
+        """The chances of a pair at the threshold to have 0, 1, ... equal positions."""
+        n, s = self.positions, self.similarity
+        if s >= 1:
+            return np.eye(n + 1)[n]
+        ways = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(s) + (n - k) * math.log(1 - s) for k in range(n + 1)]
+        return np.exp(ways)
+
+    @cached_property
+    def trees(self) -> int:
+        """The fewest that meet recall for a pair at the threshold whose nodes branch to the last level."""
+        return next(n for n in count(1) if self.missed(n) <= 1 - self.recall)
 
 
 def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -153,7 +175,7 @@ def _near(sketches: np.ndarray, components: np.ndarray, sides: np.ndarray, p: Pa
     """(minus the equal positions, k, j) of the pairs of two components whose estimate is near the threshold or above.
 
     Where sides differ in a list, only pairs across them."""
-    cut = (p.similarity - p.slack) * p.positions
+    cut = p.cut
     mixed = sides.min() != sides.max()
     for k in range(len(sketches) - 1):
         same = np.count_nonzero(sketches[k + 1 :] == sketches[k], axis=1)

@@ -96,6 +96,24 @@ def test_near_duplicates_of_a_large_group(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute_components(texts, range(len(texts)), 2)
 
 
+def test_recall_of_pairs_at_the_threshold_in_nodes_that_branch_to_the_end():
+    """Signatures of pairs at 0.8 go down all levels of all trees, as they do inside a large group of boilerplate."""
+    p, n, rng = minhash_dedup.Params(), 20_000, np.random.default_rng(3)
+    left = rng.integers(0, 1 << 32, size=(n, p.positions), dtype=np.uint32)
+    equal = rng.random(left.shape) < p.similarity
+    right = np.where(equal, left, left + np.uint32(1))
+    met = np.zeros(n, dtype=bool)
+    for tree in range(p.trees):
+        keys, rows = np.full(n, minhash_dedup.mix(np.array([tree * 7919 + 13], dtype=np.uint64))[0]), np.arange(n)
+        for _ in range(p.depth):
+            (a, at), (b, _) = (minhash_dedup._children(keys, side[rows], 1 / p.similarity - 1) for side in (left, right))
+            keys, rows = a[a == b], rows[at][a == b]
+        met[rows] = True
+    sketches = [side.astype(np.uint8) for side in (left, right)]
+    near = [bool(list(minhash_dedup._near(np.stack(both), np.arange(2), np.zeros(2), p))) for both in zip(*sketches, strict=True)]
+    assert (met & near).mean() >= p.recall - 3 * (0.001 / n) ** 0.5
+
+
 def test_near_duplicates_edges(spark):
     df = docs(spark, ["a b c d e", "a b c d e", None, "a b c d e"], [3, None, 7, 3])
     got = minhash_dedup.near_duplicates(df).orderBy("doc_id", "n_shingles").collect()
