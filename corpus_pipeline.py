@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventjobs.llm.decontaminate import clean_documents
-from eventjobs.llm.minhash_dedup import near_duplicates
+from eventjobs.llm.minhash_dedup import judged_rows
 from eventjobs.llm.packing import pack_harmonic
 from eventjobs.llm.quality import Params as QualityParams
 from eventjobs.llm.quality import score_quality
 from eventjobs.llm.queries import packing_params, quality_model, table
-from eventjobs.llm.shared import NULL_DOC, bitmap, rows_by_bitmap, written
+from eventjobs.llm.shared import bitmap, rows_by_bitmap, written
 from eventjobs.llm.substring_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -31,12 +31,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays (five words, 0.8), whole rows that repeat included."""
-    gone = written(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct())
-    bits = bitmap(gone.select(F.xxhash64("doc_id").alias("h")), "h")
-    keyed = docs.select(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(NULL_DOC))).alias("h"), *COLUMNS)
-    doubtful = rows_by_bitmap(keyed, bits, True).join(gone, "doc_id", "left_anti").select("h", *COLUMNS)
-    return rows_by_bitmap(keyed, bits, False).union(doubtful).select(*COLUMNS)
+    """One row of each group of near-duplicates stays (five words, 0.8), each row judged by its own text; of rows that repeat
+    a doc_id in one group the least text_hash, of whole rows that repeat one. Rows without a doc_id all stay."""
+    rows = written(judged_rows(docs).where("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.first("kept").alias("kept"), F.first("component").alias("component")))
+    first = rows.where("kept and component is not null").groupBy("doc_id", "component").agg(F.min("text_hash").alias("least"), F.count("*").alias("texts")).where("texts > 1")
+    later = rows.where("kept").join(first, ["doc_id", "component"]).where("text_hash <> least")
+    gone = written(rows.where("not kept").select("doc_id", "text_hash").union(later.select("doc_id", "text_hash")))
+    hashed = lambda df: df.select(F.xxhash64("doc_id", "text_hash").alias("h"))
+    bits = bitmap(hashed(gone).union(hashed(rows.where("n > 1"))), "h")
+    text_hash = F.xxhash64("text")
+    keyed = docs.where("doc_id is not null").select(F.xxhash64("doc_id", text_hash).alias("h"), text_hash.alias("text_hash"), *COLUMNS)
+    doubtful = rows_by_bitmap(keyed, bits, True).join(gone, ["doc_id", "text_hash"], "left_anti")
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = doubtful.groupBy("doc_id", "text_hash").agg(F.min(F.struct(*others, "text")).alias("row")).select("doc_id", "row.*").select(*COLUMNS)
+    return rows_by_bitmap(keyed, bits, False).select(*COLUMNS).union(once).union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

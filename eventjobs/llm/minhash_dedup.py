@@ -120,12 +120,13 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa
                     least = np.minimum(least, (low[at : at + 256, None] * scale + shift).min(axis=0))
                 signatures.append(least.tobytes())
             as_long = lambda xs: pa.array([None if x is None else (x & (1 << 64) - 1) - ((x >> 63 & 1) << 64) for x in xs], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), as_long(ones), as_long(twos), pa.array(signatures, pa.binary())], names=["doc_id", "n_shingles", "node", "node2", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()), as_long(ones), as_long(twos), pa.array(signatures, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "node", "node2", "signature"])
 
 
 def signatures(documents: DataFrame, p: Params) -> DataFrame:
-    """Per row: doc_id, n_shingles, node and node2 (hashes that name the set) and the signature."""
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_signature_rows, p=p), "doc_id long, n_shingles long, node long, node2 long, signature binary")
+    """Per row: doc_id, text_hash, n_shingles, node and node2 (hashes that name the set) and the signature."""
+    text = F.col("text").cast("string")
+    return documents.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash")).mapInArrow(partial(_signature_rows, p=p), "doc_id long, text_hash long, n_shingles long, node long, node2 long, signature binary")
 
 
 def _numbers(column: pa.Array, positions: int) -> np.ndarray:
@@ -388,12 +389,17 @@ def _sketches(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Recor
 
 def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:
     """One row for each row of documents (doc_id, text): doc_id, n_shingles, component_id, kept. See the module."""
+    return judged_rows(documents, p).drop("text_hash", "component")
+
+
+def judged_rows(documents: DataFrame, p: Params = Params()) -> DataFrame:
+    """near_duplicates with text_hash (xxhash64 of the text) and component (names the group itself, null without words)."""
     rows = written(signatures(documents, p))
     named = rows.where("node is not null and doc_id is not null")
     sets = written(named.groupBy("node", "node2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")).drop("node2"))
     linked = similar_sets(sets, documents, p)
     least = sets.select("node", "rep").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = least.groupBy("component").agg(F.min("rep").alias("component_id")).join(least.select("node", "component"), "component").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(least, "node", "left")
+    least = least.groupBy("component").agg(F.min("rep").alias("component_id")).join(least.select("node", "component"), "component").select("node", "component", "component_id")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "node").join(least, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_hash", "component", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

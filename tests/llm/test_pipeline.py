@@ -51,3 +51,14 @@ def test_run_is_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SMALL).agg(F.count("*"), F.sum("length"), F.sum("ids_crc32")).first()
     rows = stages["packed"][1]
     assert got[1] == rows.length.sum() and got[0] > 0
+
+
+def test_near_copies_are_judged_by_row(spark):
+    words = [f"w{k}" for k in range(60)]
+    one, near, other, third = " ".join(words), " ".join([*words, "x"]), " ".join(reversed(words)), " ".join(words[::2] + words[1::2])
+    rows = [(1, one), (2, near), (2, other), (3, third), (3, third), (4, ""), (4, ""), (4, other + " y z"), (None, one), (None, one), (5, "a b c d e f"), (5, "f e d c b a")]
+    df = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, df, SMALL).collect()), key=str)
+    assert got == sorted([(1, one), (2, other), (3, third), (4, ""), (None, one), (None, one), (5, "a b c d e f"), (5, "f e d c b a")], key=str)
+    same = spark.createDataFrame([(7, one, "en", None, None), (7, near, "en", None, None)], df.schema)
+    assert corpus_pipeline.near_copies(spark, same, SMALL).count() == 1
