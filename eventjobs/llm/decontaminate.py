@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import NULL_DOC, Words, bitmap, in_bitmap, mix, passes, powers, rolled, rows_by_bitmap, written
+from .shared import NULL_DOC, Words, bitmap, in_bitmap, mix, passes, powers, rolled, rows_by_bitmap, trimmed, written
 
 # Number words and units.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
@@ -73,11 +73,7 @@ class Template:
         after[1:] = raw[:-1] == 0xC3
         accented = after & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
         buf[accented] += 0x20
-        starts, ends = words.starts.copy(), words.ends.copy()
-        for _ in range(4):
-            starts += (starts < ends) & _PUNCT[buf[np.minimum(starts, buf.size - 1)]]
-        for _ in range(4):
-            ends -= (starts < ends) & _PUNCT[buf[ends - 1]]
+        starts, ends = trimmed(_PUNCT[buf], words.starts, words.ends)
         keep = starts < ends
         text = np.searchsorted(words.first, np.arange(starts.size), side="right") - 1
         # A sentence starts a text or line, or follows a stop.

@@ -91,6 +91,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def trimmed(outer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """starts and ends of words without the bytes of outer (a mask) around them; a word of such bytes only becomes empty, at its end."""
+    inner = np.append(np.flatnonzero(~outer), outer.size)
+    low = np.minimum(inner[np.searchsorted(inner, starts)], ends)
+    last = np.searchsorted(inner, ends) - 1
+    return low, np.where(low < ends, inner[last] + 1, ends)
+
+
 class Words:
     """The words [^\\x20\\x09-\\x0D]+ of some texts: starts, ends (bytes of buf), hashes, and the first word of each text."""
 

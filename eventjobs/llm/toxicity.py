@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, mix, passes, powers
+from .shared import Words, mix, passes, powers, trimmed
 
 SEGMENT = 64
 _PUNCT = np.zeros(256, dtype=bool)
@@ -66,11 +66,7 @@ class Tokens:
         capital = after & (buf >= 0x80) & (buf <= 0x9E) & (buf != 0x97)
         buf[capital] += 0x20
         words.buf = buf
-        starts, ends = words.starts.copy(), words.ends.copy()
-        for _ in range(4):
-            starts += (starts < ends) & _PUNCT[buf[np.minimum(starts, buf.size - 1)]]
-        for _ in range(4):
-            ends -= (starts < ends) & _PUNCT[buf[ends - 1]]
+        starts, ends = trimmed(_PUNCT[buf], words.starts, words.ends)
         sums = words.prefix()
         down = powers(buf.size)[1]
         hashed = lambda e: mix((sums[e] - sums[starts]) * down[starts])

@@ -55,6 +55,14 @@ def test_words_are_the_regular_expressions():
     assert same[0] == same[4] and same[1] == same[3] and len(set(same.tolist())) == 3
 
 
+def test_words_lose_all_marks_around_them():
+    texts = [b"word!!!!!!!", b"*******word*******", b"word", b"wo--rd ========== x"]
+    codes = decontaminate.Template(texts).codes
+    assert codes[0] == codes[1] == codes[2] and codes.size == 5
+    own = toxicity.Tokens(texts, toxicity.Params())
+    assert own.features[0, 0] == own.features[1, 0] == own.features[2, 0]
+
+
 def brute_components(texts, ids, n):
     sets = {}
     for i, t in zip(ids, texts, strict=True):
