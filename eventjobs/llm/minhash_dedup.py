@@ -2,19 +2,21 @@
 
 Every document becomes the set of its distinct word shingles and a signature of minwise values. A tree node splits
 its documents by one or two chosen signature positions, so two sets of similarity s go on together with probability
-s per position; nodes that are small enough are compared exhaustively on signatures, larger ones branch again, and
-independent trees are repeated until a pair at the threshold is missed with less than the target probability. Pairs
-whose signatures come near the threshold are confirmed on the full sets.
+s per position; nodes that are small enough are compared exhaustively on signatures, larger ones branch again, first
+into several independent subtrees, and independent trees are repeated until a pair at the threshold is missed with
+less than the target probability. Pairs whose signatures come near the threshold are confirmed on the full sets.
 
 Only connections matter for the result, so what is known to be connected is never compared again: equal sets are one
-row from the beginning; first rounds link a spanning forest of small random blocks of every node, which joins
-large groups of copies at linear cost; then trees only follow nodes that still hold two components or more, and
-where one component has nearly all of a node only the rest is compared with it.
+row from the beginning; a first round links a spanning forest of small random blocks of every node, which joins large
+groups of copies at linear cost; then trees only follow nodes that still hold two components or more, and where one
+component has nearly all of a node only the rest is compared with it. A level's entries are made anew from the
+signatures: bitmaps of the nodes that branched lead each set down its paths, so no level is joined with signatures.
 
 Defined cases. A null text or one without words: empty set, linked with nothing, kept. Fewer words than a shingle:
-the whole sequence is the one shingle. A null doc_id: links with nothing, component null, kept. Rows that repeat a
-doc_id: each row is judged on its own text. Ties: the smallest doc_id is kept. Other columns are not looked at.
-An empty table gives an empty result.
+the whole sequence is the one shingle. Very long texts are used whole; a worker holds one text's shingles at a time.
+A null doc_id: links with nothing, component null, kept. Rows that repeat a doc_id: each row is judged on its own
+text. A pair at the very threshold is a link; where links tie, any of them joins the same groups. The smallest doc_id
+of a group is kept. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, bitmap, in_bitmap, mix, passes, rolled, spread, written
+from .shared import Words, bitmap, forget, in_bitmap, mix, passes, rolled, spread, written
 
 
 @dataclass(frozen=True)
@@ -46,31 +48,41 @@ class Params:
     positions: int = 128
     slack: float = 0.1
     leaf: int = 64
-    depth: int = 8
-    forest_rounds: int = 2
-    forest_trees: int = 2
+    depth: int = 10
+    forest_trees: int = 3
     recall: float = 0.999
 
     @property
     def similarity(self) -> float:
         return self.whole / self.part
 
+    @property
+    def two(self) -> float:
+        """How often a node chooses a second position: a pair at the threshold then goes on in one child on average."""
+        return min(1.0, 1 / self.similarity - 1)
+
     @property
     def cut(self) -> int:
         """Equal positions from which a pair is checked: slack below the threshold, or less where that would take half of what recall allows."""
         below = np.cumsum(self._equal())  # below[k]: share of pairs at the threshold with up to k equal positions
         return min(math.ceil((self.similarity - self.slack) * self.positions), int(np.searchsorted(below, (1 - self.recall) / 2, side="right")))
 
-    def missed(self, trees: int) -> float:
-        """The share of pairs at the threshold that so many trees or the estimate miss, where nodes branch to the last level.
+    def missed(self, trees: int, subtrees: int, depth: int) -> float:
+        """The share of pairs at the threshold that the estimate misses, or so many trees with so many subtrees whose nodes branch to a depth.
 
         All trees choose from the same positions, so that the share of equal ones of a pair is what counts in each."""
-        share, two = np.arange(self.positions + 1) / self.positions, min(1.0, 1 / self.similarity - 1)
+        equal = np.arange(self.positions + 1)
+
+        def branched(on: np.ndarray) -> np.ndarray:
+            one = equal / self.positions * on
+            return (1 - self.two) * one + self.two * (1 - (1 - one) ** 2)
+
         stay = np.ones(self.positions + 1)
-        for _ in range(self.depth):
-            one = share * stay
-            stay = (1 - two) * one + two * (1 - (1 - one) ** 2)
-        return float(np.sum(self._equal() * np.where(np.arange(self.positions + 1) < self.cut, 1.0, (1 - stay) ** trees)))
+        for level in reversed(range(depth)):
+            stay = branched(stay)
+            if level == 1:
+                stay = 1 - (1 - stay) ** subtrees
+        return float(np.sum(self._equal() * np.where(equal < self.cut, 1.0, (1 - stay) ** trees)))
 
     def _equal(self) -> np.ndarray:
         """The chances of a pair at the threshold to have 0, 1, ... equal positions."""
@@ -82,8 +94,13 @@ class Params:
 
     @cached_property
     def trees(self) -> int:
-        """The fewest that meet recall for a pair at the threshold whose nodes branch to the last level."""
-        return next(n for n in count(1) if self.missed(n) <= 1 - self.recall)
+        """The fewest with three quarters of what recall allows where the first nodes are small, as nearly all are."""
+        return next(n for n in count(1) if self.missed(n, 1, 1) <= 0.75 * (1 - self.recall))
+
+    @cached_property
+    def subtrees(self) -> int:
+        """The fewest independent ones below a first node that meet recall where nodes branch to the last level."""
+        return next(n for n in count(1) if self.missed(self.trees, n, self.depth) <= 1 - self.recall)
 
 
 def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -150,26 +167,41 @@ def _children(keys: np.ndarray, values: np.ndarray, two: float) -> tuple[np.ndar
     return np.concatenate(out), np.concatenate(at)
 
 
-def _roots(batches: Iterator[pa.RecordBatch], p: Params, trees: list[int], sketch: bool) -> Iterator[pa.RecordBatch]:
-    two = 0.0 if sketch else 1 / p.similarity - 1
+def _entries(batches: Iterator[pa.RecordBatch], p: Params, trees: list[int], two: float, trail: list[np.ndarray], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Of each set (node, component, signature) its entries on the level below trail, the bitmaps of the nodes that branched.
+
+    bits: only entries of nodes that may be in it, with their sketches."""
     for batch in batches:
-        values = _numbers(batch.column(1), p.positions)
-        if not len(values):
-            continue
-        small = pa.array([x.tobytes() for x in values.astype(np.uint8)], pa.binary()) if sketch else None
-        for tree in trees:
+        values = _numbers(batch.column(2), p.positions)
+        for tree in trees if len(values) else []:
             keys, at = _children(np.full(len(values), mix(np.array([tree * 7919 + 13], dtype=np.uint64))[0]), values, two)
+            for depth, branched in enumerate(trail):
+                on = in_bitmap(branched, keys.view(np.int64))
+                keys, at = keys[on], at[on]
+                if not depth:
+                    keys = np.concatenate([mix(keys + np.uint64(k)) for k in range(p.subtrees)])
+                    at = np.tile(at, p.subtrees)
+                keys, further = _children(keys, values[at], two)
+                at = at[further]
+            if bits is not None:
+                on = in_bitmap(bits, keys.view(np.int64))
+                keys, at = keys[on], at[on]
             take = pa.array(at)
-            columns = [pa.array(keys.view(np.int64)), batch.column(0).take(take)]
-            yield pa.RecordBatch.from_arrays(columns + ([small.take(take)] if sketch else []), names=["key", "node"] + (["sketch"] if sketch else []))
+            columns = [pa.array(keys.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)]
+            if bits is not None:
+                sketches = np.ascontiguousarray(values[at].astype(np.uint8))
+                columns.append(pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * p.positions), pa.py_buffer(sketches)]))
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "component", "sketch"][: len(columns)])
 
 
-def _grown(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = _numbers(batch.column(2), p.positions)
-        if len(values):
-            keys, at = _children(batch.column(0).to_numpy().view(np.uint64), values, 1 / p.similarity - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(1).take(pa.array(at))], names=["key", "node"])
+def entries(named: DataFrame, p: Params, trees: list[int], two: float, trail: list[np.ndarray]) -> DataFrame:
+    """key, node, component, sketch of the sets (node, component, signature) in the nodes of a level that hold two components or more.
+
+    The keys of such nodes are found on keys alone; a bitmap of them keeps the sketches of other nodes' sets from the shuffle."""
+    plain = named.mapInArrow(partial(_entries, p=p, trees=trees, two=two, trail=trail, bits=None), "key long, node long, component long")
+    mixed = plain.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    bits = bitmap(mixed, "key")
+    return named.mapInArrow(partial(_entries, p=p, trees=trees, two=two, trail=trail, bits=bits), "key long, node long, component long, sketch binary")
 
 
 def _near(sketches: np.ndarray, components: np.ndarray, sides: np.ndarray, p: Params) -> Iterator[tuple[int, int, int]]:
@@ -295,6 +327,7 @@ def components(links: DataFrame) -> DataFrame:
         near = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
         new = written(near.join(jump, "component", "left").select("node", "old", F.least("component", F.coalesce("further", "component")).alias("component")))
+        forget(labels)
         labels = new.select("node", "component")
         if new.where("old <> component").isEmpty():
             return labels
@@ -312,7 +345,7 @@ def _cells(entries: DataFrame) -> DataFrame:
 
 
 def _blocks(entries: DataFrame, p: Params) -> DataFrame:
-    """Entries (key, node, component, sketch, n, main, few) as cells of at most about 2 * leaf members that hold every pair of two components.
+    """Entries (key, node, component, sketch, n, main, few) dealt to cells of at most about 2 * leaf members that hold every pair of two components.
 
     A node of up to leaf sets is one cell. Of a larger one the sets outside the main component go, in blocks, with
     every block of the main component and with one another; pairs inside the main component are connected already."""
@@ -327,64 +360,42 @@ def _blocks(entries: DataFrame, p: Params) -> DataFrame:
     inside = F.transform(F.sequence(nought, few - 1), lambda j: to(1, j, mine, F.lit(0)))
     places = F.when(small, F.array(to(0, nought, nought, nought))).when(outside, F.concat(across, among)).otherwise(inside)
     dealt = entries.withColumn("place", F.explode(places))
-    return _cells(dealt.select(F.xxhash64("key", "place.kind", "place.low", "place.high").alias("cell"), "node", "component", F.col("place.side").alias("side"), "sketch"))
-
-
-def _named(df: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """df (node, ...) with the component that is known so far, else the node itself."""
-    if labels is None:
-        return df.withColumn("component", F.col("node"))
-    return df.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-
-def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """labels (node, component) after further links (a, b) of nodes."""
-    if labels is None:
-        return components(links)
-    end = lambda c: _named(links.select(F.col(c).alias("node"), F.col("b" if c == "a" else "a").alias("other")), labels)
-    ends = end("a").select(F.col("component").alias("a"), F.col("other").alias("node"))
-    between = _named(ends, labels).select("a", F.col("component").alias("b")).where("a <> b")
-    joined = components(between)
-    merged = joined.select(F.col("node").alias("component"), F.col("component").alias("merged"))
-    first = labels.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
-    return written(first.union(joined.join(labels, "node", "left_anti")))
+    return dealt.select(F.xxhash64("key", "place.kind", "place.low", "place.high").alias("cell"), "node", "component", F.col("place.side").alias("side"), "sketch")
 
 
 def similar_sets(sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     """node, component for the distinct sets (node, rep, signature) that link with another one."""
-    # 1. Two rounds over random blocks of every node join most copies, whatever their number, at linear cost.
-    labels = None
-    for turn in range(p.forest_rounds):
-        trees = list(range(1000 + turn * p.forest_trees, 1000 + (turn + 1) * p.forest_trees))
-        entries = sets.select("node", "signature").mapInArrow(partial(_roots, p=p, trees=trees, sketch=True), "key long, node long, sketch binary")
-        entries = _named(entries, labels)
-        met = entries.join(open_nodes(entries).select("key", "n"), "key")
-        block = spread("node", F.ceil(F.col("n") / p.leaf).cast("long"), turn)
-        cells = _cells(met.select(F.xxhash64("key", block).alias("cell"), "node", "component", F.lit(0).cast("long").alias("side"), "sketch"))
-        labels = _merged(labels, confirmed(cells, sets, documents, p))
-
-    # 2. Trees, from here only along nodes that hold two components or more; a node is compared as soon as it is small
-    # or all but a few of its sets are of one component.
-    level = sets.select("node", "signature").mapInArrow(partial(_roots, p=p, trees=list(range(p.trees)), sketch=False), "key long, node long")
-    leaves, depth = None, 1
+    # 1. Random blocks of every node join most copies, whatever their number, at linear cost.
+    named = sets.select("node", F.col("node").alias("component"), "signature")
+    met = written(entries(named, p, list(range(1000, 1000 + p.forest_trees)), 0.0, []))
+    block = spread("node", F.ceil(F.col("n") / p.leaf).cast("long"))
+    met = met.join(open_nodes(met).select("key", "n"), "key")
+    cells = _cells(met.select(F.xxhash64("key", block).alias("cell"), "node", "component", F.lit(0).cast("long").alias("side"), "sketch"))
+    labels = components(confirmed(cells, sets, documents, p))
+
+    # 2. Trees, only along nodes that hold two components or more; a node is compared as soon as it is small or all but
+    # a few of its sets are of one component.
+    named = written(sets.select("node", "signature").join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "signature"))
+    cells, trail = None, []
     while True:
-        level = _named(level, labels)
-        level = written(level.join(open_nodes(level), "key"))
-        ready = (F.col("n") <= p.leaf) | (F.col("few") <= 2 * p.leaf) if depth < p.depth else F.lit(True)
-        leaves = level.where(ready) if leaves is None else leaves.union(level.where(ready))
-        large = level.where(~ready)
-        if depth >= p.depth or large.isEmpty():
+        level = written(entries(named, p, list(range(p.trees)), p.two, trail))
+        nodes = written(open_nodes(level))
+        ready = (F.col("n") <= p.leaf) | (F.col("few") <= 2 * p.leaf) if len(trail) + 1 < p.depth else F.lit(True)
+        mine = _blocks(level.join(nodes.where(ready), "key"), p)
+        cells = mine if cells is None else cells.union(mine)
+        large = bitmap(nodes.where(~ready), "key")
+        if not large.any():
             break
-        depth += 1
-        level = large.select("key", "node").join(sets.select("node", "signature"), "node").select("key", "node", "signature").mapInArrow(partial(_grown, p=p), "key long, node long")
-    sketches = sets.select("node", "signature").mapInArrow(partial(_sketches, p=p), "node long, sketch binary")
-    return _merged(labels, confirmed(_blocks(leaves.join(sketches, "node"), p), sets, documents, p))
-
-
-def _sketches(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = _numbers(batch.column(1), p.positions)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in values.astype(np.uint8)], pa.binary())], names=["node", "sketch"])
+        trail.append(large)
+    further = confirmed(_cells(cells), sets, documents, p)
+
+    # 3. The components that the trees' links join.
+    end = lambda c: F.col(c).alias("node")
+    known = named.select("node", "component")
+    ends = further.join(known.select(end("node").alias("a"), F.col("component").alias("from")), "a").join(known.select(end("node").alias("b"), F.col("component").alias("to")), "b")
+    joined = components(ends.select(F.col("from").alias("a"), F.col("to").alias("b")).where("a <> b"))
+    merged = joined.select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    return known.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
 
 
 def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:

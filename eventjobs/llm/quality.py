@@ -7,14 +7,15 @@ is what the workers look up: a table of fixed size, whatever the corpus.
 
 Defined cases. A null or empty text has no features: its score is that of the output's bias, the class share of the
 training sample. Long texts are used whole. Labels that are null or not 0 or 1 take no part; of repeated labels of a
-document the larger counts; without any labelled row every score is 0.5. Rows that repeat a doc_id are scored each.
+document the larger counts; without any labelled row every score is 0.5, and with labels of one kind only the share
+of label 1. Equal texts have equal scores; rows that repeat a doc_id are scored each. Other columns pass through,
+whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -87,7 +88,7 @@ def train(sample: pd.DataFrame, p: Params) -> tuple[np.ndarray, float]:
         found, at = features(texts[a:b], p)
         for k in range(b - a):
             ids, n = np.unique(found[at[k] : at[k + 1]], return_counts=True)
-            rows.append((ids, (n / max(1, n.sum())).astype(np.float32)))
+            rows.append((ids.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
     rng = np.random.default_rng(p.seed)
     vectors = rng.normal(0, 0.1, (p.buckets, p.dims)).astype(np.float32)
     output, bias = np.zeros((2, p.dims), dtype=np.float32), np.zeros(2, dtype=np.float32)
@@ -113,23 +114,23 @@ def train(sample: pd.DataFrame, p: Params) -> tuple[np.ndarray, float]:
     return vectors @ (output[1] - output[0]), float(bias[1] - bias[0])
 
 
-def _scored(batches: Iterator[pa.RecordBatch], table: np.ndarray, bias: float, p: Params) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [t or b"" for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
-        scores = np.zeros(len(texts))
-        for a, b in passes(texts):
-            found, at = features(texts[a:b], p)
-            sums = np.concatenate([[0.0], np.cumsum(table[found], dtype=np.float64)])
-            mean = (sums[at[1:]] - sums[at[:-1]]) / np.maximum(1, np.diff(at))
-            scores[a:b] = 1 / (1 + np.exp(-np.clip(mean + bias, -30, 30)))
-        left = [batch.column(k) for k in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays([*left, batch.column(batch.num_columns - 1), pa.array(scores)], names=[*(f"c{k}" for k in range(len(left))), "text", "score"])
+def scores(texts: list[bytes], table: np.ndarray, bias: float, p: Params) -> np.ndarray:
+    """Of each text the probability of label 1."""
+    out = np.zeros(len(texts))
+    for a, b in passes(texts):
+        found, at = features(texts[a:b], p)
+        sums = np.concatenate([[0.0], np.cumsum(table[found], dtype=np.float64)])
+        mean = (sums[at[1:]] - sums[at[:-1]]) / np.maximum(1, np.diff(at))
+        out[a:b] = 1 / (1 + np.exp(-np.clip(mean + bias, -30, 30)))
+    return out
 
 
 def score_quality(documents: DataFrame, model: tuple[np.ndarray, float], p: Params = Params()) -> DataFrame:
-    """documents with score, the probability of label 1. A column of that name gives way."""
-    others = [c for c in documents.columns if c not in ("text", "score")]
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
-    schema = ", ".join([*(f"c{k} {kinds[c]}" for k, c in enumerate(others)), "text string, score double"])
-    done = documents.select(*others, F.col("text").cast("string")).mapInArrow(partial(_scored, table=model[0], bias=model[1], p=p), schema)
-    return done.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(others)], "text", "score")
+    """documents with score, the probability of label 1. A column of that name gives way. Only texts go to Python, and only scores come back."""
+
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(scores([t or b"" for t in texts.cast(pa.binary()).to_pylist()], *model, p))
+
+    others = [c for c in documents.columns if c != "score"]
+    return documents.select(*others, F.arrow_udf(scored, "double")(F.col("text").cast("string")).alias("score"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,7 +18,7 @@ BITMAP_BITS = 1 << 24
 #: The coordinate of a null doc_id: before all others.
 NULL_DOC = -(1 << 63)
 #: Bytes of text that one numpy pass works on.
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 18
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -27,9 +28,11 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path below the folder the cluster names in spark.checkpoint.dir; only where that is unset, as in tests, one of our own."""
+    """A new path below the folder the cluster names in spark.checkpoint.dir; only on a local master, as in tests, one of our own where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share: intermediate tables are written there.")
         base = tempfile.mkdtemp(prefix="eventjobs-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -42,6 +45,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables from written() (or columns of one) that nothing will read again."""
+    for df in tables:
+        if files := df.inputFiles():
+            context = df.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     """Bits set at column (a long) modulo bits. At most bits/64 words reach the driver, however many rows there are."""
     at = F.pmod(F.col(column), F.lit(bits))
