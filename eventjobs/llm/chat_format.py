@@ -1,22 +1,29 @@
 """Chat formatting by schema fingerprints, with DataFrame functions only.
 
-A record is a JSON text of unknown layout. The nested field paths of its variant give a fingerprint; a fingerprint
-that holds the paths of a declared mapping is converted by it into canonical turns (role, text). A template then marks
-the turns, escapes control strings inside texts reversibly and keeps the spans that count for the loss.
-
-Defined cases. A null text is empty, a null role is empty. A record that cannot be read, or whose layout no mapping
-declares, keeps its row with layout 'unknown', no turns and an empty formatted text. Turns of a table are ordered by
-turn (null first), then role and text; repeated rows are repeated turns. A null conversation id is one conversation.
-An empty table gives no rows; further columns are not looked at.
+A record is a JSON text of unknown layout, or a struct column of Spark. The hash of the nested field paths that it has,
+of those that some mapping names, is its fingerprint. Each declared mapping has one fingerprint for every choice of
+its optional paths; a record's fingerprint is looked up in the map of them, and the mapping found converts the record
+into canonical turns (role, text). A template then marks the turns, escapes control strings inside texts reversibly
+and keeps the spans that count for the loss.
+
+Defined cases. A null text is empty, a null role is empty. A record that cannot be read, or whose fingerprint no
+mapping declares (it lacks a path, or has those of two layouts), keeps its row with layout 'unknown', no turns and an
+empty formatted text; paths that no mapping names do not matter. A JSON text may be as long as Spark's variant allows
+(128 MB in all, 20 million characters in a string), else it cannot be read; turns of a table never pass through JSON
+and have no such limit. Turns of a table are ordered by turn (null first), then role and text; repeated rows are
+repeated turns. A null conversation id is one conversation. An empty table gives no rows; further columns pass
+through format_chats, and those named like a new one give way; columns of a turn table beside the four are not looked at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from itertools import chain, combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 
 @dataclass(frozen=True)
@@ -34,8 +41,12 @@ class Mapping:
     text: str = ""
     renamed: tuple[tuple[str, str], ...] = ()
 
+    def variants(self) -> Iterable[tuple[str, ...]]:
+        """The paths that a record of this layout may have, of those that it names."""
+        optional = [path for _, path in self.fields if path not in self.needs]
+        return ((*self.needs, *more) for more in chain.from_iterable(combinations(optional, n) for n in range(len(optional) + 1)))
+
 
-#: The first mapping whose paths a record has is taken.
 MAPPINGS = (
     Mapping("messages", ("messages[].role", "messages[].content"), turns="messages", role="role", text="content"),
     Mapping("conversations", ("conversations[].from", "conversations[].value"), turns="conversations", role="from", text="value", renamed=(("human", "user"), ("gpt", "assistant"))),
@@ -61,8 +72,20 @@ def paths_of(schema: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"(?<=[\[{])[A-Z_]+(?:\([0-9, ]+\))?>", ">"), r": ", "")
 
 
-def fingerprint(skeleton: Column) -> Column:
-    return F.xxhash64(skeleton)
+def declared_paths(mappings: tuple[Mapping, ...]) -> list[str]:
+    """All paths that a mapping names, sorted."""
+    return sorted({path for m in mappings for variant in m.variants() for path in variant})
+
+
+def fingerprint(paths: Column) -> Column:
+    """The hash of a sorted array of field paths."""
+    return F.xxhash64(F.array_join(paths, "\n"))
+
+
+def layouts(mappings: tuple[Mapping, ...]) -> Column:
+    """The map from each declared fingerprint to its mapping's name; of two mappings with one fingerprint the first counts."""
+    named = {tuple(sorted(variant)): m.name for m in reversed(mappings) for variant in m.variants()}
+    return F.create_map(*[x for paths, name in named.items() for x in (fingerprint(F.array(*map(F.lit, paths))), F.lit(name))])
 
 
 def _has(skeleton: Column, path: str) -> Column:
@@ -73,6 +96,15 @@ def _has(skeleton: Column, path: str) -> Column:
     return skeleton.rlike(rf"^\{{(?:.*, )?{outer}[,>\[\{{]")
 
 
+def paths_of_type(kind: DataType, at: str = "") -> list[str]:
+    """The nested field paths of a struct type, as a or b[].c."""
+    if isinstance(kind, ArrayType):
+        return paths_of_type(kind.elementType, f"{at}[]")
+    if isinstance(kind, StructType):
+        return [p for f in kind for p in paths_of_type(f.dataType, f"{at}.{f.name}" if at else f.name)]
+    return [at]
+
+
 def escape(text: Column, table: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
     for plain, safe in table:
         text = F.replace(text, F.lit(plain), F.lit(safe))
@@ -97,28 +129,39 @@ def _turn(m: Mapping) -> Callable[[Column], Column]:
     return one
 
 
-def canonical(records: DataFrame, column: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """records with fingerprint, layout and turns (array of role, text) for the JSON text in column."""
-    names = {c: f"__{c}" for c in ("fingerprint", "layout", "turns") if c in records.columns}
-    df = records.withColumnsRenamed(names).withColumn("__v", F.try_parse_json(F.col(column)))
-    df = df.withColumn("__skeleton", F.coalesce(paths_of(F.schema_of_variant("__v")), F.lit("")))
-    layout = F.lit("unknown")
-    turns = F.array().cast("array<struct<role:string,text:string>>")
-    text = lambda path: F.try_variant_get("__v", f"$.{path}", "string")
-    for m in reversed(mappings):
-        fits = F.lit(True)
-        for path in m.needs:
-            fits = fits & _has(F.col("__skeleton"), path)
+TURNS = "array<struct<role:string,text:string>>"
+
+
+def _converted(df: DataFrame, paths: Column, text: Callable[[str], Column], listed: Callable[[Mapping], Column], mappings: tuple[Mapping, ...]) -> DataFrame:
+    """df with fingerprint (of the array paths), layout (looked up by it) and turns (by the mapping of that layout)."""
+    df = df.drop("fingerprint", "layout", "turns").withColumn("fingerprint", fingerprint(paths))
+    df = df.withColumn("layout", F.coalesce(F.element_at(layouts(mappings), F.col("fingerprint")), F.lit("unknown")))
+    turns = F.array().cast(TURNS)
+    for m in mappings:
         if m.turns:
-            listed = F.try_variant_get("__v", f"$.{m.turns}", f"array<struct<{m.role}:string,{m.text}:string>>")
-            made = F.coalesce(F.transform(listed, _turn(m)), turns)
+            made = F.coalesce(F.transform(listed(m), _turn(m)), F.array().cast(TURNS))
         else:
-            needed = set(m.needs)
-            parts = [F.when(F.lit(path in needed) | text(path).isNotNull(), F.struct(F.lit(role).alias("role"), F.coalesce(text(path), F.lit("")).alias("text"))) for role, path in m.fields]
+            parts = [F.when(F.lit(path in m.needs) | text(path).isNotNull(), F.struct(F.lit(role).alias("role"), F.coalesce(text(path), F.lit("")).alias("text"))) for role, path in m.fields]
             made = F.filter(F.array(*parts), lambda x: x.isNotNull())
-        layout = F.when(fits, m.name).otherwise(layout)
-        turns = F.when(fits, made).otherwise(turns)
-    return df.withColumns({"fingerprint": fingerprint(F.col("__skeleton")), "layout": layout, "turns": turns}).drop("__v", "__skeleton")
+        turns = F.when(F.col("layout") == m.name, made).otherwise(turns)
+    return df.withColumn("turns", turns)
+
+
+def canonical(records: DataFrame, column: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+    """records with fingerprint, layout and turns (array of role, text) for the JSON text or the struct in column."""
+    kind, declared = records.schema[column].dataType, declared_paths(mappings)
+    df = records.withColumn("__v", F.col(column) if isinstance(kind, StructType) else F.try_parse_json(F.col(column)))
+    if isinstance(kind, StructType):
+        held = [p for p in declared if p in paths_of_type(kind)]
+        paths = F.array(*map(F.lit, held)) if held else F.array().cast("array<string>")
+        absent = lambda kind: F.lit(None).cast(kind)
+        text = lambda path: F.col(f"__v.{path}").cast("string") if path in held else absent("string")
+        listed = lambda m: F.col(f"__v.{m.turns}") if set(m.needs) <= set(held) else absent(f"array<struct<{m.role}:string,{m.text}:string>>")
+        return _converted(df, paths, text, listed, mappings).drop("__v")
+    df = df.withColumn("__skeleton", F.coalesce(paths_of(F.schema_of_variant("__v")), F.lit("")))
+    paths = F.filter(F.array(*[F.when(_has(F.col("__skeleton"), p), p) for p in declared]), lambda x: x.isNotNull())
+    listed = lambda m: F.try_variant_get("__v", f"$.{m.turns}", f"array<struct<{m.role}:string,{m.text}:string>>")
+    return _converted(df, paths, lambda path: F.try_variant_get("__v", f"$.{path}", "string"), listed, mappings).drop("__v", "__skeleton")
 
 
 def render(turns: Column) -> Column:
@@ -153,7 +196,7 @@ def format_chats(records: DataFrame, column: str = "record", mappings: tuple[Map
 
 
 def records_of_turns(turns: DataFrame) -> DataFrame:
-    """A table of rows by turn (conv_id, turn, role, text) as conv_id and record, the JSON text of its messages."""
+    """A table of rows by turn (conv_id, turn, role, text) as conv_id and record, a struct of its messages."""
     row = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
     order = ("turn", "role", "content")
 
@@ -164,6 +207,5 @@ def records_of_turns(turns: DataFrame) -> DataFrame:
             out = F.when(x.isNull() & y.isNotNull(), -1).when(x.isNotNull() & y.isNull(), 1).when(x < y, -1).when(x > y, 1).otherwise(out)
         return out
 
-    messages = F.array_sort(F.collect_list(row), compare)
-    listed = turns.groupBy("conv_id").agg(messages.alias("m"))
-    return listed.select("conv_id", F.to_json(F.struct(F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))).alias("record"))
+    listed = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row), compare).alias("m"))
+    return listed.select("conv_id", F.struct(F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages")).alias("record"))

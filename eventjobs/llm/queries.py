@@ -44,7 +44,8 @@ ADDED = "</s>[INST] ok [/INST]"
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.to_json(F.struct(F.lit(ADDED).alias("prompt"), F.lit(ADDED).alias("response"))).alias("record"))
-    done = format_chats(records_of_turns(rows).unionByName(added))
+    columns = ["conv_id", "formatted", "loss_spans"]
+    done = format_chats(records_of_turns(rows)).select(*columns).union(format_chats(added).select(*columns))
     turns = read_back(F.col("formatted"))
     lost = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"].cast("int") + 1, s["length"].cast("int"))))
     done = done.select("conv_id", "formatted", turns.alias("back"), F.array_join(lost, "").alias("lost"))

@@ -282,15 +282,35 @@ def test_chat_formats(spark):
     assert [r.layout for r in out] == ["messages", "prompt", "instruction", "unknown", "unknown", "conversations", "question"]
     assert all([(t.role, t.text) for t in r.back] == [(t.role, t.text) for t in r.turns] for r in out)
     assert [(t.role, t.text) for t in out[5].turns] == [("user", "[INST]"), ("g|>pt", "é\n")]
-    assert len({r.fingerprint for r in out}) == 6
+    assert len({r.fingerprint for r in out}) == 6 and out[3].fingerprint == out[4].fingerprint
     for r in out:
         assert [r.formatted[s.start : s.start + s.length] for s in r.loss_spans] == [t.text for t in r.turns if t.role == "assistant"]
 
 
+def test_fingerprints_select_the_mapping(spark):
+    """The same paths under another name in the map give another layout; paths that no mapping names change nothing."""
+    rows = ['{"prompt":"p","response":"r"}', '{"response":"r","x":{"y":1},"prompt":"p"}', '{"prompt":"p","response":"r","question":"q"}', '{"prompt":"p"}']
+    df = spark.createDataFrame([(r,) for r in rows], "record string")
+    out = chat.canonical(df).collect()
+    assert [r.layout for r in out] == ["prompt", "prompt", "unknown", "unknown"] and out[0].fingerprint == out[1].fingerprint
+    other = (chat.Mapping("turned", ("prompt", "response"), fields=(("assistant", "prompt"), ("user", "response"))),)
+    assert [[(t.role, t.text) for t in r.turns] for r in chat.canonical(df, mappings=other).collect()][0] == [("assistant", "p"), ("user", "r")]
+    native = chat.canonical(df.select(F.struct(F.lit("p").alias("prompt"), F.lit(None).cast("string").alias("response")).alias("record"))).first()
+    assert native.fingerprint == out[0].fingerprint and [(t.role, t.text) for t in native.turns] == [("user", "p"), ("assistant", "")]
+
+
 def test_turn_order(spark):
     turns = spark.createDataFrame([(1, 2, "assistant", "b"), (1, 1, "user", "a"), (1, None, "system", None), (1, 1, "user", "a"), (None, 1, None, "z")], "conv_id long, turn long, role string, text string")
     got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat.format_chats(chat.records_of_turns(turns)).collect()}
     assert got == {1: [("system", ""), ("user", "a"), ("user", "a"), ("assistant", "b")], None: [("", "z")]}
+    assert chat.format_chats(chat.records_of_turns(turns.limit(0))).count() == 0
+
+
+def test_turns_of_any_length(spark):
+    """A text longer than a JSON reader takes."""
+    turns = spark.range(1).select(F.lit(1).alias("conv_id"), F.lit(1).alias("turn"), F.lit("assistant").alias("role"), F.repeat(F.lit("<ab"), 7_000_001).alias("text"))
+    out = chat.format_chats(chat.records_of_turns(turns)).select("layout", F.length(chat.read_back(F.col("formatted"))[0]["text"]).alias("n"), F.size("loss_spans").alias("spans")).first()
+    assert (out.layout, out.n, out.spans) == ("messages", 21_000_003, 1)
 
 
 def brute_repeats(rows, n):
