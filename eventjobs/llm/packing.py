@@ -4,11 +4,11 @@ Both cut a document's ids into pieces, each id in exactly one piece, and fill se
 Every worker packs its own partition with memory bounded by a constant, so nothing is shuffled, and a task that is run
 again gives the same sequences. A sequence's number holds its partition's number in the upper bits.
 
-Harmonic: whole sequences are cut off first. The rest is cut into pieces of capacity // k for decreasing pieces, k
-from 2 to `classes`, as long as it holds one; what remains is smaller than capacity / classes and keeps its length.
-Class k takes k pieces for a bin, so a bin of cut pieces is full but for less than k ids, and a bin of remains for
-less than a part in `classes`. Bins that are not full at the end of a partition are laid end to end and cut into full
-sequences and at last into powers of two, which need no padding.
+Harmonic: whole sequences are cut off first. A rest of n ids is of class k = capacity // n, and k rests of class k
+are a bin; rests of the last class and shorter ones fill bins one after another. What such a bin has left waits for
+filling: the next documents longer than the capacity, or any document when `waiting` bins wait, give their first ids
+to it, so all other rests stay whole and bins are full. Bins that are open at the end of a partition are laid end to
+end and cut into full sequences and at last into powers of two, which need no padding.
 
 Best fit decreasing: pieces of at most the capacity are gathered up to a fixed number of ids, sorted by length, and
 each goes to the fullest bin that still holds it, found in a segment tree over the free capacities.
@@ -43,7 +43,9 @@ ROW_DDL = "sequence_id long, n_tokens long, n_segments long, input_ids binary, c
 
 @dataclass(frozen=True)
 class Params:
-    """tokenizer: path of a tokenizers file. end: the id that ends a document. classes: the most pieces of a cut class.
+    """tokenizer: path of a tokenizers file. end: the id that ends a document. classes: the number of the last class.
+
+    waiting: bins that wait for filling at most.
 
     gathered: ids that best fit decreasing sorts together. pad: the id after a sequence's last."""
 
@@ -51,6 +53,7 @@ class Params:
     end: int = 1
     capacity: int = 2048
     classes: int = 32
+    waiting: int = 64
     gathered: int = 1 << 21
     pad: int = 0
 
@@ -74,16 +77,6 @@ def documents_of(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple
                 yield doc_id, np.concatenate([ids, end])
 
 
-def harmonic_lengths(n: int, capacity: int, classes: int) -> list[int]:
-    """The pieces of a rest of n < capacity ids, in order: exact classes from the largest, then what remains."""
-    out = []
-    while n * classes >= capacity:
-        piece = capacity // -(-capacity // n)
-        out.append(piece)
-        n -= piece
-    return out + [n] * bool(n)
-
-
 class _Out:
     """Rows of pieces, let go in batches."""
 
@@ -103,7 +96,7 @@ class _Out:
 
 def _harmonic(batches: Iterator[pa.RecordBatch], p: Params, with_ids: bool) -> Iterator[pa.RecordBatch]:
     number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << LOCAL_BITS
-    out, bins = _Out(with_ids), {}
+    out, bins, waiting = _Out(with_ids), {}, []  # class -> its open bin; full bins with room, and how much
 
     def close(pieces: list[Piece]) -> None:
         nonlocal number
@@ -113,21 +106,34 @@ def _harmonic(batches: Iterator[pa.RecordBatch], p: Params, with_ids: bool) -> I
             offset += piece.ids.size
         number += 1
 
+    def settle(pieces: list[Piece]) -> None:
+        room = p.capacity - sum(x.ids.size for x in pieces)
+        waiting.append((pieces, room)) if room else close(pieces)
+
     for doc_id, ids in documents_of(batches, p):
         at = 0
+        if ids.size > p.capacity or len(waiting) >= p.waiting:
+            while waiting and at < ids.size:
+                pieces, room = waiting.pop()
+                pieces.append(Piece(doc_id, at, ids[at : at + room], ids.size))
+                at += pieces[-1].ids.size
+                settle(pieces)
         while ids.size - at >= p.capacity:
             close([Piece(doc_id, at, ids[at : at + p.capacity], ids.size)])
             at += p.capacity
-        for length in harmonic_lengths(ids.size - at, p.capacity, p.classes):
-            k = p.capacity // length
+        if at < ids.size:
+            rest = Piece(doc_id, at, ids[at:], ids.size)
+            k = min(p.classes, p.capacity // rest.ids.size)
             held = bins.setdefault(k, [])
-            held.append(Piece(doc_id, at, ids[at : at + length], ids.size))
-            at += length
-            if len(held) == k:
-                close(bins.pop(k))
+            if k == p.classes and sum(x.ids.size for x in held) + rest.ids.size > p.capacity:
+                settle(bins.pop(k))
+                held = bins.setdefault(k, [])
+            held.append(rest)
+            if k < p.classes and len(held) == k:
+                settle(bins.pop(k))
         if len(out.rows) >= 10_000:
             yield out.taken()
-    rest = [piece for k in sorted(bins) for piece in bins[k]]
+    rest = [piece for pieces, _ in waiting for piece in pieces] + [piece for k in sorted(bins) for piece in bins[k]]
     left = sum(piece.ids.size for piece in rest)
     sizes = [p.capacity] * (left // p.capacity) + [1 << b for b in reversed(range(p.capacity.bit_length())) if (left % p.capacity) >> b & 1]
     rest.reverse()
