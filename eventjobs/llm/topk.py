@@ -2,16 +2,17 @@
 
 Vectors are dealt into shards. A shard's index keeps, for every dimension, its vectors in posting segments by
 quantised value. A query sees a segment's quantised impact: how much it adds for sure over the dimension's least
-contribution. Segments are processed by descending impact into accumulators of lower bounds. The processing stops
-only on proof: when the k-th best lower bound shows that all but a few vectors cannot reach the result. Those
-possible members (ties included) are rescored exactly, and the shards' best are ranked together.
+contribution. Each query processes its segments by its own descending impact into accumulators of lower bounds, looks
+at them after growing parts, and stops only on proof: when the k-th best lower bound shows that all but a few vectors
+cannot reach the result. Those possible members (ties included) are rescored exactly, and the shards' best are ranked
+together.
 
 Queries and vectors meet in cells (shard, block of queries), so no task holds more than one shard and one block.
 
 Defined cases. A vector that is null, or holds a null or a component that is not finite, takes no part, neither as a
 query nor as a candidate. Vectors of different lengths: missing components count as 0. Ties go to the smaller vec_id;
 rows that repeat a vec_id are candidates of their own, except for a query of the same id. Rows with a null id take no
-part. With fewer than k candidates all are returned. An empty table gives no rows.
+part. Further columns are not looked at; vectors of any length are used whole. With fewer than k candidates all are returned. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,12 +28,10 @@ from .shared import spread, written
 
 #: Vectors of a shard and queries of a block, on average.
 SHARD, BLOCK = 16384, 1024
-#: Queries that go through a shard's segments together.
-BATCH = 32
 #: Segments of a dimension at most.
 SEGMENTS = 32
 #: Parts of the segments after which the bounds are looked at.
-LOOKS = (0.75,)
+LOOKS = (0.3, 0.5, 0.65, 0.75, 0.85, 0.93)
 OUT = "query_id long, vec_id long, score long"
 
 
@@ -54,51 +53,46 @@ class ShardIndex:
         self.width = max(1, -(-(high - low + 1) // segments))
         self.most = max(abs(low), abs(high)) + self.width
         levels = (vectors - low) // self.width
-        self.ids, level, dim = [], [], []
+        ids, level, dim = [], [], []
         for d in range(vectors.shape[1]):
             order = np.argsort(levels[:, d], kind="stable")
             held, starts = np.unique(levels[order, d], return_index=True)
             for x, a, b in zip(held, starts, [*starts[1:], order.size], strict=True):
-                self.ids.append(order[a:b])
+                ids.append(order[a:b].astype(np.int32))
                 level.append(x)
                 dim.append(d)
+        self.ids, self.sizes = ids, np.array([x.size for x in ids], dtype=np.int64)
         self.low, self.dim = np.array(level, dtype=np.int64) * self.width + low, np.array(dim, dtype=np.int64)
 
-    def possible(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
-        """For each query a set of rows that holds every member of its best k, ties included; mostly a small one.
-
-        The queries of a batch go through the segments together, by the largest impact that one of them sees."""
+    def possible(self, q: np.ndarray, k: int) -> tuple[np.ndarray, int]:
+        """Rows that hold every member of query q's best k, ties included, mostly few; and the postings that were read."""
         n, dims = self.vectors.shape
         if n <= k:
-            return [np.arange(n)] * len(queries)
-        q = queries.T[self.dim]
-        least = np.where(q >= 0, q * self.low[:, None], q * (self.low[:, None] + self.width - 1))
-        base = np.full((dims, len(queries)), np.iinfo(np.int64).max)
+            return np.arange(n), 0
+        at = q[self.dim]
+        least = np.where(at >= 0, at * self.low, at * (self.low + self.width - 1))
+        base = np.full(dims, np.iinfo(np.int64).max)
         np.minimum.at(base, self.dim, least)
         impact = least - base[self.dim]  # what a posting adds for sure, over the least that its dimension adds
-        unsure = np.abs(queries).sum(axis=1) * (self.width - 1)
-        largest = impact.max(axis=1, initial=0)
-        order = np.argsort(-largest, kind="stable")
-        order = order[: np.count_nonzero(largest)]  # segments of no impact add nothing
-        fits = dims * self.most * int(np.abs(queries).max(initial=0)) * 2 < 1 << 31
-        added = impact.astype(np.int32 if fits else np.int64)
-        sure = np.zeros((n, len(queries)), dtype=added.dtype)
-        looks = {int(x * order.size) for x in LOOKS}
-
-        def within(rest: np.ndarray) -> list[np.ndarray]:
-            bars = np.partition(sure, n - k, axis=0)[n - k]
-            return [np.flatnonzero(sure[:, j] >= bars[j] - unsure[j] - rest[j]) for j in range(len(queries))]
-
-        for step, s in enumerate(order.tolist()):
-            sure[self.ids[s]] += added[s]
-            if step in looks:
-                # What a dimension can still add is its largest unprocessed impact.
-                rest = np.zeros((dims, len(queries)), dtype=np.int64)
-                np.maximum.at(rest, self.dim[order[step + 1 :]], impact[order[step + 1 :]])
-                can = within(rest.sum(axis=0))
-                if max(c.size for c in can) <= max(64, n // 32):
-                    return can
-        return within(np.zeros(len(queries), dtype=np.int64))
+        unsure = int(np.abs(q).sum()) * (self.width - 1)
+        order = np.argsort(-impact, kind="stable")
+        order = order[: np.count_nonzero(impact)]  # segments of no impact add nothing
+        sure, read, done = np.zeros(n), 0, 0
+        for part in (*LOOKS, 1.0):
+            now = order[done : int(part * order.size)]
+            done += now.size
+            if now.size:
+                posted = np.concatenate([self.ids[s] for s in now])
+                read += posted.size
+                # Sums of whole numbers far below 2^53: exact.
+                sure += np.bincount(posted, weights=np.repeat(impact[now].astype(float), self.sizes[now]), minlength=n)
+            # What a dimension can still add is its largest unprocessed impact.
+            rest = np.zeros(dims, dtype=np.int64)
+            np.maximum.at(rest, self.dim[order[done:]], impact[order[done:]])
+            can = np.flatnonzero(sure >= np.partition(sure, n - k)[n - k] - unsure - rest.sum())
+            if can.size <= max(64, n // 64):
+                break
+        return can, read
 
 
 def _cell(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -111,14 +105,12 @@ def _cell(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
         asked, names = filled(queries["v"]), queries["vec_id"].to_numpy()
         held, times = np.unique(ids, return_counts=True)
         own = dict(zip(held.tolist(), times.tolist(), strict=True))  # rows that a query must not find
-        for at in range(0, len(asked), BATCH):
-            batch = asked[at : at + BATCH]
-            more = max(own.get(x, 0) for x in names[at : at + BATCH].tolist())
-            for query_id, q, rows in zip(names[at : at + BATCH], batch, index.possible(batch, k + more), strict=True):
-                rows = rows[ids[rows] != query_id]
-                scores = matrix[rows] @ q
-                best = np.lexsort((ids[rows], -scores))[:k]
-                found.append((np.full(best.size, query_id), ids[rows][best], scores[best]))
+        for query_id, q in zip(names.tolist(), asked, strict=True):
+            rows, _ = index.possible(q, k + own.get(query_id, 0))
+            rows = rows[ids[rows] != query_id]
+            scores = matrix[rows] @ q
+            best = np.lexsort((ids[rows], -scores))[:k]
+            found.append((np.full(best.size, query_id), ids[rows][best], scores[best]))
     columns = [np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in zip(*found, strict=True)] if found else [np.zeros(0, dtype=np.int64)] * 3
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 

@@ -166,9 +166,14 @@ def test_index_stops_only_on_proof():
     rng = np.random.default_rng(0)
     vectors = np.concatenate([rng.integers(-60, 60, (900, 16)), np.repeat(rng.integers(-200, 200, (1, 16)), 30, axis=0)])
     queries = np.concatenate([vectors[:20], vectors[-2:], np.zeros((1, 16), dtype=np.int64)])
-    for q, rows in zip(queries, topk.ShardIndex(vectors).possible(queries, 6), strict=True):
+    index, shares = topk.ShardIndex(vectors), []
+    for q in queries:
+        rows, read = index.possible(q, 6)
         scores = vectors @ q
         assert set(np.flatnonzero(scores >= np.sort(scores)[-6])) <= set(rows.tolist())
+        shares.append(read / index.sizes.sum())
+    # Each query stops by itself: those near the planted group early, the one of zeros before it reads anything.
+    assert max(shares[20:22]) < 0.8 and shares[22] == 0 and len(set(shares)) > 2
 
 
 def test_quality_and_toxicity_hold_out(spark):
@@ -374,6 +379,29 @@ def test_harmonic_packing(spark, params):
         assert [a for a, _ in sorted(own)] == ends[:-1] and ends[-1] <= 64
         padding += 0 if ends[-1] & ends[-1] - 1 == 0 else 64 - ends[-1]
     assert padding < 0.05 * sum(map(len, want.values())) and packing.pack_harmonic(docs(spark, []), params).count() == 0
+    twice = packing.pack_harmonic(docs(spark, ["a b", "a b", "c"], [None, None, 3]), params).collect()
+    assert {x: sum(r.length for r in twice if r.doc_id == x) for x in (None, 3)} == {None: 6, 3: 2}
+
+
+def test_harmonic_bins_hold_whole_documents_of_one_class(params):
+    """A bin is k rests of class k and, where they leave room, ids of few other documents; most rests are never cut."""
+    from dataclasses import replace
+
+    rng = random.Random(4)
+    texts = [" ".join(["a"] * rng.choice((rng.randint(1, 62), rng.randint(20, 40), rng.randint(64, 400)))) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array(texts)], names=["doc_id", "text"])
+    rows = [r for b in packing._harmonic(iter([batch]), replace(params, waiting=8), True) for r in b.to_pylist()]
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append(r)
+    whole = [r for r in rows if r["start"] + r["length"] == r["doc_tokens"] and r["length"] < 64]
+    assert sum(r["start"] == 0 for r in whole) > 0.6 * sum(len(t.split()) < 63 for t in texts)
+    assert sum(sum(r["length"] for r in own) == 64 for own in sequences.values()) >= len(sequences) - 7
+    alike = 0
+    for own in list(sequences.values()):
+        first = 64 // own[0]["length"]
+        alike += own[0]["length"] == 64 or sum(64 // r["length"] == first for r in own) >= first
+    assert alike > 0.9 * len(sequences)
 
 
 def test_best_fit_packing(spark, params):
