@@ -211,12 +211,13 @@ def _near(sketches: np.ndarray, components: np.ndarray, sides: np.ndarray, p: Pa
     cut = p.cut
     mixed = sides.min() != sides.max()
     for k in range(len(sketches) - 1):
-        same = np.count_nonzero(sketches[k + 1 :] == sketches[k], axis=1)
-        hit = (same >= cut) & (components[k + 1 :] != components[k])
+        hit = components[k + 1 :] != components[k]
         if mixed:
             hit &= sides[k + 1 :] != sides[k]
-        for j in np.flatnonzero(hit):
-            yield -int(same[j]), k, k + 1 + int(j)
+        at = np.flatnonzero(hit)
+        same = np.count_nonzero(sketches[k + 1 + at] == sketches[k], axis=1)
+        for j in np.flatnonzero(same >= cut).tolist():
+            yield -int(same[j]), k, k + 1 + int(at[j])
 
 
 def _members(lists: pa.ListArray, p: Params) -> tuple[np.ndarray, ...]:
@@ -226,17 +227,38 @@ def _members(lists: pa.ListArray, p: Params) -> tuple[np.ndarray, ...]:
     return lists.offsets.to_numpy(), *columns, sketches
 
 
+def _root(x: int, parent: dict[int, int]) -> int:
+    while x in parent:
+        x = parent[x]
+    return x
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
-    """Of each cell's list: the members that have a partner to be checked, at most as many rows as came in."""
+    """The members of each cell that have a partner to be checked, at most as many rows as came in, by groups that such pairs connect.
+
+    A group is named by its members, so that it is the same wherever they meet again."""
     for batch in batches:
         ends, nodes, components, sides, sketches = _members(batch.column(1), p)
-        keep, cells = [], []
-        for cell, a, b in zip(batch.column(0).to_pylist(), ends[:-1], ends[1:], strict=True):
-            asked = sorted({x for _, k, j in _near(sketches[a:b], components[a:b], sides[a:b], p) for x in (k, j)})
-            keep += [a + x for x in asked]
-            cells += [cell] * len(asked)
-        keep = np.array(keep, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(nodes[keep]), pa.array(components[keep]), pa.array(sides[keep]), pa.array([x.tobytes() for x in sketches[keep]], pa.binary())], names=["cell", "node", "component", "side", "sketch"])
+        keep, groups = [], []
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            parent: dict[int, int] = {}
+            asked = set()
+            for _, k, j in _near(sketches[a:b], components[a:b], sides[a:b], p):
+                asked |= {k, j}
+                x, y = _root(k, parent), _root(j, parent)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+            if asked:
+                at = np.array(sorted(asked), dtype=np.int64)
+                roots = np.array([_root(x, parent) for x in at.tolist()])
+                _, index = np.unique(roots, return_inverse=True)
+                names = np.zeros(index.max() + 1, dtype=np.uint64)
+                np.add.at(names, index, mix(nodes[a + at].view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)))
+                keep.append(a + at)
+                groups.append(names[index].view(np.int64))
+        keep = np.concatenate(keep) if keep else np.zeros(0, dtype=np.int64)
+        groups = np.concatenate(groups) if groups else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(nodes[keep]), pa.array(components[keep]), pa.array([x.tobytes() for x in sketches[keep]], pa.binary())], names=["cell", "node", "component", "sketch"])
 
 
 def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -256,23 +278,17 @@ def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _linked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
-    """Of each cell's rows with full sets: confirmed links that join all its members that can be joined, likeliest first."""
+    """Of each group's rows with full sets: confirmed links that join all its members that can be joined, likeliest first."""
     for rows in _whole_cells(batches):
-        cells, nodes, components, sides = (rows.column(k).to_numpy() for k in range(4))
-        sketches = np.frombuffer(b"".join(rows.column(4).to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
-        sets = rows.column(5)
+        cells, nodes, components = (rows.column(k).to_numpy() for k in range(3))
+        sketches = np.frombuffer(b"".join(rows.column(3).to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
+        sets = rows.column(4)
         ends = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [cells.size]])
         left, right = [], []
         for a, b in zip(ends[:-1], ends[1:], strict=True):
             parent: dict[int, int] = {}
-
-            def root(x: int, parent: dict[int, int] = parent) -> int:
-                while x in parent:
-                    x = parent[x]
-                return x
-
-            for _, k, j in sorted(_near(sketches[a:b], components[a:b], sides[a:b], p)):
-                x, y = root(int(components[a + k])), root(int(components[a + j]))
+            for _, k, j in sorted(_near(sketches[a:b], components[a:b], np.zeros(b - a), p)):
+                x, y = _root(int(components[a + k]), parent), _root(int(components[a + j]), parent)
                 if x == y:
                     continue
                 one, two = (np.frombuffer(sets[int(a + i)].as_buffer(), dtype=np.uint64) for i in (k, j))
@@ -304,22 +320,28 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().astype(np.int64).view(np.uint64)).view(np.int64))], names=["h"])
 
 
-def confirmed(cells: DataFrame, sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
-    """Links (a, b) of nodes, confirmed on full sets, from cells (cell, members): at most one less than a cell's members.
+def candidates(cells: DataFrame, p: Params) -> DataFrame:
+    """cell, node, component, sketch of the members of cells (cell, members) that have a partner near the threshold, once for each group."""
+    asked = cells.mapInArrow(partial(_candidates, p=p), "cell long, node long, component long, sketch binary")
+    return written(asked.dropDuplicates(["cell", "node"]))
+
+
+def confirmed(asked: DataFrame, sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) of nodes, confirmed on full sets, from candidates: at most one less than a group's members.
 
-    Full sets are made and sent only for members that have a partner near the threshold in their cell."""
-    asked = written(cells.mapInArrow(partial(_candidates, p=p), "cell long, node long, component long, side long, sketch binary"))
+    Full sets are made and sent only for candidates."""
     wanted = sets.select("node", "rep").join(asked.select("node").distinct(), "node", "left_semi")
     bits = bitmap(wanted.select("rep").mapInArrow(_mixed, "h long"), "h")
     full = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").mapInArrow(partial(_wanted_sets, p=p, bits=bits), "node long, set binary")
     full = full.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    listed = asked.join(full, "node").select("cell", "node", "component", "side", "sketch", "set").repartition("cell").sortWithinPartitions("cell")
-    return listed.mapInArrow(partial(_linked, p=p), "a long, b long").distinct()
+    listed = asked.join(full, "node").select("cell", "node", "component", "sketch", "set").repartition("cell").sortWithinPartitions("cell")
+    return written(listed.mapInArrow(partial(_linked, p=p), "a long, b long").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (the least node reachable) for every node in links (a, b): least neighbours, then jumps along labels, until nothing changes."""
-    links = written(links.select("a", "b").union(links.select("b", "a")).distinct())
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")
+    links = written(links.select(both).select("x.a", "x.b").distinct())
     labels = links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
     labels = written(labels)
     while True:
@@ -371,7 +393,9 @@ def similar_sets(sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     block = spread("node", F.ceil(F.col("n") / p.leaf).cast("long"))
     met = met.join(open_nodes(met).select("key", "n"), "key")
     cells = _cells(met.select(F.xxhash64("key", block).alias("cell"), "node", "component", F.lit(0).cast("long").alias("side"), "sketch"))
-    labels = components(confirmed(cells, sets, documents, p))
+    tested = candidates(cells, p)
+    forget(met)
+    labels = components(confirmed(tested, sets, documents, p))
 
     # 2. Trees, only along nodes that hold two components or more; a node is compared as soon as it is small or all but
     # a few of its sets are of one component.
@@ -380,14 +404,16 @@ def similar_sets(sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     while True:
         level = written(entries(named, p, list(range(p.trees)), p.two, trail))
         nodes = written(open_nodes(level))
-        ready = (F.col("n") <= p.leaf) | (F.col("few") <= 2 * p.leaf) if len(trail) + 1 < p.depth else F.lit(True)
+        # Branching copies a set about `subtrees` times, comparing it with the few does so few / leaf times.
+        ready = (F.col("n") <= p.leaf) | (F.col("few") <= p.subtrees * p.leaf) if len(trail) + 1 < p.depth else F.lit(True)
         mine = _blocks(level.join(nodes.where(ready), "key"), p)
         cells = mine if cells is None else cells.union(mine)
         large = bitmap(nodes.where(~ready), "key")
         if not large.any():
             break
         trail.append(large)
-    further = confirmed(_cells(cells), sets, documents, p)
+    asked = candidates(_cells(cells), p).join(tested.select("cell").distinct(), "cell", "left_anti")
+    further = confirmed(asked, sets, documents, p)
 
     # 3. The components that the trees' links join.
     end = lambda c: F.col(c).alias("node")
