@@ -1,25 +1,27 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Labels are given for documents, the field needs them for tokens: a greedy cover picks the fewest token features
-(words and word beginnings) that explain the toxic documents of the training sample and hardly occur in its clean
-ones, and the tokens of toxic documents that have one are the labelled tokens. The field has two states, hashed
-features of a token and of the word before it, and transitions; it is trained by its exact gradient in numpy. A
-document's forward-backward marginals give the offending spans, and a logistic function of their sum, maximum and mean
-gives the score.
+(words, and beginnings of longer words, which find a stem in all its forms) that explain the toxic documents of the
+training sample and hardly occur in its clean ones, each in more toxic documents than chance would bring together;
+the tokens of toxic documents that have one are the labelled tokens. The field has two states, hashed features of a
+token and of the word before it, and transitions; it is trained by its exact gradient over whole texts, some of them
+at a time, in numpy. A document's forward-backward marginals give the offending spans, and a logistic function of their
+sum, maximum and mean gives the score.
 
 Forward and backward passes run over fixed segments at once: every segment's 2 x 2 product first, then the messages
 from segment to segment, then the tokens inside, which is the exact chain over the whole text, however long.
 
 Defined cases. A null or empty text has no token: its score is the logistic function's at zero. Labels that are null or
-not 0 or 1 take no part; without labelled rows of both kinds every score is the share of label 1, or 0.5. Rows that
-repeat a doc_id are scored each. Other columns pass through; columns named score or spans give way.
+not 0 or 1 take no part; without labelled rows of both kinds every score is the share of label 1, or 0.5. Very long
+texts are used whole, in memory of the longest. Equal texts have equal scores; rows that repeat a doc_id are scored
+each. Other columns pass through; columns named score or spans give way. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -36,15 +38,17 @@ _PUNCT[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 
 @dataclass(frozen=True)
 class Params:
-    """buckets: of the feature table. beginnings: lengths (bytes). each: training documents of either label at most. tokens: that the field is trained on at most."""
+    """buckets: of the feature table. beginnings: lengths (bytes) of words that go on. each: training documents of either label at most, the only bound. rounds: over the sample at least. steps: of the descent at least. chance: of one covering feature that means nothing. lift: of a covering feature, in toxic over clean documents."""
 
     buckets: int = 1 << 18
-    beginnings: tuple[int, ...] = (4, 5, 6)
+    beginnings: tuple[int, ...] = (4, 5, 6, 7, 8)
     each: int = 2000
-    tokens: int = 400_000
-    rounds: int = 40
-    rate: float = 0.3
-    decay: float = 1e-4
+    rounds: int = 6
+    steps: int = 150
+    rate: float = 0.1
+    decay: float = 1e-6
+    chance: float = 0.05
+    lift: float = 5.0
 
 
 @dataclass
@@ -75,7 +79,7 @@ class Tokens:
         before[1:] = word[:-1]
         inner = words.first[:-1][words.first[:-1] < word.size]
         before[inner] = 0
-        kinds = [word] + [mix(hashed(np.minimum(starts + n, ends)) + np.uint64(n)) for n in p.beginnings]
+        kinds = [word] + [np.where(ends - starts > n, mix(hashed(np.minimum(starts + n, ends)) + np.uint64(n)), np.uint64(n)) for n in p.beginnings]
         self.own = len(kinds)
         kinds.append(mix(before * np.uint64(5) + np.uint64(77)))
         self.features = np.stack([(h >> np.uint64(40)).astype(np.int64) & (p.buckets - 1) for h in kinds], axis=1) if word.size else np.zeros((0, len(kinds)), dtype=np.int64)
@@ -156,28 +160,34 @@ def marginals(scores: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.nd
 
 def covering(parts: list[Tokens], labels: np.ndarray, p: Params) -> np.ndarray:
     """The buckets that mark toxic tokens: greedily the one in most toxic documents that no chosen one explains."""
-    found, at = [], 0
+    found, at, counts = [], 0, np.zeros((2, p.buckets), dtype=np.int64)
     for t in parts:
         own = at + np.repeat(np.arange(t.first.size - 1), np.diff(t.first))
-        found.append(np.unique(own[:, None] * p.buckets + t.features[:, : t.own]))
+        pairs = np.unique(own[:, None] * p.buckets + t.features[:, : t.own])
+        doc, bucket = pairs // p.buckets, pairs % p.buckets
+        for label in (0, 1):
+            counts[label] += np.bincount(bucket[labels[doc] == label], minlength=p.buckets)
+        found.append(pairs[labels[doc] == 1])
         at += t.first.size - 1
     pairs = np.concatenate(found)
-    doc, bucket = pairs // p.buckets, pairs % p.buckets
-    clean = np.bincount(bucket[labels[doc] == 0], minlength=p.buckets)
-    toxic = labels[doc] == 1
-    doc, bucket = doc[toxic], bucket[toxic]
-    usable = clean <= 0.02 * np.bincount(bucket, minlength=p.buckets)
-    doc, bucket = doc[usable[bucket]], bucket[usable[bucket]]
+    # A usable feature is `lift` times as frequent in toxic documents, and its documents' labels are none of chance's.
     n_toxic, chosen = int((labels == 1).sum()), []
+    base, n = n_toxic / labels.size, counts.sum(axis=0)
+    share = counts[1] / np.maximum(1, n)
+    clean = np.where(share < 1, (1 - share) * np.log(np.maximum(1e-300, 1 - share) / (1 - base)), 0.0)
+    surprise = n * (share * np.log(np.maximum(1e-300, share) / base) + clean)
+    usable = (counts[1] * (labels.size - n_toxic) >= p.lift * counts[0] * n_toxic) & (surprise >= math.log(p.buckets / p.chance)) & (share > base)
+    pairs = pairs[usable[pairs % p.buckets]]
+    doc, bucket = pairs // p.buckets, pairs % p.buckets
     # First every document is to be explained once; then, by frequent features only, up to three times.
-    for times, least in ((1, max(3, round(0.002 * n_toxic))), (3, max(5, round(0.02 * n_toxic)))):
+    for times, often in ((1, 2), (3, round(0.02 * n_toxic))):
         explained = np.bincount(doc[np.isin(bucket, chosen)], minlength=labels.size)
-        open_pair = (explained[doc] < times) & ~np.isin(bucket, chosen)
+        open_pair = (explained[doc] < times) & ~np.isin(bucket, chosen) & (counts[1][bucket] >= often)
         d, f = doc[open_pair], bucket[open_pair]
         while f.size:
             n = np.bincount(f, minlength=p.buckets)
             best = int(n.argmax())
-            if n[best] < least:
+            if n[best] < 2:
                 break
             chosen.append(best)
             explained[d[f == best]] += 1
@@ -198,6 +208,28 @@ def summary(p1: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(n.size), np.log1p(total), most, np.minimum(1, 10 * total / np.maximum(1, n))], axis=1)
 
 
+def slopes(weights: np.ndarray, moves: np.ndarray, features: np.ndarray, y: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gradient of minus the log likelihood of the states y of whole texts, by weights and by moves."""
+    forward, backward, potential, there, into = passed(weights[features].sum(axis=1), moves, first)
+    both = forward * backward
+    wrong = (both[:, :, 1] / both.sum(axis=2)).T[there] - y
+    slope = np.bincount(features.ravel(), np.repeat(wrong, features.shape[1]), minlength=weights.size)
+    # Each token with the one before it: of the first of a segment, what came into the segment; a text's first has none.
+    before = np.concatenate([into[None], forward[:-1]])
+    ahead = np.stack([backward[:, :, 0], backward[:, :, 1] * potential.T], axis=2)
+    pair = before[:, :, :, None] * np.exp(moves) * ahead[:, :, None, :]
+    pair /= pair.sum(axis=(2, 3), keepdims=True)
+    _, place, _, _ = segments(first)
+    inner = there.T.copy()
+    inner[0] &= place > 0
+    seen = np.zeros((2, 2))
+    follows = np.ones(y.size, dtype=bool)
+    follows[first[:-1][np.diff(first) > 0]] = False
+    at = np.flatnonzero(follows)
+    np.add.at(seen, (y[at - 1].astype(int), y[at].astype(int)), 1)
+    return slope, pair[inner].sum(axis=0) - seen
+
+
 def train(sample: pd.DataFrame, p: Params) -> Model:
     """The field and the output function from texts and document labels (0 or 1)."""
     model = Model(np.zeros(p.buckets))
@@ -207,80 +239,62 @@ def train(sample: pd.DataFrame, p: Params) -> Model:
         return model
     labels = sample["label"].to_numpy()
     texts = [t.encode() for t in sample["text"]]
-    parts = [Tokens(texts[a:b], p).lean() for a, b in passes(texts)]  # a few MB of text at a time
+    parts = [Tokens(texts[a:b], p).lean() for a, b in passes(texts)]  # some texts at a time
     mark = np.zeros(p.buckets, dtype=bool)
     mark[covering(parts, labels, p)] = True
-    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(t.first) for t in parts]))])
-    marked = np.concatenate([mark[t.features[:, : t.own]].any(axis=1) for t in parts])
-    marked &= np.repeat(labels == 1, np.diff(first))
-    features = np.concatenate([t.features for t in parts])
-    # Segments, all with a labelled token first, up to the bound.
-    _, _, start, size = segments(first)
-    hits = np.concatenate([[0], np.cumsum(marked)])
-    order = np.lexsort((mix(np.arange(start.size, dtype=np.uint64)), hits[start + size] == hits[start]))
-    use = order[: np.searchsorted(np.cumsum(size[order]), p.tokens)]
-    at = np.concatenate([np.arange(a, a + n) for a, n in zip(start[use], size[use], strict=True)])
-    first = np.concatenate([[0], np.cumsum(size[use])])  # from here on of the segments used
-    x, y = features[at], marked[at].astype(float)
-    del features
-    mean, square = np.zeros(p.buckets), np.zeros(p.buckets)
-    buckets, index = np.unique(x, return_inverse=True)
-    index = index.reshape(x.shape)
-    w, mean, square = np.zeros(buckets.size), np.zeros(buckets.size), np.zeros(buckets.size)
-    moves, move_mean, move_square = np.zeros((2, 2)), np.zeros((2, 2)), np.zeros((2, 2))
-    inner = np.ones(y.size, dtype=bool)
-    inner[first[:-1]] = False
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[np.flatnonzero(inner) - 1].astype(int), y[inner].astype(int)), 1)
-    for step in range(1, p.rounds + 1):
-        forward, backward, potential, there, _ = passed(w[index].sum(axis=1), moves, first)
-        both = forward * backward
-        wrong = (both[:, :, 1] / both.sum(axis=2)).T[there] - y
-        slope = np.bincount(index.ravel(), np.repeat(wrong, x.shape[1]), minlength=buckets.size) + p.decay * y.size * w
-        ahead = np.stack([backward[1:, :, 0], backward[1:, :, 1] * potential.T[1:]], axis=2)
-        pair = forward[:-1, :, :, None] * np.exp(moves) * ahead[:, :, None, :]
-        pair /= pair.sum(axis=(2, 3), keepdims=True)
-        move_slope = pair[there.T[1:]].sum(axis=0) - seen
-        for v, m, q, g in ((w, mean, square, slope), (moves, move_mean, move_square, move_slope)):
-            m *= 0.9
-            m += 0.1 * g
-            q *= 0.99
-            q += 0.01 * g * g
-            v -= p.rate * (m / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.99**step)) + 1e-9)
-    model.weights[buckets], model.moves = w, moves
-    z = np.concatenate([summary(marginals(model.weights[t.features].sum(axis=1), moves, t.first), t.first) for t in parts])
-    balance = (0.5 / np.bincount(labels, minlength=2))[labels]
-    for _ in range(2000):
-        wrong = (1 / (1 + np.exp(-np.clip(z @ model.output, -30, 30))) - labels) * balance
+    bounds = np.concatenate([[0], np.cumsum([t.first.size - 1 for t in parts])])
+    rng = np.random.default_rng(3)
+    state = [(v, np.zeros_like(v), np.zeros_like(v)) for v in (model.weights, model.moves)]
+    rounds = max(p.rounds, -(-p.steps // len(parts)))
+    step, steps = 0, rounds * len(parts)
+    for _ in range(rounds):
+        for k in rng.permutation(len(parts)):
+            t = parts[k]
+            if not t.features.size:
+                continue
+            y = mark[t.features[:, : t.own]].any(axis=1) & np.repeat(labels[bounds[k] : bounds[k + 1]] == 1, np.diff(t.first))
+            slope, move_slope = slopes(model.weights, model.moves, t.features, y.astype(float), t.first)
+            slope += p.decay * y.size * model.weights
+            step += 1
+            for (v, mean, square), g in zip(state, (slope, move_slope), strict=True):
+                mean *= 0.9
+                mean += 0.1 * g
+                square *= 0.99
+                square += 0.01 * g * g
+                v -= p.rate * (1 - 0.9 * step / steps) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
+    z = np.concatenate([summary(marginals(model.weights[t.features].sum(axis=1), model.moves, t.first), t.first) for t in parts])
+    for _ in range(4000):
+        wrong = (1 / (1 + np.exp(-np.clip(z @ model.output, -30, 30))) - labels) / labels.size
         model.output -= 2.0 * (z.T @ wrong + 1e-4 * model.output)
     return model
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model, p: Params, with_spans: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        text = batch.column(batch.num_columns - 1)
-        texts = [t or b"" for t in text.cast(pa.binary()).to_pylist()]
-        scores, ends, found = np.zeros(len(texts)), np.zeros(len(texts) + 1, dtype=np.int64), []
-        for a, b in passes(texts):
-            tokens = Tokens(texts[a:b], p)
-            p1 = marginals(model.weights[tokens.features].sum(axis=1), model.moves, tokens.first)
-            scores[a:b] = 1 / (1 + np.exp(-np.clip(summary(p1, tokens.first) @ model.output, -30, 30)))
-            hit = np.flatnonzero(p1 >= 0.5) if with_spans else np.zeros(0, dtype=np.int64)
-            doc = np.searchsorted(tokens.first, hit, side="right") - 1
-            ends[a + 1 : b + 1] = np.bincount(doc, minlength=b - a)
-            points = np.concatenate([[0], np.cumsum((tokens.words.buf & 0xC0) != 0x80)])
-            begin = points[tokens.starts[hit]]
-            found.append((begin - points[tokens.words.text_at[:-1][doc]], points[tokens.ends[hit]] - begin, p1[hit]))
-        parts = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0)] * 3
-        spans = pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), pa.StructArray.from_arrays([pa.array(parts[0].astype(np.int64)), pa.array(parts[1].astype(np.int64)), pa.array(parts[2].astype(float))], names=["start", "length", "probability"]))
-        left = [batch.column(k) for k in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays([*left, text, pa.array(scores), spans], names=[*(f"c{k}" for k in range(len(left))), "text", "score", "spans"])
+def scored(texts: list[bytes], model: Model, p: Params, with_spans: bool) -> pa.StructArray:
+    """score and spans of each text."""
+    scores, ends, found = np.zeros(len(texts)), np.zeros(len(texts) + 1, dtype=np.int64), []
+    for a, b in passes(texts):
+        tokens = Tokens(texts[a:b], p)
+        p1 = marginals(model.weights[tokens.features].sum(axis=1), model.moves, tokens.first)
+        scores[a:b] = 1 / (1 + np.exp(-np.clip(summary(p1, tokens.first) @ model.output, -30, 30)))
+        hit = np.flatnonzero(p1 >= 0.5) if with_spans else np.zeros(0, dtype=np.int64)
+        doc = np.searchsorted(tokens.first, hit, side="right") - 1
+        ends[a + 1 : b + 1] = np.bincount(doc, minlength=b - a)
+        points = np.concatenate([[0], np.cumsum((tokens.words.buf & 0xC0) != 0x80)])
+        begin = points[tokens.starts[hit]]
+        found.append((begin - points[tokens.words.text_at[:-1][doc]], points[tokens.ends[hit]] - begin, p1[hit]))
+    parts = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0)] * 3
+    spans = pa.StructArray.from_arrays([pa.array(parts[0].astype(np.int64)), pa.array(parts[1].astype(np.int64)), pa.array(parts[2].astype(float))], names=["start", "length", "probability"])
+    return pa.StructArray.from_arrays([pa.array(scores), pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), spans)], names=["score", "spans"])
 
 
 def score_toxicity(documents: DataFrame, model: Model, p: Params = Params(), with_spans: bool = True) -> DataFrame:
-    """documents with score (probability of label 1) and spans (start, length in code points of the text, probability of each toxic token)."""
-    others = [c for c in documents.columns if c not in ("text", "score", "spans")]
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
-    schema = ", ".join([*(f"c{k} {kinds[c]}" for k, c in enumerate(others)), "text string, score double, spans array<struct<start:bigint,length:bigint,probability:double>>"])
-    done = documents.select(*others, F.col("text").cast("string")).mapInArrow(partial(_scored, model=model, p=p, with_spans=with_spans), schema)
-    return done.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(others)], "text", "score", "spans")
+    """documents with score (probability of label 1) and spans (start, length in code points of the text, probability of each toxic token). Only texts go to Python."""
+
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield scored([t or b"" for t in texts.cast(pa.binary()).to_pylist()], model, p, with_spans)
+
+    found = F.arrow_udf(judged, "score double, spans array<struct<start:bigint,length:bigint,probability:double>>")
+    others = [c for c in documents.columns if c not in ("score", "spans")]
+    done = documents.select(*others, found(F.col("text").cast("string")).alias("spans"))
+    return done.select(*others, F.col("spans.score").alias("score"), F.col("spans.spans").alias("spans"))

@@ -199,7 +199,7 @@ def test_quality_and_toxicity_hold_out(spark):
     held = [r for r in scored if r.doc_id < 500 and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
     assert np.mean([(r.score >= 0.7) == bool(good[r.doc_id]) for r in held]) > 0.97 and all(0 <= r.score <= 1 for r in scored)
     assert [r.score for r in scored if r.doc_id == 500] == [r.score for r in scored if r.doc_id == 501]
-    tp = toxicity.Params(each=200, tokens=20_000)
+    tp = toxicity.Params(each=200)
     model = toxicity.train(labelled.sample(df, labels, "toxic", labelled.fold(F.col("doc_id"), 5) != 0, tp.each), tp)
     scored = toxicity.score_toxicity(df, model, tp).collect()
     held = [r for r in scored if r.doc_id < 500 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
@@ -228,6 +228,95 @@ def test_marginals_are_the_whole_chains():
             back /= back.sum()
 
 
+def test_slopes_are_those_of_the_likelihood():
+    """Against the likelihood summed over all paths of states, by finite differences; texts of no, one and more tokens."""
+    import itertools
+
+    rng = np.random.default_rng(1)
+    first, features = np.array([0, 4, 4, 5, 9]), rng.integers(0, 6, size=(9, 2))
+    y, weights, moves = rng.integers(0, 2, 9).astype(float), rng.normal(0, 1, 6), rng.normal(0, 1, (2, 2))
+
+    def loss(w, m):
+        out = 0.0
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            scores = w[features[a:b]].sum(axis=1)
+            value = lambda path: sum(s * z for s, z in zip(path, scores, strict=True)) + sum(m[i, j] for i, j in itertools.pairwise(path))  # noqa: B023, E731
+            # Before a text's first token stands either state, with the same weight.
+            start = lambda path: np.log(np.exp(m[:, path[0]]).sum()) if path else 0.0
+            out += np.logaddexp.reduce([value(q) + start(q) for q in itertools.product((0, 1), repeat=b - a)]) - value(tuple(y[a:b].astype(int))) - start(tuple(y[a:b].astype(int)))
+        return out
+
+    slope, _ = toxicity.slopes(weights, moves, features, y, first)
+    step = 1e-6
+    for k in range(6):
+        w = weights.copy()
+        w[k] += step
+        assert (loss(w, moves) - loss(weights, moves)) / step == pytest.approx(slope[k], abs=1e-3)
+
+
+def test_toxicity_on_given_labels():
+    """Held-out rows of the given tables, which mark insults and, in three languages, stems in many forms."""
+    import duckdb
+
+    d = "/root/testdata/sf0.1"
+    rows = duckdb.sql(f"select d.doc_id, coalesce(text, ''), toxic from '{d}/documents.parquet' d join '{d}/labels.parquet' l using (doc_id) where toxic in (0, 1) order by doc_id").fetchall()
+    held, seen = ([r for r in rows if (zlib.crc32(str(r[0]).encode()) % 5 == 0) == x] for x in (True, False))
+    p = toxicity.Params()
+    model = toxicity.train(pd.DataFrame({"text": [r[1] for r in seen if r[2]] + [r[1] for r in seen if not r[2]][:2000], "label": [1] * sum(r[2] for r in seen) + [0] * min(2000, sum(not r[2] for r in seen))}), p)
+    said = np.array(toxicity.scored([r[1].encode() for r in held], model, p, False).field(0)) >= 0.5
+    true = np.array([r[2] == 1 for r in held])
+    assert (said & true).sum() >= 0.88 * true.sum() and (said & true).sum() >= 0.9 * said.sum()
+
+
+def test_quality_by_its_definition():
+    """Features, mean, softmax and every step of the descent once more, with dictionaries and loops."""
+    texts, labels = ["aa bb aa", "aa aa", "", "x bb\ty é", "bb"], [1, 0, 0, 1, 1]
+    p = quality.Params(buckets=1 << 10, dims=3, epochs=2)
+    words = lambda t: Words([t]).hashes
+    fold = lambda h: int(h >> np.uint64(40)) & (p.buckets - 1)
+
+    def buckets(text):
+        h = words(text.encode())
+        out = [fold(x) for x in h]
+        for x, y in zip(h[:-1], h[1:], strict=True):
+            out.append(fold(np.uint64(0x1234567890ABCDEF) if x == y else minhash_dedup.mix(np.array([x * np.uint64(3) + y]))[0]))
+        raw = text.encode()
+        for n in p.grams:
+            out += [fold(minhash_dedup.mix(np.array([int.from_bytes(raw[k : k + n], "big") * (2 * n + 1)], dtype=np.uint64))[0]) for k in range(len(raw) - n + 1)]
+        return out
+
+    found, at = quality.features([t.encode() for t in texts], p)
+    assert [sorted(found[a:b].tolist()) for a, b in zip(at[:-1], at[1:], strict=True)] == [sorted(buckets(t)) for t in texts]
+    rng = np.random.default_rng(p.seed)
+    v = rng.normal(0, 0.1, (p.buckets, p.dims)).astype(np.float32).astype(float)
+    out, bias, done, balance = np.zeros((2, p.dims)), np.zeros(2), 0, [0.5 / 0.4, 0.5 / 0.6]
+    for _ in range(p.epochs):
+        for k in rng.permutation(len(texts)):
+            own = buckets(texts[k])
+            mean = sum((v[b] for b in own), np.zeros(p.dims)) / max(1, len(own))
+            e = np.exp(out @ mean + bias)
+            wrong = (e / e.sum() - np.eye(2)[labels[k]]) * (p.rate * (1 - done / 10) + 0.01) * balance[labels[k]]
+            for b in set(own):
+                v[b] -= own.count(b) / len(own) * 200 * (wrong @ out)
+            out, bias, done = out - np.outer(wrong, mean), bias - wrong, done + 1
+    table, offset = quality.train(pd.DataFrame({"text": texts, "label": labels}), p)
+    assert table == pytest.approx(v @ (out[1] - out[0]), abs=1e-3) and offset == pytest.approx(bias[1] - bias[0], abs=1e-4)
+    own = buckets(texts[0])
+    assert quality.scores([texts[0].encode()], table, offset, p)[0] == pytest.approx(1 / (1 + np.exp(-np.mean(table[own]) - offset)))
+
+
+def test_classifiers_defined_cases(spark):
+    """Repeated rows, clashing names, very long and empty texts, an empty table."""
+    p, tp = quality.Params(), toxicity.Params()
+    table, model = (np.linspace(-1, 1, p.buckets).astype(np.float32), 0.1), toxicity.Model(np.linspace(-1, 1, tp.buckets))
+    df = docs(spark, ["a b", "a b", "", None, "very long " * 200_000], [1, 1, 2, None, 3]).withColumns({"score": F.lit("x"), "spans": F.lit("y")})
+    good, bad = quality.score_quality(df, table, p), toxicity.score_toxicity(df, model, tp)
+    assert set(good.columns) == set(df.columns) == set(bad.columns)
+    for rows in (good.collect(), bad.collect()):
+        assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows) and len({r.score for r in rows if r.doc_id == 1}) == 1
+    assert quality.score_quality(df.limit(0), table, p).count() == 0 == toxicity.score_toxicity(df.limit(0), model, tp).count()
+
+
 ITEM = "If Tom has 5 apples and Ann has 7 kg of apples then Tom gives 5 apples to Ann."
 
 
