@@ -39,16 +39,19 @@ from .shared import Words, bitmap, forget, in_bitmap, mix, passes, rolled, sprea
 class Params:
     """shingle: words; a link needs part * intersection >= whole * union, as whole / part of similarity.
 
-    positions: minwise values of a signature. slack: how far below the threshold an estimate still asks for a check
+    stride: levels that a large node branches at once: a shingle that very many documents share brings unlike sets
+    into one node, and few of them go on together. small: shingles of a set that goes along whole. positions: minwise values of a signature. slack: how far below the threshold an estimate still asks for a check
     on full sets. leaf: sets of a node that are compared exhaustively. recall: of pairs at the threshold."""
 
     shingle: int = 5
     whole: int = 80
     part: int = 100
     positions: int = 128
+    small: int = 32
     slack: float = 0.1
     leaf: int = 64
-    depth: int = 10
+    depth: int = 13
+    stride: int = 6
     forest_trees: int = 3
     recall: float = 0.999
 
@@ -135,19 +138,19 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa
                 least = np.full(p.positions, 0xFFFFFFFF, dtype=np.uint32)
                 for at in range(0, low.size, 256):
                     least = np.minimum(least, (low[at : at + 256, None] * scale + shift).min(axis=0))
-                signatures.append(least.tobytes())
+                signatures.append(s.size.to_bytes(4, "little") + least.tobytes() + (s.tobytes() if s.size <= p.small else b""))
             as_long = lambda xs: pa.array([None if x is None else (x & (1 << 64) - 1) - ((x >> 63 & 1) << 64) for x in xs], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()), as_long(ones), as_long(twos), pa.array(signatures, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "node", "node2", "signature"])
 
 
 def signatures(documents: DataFrame, p: Params) -> DataFrame:
-    """Per row: doc_id, text_hash, n_shingles, node and node2 (hashes that name the set) and the signature."""
+    """Per row: doc_id, text_hash, n_shingles, node and node2 (hashes that name the set) and the signature: the set's size, its minwise values, and a small set itself."""
     text = F.col("text").cast("string")
     return documents.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash")).mapInArrow(partial(_signature_rows, p=p), "doc_id long, text_hash long, n_shingles long, node long, node2 long, signature binary")
 
 
 def _numbers(column: pa.Array, positions: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, positions)
+    return np.frombuffer(b"".join(x[4 : 4 + 4 * positions] for x in column.to_pylist()), dtype=np.uint32).reshape(-1, positions)
 
 
 def _children(keys: np.ndarray, values: np.ndarray, two: float) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +175,7 @@ def _entries(batches: Iterator[pa.RecordBatch], p: Params, trees: list[int], two
 
     bits: only entries of nodes that may be in it, with their sketches."""
     for batch in batches:
-        values = _numbers(batch.column(2), p.positions)
+        values, rows = _numbers(batch.column(2), p.positions), batch.column(2).to_pylist() if bits is not None else []
         for tree in trees if len(values) else []:
             keys, at = _children(np.full(len(values), mix(np.array([tree * 7919 + 13], dtype=np.uint64))[0]), values, two)
             for depth, branched in enumerate(trail):
@@ -181,16 +184,17 @@ def _entries(batches: Iterator[pa.RecordBatch], p: Params, trees: list[int], two
                 if not depth:
                     keys = np.concatenate([mix(keys + np.uint64(k)) for k in range(p.subtrees)])
                     at = np.tile(at, p.subtrees)
-                keys, further = _children(keys, values[at], two)
-                at = at[further]
+                for _ in range(p.stride):
+                    keys, further = _children(keys, values[at], two)
+                    at = at[further]
             if bits is not None:
                 on = in_bitmap(bits, keys.view(np.int64))
                 keys, at = keys[on], at[on]
             take = pa.array(at)
             columns = [pa.array(keys.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)]
             if bits is not None:
-                sketches = np.ascontiguousarray(values[at].astype(np.uint8))
-                columns.append(pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * p.positions), pa.py_buffer(sketches)]))
+                least = values[at].astype(np.uint8)
+                columns.append(pa.array([rows[x][:4] + least[k].tobytes() + rows[x][4 + 4 * p.positions :] for k, x in enumerate(at.tolist())], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "component", "sketch"][: len(columns)])
 
 
@@ -204,27 +208,39 @@ def entries(named: DataFrame, p: Params, trees: list[int], two: float, trail: li
     return named.mapInArrow(partial(_entries, p=p, trees=trees, two=two, trail=trail, bits=bits), "key long, node long, component long, sketch binary")
 
 
-def _near(sketches: np.ndarray, components: np.ndarray, sides: np.ndarray, p: Params) -> Iterator[tuple[int, int, int]]:
-    """(minus the equal positions, k, j) of the pairs of two components whose estimate is near the threshold or above.
-
-    Where sides differ in a list, only pairs across them."""
-    cut = p.cut
-    mixed = sides.min() != sides.max()
-    for k in range(len(sketches) - 1):
-        hit = components[k + 1 :] != components[k]
-        if mixed:
-            hit &= sides[k + 1 :] != sides[k]
-        at = np.flatnonzero(hit)
-        same = np.count_nonzero(sketches[k + 1 + at] == sketches[k], axis=1)
-        for j in np.flatnonzero(same >= cut).tolist():
-            yield -int(same[j]), k, k + 1 + int(at[j])
-
-
-def _members(lists: pa.ListArray, p: Params) -> tuple[np.ndarray, ...]:
-    inner = lists.values
-    columns = [inner.field(k).to_numpy(zero_copy_only=False) for k in ("node", "component", "side")]
-    sketches = np.frombuffer(b"".join(inner.field("sketch").to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
-    return lists.offsets.to_numpy(), *columns, sketches
+class Sketches:
+    """Sizes, minwise values (a byte each) and the small sets of some sets."""
+
+    def __init__(self, rows: list[bytes], p: Params):
+        self.rows, self.p = rows, p
+        self.sizes = np.array([int.from_bytes(x[:4], "little") for x in rows], dtype=np.int64)
+        self.least = np.frombuffer(b"".join(x[4 : 4 + p.positions] for x in rows), dtype=np.uint8).reshape(-1, p.positions)
+        self.held: dict[int, frozenset[int]] = {}
+
+    def small(self, k: int) -> frozenset[int]:
+        if k not in self.held:
+            self.held[k] = frozenset(np.frombuffer(self.rows[k][4 + self.p.positions :], dtype=np.uint64).tolist())
+        return self.held[k]
+
+    def near(self, a: int, b: int, components: np.ndarray, sides: np.ndarray | None = None) -> Iterator[tuple[int, int, int]]:
+        """(minus the equal positions, k, j) of the pairs from a to b, of two components, that may link: by size, by estimate, and small sets by themselves.
+
+        Where sides differ in a list, only pairs across them."""
+        p, cut = self.p, self.p.cut
+        mixed = sides is not None and sides[a:b].min() != sides[a:b].max()
+        for k in range(a, b - 1):
+            low, high = np.minimum(self.sizes[k + 1 : b], self.sizes[k]), np.maximum(self.sizes[k + 1 : b], self.sizes[k])
+            hit = (components[k + 1 : b] != components[k]) & (p.part * low >= p.whole * high)
+            if mixed:
+                hit &= sides[k + 1 : b] != sides[k]
+            at = k + 1 + np.flatnonzero(hit)
+            same = np.count_nonzero(self.least[at] == self.least[k], axis=1)
+            for j, equal in zip(at[same >= cut].tolist(), same[same >= cut].tolist(), strict=True):
+                if self.sizes[k] <= p.small and self.sizes[j] <= p.small:
+                    both = len(self.small(k) & self.small(j))
+                    if p.part * both < p.whole * (int(self.sizes[k]) + int(self.sizes[j]) - both):
+                        continue
+                yield -equal, k, j
 
 
 def _root(x: int, parent: dict[int, int]) -> int:
@@ -238,12 +254,16 @@ def _candidates(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Rec
 
     A group is named by its members, so that it is the same wherever they meet again."""
     for batch in batches:
-        ends, nodes, components, sides, sketches = _members(batch.column(1), p)
+        lists = batch.column(1)
+        ends, inner = lists.offsets.to_numpy(), lists.values
+        nodes, components, sides = (inner.field(k).to_numpy(zero_copy_only=False) for k in ("node", "component", "side"))
+        rows = inner.field("sketch").to_pylist()
+        sketches = Sketches(rows, p)
         keep, groups = [], []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             parent: dict[int, int] = {}
             asked = set()
-            for _, k, j in _near(sketches[a:b], components[a:b], sides[a:b], p):
+            for _, k, j in sketches.near(a, b, components, sides):
                 asked |= {k, j}
                 x, y = _root(k, parent), _root(j, parent)
                 if x != y:
@@ -253,12 +273,12 @@ def _candidates(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Rec
                 roots = np.array([_root(x, parent) for x in at.tolist()])
                 _, index = np.unique(roots, return_inverse=True)
                 names = np.zeros(index.max() + 1, dtype=np.uint64)
-                np.add.at(names, index, mix(nodes[a + at].view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)))
-                keep.append(a + at)
+                np.add.at(names, index, mix(nodes[at].view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)))
+                keep.append(at)
                 groups.append(names[index].view(np.int64))
         keep = np.concatenate(keep) if keep else np.zeros(0, dtype=np.int64)
         groups = np.concatenate(groups) if groups else np.zeros(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(nodes[keep]), pa.array(components[keep]), pa.array([x.tobytes() for x in sketches[keep]], pa.binary())], names=["cell", "node", "component", "sketch"])
+        yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(nodes[keep]), pa.array(components[keep]), pa.array([rows[k] for k in keep.tolist()], pa.binary())], names=["cell", "node", "component", "sketch"])
 
 
 def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -281,22 +301,21 @@ def _linked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordB
     """Of each group's rows with full sets: confirmed links that join all its members that can be joined, likeliest first."""
     for rows in _whole_cells(batches):
         cells, nodes, components = (rows.column(k).to_numpy() for k in range(3))
-        sketches = np.frombuffer(b"".join(rows.column(3).to_pylist()), dtype=np.uint8).reshape(-1, p.positions)
-        sets = rows.column(4)
+        sketches, sets = Sketches(rows.column(3).to_pylist(), p), rows.column(4)
         ends = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [cells.size]])
         left, right = [], []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             parent: dict[int, int] = {}
-            for _, k, j in sorted(_near(sketches[a:b], components[a:b], np.zeros(b - a), p)):
-                x, y = _root(int(components[a + k]), parent), _root(int(components[a + j]), parent)
+            for _, k, j in sorted(sketches.near(a, b, components)):
+                x, y = _root(int(components[k]), parent), _root(int(components[j]), parent)
                 if x == y:
                     continue
-                one, two = (np.frombuffer(sets[int(a + i)].as_buffer(), dtype=np.uint64) for i in (k, j))
+                one, two = (np.frombuffer(sets[i].as_buffer(), dtype=np.uint64) for i in (k, j))
                 both = np.intersect1d(one, two, assume_unique=True).size
                 if p.part * both >= p.whole * (one.size + two.size - both):
                     parent[max(x, y)] = min(x, y)
-                    left.append(nodes[a + k])
-                    right.append(nodes[a + j])
+                    left.append(nodes[k])
+                    right.append(nodes[j])
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
@@ -363,7 +382,20 @@ def open_nodes(entries: DataFrame) -> DataFrame:
 
 
 def _cells(entries: DataFrame) -> DataFrame:
-    return entries.groupBy("cell").agg(F.collect_list(F.struct("node", "component", "side", "sketch")).alias("members")).where(F.size("members") > 1)
+    return entries.groupBy("cell").agg(F.collect_set(F.struct("node", "component", "side", "sketch")).alias("members")).where(F.size("members") > 1)
+
+
+def _gathered(entries: DataFrame, p: Params) -> DataFrame:
+    """Entries (key, node, component, sketch, n, main, few) where nodes of several trees that hold most of one group are one node.
+
+    Such nodes have one main component and a quarter of all sets that meet it; what they hold is compared once, not for each tree."""
+    large = F.col("n") > p.leaf
+    met = entries.where(large).select("main", "node", (F.col("component") != F.col("main")).alias("outside")).distinct()
+    groups = met.groupBy("main").agg(F.count("*").alias("all_n"), F.count_if("outside").alias("all_few"))
+    joined = entries.join(groups, "main", "left")
+    dense = F.coalesce(large & (4 * F.col("n") >= F.col("all_n")), F.lit(False))
+    pick = lambda new, old: F.when(dense, new).otherwise(F.col(old)).alias(old)
+    return joined.select(pick(F.xxhash64("main", F.lit(1)), "key"), "node", "component", "sketch", pick(F.col("all_n"), "n"), "main", pick(F.col("all_few"), "few"))
 
 
 def _blocks(entries: DataFrame, p: Params) -> DataFrame:
@@ -400,19 +432,19 @@ def similar_sets(sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     # 2. Trees, only along nodes that hold two components or more; a node is compared as soon as it is small or all but
     # a few of its sets are of one component.
     named = written(sets.select("node", "signature").join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "signature"))
-    cells, trail = None, []
+    leaves, trail = None, []
     while True:
         level = written(entries(named, p, list(range(p.trees)), p.two, trail))
         nodes = written(open_nodes(level))
-        # Branching copies a set about `subtrees` times, comparing it with the few does so few / leaf times.
-        ready = (F.col("n") <= p.leaf) | (F.col("few") <= p.subtrees * p.leaf) if len(trail) + 1 < p.depth else F.lit(True)
-        mine = _blocks(level.join(nodes.where(ready), "key"), p)
-        cells = mine if cells is None else cells.union(mine)
+        # Branching copies a set many times, comparing it with the few does so few / leaf times.
+        ready = (F.col("n") <= p.leaf) | (F.col("few") <= 16 * p.leaf) if 1 + (len(trail) + 1) * p.stride <= p.depth else F.lit(True)
+        mine = level.join(nodes.where(ready), "key").select("key", "node", "component", "sketch", "n", "main", "few")
+        leaves = mine if leaves is None else leaves.union(mine)
         large = bitmap(nodes.where(~ready), "key")
         if not large.any():
             break
         trail.append(large)
-    asked = candidates(_cells(cells), p).join(tested.select("cell").distinct(), "cell", "left_anti")
+    asked = candidates(_cells(_blocks(_gathered(leaves, p), p)), p).join(tested.select("cell").distinct(), "cell", "left_anti")
     further = confirmed(asked, sets, documents, p)
 
     # 3. The components that the trees' links join.

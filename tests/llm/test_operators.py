@@ -100,7 +100,7 @@ def test_near_duplicates_of_a_large_group(spark):
         for _ in range(rng.randint(0, 2) if k % 9 else 5):
             words[rng.randrange(60)] = f"v{rng.randrange(30)}"
         texts.append(" ".join(words))
-    p = minhash_dedup.Params(shingle=2, leaf=16, depth=3)
+    p = minhash_dedup.Params(shingle=2, leaf=16, depth=4)
     got = minhash_dedup.near_duplicates(docs(spark, texts), p).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute_components(texts, range(len(texts)), 2)
 
@@ -113,16 +113,18 @@ def test_recall_of_pairs_at_the_threshold_in_nodes_that_branch_to_the_end():
     right = np.where(equal, left, left + np.uint32(1))
     all_bits = np.full(16, np.uint64(0xFFFFFFFFFFFFFFFF))
 
+    size = (1000).to_bytes(4, "little")
+
     def held(side):
-        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array([x.tobytes() for x in side])], names=["node", "component", "signature"])
-        return [b for b in minhash_dedup._entries(iter([batch]), p, list(range(p.trees)), p.two, [all_bits] * (p.depth - 1), None)]
+        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array([size + x.tobytes() for x in side])], names=["node", "component", "signature"])
+        return [b for b in minhash_dedup._entries(iter([batch]), p, list(range(p.trees)), p.two, [all_bits] * ((p.depth - 1) // p.stride), None)]
 
     met = np.zeros(n, dtype=bool)
     for a, b in zip(held(left), held(right), strict=True):
         keys = [set(zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)) for x in (a, b)]
         met[[node for _, node in keys[0] & keys[1]]] = True
-    sketches = [side.astype(np.uint8) for side in (left, right)]
-    near = [bool(list(minhash_dedup._near(np.stack(both), np.arange(2), np.zeros(2), p))) for both in zip(*sketches, strict=True)]
+    sketches = [[size + x.tobytes() for x in side.astype(np.uint8)] for side in (left, right)]
+    near = [bool(list(minhash_dedup.Sketches(list(both), p).near(0, 2, np.arange(2)))) for both in zip(*sketches, strict=True)]
     assert (met & near).mean() >= p.recall - 3 * (0.001 / n) ** 0.5
 
 
