@@ -1,19 +1,24 @@
 """Entity resolution: listings of the same event from several sources become one merged event.
 
-Listings are compared on days at most one apart and title similarity, both fixed from the beginning, so the pairs that
-pass are a superset of what a sequential pass could match. Their connected components are independent, and inside a
-component the listings are placed one after another in the given order, which gives the sequential pass's clusters.
+Listings are compared on days at most one apart and title similarity, both fixed from the beginning, so the titles that
+pass are a superset of what a sequential pass could match. Titles that are connected by similar ones, in a run of days
+without a gap, are a strand; strands are independent. In a strand listings are placed in order, as each placement
+depends on those before it; a task streams a strand's rows and holds the clusters of two days only.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import effective_tier, fingerprint, norm, text_or_empty
-from ..functions.ratio import partial, token_set, token_set_ratio
+from ..functions.ratio import partial, partial_ratio, token_set, token_set_ratio
 from ..sources.io import written
+from .alike import similar_days, title_days, word_set
 
 TITLE, VENUE_SAME, VENUE_OTHER = 78, 85, 45
 FILLED = ("venue", "address", "city", "description", "image", "price", "url")
@@ -58,33 +63,26 @@ def provenance(rows: DataFrame, key: str) -> DataFrame:
 
 
 def title_pairs(listings: DataFrame, least: float = TITLE) -> DataFrame:
-    """day_a, title_a, day_b, title_b (normal forms, day_b the same day or the next) that are similar enough.
-
-    Distinct titles of a day meet distinct titles of that day and the next in an equi-join; a pair of titles is scored
-    once, however many listings and days have it. Titles without a common word must be about as long to reach least."""
-    days = listings.select(F.to_date("start_at").alias("day"), norm("title").alias("title")).where("title <> ''").distinct()
-    days = days.withColumns({"words": F.split("title", " +"), "n": F.length("title")})
-    left = days.select(F.explode(F.array("day", F.date_add("day", 1))).alias("meet"), *[F.col(c).alias(f"{c}_a") for c in days.columns])
-    right = days.select(F.col("day").alias("meet"), *[F.col(c).alias(f"{c}_b") for c in days.columns])
-    near = F.arrays_overlap("words_a", "words_b") | (2 * F.least("n_a", "n_b") * 100 >= least * (F.col("n_a") + F.col("n_b")))
-    once = (F.col("day_a") < F.col("day_b")) | (F.col("title_a") <= F.col("title_b"))
-    pairs = left.join(right, "meet").where(near & once).select("day_a", "title_a", "day_b", "title_b")
-    same = pairs.where("title_a = title_b")
-    other = pairs.where("title_a <> title_b").withColumns({"low": F.least("title_a", "title_b"), "high": F.greatest("title_a", "title_b")})
-    good = other.select("low", "high").distinct().where(token_set_ratio("low", "high") >= least)
-    return same.union(other.join(good, ["low", "high"]).select(*same.columns))
+    """day_a, title_a, day_b, title_b (ids of word sets, day_b the same day or the next) that are similar enough; a title is similar to itself on the next day and, once, on the same one."""
+    near, _ = similar_days(listings, least)
+    days = title_days(listings).select("day", "id")
+    own = days.select(F.col("day").alias("day_a"), F.col("id").alias("title_a"), F.col("day").alias("day_b"), F.col("id").alias("title_b"))
+    ahead = days.select(F.col("day").alias("day_a"), F.col("id").alias("title_a")).join(days.select(F.date_sub("day", 1).alias("day_a"), F.col("day").alias("day_b"), F.col("id").alias("title_a"), F.col("id").alias("title_b")), ["day_a", "title_a"]).select("day_a", "title_a", "day_b", "title_b")
+    return near.toDF("day_a", "title_a", "day_b", "title_b").union(own).union(ahead)
 
 
 def candidate_pairs(listings: DataFrame, least: float = TITLE) -> DataFrame:
     """ord_a, ord_b of listings that may be one event: similar titles, a day apart at most, not two dates of one source.
 
     Listings of one title, day, source and start are one node (the least ord), and a star to it links them."""
-    rows = listings.select("ord", "source_id", "start_at", F.to_date("start_at").alias("day"), norm("title").alias("title"))
-    nodes = rows.groupBy("day", "title", "source_id", "start_at").agg(F.min("ord").alias("node"))
+    rows = listings.select("ord", "source_id", "start_at", F.to_date("start_at").alias("day"), word_set("title").alias("words")).where("words <> ''").withColumn("title", F.xxhash64("words")).drop("words")
+    nodes = written(rows.groupBy("day", "title", "source_id", "start_at").agg(F.min("ord").alias("node")))
     joined = title_pairs(listings, least).join(nodes.select(*[F.col(c).alias(f"{c}_a") for c in nodes.columns]), ["day_a", "title_a"]).join(nodes.select(*[F.col(c).alias(f"{c}_b") for c in nodes.columns]), ["day_b", "title_b"])
-    real = joined.where("node_a <> node_b and (source_id_a <> source_id_b or start_at_a = start_at_b)").select(F.least("node_a", "node_b").alias("ord_a"), F.greatest("node_a", "node_b").alias("ord_b"))
+    same = (F.col("day_a") == F.col("day_b")) & (F.col("title_a") == F.col("title_b"))
+    real = joined.where(F.when(same, F.col("node_a") < F.col("node_b")).otherwise(F.col("node_a") != F.col("node_b")) & ((F.col("source_id_a") != F.col("source_id_b")) | (F.col("start_at_a") == F.col("start_at_b"))))
+    real = real.select(F.least("node_a", "node_b").alias("ord_a"), F.greatest("node_a", "node_b").alias("ord_b"))
     stars = rows.join(nodes, ["day", "title", "source_id", "start_at"]).where("ord <> node").select(F.col("node").alias("ord_a"), F.col("ord").alias("ord_b"))
-    return real.union(stars).distinct()
+    return real.union(stars)
 
 
 def components(pairs: DataFrame, a: str = "ord_a", b: str = "ord_b") -> DataFrame:
@@ -101,70 +99,112 @@ def components(pairs: DataFrame, a: str = "ord_a", b: str = "ord_b") -> DataFram
             return labels
 
 
-def same_event(a: dict, b: dict) -> bool:
-    """Whether two listings (normal forms in n_title, n_city, n_venue; day) are the same event."""
-    if abs(a["day"] - b["day"]) > 1 or token_set(a["n_title"], b["n_title"]) < TITLE:
-        return False
-    va, vb = a["n_venue"], b["n_venue"]
-    if a["n_city"] and b["n_city"] and a["n_city"] != b["n_city"]:
-        return bool(va and vb and partial(va, vb) >= VENUE_SAME)
-    return not (va and vb and token_set(va, vb) < VENUE_OTHER)
-
-
-def place(rows: list[dict]) -> list[int]:
-    """For listings in order: the number of the cluster that each goes to, its representative filled as listings come.
-
-    A representative's venue and city may be filled on the way and then count for the next comparisons."""
-    clusters: list[dict] = []
-    by_day: dict[int, list[int]] = {}
-    out = []
-    for e in rows:
-        at = -1
-        for day in (e["day"] - 1, e["day"]):
-            for k in by_day.get(day, ()):
-                c = clusters[k]
-                if e["source_id"] in c["sources"] and (e["source_id"], e["start_at"]) not in c["listings"]:
-                    continue
-                if same_event(c, e):
-                    at = k
-                    break
-            if at >= 0:
-                break
-        if at < 0:
-            at = len(clusters)
-            clusters.append({**e, "sources": set(), "listings": set()})
-            by_day.setdefault(e["day"], []).append(at)
-        c = clusters[at]
-        c["sources"].add(e["source_id"])
-        c["listings"].add((e["source_id"], e["start_at"]))
-        for raw, plain in (("city", "n_city"), ("venue", "n_venue")):
-            if not c[raw] and e[raw]:
-                c[raw], c[plain] = e[raw], e[plain]
-        out.append(at)
-    return out
-
-
-def _placed(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["start_at", "trust", "inferred", "rich", "ord"], kind="stable")
-    clusters = place(group.to_dict("records"))
-    firsts: dict[int, int] = {}
-    for k, o in zip(clusters, group["ord"], strict=True):
-        firsts.setdefault(k, o)
-    return pd.DataFrame({"ord": group["ord"].to_numpy(), "cluster": [firsts[k] for k in clusters]})
+def same_event(a: str, b: str, least: float = TITLE) -> Column:
+    """E4: whether two listings, structs of title, start_at, city and venue, are one event."""
+    title_a, title_b, city_a, city_b, venue_a, venue_b = (norm(F.col(f"{x}.{c}")) for c in ("title", "city", "venue") for x in (a, b))
+    days = F.abs(F.datediff(F.to_date(F.col(f"{a}.start_at")), F.to_date(F.col(f"{b}.start_at"))))
+    both_cities, both_venues = (city_a != "") & (city_b != ""), (venue_a != "") & (venue_b != "")
+    place = F.when(both_cities & (city_a != city_b), both_venues & (partial_ratio(venue_a, venue_b) >= VENUE_SAME)).otherwise(~both_venues | (token_set_ratio(venue_a, venue_b) >= VENUE_OTHER))
+    return F.coalesce((days <= 1) & (token_set_ratio(title_a, title_b) >= least) & place, F.lit(False))
+
+
+class Strand:
+    """The clusters of one strand as its rows come, day by day: each knows what its representative is and has been given."""
+
+    def __init__(self) -> None:
+        self.day = None
+        self.similar: dict[int, dict[int, frozenset[int]]] = {}  # day -> title -> similar titles of that day and the one before
+        self.held: dict[int, dict[int, list[list]]] = {}  # day -> title of representatives -> their clusters
+        self.made = 0
+        self.venues = lru_cache(1 << 14)(lambda x, y, other: partial(x, y) >= VENUE_SAME if other else token_set(x, y) >= VENUE_OTHER)
+
+    def on(self, day: int) -> None:
+        if day != self.day:
+            self.day = day
+            for table in (self.similar, self.held):
+                for old in [d for d in table if d < day - 1]:
+                    del table[old]
+
+    def fits(self, city: str, venue: str, own_city: str, own_venue: str) -> bool:
+        both = bool(venue and own_venue)
+        if city and own_city and city != own_city:
+            return both and self.venues(venue, own_venue, True)
+        return not both or self.venues(venue, own_venue, False)
+
+    def place(self, ord_: int, day: int, title: int, source: str, start: int, city: str, venue: str) -> int:
+        """The ord of the cluster's representative that a listing goes to, its own if none takes it."""
+        titles = self.similar.get(day, {}).get(title, frozenset()) | {title}
+        for at in (day - 1, day):
+            table = self.held.get(at)
+            if not table:
+                continue
+            open_ = [c for t in (titles & table.keys()) for c in table[t]]
+            for cluster in sorted(open_):
+                _, rep, starts, own_city, own_venue = cluster
+                if starts.get(source, start) == start and self.fits(own_city, own_venue, city, venue):
+                    starts[source] = start
+                    cluster[3], cluster[4] = own_city or city, own_venue or venue
+                    return rep
+        self.made += 1
+        self.held.setdefault(day, {}).setdefault(title, []).append([self.made, ord_, {source: start}, city, venue])
+        return ord_
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ord and cluster of the listings among rows sorted by strand, day, kind (similar titles first) and rank."""
+    name, strand = None, Strand()
+    for batch in batches:
+        ords, clusters = [], []
+        columns = [batch.column(c).to_pylist() for c in ("strand", "day", "kind", "ord", "title", "source_id", "start", "city", "venue", "similar")]
+        for own, day, kind, ord_, title, source, start, city, venue, similar in zip(*columns, strict=True):
+            if own != name:
+                name, strand = own, Strand()
+            strand.on(day)
+            if kind == 0:
+                strand.similar.setdefault(day, {})[title] = frozenset(similar)
+            else:
+                ords.append(ord_)
+                clusters.append(strand.place(ord_, day, title, source, start, city, venue))
+        yield pa.RecordBatch.from_arrays([pa.array(ords, pa.int64()), pa.array(clusters, pa.int64())], names=["ord", "cluster"])
+
+
+def strands(days: DataFrame, good: DataFrame) -> DataFrame:
+    """day, id, strand of titles (day, id): connected by similar ones (low, high), on days without a gap."""
+    labels = components(good, "low", "high").select(F.col("ord").alias("id"), "component")
+    named = days.select("day", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    runs = named.select("component", "day").distinct()
+    order = Window.partitionBy("component").orderBy("day")
+    runs = runs.withColumn("new", F.coalesce(F.datediff("day", F.lag("day").over(order)) > 1, F.lit(True)).cast("long")).withColumn("run", F.sum("new").over(order))
+    return named.join(runs.select("component", "day", F.xxhash64("component", "run").alias("strand")), ["component", "day"]).select("day", "id", "strand")
 
 
 def cluster_listings(listings: DataFrame, registry: DataFrame) -> DataFrame:
-    """ord, cluster: the ord of the cluster's representative. Listings without a pair are their own cluster and meet no helper."""
+    """ord, cluster: the ord of the cluster's representative. Listings alone in their strand are their own cluster and meet no helper."""
+    near, good = similar_days(listings, TITLE)
+    named = written(strands(title_days(listings), good))
+    days = lambda c: F.unix_date(F.col(c)).alias("day")
+    # Of each title on a day: the similar titles of that day and of the one before.
+    similar = near.select(days("day_b"), F.col("id_b").alias("title"), F.col("id_a").alias("other")).union(near.where("day_a = day_b").select(days("day_a"), F.col("id_a").alias("title"), F.col("id_b").alias("other")))
+    similar = similar.groupBy("day", "title").agg(F.collect_set("other").alias("similar"))
+    heads = similar.join(named.select(days("day"), F.col("id").alias("title"), "strand"), ["day", "title"])
     ranked = with_rank(listings, registry)
-    labels = components(candidate_pairs(listings))
-    small = ranked.join(labels, "ord").select("ord", "component", "source_id", "start_at", F.col("rank.trust").alias("trust"), F.col("rank.inferred").alias("inferred"), F.col("rank.rich").alias("rich"), F.unix_date(F.to_date("start_at")).alias("day"), text_or_empty("city").alias("city"), text_or_empty("venue").alias("venue"), norm("title").alias("n_title"), norm("city").alias("n_city"), norm("venue").alias("n_venue"))
-    placed = small.groupBy("component").applyInPandas(_placed, "ord long, cluster long")
+    rows = ranked.select(
+        "ord", "source_id", "rank", F.to_date("start_at").alias("date"), F.xxhash64(word_set("title")).alias("title"), F.unix_micros(F.col("start_at").cast("timestamp")).alias("start"),
+        norm("city").alias("city"), norm("venue").alias("venue"),
+    ).join(named.select(F.col("day").alias("date"), F.col("id").alias("title"), "strand"), ["date", "title"])
+    several = rows.groupBy("strand").agg(F.count("*").alias("n")).where("n > 1").select("strand")
+    rows = rows.join(several, "strand", "left_semi")
+    nothing = lambda kind: F.lit(None).cast(kind)
+    body = rows.select("strand", days("date"), F.lit(1).alias("kind"), "rank", "ord", "title", "source_id", "start", "city", "venue", nothing("array<bigint>").alias("similar"))
+    head = heads.join(several, "strand", "left_semi").select("strand", "day", F.lit(0).alias("kind"), nothing(body.schema["rank"].dataType).alias("rank"), nothing("long").alias("ord"), "title", nothing("string").alias("source_id"), nothing("long").alias("start"), nothing("string").alias("city"), nothing("string").alias("venue"), "similar")
+    streamed = body.union(head).repartition("strand").sortWithinPartitions("strand", "day", "kind", "rank").drop("rank")
+    placed = streamed.mapInArrow(_placed, "ord long, cluster long")
     return listings.select("ord").join(placed, "ord", "left").select("ord", F.coalesce("cluster", "ord").alias("cluster"))
 
 
 def group_events(listings: DataFrame, registry: DataFrame) -> DataFrame:
     """Merged events: the representative's fields, blanks filled from its cluster in order, provenance, and the fingerprint of the result."""
-    rows = with_rank(listings, registry).join(cluster_listings(listings, registry), "ord")
+    rows = with_rank(listings, registry).join(written(cluster_listings(listings, registry)), "ord")
     first = lambda c, ok: F.min_by(F.when(ok, F.col(c)), F.when(ok, F.col("rank")))
     strong = ~F.col("category").isin(*WEAK)
     merged = rows.groupBy("cluster").agg(

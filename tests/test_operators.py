@@ -59,17 +59,6 @@ def test_same_source_nights_stay_apart(spark):
     assert [(sorted(r.source_ids), r.venue) for r in both] == [(["a", "b"], "Hall")]
 
 
-def test_group_events_against_sequential(spark):
-    rng = random.Random(3)
-    words = ["harvest", "fest", "winter", "fair", "market", "night"]
-    rows = [dict(source_id=rng.choice("abcde"), title=" ".join(rng.sample(words, rng.randint(1, 3))), start_at=datetime(2026, 11, rng.randint(1, 6), rng.choice((10, 19))), city=rng.choice(("", "Duluth", "Ely")), venue=rng.choice(("", "Hall", "Old Park"))) for _ in range(80)]
-    df = listings(spark, *rows).repartition(3)
-    got = {r.ord: r.cluster for r in resolve.cluster_listings(df, registry(spark, *REGS)).collect()}
-    flat = df.transform(lambda d: resolve.with_rank(d, registry(spark, *REGS))).select("ord", "source_id", "start_at", F.col("rank.trust").alias("trust"), F.col("rank.inferred").alias("inferred"), F.col("rank.rich").alias("rich"), F.unix_date(F.to_date("start_at")).alias("day"), "city", "venue", c.norm("title").alias("n_title"), c.norm("city").alias("n_city"), c.norm("venue").alias("n_venue")).toPandas()
-    want = resolve._placed(flat)
-    assert got == dict(zip(want["ord"], want["cluster"], strict=True))
-
-
 def test_not_public_and_windows(spark):
     keep = ["Closed Captioned Movie", "Festival", "Library closed", "Staff Only", "Office is closed", "Horizon Training for Library Staff"]
     df = listings(spark, *[dict(title=x) for x in keep])
