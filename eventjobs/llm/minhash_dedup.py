@@ -395,7 +395,8 @@ def _gathered(entries: DataFrame, p: Params) -> DataFrame:
     joined = entries.join(groups, "main", "left")
     dense = F.coalesce(large & (4 * F.col("n") >= F.col("all_n")), F.lit(False))
     pick = lambda new, old: F.when(dense, new).otherwise(F.col(old)).alias(old)
-    return joined.select(pick(F.xxhash64("main", F.lit(1)), "key"), "node", "component", "sketch", pick(F.col("all_n"), "n"), "main", pick(F.col("all_few"), "few"))
+    named = joined.select(pick(F.xxhash64("main", F.lit(1)), "key"), "node", "component", "sketch", pick(F.col("all_n"), "n"), "main", pick(F.col("all_few"), "few"))
+    return named.where(~large).union(named.where(large).dropDuplicates(["key", "node"]))
 
 
 def _blocks(entries: DataFrame, p: Params) -> DataFrame:
