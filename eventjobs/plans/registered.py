@@ -610,27 +610,6 @@ def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
 
-@_query("e1_token_set_ratio")
-def e1(spark: SparkSession, d: str) -> DataFrame:
-    """Rows only: a test holds the ratio against its definition."""
-    from ..functions.ratio import token_set_ratio
-
-    titles = listings(spark, d).select(norm("title").alias("a")).distinct()
-    other = titles.select(F.col("a").alias("b"), F.split("a", " ")[0].alias("first"))
-    return titles.withColumn("first", F.split("a", " ")[0]).join(other, "first").where("a < b").select("a", "b", F.round(token_set_ratio("a", "b"), 6).alias("ratio"))
-
-
-@_query("e5_candidate_pairs")
-def e5(spark: SparkSession, d: str) -> DataFrame:
-    return resolve.candidate_pairs(filters.in_window(listings(spark, d), AS_OF))
-
-
-@_query("e6_group_events")
-def e6(spark: SparkSession, d: str) -> DataFrame:
-    rows = resolve.group_events(filters.in_window(listings(spark, d), AS_OF), view(spark, d, "registry"))
-    return rows.select("cluster", "fingerprint", "title", "start_at", "city", "venue", F.array_join("source_ids", ",").alias("source_ids"))
-
-
 # cleaning and recurrence
 
 DAY = AS_OF.date()
