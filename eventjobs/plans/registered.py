@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,7 +102,8 @@ def _category_sql() -> str:
     def cases(text: str) -> str:
         out = "CASE"
         for category, words in CATEGORY_RULES:
-            parts = [w.replace("'", "''") if " " in w else f"\\b{w}\\b" for w in words]
+            escaped = [re.sub(r"([.&/-])", r"\\\1", w).replace("'", "''") for w in words]
+            parts = [w if " " in w else f"\\b{w}\\b" for w in escaped]
             out += f" WHEN regexp_matches({text}, '{'|'.join(parts)}') THEN '{category}'"
         return out + " END"
 

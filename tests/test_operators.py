@@ -203,6 +203,27 @@ def test_streams(spark, tmp_path):
     assert sorted(r.source_id for r in kept["cache"].collect()) == ["a", "b"]
 
 
+def test_gates_keep_rows_from_helpers(spark):
+    """Rows outside the gate reach a helper as nulls, though Spark takes it out of the CASE."""
+    from eventjobs.functions import text as texts
+
+    def only_marked(s):
+        assert all("&" in x for x in s if x is not None)
+        return s.map(lambda x: None if x is None else x.upper())
+
+    df = spark.createDataFrame([("a&b",), ("plain",), (None,)], "t string")
+    gated = df.select(texts.gated(F.col("t").contains("&"), F.pandas_udf(only_marked, "string"), F.col("t")).alias("x"))
+    assert [r.x for r in gated.collect()] == ["A&B", None, None]
+    plan = spark.createDataFrame([("plain text",)], "t string").select(texts.clean_text("t").alias("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "CASE WHEN RLIKE" in plan.split("ArrowEvalPython", 1)[1]
+
+
+def test_category_rules(spark):
+    cases = {"Spring Chorale": "music", "Watercolor with Ann": "arts", "Snowshoe outing": "sports-rec", "Run/Walk for Hope": "sports-rec", "hip-hop hour": "music", "Concerted effort": "other", "Kid's hour": "family", "feat. Ann": "other", "Old St. Patrick": "holiday", "Class of five": "education", "pre-class": "education", "x_class": "other", "": "other"}
+    df = spark.createDataFrame(list(cases.items()), "t string, want string").select("t", "want", c.infer_category("t", F.lit(""), F.lit("other")).alias("got"), c.infer_category(F.lit("Zzz"), "t", F.lit("other")).alias("said"))
+    assert all(r.got == r.want == r.said for r in df.collect()), df.collect()
+
+
 def test_daily_run(spark):
     rows = listings(spark, dict(source_id="a", title="Blueberry Festival"), dict(source_id="b", title="Quiet Talk"), dict(source_id="d", title="Library closed"))
     none = lambda s: spark.createDataFrame([], s)
