@@ -59,8 +59,13 @@ def rule_counts(verdict: DataFrame) -> DataFrame:
     """feature, from, to, support, evidence and up to five sorted examples: two aggregates over exploded features."""
     one = verdict.select("event", "from", "to", "title", F.explode(features("title", "source")).alias("feature"))
     evidence = one.groupBy("feature", "from").agg(F.count("*").alias("evidence"))
-    support = one.where(F.col("to").isNotNull()).groupBy("feature", "from", "to").agg(F.count("*").alias("support"), F.slice(F.array_sort(F.collect_set("title")), 1, 5).alias("examples"))
-    return support.join(evidence, ["feature", "from"])
+    mistakes = one.where(F.col("to").isNotNull())
+    support = mistakes.groupBy("feature", "from", "to").agg(F.count("*").alias("support"))
+    # Distinct titles are counted off by rank, which Spark limits before the shuffle; only five of a rule meet in a list.
+    titles = mistakes.select("feature", "from", "to", "title").distinct()
+    rank = F.row_number().over(Window.partitionBy("feature", "from", "to").orderBy("title"))
+    some = titles.withColumn("_rank", rank).where("_rank <= 5").groupBy("feature", "from", "to").agg(F.array_sort(F.collect_list("title")).alias("examples"))
+    return support.join(some, ["feature", "from", "to"]).join(evidence, ["feature", "from"])
 
 
 def learn_rules(verdict: DataFrame, off: DataFrame, support: int = MIN_SUPPORT, share: float = MIN_SHARE) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,13 +53,15 @@ def snapshot_age(as_of: datetime) -> Column:
     return F.datediff(wall(as_of).cast("date"), F.col("snapshot_at").cast("date"))
 
 
-def carry_forward(fresh: DataFrame, cache: DataFrame, registry: DataFrame, as_of: datetime) -> DataFrame:
+def carry_forward(fresh: DataFrame, cache: DataFrame, registry: DataFrame, as_of: datetime, repair: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """fresh (carried = false) and, for sources without fresh rows, their cached snapshot if it is young enough.
 
-    The carried rows pass the window and the public filter again, not the frequency trim."""
+    The carried rows are repaired as new ones are, if wanted (recur.normalize), as a snapshot may be older than a repair;
+    then they pass the window and the public filter again, not the frequency trim."""
     limits = registry.select(F.col("id").alias("source_id"), F.when(F.lower(text_or_empty("refresh")).isin("local", "relay"), LOCAL_CACHE_DAYS).otherwise(CACHE_DAYS).alias("limit"))
     kept = cache.join(fresh.select("source_id").distinct(), "source_id", "left_anti").join(limits, "source_id").where(snapshot_age(as_of) <= F.col("limit"))
-    kept = drop_not_public(in_window(kept.drop("limit", "snapshot_at"), as_of))
+    kept = kept.drop("limit", "snapshot_at")
+    kept = drop_not_public(in_window(repair(kept) if repair else kept, as_of))
     return fresh.withColumn("carried", F.lit(False)).unionByName(kept.withColumn("carried", F.lit(True)))
 
 

@@ -10,7 +10,7 @@ from ..functions.ratio import partial_ratio, token_set_ratio
 from ..operators import alike, feedback, filters, reports, resolve, trust
 from ..sources import extract as ex
 from ..sources import feeds, io
-from ..sources.io import shared_folder, written
+from ..sources.io import shared_folder
 from ..streaming import jobs
 from . import daily
 from .bridge import AS_OF, AS_OF_SQL, view
@@ -408,5 +408,5 @@ def l2(spark: SparkSession, d: str) -> DataFrame:
     rows.where("ord % 2 = 0").write.parquet(source)
     stores = {"cache": rows.withColumn("snapshot_at", filters.shifted(filters.wall(AS_OF), -1))}
     drops = spark.readStream.schema(rows.schema).parquet(source)
-    jobs.history_stream(drops, lambda: stores["cache"], lambda df: stores.update(cache=written(df)), AS_OF, shared_folder(spark)).start().awaitTermination()
+    jobs.history_stream(drops, jobs.Stores(stores.get, stores.__setitem__), None, AS_OF, shared_folder(spark)).start().awaitTermination()
     return stores["cache"].groupBy("source_id").agg(F.count("*").alias("cached"), F.count_distinct(F.date_format("snapshot_at", "yyyy-MM-dd")).alias("snapshots"))

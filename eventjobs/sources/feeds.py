@@ -17,7 +17,7 @@ from .extract import parse_wall_time
 class FeedSpec:
     """Where a feed's records are and, for each listing field, the paths of which the first that is not blank counts.
 
-    start and end are (paths, kind): iso, seconds or millis. address: paths joined by commas. skip: (path, values) whose records go."""
+    start and end are (paths, kind): iso, seconds or millis, or clock for a day's path and a time's. address: paths joined by commas. skip: (path, values) whose records go."""
 
     records: str
     fields: dict[str, Sequence[str]]
@@ -32,6 +32,10 @@ PRESETS = {
     "tribe": FeedSpec("events", {"title": ("title",), "venue": ("venue.venue", "venue[0].venue"), "city": ("venue.city", "venue[0].city"), "url": ("url",), "description": ("description", "excerpt"), "price": ("cost",), "image": ("image.url",)}, (("start_date",), "iso"), (("end_date",), "iso"), ("venue.address", "venue.city", "venue.state"), (("status", ("canceled", "cancelled")),)),
     "squarespace": FeedSpec("upcoming", {"title": ("title",), "venue": ("location.addressTitle",), "url": ("fullUrl",), "description": ("excerpt", "body"), "image": ("assetUrl",)}, (("startDate",), "millis"), (("endDate",), "millis"), ("location.addressLine1", "location.addressLine2")),
     "nps": FeedSpec("data", {"title": ("title",), "venue": ("location",), "url": ("infourl", "regresurl"), "description": ("description",), "price": ("feeinfo",)}, (("datestart", "date"), "iso"), (("dateend",), "iso")),
+    "weblink": FeedSpec("Events", {"title": ("EventName",), "venue": ("Venue", "Address1"), "city": ("City",), "state": ("State",), "description": ("Descr", "ShortDescr"), "image": ("ImageUrl",)}, (("StartDate", "StartTime"), "clock"), (("EndDate", "EndTime"), "clock"), ("Address1", "Address2", "City", "State")),
+    "mycalendar": FeedSpec("events", {"title": ("event_title",), "venue": ("event_label", "event_location_name"), "city": ("event_city",), "state": ("event_state",), "url": ("event_link", "event_url"), "description": ("event_desc", "event_short"), "image": ("event_image",)}, (("occur_begin", "event_begin"), "iso"), (("occur_end",), "iso"), ("event_street", "event_street2", "event_city", "event_state")),
+    "evvnt": FeedSpec("rawEvents", {"title": ("title",), "venue": ("venue.name",), "city": ("venue.town",), "url": ("source_broadcast_url",), "description": ("description", "summary"), "lat": ("venue.latitude",), "lon": ("venue.longitude",), "country": ("venue.country",), "zip": ("venue.post_code",)}, (("start_time", "start_date"), "iso"), (("end_time",), "iso"), ("venue.address_1", "venue.address_2")),
+    "agile": FeedSpec("ArrayOfEvent", {"title": ("Name",), "venue": ("Venue.Name",), "city": ("Venue.City",), "url": ("InfoLink", "BuyLink"), "description": ("ShortDescription",), "image": ("EventImage",)}, (("StartDate",), "iso"), (("EndDate",), "iso"), ("Venue.Address1", "Venue.City", "Venue.State"), (("DateTBD", ("true",)),)),
     "eventbrite": FeedSpec("events", {"title": ("name.text", "name"), "venue": ("primary_venue.name", "venue.name"), "city": ("primary_venue.address.city",), "url": ("url",), "description": ("summary",), "image": ("image.url",)}, (("start.local", "start_date"), "iso"), (("end.local", "end_date"), "iso"), ("primary_venue.address.address_1", "primary_venue.address.city"), (("is_online_event", ("true",)), ("is_cancelled", ("true",)))),
 }
 
@@ -46,6 +50,9 @@ def map_json_feed(payloads: DataFrame, spec: FeedSpec, as_of: datetime) -> DataF
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
     def when(where: tuple[Sequence[str], str]) -> Column:
+        if where[1] == "clock":
+            day, clock = (first([p]) for p in where[0])
+            return parse_wall_time(F.coalesce(F.concat_ws(" ", F.substring(day, 1, 10), clock), F.lit("")), as_of)
         value = first(where[0])
         if where[1] == "iso":
             return parse_wall_time(F.coalesce(value, F.lit("")), as_of)

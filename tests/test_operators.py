@@ -12,7 +12,7 @@ from eventjobs.operators import feedback, filters, recur, reports, resolve, seri
 from eventjobs.plans import daily
 from eventjobs.sources import extract as ex
 from eventjobs.sources import feeds, io
-from eventjobs.streaming.jobs import history_stream, screen_reports_stream
+from eventjobs.streaming.jobs import Stores, history_stream, screen_reports_stream
 
 AS_OF = datetime(2026, 10, 12)
 REG = "id string, name string, url string, events_url string, category string, state string, area string, status string, trust string, refresh string, tier string, autopromote string"
@@ -199,8 +199,14 @@ def test_streams(spark, tmp_path):
     listings(spark, dict(source_id="b")).write.parquet(str(tmp_path / "drop"))
     kept = {"cache": listings(spark, dict(source_id="a")).withColumn("snapshot_at", F.lit("2026-10-01").cast("timestamp_ntz"))}
     drops = spark.readStream.schema(LST).parquet(str(tmp_path / "drop"))
-    history_stream(drops, lambda: kept["cache"], lambda df: kept.update(cache=io.written(df)), AS_OF, str(tmp_path / "c2")).start().awaitTermination()
-    assert sorted(r.source_id for r in kept["cache"].collect()) == ["a", "b"]
+    kept["series"] = spark.createDataFrame([], "key string, title string, venue string, city string, area string, category string, too_frequent boolean")
+    kept["occurrences"] = spark.createDataFrame([], "key string, year int, date string, title string, source_count int, url string")
+    kept["stats"] = spark.createDataFrame([("2026-10-01", 5)], "date string, raw long")
+    stores = Stores(kept.get, kept.__setitem__, ("cache", "series", "stats"))
+    for turn in ("c2", "c3"):  # a batch that runs again leaves the same stores
+        history_stream(drops, stores, registry(spark, *REGS), AS_OF, str(tmp_path / turn)).start().awaitTermination()
+        assert sorted(r.source_id for r in kept["cache"].collect()) == ["a", "b"]
+        assert kept["occurrences"].count() == kept["series"].count() == 1 and kept["stats"].count() == 2
 
 
 def test_gates_keep_rows_from_helpers(spark):
@@ -224,7 +230,7 @@ def test_category_rules(spark):
     assert all(r.got == r.want == r.said for r in df.collect()), df.collect()
 
 
-def test_daily_run(spark):
+def test_daily_run(spark, tmp_path):
     rows = listings(spark, dict(source_id="a", title="Blueberry Festival"), dict(source_id="b", title="Quiet Talk"), dict(source_id="d", title="Library closed"))
     none = lambda s: spark.createDataFrame([], s)
     inputs = daily.Inputs(rows, registry(spark, *REGS), rows.where("false").withColumn("snapshot_at", filters.wall(AS_OF)), none("key string, decision string"), none(COR), none("key string, decision string"),
@@ -234,6 +240,38 @@ def test_daily_run(spark):
         assert [(r.title, r.tabling) for r in out.published.collect()] == [("Blueberry Festival", True)]
         assert [r.title for r in out.queue.collect()] == ["Quiet Talk"] and out.cache.count() == 2 and out.occurrences.count() == 1
     assert daily.daily_run(inputs, AS_OF, only=["a"], exact=True).published.count() == 0
+    inputs.runs = none("source_id string, date string, events long, queued long, carried boolean")
+    inputs.stats = none("date string, raw long, merged long, published long, queued long, active_sources long, categories map<string,long>")
+    out = daily.daily_run(inputs, AS_OF, exact=True)
+    daily.store(out, str(tmp_path / "day"), AS_OF)
+    read = lambda name: spark.read.parquet(str(tmp_path / "day" / name))
+    assert {r.source_id: (r.events, r.queued) for r in read("runs").collect()}["b"] == (1, 1) and read("history").count() == 1
+    assert [r.decision for r in read("decisions").collect()] == [""] and read("counters").first().hidden == 0 and read("snapshot/events").count() == 1
+
+
+def test_blocks_and_series(spark):
+    block = "DTSTART:20260901T090000\nRRULE:FREQ=WEEKLY;BYDAY=TU;INTERVAL=0\nRDATE:20261022T090000\nEXDATE:20261020T090000"
+    got = recur.occurrences_of_block(block, datetime(2026, 9, 1, 9), datetime(2026, 10, 12), datetime(2026, 10, 31))
+    assert got == [datetime(2026, 10, 13, 9), datetime(2026, 10, 22, 9), datetime(2026, 10, 27, 9)]
+    assert recur.occurrences_of_block(block, datetime(2010, 9, 1, 9), datetime(2026, 10, 12), datetime(2026, 10, 31)) == []
+    day = lambda m, d: date(2026, m, d)
+    rows = [
+        (1, "weekly on wednesday", day(10, 7), day(10, 21), None, 600, 660), (2, "", day(10, 12), day(10, 30), [day(10, 14)], None, None), (3, "daily", day(10, 1), day(10, 30), None, None, None),
+        (4, "", day(10, 17), None, None, 600, None), (5, "", day(10, 10), day(10, 13), None, None, None), (6, "when the moon is full", day(10, 1), None, [day(10, 2), day(10, 26)], 60, 30), (7, "daily", day(10, 11), day(10, 13), None, 1140, 1260),
+    ]
+    df = spark.createDataFrame(rows, "id int, recurrence string, first date, last date, listed array<date>, minutes int, end_minutes int")
+    got = sorted((r.id, r.start_at, r.end_at, r.all_day) for r in recur.series_listings(df, day(10, 12)).collect())
+    at = lambda d, h=0, m=0, s=0: datetime(2026, 10, d, h, m, s)
+    assert [(r[0], r[1], r[2]) for r in got] == [
+        (1, at(14, 10), at(14, 11)), (1, at(21, 10), at(21, 11)), (2, at(14), None), (3, at(1), at(30, 23, 59, 59)), (4, at(17, 10), None), (5, at(10), at(13, 23, 59, 59)), (6, at(26, 1), None), (7, at(12, 19), at(12, 21)), (7, at(13, 19), at(13, 21))]
+
+
+def test_feed_presets(spark):
+    bodies = [("weblink", '{"Events":[{"EventName":"A","StartDate":"2026-10-20T00:00:00","StartTime":"7:00 PM","Venue":"Hall","City":"Ely"}]}'), ("mycalendar", '{"events":[{"event_title":"B","occur_begin":"2026-10-20 19:00:00","event_label":"Hall","event_city":"Ely"}]}'),
+              ("evvnt", '{"rawEvents":[{"title":"C","start_time":"2026-10-20T19:00:00","venue":{"name":"Hall","town":"Ely"}}]}'), ("agile", '{"ArrayOfEvent":[{"Name":"D","StartDate":"2026-10-20T19:00:00","Venue":{"Name":"Hall","City":"Ely"}},{"Name":"X","DateTBD":true,"StartDate":"2026-10-20T19:00:00"}]}')]
+    for name, body in bodies:
+        rows = feeds.map_json_feed(spark.createDataFrame([("s", body)], "source_id string, body string"), feeds.PRESETS[name], AS_OF).collect()
+        assert [(r.venue, r.city, r.start_at) for r in rows] == [("Hall", "Ely", datetime(2026, 10, 20, 19))], name
 
 
 def test_entry_without_optional_part(spark):
