@@ -17,8 +17,9 @@ A fixed-size bitmap of the benchmark's windows drops nearly all document windows
 it is exact. The benchmark side is broadcast only while its windows are few, which is checked.
 
 Defined cases. Null or empty texts and items match nothing; items with few literal words match their verbatim copies
-only, and of items shorter than a window the whole template is the window. Longer ones may miss one token of theirs. A null doc_id is judged like any other; rows that repeat a doc_id
-are judged each by its own text. Ties of items go to the smaller item_id. Other columns pass through; the new columns'
+only, and of items shorter than a window the whole template is the window. Longer ones may miss one token of theirs.
+Very long texts are used whole, in memory of the longest. A null doc_id is judged like any other; rows that repeat a
+doc_id are judged each by its own text; rows that repeat an item_id are texts of one item, of which each counts. Ties of items go to the smaller item_id. Other columns pass through; the new columns'
 names give way to the new ones. An empty benchmark leaves all documents clean.
 """
 

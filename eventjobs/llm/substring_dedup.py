@@ -13,7 +13,7 @@ make the later scans cheap; the joins after them are exact. Only documents that
 
 Defined cases. A null text has no words. Coordinates order by doc_id (null first), then word. Rows that repeat a
 doc_id have the same coordinates, so neither is earlier than the other by its place, only by an earlier word.
-Documents shorter than a window keep all words. A word is any run of bytes other than space and \\t to \\r, unchanged.
+Documents shorter than a window keep all words. Very long texts are used whole, in memory of the longest. A word is any run of bytes other than space and \\t to \\r, unchanged.
 Other columns pass through, whatever their names. An empty table gives an empty result.
 """
 
