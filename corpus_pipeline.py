@@ -2,6 +2,11 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's docs. All but the last return the columns of documents.
+
+Defined cases. A null or empty text has the score of the quality model's bias; near no text, it stays in near_copies,
+loses nothing in repeats, is clean, and packs as the end id alone. Rows are judged by their own texts, whatever their
+ids: of whole rows that repeat near_copies keeps one, of rows without a doc_id all. Ties go to the least doc_id, then
+text hash. Very long texts are used whole. Further columns of docs are left out, and an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ from ..sources.io import shared_folder
 from ..streaming import jobs
 from . import daily
 from .bridge import AS_OF, AS_OF_SQL, view
-from .registered import NOT_PUBLIC_SQL, TAB, WINDOW, _query, decisions, listings, no_rules
+from .registered import NOT_PUBLIC_SQL, RULES, STOP, TAB, WINDOW, WORDS, _query, decisions, listings, no_rules
 
 # readers and writers
 
@@ -354,6 +354,33 @@ def g13(spark: SparkSession, d: str) -> DataFrame:
     return feedback.open_reports(rows.withColumn("event", F.concat(F.lit("e"), (F.col("ord") % 50).cast("string"))), done, AS_OF)
 
 
+# rules learned from corrections of the listings' own titles, so that they apply
+
+TITLED = """SELECT concat('k', ord) AS key, ord, CASE WHEN ord % 9 = 0 THEN 'reject' ELSE 'apply' END AS decision, concat('e', ord) AS event, 'category' AS field,
+  CASE WHEN title LIKE '%Concert%' THEN 'music' WHEN title LIKE '%Workshop%' THEN 'education' ELSE 'community' END AS value, category AS was, title, '' AS date, source_id AS source, 'category' AS kind, '1998-06-01' AS decided_at
+FROM {listings} WHERE ord % 2 = 0"""
+BEST = f"""{RULES},
+asked AS (SELECT source_id, title, category, unnest({WORDS.format(stop=STOP, source='source_id')}) AS feature FROM (SELECT DISTINCT source_id, title, category FROM listings)),
+best AS (SELECT source_id, title, category, arg_min(key, (-support, key)) AS key, arg_min(t, (-support, key)) AS t FROM asked JOIN rules ON asked.feature = rules.feature AND category = f GROUP BY 1, 2, 3)"""
+
+
+def titled_rules(spark: SparkSession, d: str) -> DataFrame:
+    corrections = spark.sql(TITLED, listings=listings(spark, d))
+    return feedback.learn_rules(feedback.verdicts(corrections), no_rules(spark))
+
+
+@_query("g8_apply_learned_titles", f"WITH corrections AS ({TITLED.format(listings='listings')}), {BEST} SELECT source_id, title, category AS was, coalesce(t, category) AS category, key AS learned FROM (SELECT DISTINCT source_id, title, category FROM listings) LEFT JOIN best USING (source_id, title, category)", ("listings",))
+def g8t(spark: SparkSession, d: str) -> DataFrame:
+    rows = listings(spark, d).select("source_id", "title", "category").distinct().withColumns({"was": F.col("category"), "row": F.concat_ws("|", "source_id", "title", "category")})
+    return feedback.apply_learned(rows, titled_rules(spark, d), "row").select("source_id", "title", "was", "category", "learned")
+
+
+@_query("g9_rule_usage_titles", f"WITH corrections AS ({TITLED.format(listings='listings')}), {BEST} SELECT key, count(*) AS applied FROM best GROUP BY 1", ("listings",))
+def g9t(spark: SparkSession, d: str) -> DataFrame:
+    rows = listings(spark, d).select("source_id", "title", "category").distinct().withColumn("row", F.concat_ws("|", "source_id", "title", "category"))
+    return feedback.rule_usage(feedback.apply_learned(rows, titled_rules(spark, d), "row"))
+
+
 # reports and runs
 
 
