@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import NULL_DOC, Words, bitmap, in_bitmap, mix, passes, powers, rolled, rows_by_bitmap, trimmed, written
+from .shared import NULL_DOC, Words, bitmap, in_bitmap, mix, powers, rolled, rows_by_bitmap, text_passes, trimmed, written
 
 # Number words and units.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
@@ -187,9 +187,8 @@ def _item_windows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.R
 
 def _document_windows(batches: Iterator[pa.RecordBatch], p: Params, bits: np.ndarray, widths: list[int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = _texts(batch.column(2))
-        for a, b in passes(texts):
-            first = Template(texts[a:b])
+        for a, _, texts in text_passes(batch.column(2)):
+            first = Template(texts)
             second = first.other()
             changed = np.concatenate([[0], np.cumsum(first.kind != second.kind)])
             for n, t in [(n, t) for n in widths for t in (first, second)]:

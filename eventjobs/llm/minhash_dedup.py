@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, bitmap, forget, in_bitmap, mix, passes, rolled, spread, written
+from .shared import Words, bitmap, forget, in_bitmap, mix, release, rolled, spread, text_passes, written
 
 
 @dataclass(frozen=True)
@@ -124,10 +124,9 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa
     scale = rng.integers(0, 1 << 31, size=p.positions, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     shift = rng.integers(0, 1 << 32, size=p.positions, dtype=np.uint32)
     for batch in batches:
-        texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        for a, b in passes(texts):
+        for a, b, texts in text_passes(batch.column(1)):
             sizes, ones, twos, signatures = [], [], [], []
-            for s in shingle_sets(texts[a:b], p.shingle):
+            for s in shingle_sets(texts, p.shingle):
                 sizes.append(s.size)
                 ones.append(int(np.sum(mix(s + np.uint64(1)))) if s.size else None)
                 twos.append(int(np.sum(mix(s ^ np.uint64(0x5851F42D4C957F2D)))) if s.size else None)
@@ -279,6 +278,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Rec
         keep = np.concatenate(keep) if keep else np.zeros(0, dtype=np.int64)
         groups = np.concatenate(groups) if groups else np.zeros(0, dtype=np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(nodes[keep]), pa.array(components[keep]), pa.array([rows[k] for k in keep.tolist()], pa.binary())], names=["cell", "node", "component", "sketch"])
+    release()
 
 
 def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -317,16 +317,16 @@ def _linked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordB
                     left.append(nodes[k])
                     right.append(nodes[j])
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+    release()
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], p: Params, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         keep = np.flatnonzero(in_bitmap(bits, mix(ids.astype(np.int64).view(np.uint64)).view(np.int64))) if len(ids) else []
-        texts = [t or b"" for t in batch.column(1).take(pa.array(keep, pa.int64())).cast(pa.binary()).to_pylist()]
-        for a, b in passes(texts):
+        for _, _, texts in text_passes(batch.column(1).take(pa.array(keep, pa.int64()))):
             nodes, sets = [], []
-            for s in shingle_sets(texts[a:b], p.shingle):
+            for s in shingle_sets(texts, p.shingle):
                 if s.size:
                     one = int(np.sum(mix(s + np.uint64(1))))
                     nodes.append(one - (one >> 63 << 64))

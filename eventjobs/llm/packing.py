@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import release
 from .tokens import encoder
 
 #: Bits of a sequence's number below its partition's.
@@ -75,6 +76,8 @@ def documents_of(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple
             texts = [t or "" for t in part.column(1).to_pylist()]
             for doc_id, ids in zip(part.column(0).to_pylist(), encode.ids(texts), strict=True):
                 yield doc_id, np.concatenate([ids, end])
+    encode.rest()
+    release()
 
 
 class _Out:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, mix, passes
+from .shared import Words, mix, passes, text_passes
 
 
 @dataclass(frozen=True)
@@ -130,7 +130,8 @@ def score_quality(documents: DataFrame, model: tuple[np.ndarray, float], p: Para
 
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(scores([t or b"" for t in texts.cast(pa.binary()).to_pylist()], *model, p))
+            parts = [scores(some, *model, p) for _, _, some in text_passes(texts)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     others = [c for c in documents.columns if c != "score"]
     return documents.select(*others, F.arrow_udf(scored, "double")(F.col("text").cast("string")).alias("score"))

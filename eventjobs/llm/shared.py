@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,6 +164,29 @@ def passes(texts: list[bytes | None], most: int = PASS_BYTES) -> Iterator[tuple[
         yield at, len(texts)
 
 
+def text_passes(column: pa.Array, most: int = PASS_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of a text column that hold about so many bytes each, with their texts (null: empty); only these are copied out of it.
+
+    What earlier passes and batches have freed is given back to the system at the end, as a worker lives through many tasks."""
+    raw = column.cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(raw):
+        before = ends[at - 1] if at else 0
+        end = min(len(raw), int(np.searchsorted(ends, before + most)) + 1)
+        yield at, end, [t or b"" for t in raw.slice(at, end - at).to_pylist()]
+        at = end
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def spread(column: str | Column, n: Column | int, salt: int = 0) -> Column:
     """0 to n - 1 by the column's hash."""
     return F.pmod(F.xxhash64(F.col(column) if isinstance(column, str) else column, F.lit(salt)), n if isinstance(n, Column) else F.lit(n))

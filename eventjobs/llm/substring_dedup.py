@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import NULL_DOC, PASS_BYTES, Words, bitmap, in_bitmap, mix, passes, powers, rolled, rows_by_bitmap, written
+from .shared import NULL_DOC, Words, bitmap, in_bitmap, mix, powers, release, rolled, rows_by_bitmap, text_passes, written
 
 #: Words of a window; words of an anchor run.
 WINDOW, ANCHOR = 20, 6
+#: Bytes of text whose anchors are counted together before they are sent.
+ANCHOR_BYTES = 1 << 20
 
 
 class Paths:
@@ -87,24 +89,19 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(_place(*(batch.column(k).to_numpy() for k in range(3))))], names=["h"])
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-
-
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, anchor: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = _texts(batch.column(0))
-        for a, b in passes(texts, PASS_BYTES // 2):
-            found, counts = np.unique(Paths(texts[a:b], window, anchor, contents=False).anchor, return_counts=True)
+        for _, _, texts in text_passes(batch.column(0), ANCHOR_BYTES):
+            found, counts = np.unique(Paths(texts, window, anchor, contents=False).anchor, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["anchor", "n"])
 
 
 def _paths(batches: Iterator[pa.RecordBatch], window: int, anchor: int, bits: np.ndarray, unrolled: bool) -> Iterator[pa.RecordBatch]:
     """The paths whose anchor may be in bits; unrolled: those whose place may be, with the hash of each of their windows."""
     for batch in batches:
-        texts, keys = _texts(batch.column(2)), batch.column(0).to_numpy()
-        for a, b in passes(texts, PASS_BYTES // 2):
-            p = Paths(texts[a:b], window, anchor)
+        keys = batch.column(0).to_numpy()
+        for a, _, texts in text_passes(batch.column(2)):
+            p = Paths(texts, window, anchor)
             if not p.n.size:
                 continue
             named = _place(p.content, keys[p.row + a], p.start) if unrolled else p.anchor.view(np.int64)
@@ -167,8 +164,9 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, spans_at: int | None,
             ends = spans.offsets.to_numpy()
             starts, sizes = (spans.values.field(k).to_numpy(zero_copy_only=False) for k in ("start", "n"))
         kept, digests, words_in, words_out = [], [], [], []
-        for k, (raw, text) in enumerate(zip(_texts(batch.column(text_at)), batch.column(text_at), strict=True)):
-            words = raw.split()
+        for k, text in enumerate(batch.column(text_at)):
+            text = text.as_py()
+            words = (text or "").encode().split()
             n = len(words)
             a, b = ends[k], ends[k + 1]
             if b > a:
@@ -177,12 +175,14 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, spans_at: int | None,
                 np.add.at(cover, np.minimum(starts[a:b] + sizes[a:b], n), -1)
                 words = [words[j] for j in np.flatnonzero(np.cumsum(cover[:-1]) == 0)]
             joined = b" ".join(words)
-            kept.append(joined.decode() if len(words) < n else text.as_py())
+            kept.append(joined.decode() if len(words) < n else text)
             digests.append(hashlib.sha256(joined).hexdigest())
             words_in.append(n)
             words_out.append(n - len(words))
         left = [batch.column(j) for j in range(text_at)]
         yield pa.RecordBatch.from_arrays([*left, pa.array(kept, pa.string()), pa.array(words_in, pa.int64()), pa.array(words_out, pa.int64()), pa.array(digests, pa.string())], names=[*(f"c{j}" for j in range(len(left))), "kept", "n_words", "n_removed", "kept_sha256"])
+        del kept, digests
+        release()
 
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

@@ -17,6 +17,8 @@ from tokenizers import Tokenizer
 
 #: Pieces that a worker keeps the ids of; when it is full it starts again.
 KEPT = 800_000
+#: Pieces that stay in a worker after a task, for the next one.
+RESTING = 100_000
 #: Texts that are looked at together.
 TOGETHER = 256
 _PIECE = re.compile(r"[ \n]?[^ \n]+")
@@ -55,6 +57,11 @@ class Encoder:
             self.known[p] = line + raw[at:end] if p[0] == "\n" else raw[at:end]
             at = end + 4
 
+    def rest(self) -> None:
+        """Lets go of a large table at a task's end."""
+        if len(self.known) > RESTING:
+            self.known = {}
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Of each text, as unsigned 32-bit numbers."""
         out: list[np.ndarray] = []

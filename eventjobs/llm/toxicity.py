@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, mix, passes, powers, trimmed
+from .shared import Words, mix, passes, powers, text_passes, trimmed
 
 SEGMENT = 64
 _PUNCT = np.zeros(256, dtype=bool)
@@ -292,7 +292,8 @@ def score_toxicity(documents: DataFrame, model: Model, p: Params = Params(), wit
 
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield scored([t or b"" for t in texts.cast(pa.binary()).to_pylist()], model, p, with_spans)
+            parts = [scored(some, model, p, with_spans) for _, _, some in text_passes(texts)]
+            yield pa.concat_arrays(parts) if parts else scored([], model, p, with_spans)
 
     found = F.arrow_udf(judged, "score double, spans array<struct<start:bigint,length:bigint,probability:double>>")
     others = [c for c in documents.columns if c not in ("score", "spans")]
