@@ -14,7 +14,8 @@ from ..sources.io import shared_folder
 from ..streaming import jobs
 from . import daily
 from .bridge import AS_OF, AS_OF_SQL, view
-from .registered import NOT_PUBLIC_SQL, RULES, STOP, TAB, WINDOW, WORDS, _query, decisions, listings, no_rules
+from .registered import WORDS as FEATURES
+from .registered import NOT_PUBLIC_SQL, RULES, STOP, TAB, WINDOW, _query, decisions, listings, no_rules
 
 # readers and writers
 
@@ -360,7 +361,7 @@ TITLED = """SELECT concat('k', ord) AS key, ord, CASE WHEN ord % 9 = 0 THEN 'rej
   CASE WHEN title LIKE '%Concert%' THEN 'music' WHEN title LIKE '%Workshop%' THEN 'education' ELSE 'community' END AS value, category AS was, title, '' AS date, source_id AS source, 'category' AS kind, '1998-06-01' AS decided_at
 FROM {listings} WHERE ord % 2 = 0"""
 BEST = f"""{RULES},
-asked AS (SELECT source_id, title, category, unnest({WORDS.format(stop=STOP, source='source_id')}) AS feature FROM (SELECT DISTINCT source_id, title, category FROM listings)),
+asked AS (SELECT source_id, title, category, unnest({FEATURES.format(stop=STOP, source="source_id")}) AS feature FROM (SELECT DISTINCT source_id, title, category FROM listings)),
 best AS (SELECT source_id, title, category, arg_min(key, (-support, key)) AS key, arg_min(t, (-support, key)) AS t FROM asked JOIN rules ON asked.feature = rules.feature AND category = f GROUP BY 1, 2, 3)"""
 
 
