@@ -445,7 +445,7 @@ def similar_sets(sets: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
         if not large.any():
             break
         trail.append(large)
-    asked = candidates(_cells(_blocks(_gathered(leaves, p), p)), p).join(tested.select("cell").distinct(), "cell", "left_anti")
+    asked = written(candidates(_cells(_blocks(_gathered(leaves, p), p)), p).join(tested.select("cell").distinct(), "cell", "left_anti"))
     further = confirmed(asked, sets, documents, p)
 
     # 3. The components that the trees' links join.
