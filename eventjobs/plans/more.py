@@ -359,7 +359,7 @@ def g13(spark: SparkSession, d: str) -> DataFrame:
 
 TITLED = """SELECT concat('k', ord) AS key, ord, CASE WHEN ord % 9 = 0 THEN 'reject' ELSE 'apply' END AS decision, concat('e', ord) AS event, 'category' AS field,
   CASE WHEN title LIKE '%Concert%' THEN 'music' WHEN title LIKE '%Workshop%' THEN 'education' ELSE 'community' END AS value, category AS was, title, '' AS date, source_id AS source, 'category' AS kind, '1998-06-01' AS decided_at
-FROM {listings} WHERE ord % 2 = 0"""
+FROM {listings} WHERE ord IN (SELECT ord FROM {listings} GROUP BY ord HAVING count(*) = 1)"""
 BEST = f"""{RULES},
 asked AS (SELECT source_id, title, category, unnest({FEATURES.format(stop=STOP, source="source_id")}) AS feature FROM (SELECT DISTINCT source_id, title, category FROM listings)),
 best AS (SELECT source_id, title, category, arg_min(key, (-support, key)) AS key, arg_min(t, (-support, key)) AS t FROM asked JOIN rules ON asked.feature = rules.feature AND category = f GROUP BY 1, 2, 3)"""
