@@ -143,12 +143,13 @@ def e6(spark: SparkSession, d: str) -> DataFrame:
 
 # extraction from pages and feeds that Spark makes of the listings, so that the listing is the expected result
 
-ISO = F.date_format("start_at", "yyyy-MM-dd'T'HH:mm:ss")
+def iso():
+    return F.date_format("start_at", "yyyy-MM-dd'T'HH:mm:ss")
 
 
 @_query("b2_extract_microdata", "SELECT ord AS page_id, title, strftime(start_at, '%Y-%m-%dT%H:%M:%S') AS start_text, coalesce(nullif(venue, ''), city) AS venue, city FROM listings", ("listings",))
 def b2(spark: SparkSession, d: str) -> DataFrame:
-    item = F.concat(F.lit('<div itemscope itemtype="https://schema.org/MusicEvent"><h2 itemprop="name">'), F.col("title"), F.lit('</h2><time itemprop="startDate" datetime="'), ISO, F.lit('">x</time><div itemprop="location" itemscope itemtype="https://schema.org/Place"><span itemprop="name">'),
+    item = F.concat(F.lit('<div itemscope itemtype="https://schema.org/MusicEvent"><h2 itemprop="name">'), F.col("title"), F.lit('</h2><time itemprop="startDate" datetime="'), iso(), F.lit('">x</time><div itemprop="location" itemscope itemtype="https://schema.org/Place"><span itemprop="name">'),
                     F.col("venue"), F.lit('</span><span itemprop="addressLocality">'), F.col("city"), F.lit("</span></div></div>"))
     pages = listings(spark, d).select(F.col("ord").alias("page_id"), F.lit("https://a.example/").alias("url"), F.concat(F.lit("<html><body>"), item, item, F.lit("</body></html>")).alias("html"))
     return ex.extract_microdata(pages).select("page_id", "title", "start_text", "venue", "city")
@@ -180,13 +181,14 @@ def _made(spark: SparkSession, d: str, *parts) -> DataFrame:
     return listings(spark, d).select(F.col("ord").alias("page_id"), F.lit("https://a.example/events").alias("url"), body.alias("html"))
 
 
-NUMBER = F.col("ord").cast("string")
+def number():
+    return F.col("ord").cast("string")
 
 
 @_query("b10_html_blocks_made", """
 SELECT ord AS page_id, 'Coming up' AS heading, unnest([concat('First: ', title), concat('Second item, ', ord)]) AS block FROM listings UNION ALL SELECT ord, 'Coming up', 'Coming up' FROM listings""", ("listings",))
 def b10m(spark: SparkSession, d: str) -> DataFrame:
-    pages = _made(spark, d, "<nav><p>Not this one here</p></nav><h2>Coming up</h2><p>First: ", F.col("title"), "</p><ul><li>Second item, ", NUMBER, "</li><li>short</li></ul><p>First: ", F.col("title"), "</p><footer><p>Nor this one here</p></footer>")
+    pages = _made(spark, d, "<nav><p>Not this one here</p></nav><h2>Coming up</h2><p>First: ", F.col("title"), "</p><ul><li>Second item, ", number(), "</li><li>short</li></ul><p>First: ", F.col("title"), "</p><footer><p>Nor this one here</p></footer>")
     return ex.html_blocks(pages).select("page_id", "heading", "block")
 
 
@@ -199,7 +201,7 @@ def b11m(spark: SparkSession, d: str) -> DataFrame:
 @_query("b16_candidate_links_made", """
 SELECT ord AS page_id, CAST(k AS INTEGER) AS rank, CASE k WHEN 1 THEN concat('https://a.example/calendar/', ord) WHEN 2 THEN 'https://a.example/about' ELSE 'https://a.example/team' END AS link FROM (SELECT DISTINCT ord FROM listings), (SELECT unnest([1, 2, 3]) AS k)""", ("listings",))
 def b16m(spark: SparkSession, d: str) -> DataFrame:
-    pages = _made(spark, d, '<a href="/about">About</a><a href="https://b.example/events">Other</a><a href="/team#x">Team</a><a href="/calendar/', NUMBER, '">Calendar</a><a href="/file.pdf">File</a><a href="/about">Again</a>')
+    pages = _made(spark, d, '<a href="/about">About</a><a href="https://b.example/events">Other</a><a href="/team#x">Team</a><a href="/calendar/', number(), '">Calendar</a><a href="/file.pdf">File</a><a href="/about">Again</a>')
     return ex.candidate_links(pages).select("page_id", "rank", "link")
 
 
@@ -208,7 +210,7 @@ WITH o AS (SELECT DISTINCT ord FROM listings)
 SELECT ord AS page_id, 'rss' AS kind, CAST(1 AS INTEGER) AS rank, 'https://a.example/feed' AS feed FROM o UNION ALL SELECT ord, 'ics', 1, concat('https://a.example/cal-', ord, '.ics') FROM o
 UNION ALL SELECT ord, 'ics', 2, concat('https://calendar.google.com/calendar/ical/c', ord, '%40group.example/public/basic.ics') FROM o""", ("listings",))
 def b17m(spark: SparkSession, d: str) -> DataFrame:
-    pages = _made(spark, d, '<link rel="alternate" type="application/rss+xml" href="/feed"><a href="webcal://a.example/cal-', NUMBER, '.ics">ics</a><a href="/cal-', NUMBER, '.ics">again</a><iframe src="https://calendar.google.com/calendar/embed?src=c', NUMBER, '%40group.example&amp;ctz=x"></iframe>')
+    pages = _made(spark, d, '<link rel="alternate" type="application/rss+xml" href="/feed"><a href="webcal://a.example/cal-', number(), '.ics">ics</a><a href="/cal-', number(), '.ics">again</a><iframe src="https://calendar.google.com/calendar/embed?src=c', number(), '%40group.example&amp;ctz=x"></iframe>')
     return ex.discover_feeds(pages).select("page_id", "kind", "rank", "feed")
 
 
@@ -222,7 +224,7 @@ def b18m(spark: SparkSession, d: str) -> DataFrame:
 def c2m(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.text import html_to_text
 
-    return _made(spark, d, "<style>p {}</style><h1>", F.col("title"), "</h1>\n\n<p>&amp;&nbsp;", NUMBER, "</p><script>x</script>").select("page_id", html_to_text("html").alias("text"))
+    return _made(spark, d, "<style>p {}</style><h1>", F.col("title"), "</h1>\n\n<p>&amp;&nbsp;", number(), "</p><script>x</script>").select("page_id", html_to_text("html").alias("text"))
 
 
 @_query("c3_clean_description_all", """SELECT ord, CASE WHEN starts_with(description, 'A%20') THEN 'A night of music' WHEN starts_with(description, '<b>') THEN 'Doors open & more' WHEN starts_with(description, '.x ') THEN 'story' ELSE description END AS description FROM listings""", ("listings",))
@@ -309,7 +311,7 @@ def g2(spark: SparkSession, d: str) -> DataFrame:
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     end = F.date_format(F.col("start_at") + F.expr("interval 2 hours"), "yyyy-MM-dd'T'HH:mm:ss")
     kind = F.col("ord") % 4
-    said = F.when(kind == 0, F.concat(ISO, F.lit(" / "), end)).when(kind == 1, F.concat(day("start_at"), F.lit("/"), day(F.date_add("start_at", 1)))).when(kind == 2, ISO).otherwise(F.concat(F.lit("on "), day("start_at")))
+    said = F.when(kind == 0, F.concat(iso(), F.lit(" / "), end)).when(kind == 1, F.concat(day("start_at"), F.lit("/"), day(F.date_add("start_at", 1)))).when(kind == 2, iso()).otherwise(F.concat(F.lit("on "), day("start_at")))
     return listings(spark, d).select("ord", parse_when(said).alias("w")).select("ord", "w.start_at", "w.end_at", "w.all_day")
 
 
@@ -321,7 +323,7 @@ def reported(spark: SparkSession, d: str) -> DataFrame:
     rows, n = listings(spark, d).withColumn("_once", once).where("_once = 1").drop("_once"), F.col("ord") % 6
     kind = F.when(n == 0, "date").when(n == 1, "category").when(n == 2, "location").when(n == 3, "title").when(n == 4, "link").otherwise("other")
     value = F.struct(F.lit("1998-07-04").alias("date"), F.lit("18:00").alias("start"), F.when(F.col("ord") % 4 < 2, "20:00").otherwise("").alias("end"), F.lit("music").alias("category"), F.lit("Hall").alias("venue"), F.lit("").alias("city"), F.lit("MN").alias("state"), F.lit("New title").alias("title"), F.lit("https://new.example/").alias("url"))
-    shown = F.struct(ISO.alias("start"), F.lit("").alias("end"), "category", "venue", "city", "state", "title", "url", "source_id")
+    shown = F.struct(iso().alias("start"), F.lit("").alias("end"), "category", "venue", "city", "state", "title", "url", "source_id")
     return rows.select(F.concat(F.lit("r"), F.col("ord").cast("string")).alias("id"), "ord", kind.alias("kind"), F.concat(F.lit("e"), F.col("ord").cast("string")).alias("event"), F.col("start_at").alias("at"), value.alias("value"), shown.alias("snapshot"))
 
 
