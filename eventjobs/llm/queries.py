@@ -22,6 +22,7 @@ from .toxicity import train as train_toxicity
 from .substring_dedup import remove_repeats
 from .topk import quantised, top_k
 from .url_filter import judge_urls
+from .whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,6 +122,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A long holds the deviation of vectors of unit length up to some millions of them; beyond it is null here, and whole in the operator's decimal.
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -133,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_harmonic_packing": op9_harmonic_packing,
         "op7_substring_dedup": op7_substring_dedup,
         "op10_url_filter": op10_url_filter,
+        "op11_whitening": op11_whitening,
         "pipeline": pipeline,
     }
 
