@@ -22,7 +22,8 @@ SELECT concat('s', CAST(s_suppkey AS STRING)) AS id, s_name AS name,
   CASE WHEN s_suppkey % 20 = 19 THEN 'todo' ELSE 'active' END AS status
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey"""),
     "listings": (("lineitem", "part", "supplier", "nation"), """
-SELECT concat('s', CAST(l_suppkey AS STRING)) AS source_id, l_orderkey * 10 + l_linenumber AS ord,
+SELECT concat('s', CAST(l_suppkey AS STRING)) AS source_id,
+  ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + (extract(YEAR FROM l_shipdate) - 1990) * 400 + extract(DOY FROM l_shipdate) AS ord,
   concat(CASE WHEN l_orderkey % 97 = 0 THEN 'CANCELLED: ' ELSE '' END, p_name, ' ',
     CASE p_type WHEN 'STANDARD' THEN 'Festival' WHEN 'ECONOMY' THEN 'Concert' WHEN 'MEDIUM' THEN 'Workshop' WHEN 'PROMO' THEN 'Board Meeting' WHEN 'LARGE' THEN 'Fish Fry' ELSE '12th Annual Parade' END,
     CASE WHEN l_linenumber = 7 THEN ' closed' WHEN l_partkey % 13 = 0 THEN ' 1998' ELSE '' END) AS title,

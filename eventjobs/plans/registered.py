@@ -43,7 +43,7 @@ def _duck(sql: str, views: tuple[str, ...]) -> str:
 
 
 def _whole(name: str, of: str, *changes: tuple[str, str]) -> Callable[[Query], Query]:
-    """Registers a query over all listings: its SQL is that of a sampled query without the sampling."""
+    """Registers a query over all listings, under its own name and that of the sampled query, whose SQL it has without the sampling."""
     sql = SQL[of]
     for old, new in changes:
         if old not in sql:
@@ -51,7 +51,8 @@ def _whole(name: str, of: str, *changes: tuple[str, str]) -> Callable[[Query], Q
         sql = sql.replace(old, new)
 
     def put(f: Query) -> Query:
-        QUERIES[name], SQL[name] = f, sql
+        QUERIES[name] = QUERIES[of] = f
+        SQL[name] = SQL[of] = sql
         return f
 
     return put

@@ -42,17 +42,17 @@ def test_similar_titles_of_days(spark, monkeypatch):
     assert {(d, a, e, b) if d < e else (d, *sorted((a, b))) for d, a, e, b in got} == want and len(got) == len(want) and good.count() > 0
 
 
-def sequential(rows, high):
+def sequential(rows, high, last=lambda k: k):
     """The definition: one listing after another, each to the first cluster that takes it."""
     rich = lambda r: sum(bool(r.get(k)) for k in ("description", "venue", "image", "price", "end_at"))
-    order = sorted(range(len(rows)), key=lambda k: (rows[k]["start_at"], not high.get(rows[k]["source_id"], False), rows[k]["inferred"], -rich(rows[k]), k))
-    clusters, out = [], {}
+    order = sorted(range(len(rows)), key=lambda k: (rows[k]["start_at"], not high.get(rows[k]["source_id"], False), rows[k]["inferred"], -rich(rows[k]), last(k)))
+    by_day, out = {}, {}
     for k in order:
         r = rows[k]
         taken = None
         for slack in (1, 0):
-            for c in clusters:
-                if taken or (r["start_at"].date() - c["day"]).days != slack or not plain(r["title"]) or not plain(c["title"]):
+            for c in by_day.get(r["start_at"].date() - timedelta(slack), ()):
+                if taken or not plain(r["title"]) or not plain(c["title"]):
                     continue
                 if any(s == r["source_id"] and t != r["start_at"] for s, t in c["listings"]) and (r["source_id"], r["start_at"]) not in c["listings"]:
                     continue
@@ -67,20 +67,54 @@ def sequential(rows, high):
                     taken = c
         if taken is None:
             taken = {"rep": k, "day": r["start_at"].date(), "title": r["title"], "city": "", "venue": "", "listings": set()}
-            clusters.append(taken)
+            by_day.setdefault(taken["day"], []).append(taken)
         taken["listings"].add((r["source_id"], r["start_at"]))
         taken["city"], taken["venue"] = taken["city"] or r["city"], taken["venue"] or r["venue"]
         out[k] = taken["rep"]
     return out
 
 
+def placed(spark, rows, ords, **cuts):
+    """The clusters of rows as sets of their numbers, by the operator and by the definition; the summaries and rounds."""
+    df = listings(spark, *rows).withColumn("at", F.col("ord")).drop("ord").join(spark.createDataFrame(list(enumerate(ords)), "at long, ord long"), "at").repartition(3)
+    ranked = resolve.with_rank(df, registry(spark, *REGS)).select("source_id", F.col("rank.trust").alias("trust")).distinct().collect()
+    found, latest, rounds = resolve.placed_rows(df, registry(spark, *REGS), **cuts)
+    got = {r.at: r for r in found.select("at", "ord", "row", "cluster").collect()}
+    assert len(got) == len(rows)
+    number = {r.row: at for at, r in got.items()}
+    want = sequential(rows, {r.source_id: r.trust == 0 for r in ranked}, lambda k: (got[k].ord, got[k].row))
+    return {at: number[r.cluster] for at, r in got.items()}, want, latest, rounds
+
+
 @pytest.mark.parametrize(("n", "seed"), [(90, 3), (160, 4)])
 def test_placement_is_the_sequential_one(spark, n, seed):
-    rows = rows_of(n, seed)
-    df = listings(spark, *rows).repartition(3)
-    ranked = resolve.with_rank(df, registry(spark, *REGS)).select("source_id", F.col("rank.trust").alias("trust")).distinct().collect()
-    got = {r.ord: r.cluster for r in resolve.cluster_listings(df, registry(spark, *REGS)).collect()}
-    assert got == sequential(rows, {r.source_id: r.trust == 0 for r in ranked})
+    got, want, _, rounds = placed(spark, rows_of(n, seed), range(n))
+    assert got == want and rounds == 1
+
+
+def test_segments_of_days_meet_right_with_repeated_ord(spark):
+    """20,000 listings whose input order repeats, one component, cut into many segments that begin wrong and are put right."""
+    rng, rows = random.Random(6), []
+    for k in range(20_000):
+        r = rows_of(1, rng.random())[0]
+        r["start_at"] = datetime(2026, 1, 1) + timedelta(days=rng.randrange(400), hours=rng.choice((10, 19)))
+        rows.append(r)
+    got, want, latest, rounds = placed(spark, rows, [k // 3 % 5_000 for k in range(20_000)], segment=700, warm=1)
+    assert got == want and rounds > 1
+    sizes = {}
+    for r in latest.collect():
+        sizes.setdefault(r.component, []).append(r.segment)
+    assert max(map(len, sizes.values())) > 20
+    starts = [r["start_at"].date() for r in rows]
+    assert max(abs((starts[a] - starts[b]).days) for a, b in got.items()) == 1
+
+
+def test_events_keep_their_listings_where_ord_repeats(spark):
+    rows = [dict(source_id=s, title="Harvest Fair", start_at=datetime(2026, 11, d, 10)) for s, d in (("a", 1), ("b", 1), ("a", 9))]
+    df = listings(spark, *rows).withColumn("ord", F.lit(7).cast("long"))
+    events = resolve.group_events(df, registry(spark, *REGS)).collect()
+    assert sorted((e.start_at.day, sorted(e.source_ids)) for e in events) == [(1, ["a", "b"]), (9, ["a"])]
+    assert [tuple(r) for r in resolve.candidate_pairs(df).collect()] == [(7, 7)]
 
 
 def test_same_event_column(spark):
