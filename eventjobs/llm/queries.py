@@ -16,6 +16,7 @@ from .packing import pack_best_fit, pack_harmonic
 from .quality import Params as QualityParams
 from .quality import score_quality
 from .quality import train as train_quality
+from .repair import repair_damaged
 from .toxicity import Params as ToxicityParams
 from .toxicity import score_toxicity
 from .toxicity import train as train_toxicity
@@ -127,6 +128,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_substring_dedup": op7_substring_dedup,
         "op10_url_filter": op10_url_filter,
         "op11_whitening": op11_whitening,
+        "op12_conversation_repair": op12_conversation_repair,
         "pipeline": pipeline,
     }
 
@@ -209,6 +215,48 @@ GROUP BY n, page_id, host, path
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+sums AS (
+  SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))), 4294967295::BIGINT) % 20 AS what FROM base),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy FROM sums WHERE what <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM damaged),
+turns AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM numbered),
+follows(role, i, j) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+inserts(i, j, cost, edits) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (1, 2, 5, 'I'), (3, 2, 5, 'I'), (2, 3, 5, 'I'), (0, 3, 10, 'II'), (1, 3, 10, 'II')),
+done AS (
+  SELECT DISTINCT t.initial, t.fault, e.i, e.j, e.cost + CASE WHEN t.fault = 'truncated' AND e.edit <> 'D' THEN 5 ELSE 0 END AS cost, e.edit FROM turns t, (
+    SELECT i, j, role, 0 AS cost, 'K' AS edit FROM follows UNION ALL SELECT i, j, NULL, 1, 'R' FROM follows WHERE role <> 's' UNION ALL SELECT x, x, NULL, 2, 'D' FROM (SELECT unnest(range(4)) AS x)) e
+  WHERE (e.edit <> 'K' OR e.role = t.initial) AND (e.edit = 'D' OR t.fault IN ('', 'truncated'))),
+best(conv_id, n, state, b) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': ''} FROM turns
+  UNION ALL
+  SELECT p.conv_id, p.n + 1, d.j, min({'cost': p.b.cost + x.cost + d.cost, 'audit': p.b.audit || x.edits || d.edit})
+  FROM best p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.n + 1 JOIN inserts x ON x.i = p.state JOIN done d ON d.initial = t.initial AND d.fault = t.fault AND d.i = x.j GROUP BY ALL),
+counts AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id),
+chosen AS (
+  SELECT c.conv_id, min({'cost': p.b.cost + x.cost, 'audit': p.b.audit || x.edits}) AS b FROM counts c JOIN best p ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.n = c.n JOIN inserts x ON x.i = p.state AND x.j IN (0, 3) GROUP BY ALL),
+edits AS (SELECT conv_id, unnest(range(1, length(b.audit) + 1)) AS p, b.audit AS audit FROM chosen),
+lines AS (
+  SELECT e.conv_id, p, substr(audit, p, 1) AS edit, t.role, t.text, p - 1 - length(regexp_replace(substr(audit, 1, p - 1), '[^D]', '', 'g')) AS line
+  FROM (SELECT *, length(replace(substr(audit, 1, p), 'I', '')) AS i FROM edits) e LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.i = e.i AND substr(audit, p, 1) <> 'I' WHERE substr(audit, p, 1) <> 'D'),
+said AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (line - begins) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || coalesce(CASE WHEN edit <> 'I' THEN text END, ''), chr(10) ORDER BY p) AS repaired
+  FROM (SELECT *, max(CASE WHEN line = 0 AND edit = 'K' AND role[1] = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS begins FROM lines) GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(c.b.cost, 0) AS BIGINT) AS cost, coalesce(c.b.audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts USING (conv_id) LEFT JOIN chosen c USING (conv_id) LEFT JOIN said USING (conv_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": OP1_SQL,
@@ -216,4 +264,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_format": OP6_SQL,
         "op7_substring_dedup": OP7_SQL,
         "op10_url_filter": OP10_SQL,
+        "op12_conversation_repair": OP12_SQL,
     }
