@@ -16,6 +16,7 @@ from .packing import pack_best_fit, pack_harmonic
 from .quality import Params as QualityParams
 from .quality import score_quality
 from .quality import train as train_quality
+from .recurrent import score_documents
 from .repair import repair_damaged
 from .toxicity import Params as ToxicityParams
 from .toxicity import score_toxicity
@@ -132,6 +133,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op13_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 5) != 1)
+    return done.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -146,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_url_filter": op10_url_filter,
         "op11_whitening": op11_whitening,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_recurrent_lm": op13_recurrent_lm,
         "pipeline": pipeline,
     }
 
@@ -224,7 +231,9 @@ sums AS (
 damaged AS (
   SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
     unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy FROM sums WHERE what <> 0),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM damaged),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last FROM damaged),
 turns AS (
   SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
     substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM numbered),
