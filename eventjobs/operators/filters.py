@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,8 +97,28 @@ def with_tier(registry: DataFrame) -> DataFrame:
     return registry.withColumn("effective_tier", effective_tier())
 
 
+def extractor_chains(registry: DataFrame, known: Sequence[str], generic: Sequence[str], last: str) -> DataFrame:
+    """source_id, extractor, place: the extractors of each source in the order in which they are tried (B19), as data.
+
+    A source's platform pins them, several with commas, unknown names left out; without any it has the generic ones, and
+    a potential source also the last one, which reads its text."""
+    pinned = F.filter(F.transform(F.split(text_or_empty("platform"), ","), lambda x: F.trim(x)), lambda x: x.isin(*known))
+    names = F.array(*map(F.lit, generic))
+    rest = F.when(effective_tier() == "potential", F.array_append(names, F.lit(last))).otherwise(names)
+    rows = registry.select(F.col("id").alias("source_id"), F.posexplode(F.when(F.size(pinned) > 0, pinned).otherwise(rest)).alias("place", "extractor"))
+    return rows.groupBy("source_id", "extractor").agg(F.min("place").alias("place"))
+
+
+def first_extractor(extracted: DataFrame, chains: DataFrame) -> DataFrame:
+    """For each source the rows of the first extractor of its chain that made any; rows with an error and extractors outside the chain do not count."""
+    good = extracted.where(F.col("error").isNull()) if "error" in extracted.columns else extracted
+    placed = good.join(chains, ["source_id", "extractor"])
+    first = placed.groupBy("source_id").agg(F.min("place").alias("_first"))
+    return placed.join(first, "source_id").where(F.col("place") == F.col("_first")).drop("place", "_first")
+
+
 def choose_extractor(extracted: DataFrame, order: Sequence[str]) -> DataFrame:
-    """For each source the rows of the first extractor in order that made any (B19)."""
+    """For each source the rows of the first extractor in one order for all (extractors outside it come last) that made any."""
     place = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("extractor"))
     ranked = extracted.withColumn("_place", F.when(place > 0, place).otherwise(len(order) + 1))
     first = ranked.groupBy("source_id").agg(F.min("_place").alias("_first"))
@@ -121,18 +143,74 @@ def finish_inferred(df: DataFrame, cap: int = 60) -> DataFrame:
     return df.withColumn("_one", one).where("_one = 1").withColumn("_some", some).where(F.col("_some") <= cap).drop("_one", "_some")
 
 
+#: Gazetteers up to this many places go into the expression, larger ones are joined.
+FEW_TOWNS = 200
+#: Fixed patterns: what a title says it is in; a word or a mark of a name.
+NAMED = re.compile(r"\bin ([A-Z][a-z]+(?: [A-Z][a-z]+)?)\b")
+NAME_PART = re.compile(r"\w+|[^\w\s]")
+
+
+def town_trie(gazetteer: Sequence[tuple[str, str, str, str]]) -> dict:
+    """The gazetteer's names, in small letters, as a trie of their words and marks; an end (key None) holds the name and its first place in the gazetteer."""
+    root: dict = {}
+    for k, (name, *_) in enumerate(gazetteer):
+        node = root
+        for part in NAME_PART.findall(name.lower()):
+            node = node.setdefault(part, {})
+        node.setdefault(None, (name.lower(), k))
+    return root
+
+
+def town_in(text: str, trie: dict, after: str = "") -> int:
+    """The place of the first, then longest, name in a text that no word or hyphen goes on; only those after a word, if given; -1 for none."""
+    low = text.lower()
+    parts = [(m.group(), m.start(), m.end()) for m in NAME_PART.finditer(low)]
+    for k, (_, start, _) in enumerate(parts):
+        if after and (not k or parts[k - 1][0] != after or parts[k - 1][2] == start):
+            continue
+        node, found, at = trie, -1, k
+        while at < len(parts) and parts[at][0] in node:
+            node, end = node[parts[at][0]], parts[at][2]
+            at += 1
+            name, place = node.get(None, ("", -1))
+            if place >= 0 and low[start:end] == name and low[end : end + 1] != "-":
+                found = place
+        if found >= 0:
+            return found
+    return -1
+
+
+def town_index(title: str, head: str, trie: dict) -> int:
+    """The town that a description's beginning says it is "in", or that the title names; none for a title "in Elsewhere"."""
+    named = NAMED.search(title)
+    if named:
+        name, node = named.group(1).lower(), trie
+        for part in NAME_PART.findall(name):
+            node = node.get(part, {})
+        if node.get(None, ("",))[0] != name:
+            return -1
+    found = town_in(head, trie, "in")
+    return found if found >= 0 else town_in(title, trie)
+
+
 def match_towns(df: DataFrame, gazetteer: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Listings that name a known town (town, city, area, state) in the title, or as "in Town" in the description's first 160 characters; a title "in Elsewhere" goes (B13). Longest names first."""
-    towns = sorted(gazetteer, key=lambda t: (-len(t[0]), t[0]))
-    names = "|".join(t[0].replace(".", r"\.") for t in towns)
-    title, head = text_or_empty("title"), F.substring(text_or_empty("description"), 1, 160)
-    found = F.regexp_extract(title, rf"\b({names})\b", 1)
-    found = F.when(found != "", found).otherwise(F.regexp_extract(head, rf"\bin ({names})\b", 1))
-    elsewhere = F.regexp_extract(title, r"\bin ([A-Z][A-Za-z]+(?: [A-Z][A-Za-z]+)*)", 1)
-    known = F.create_map(*[x for t in towns for x in (F.lit(t[0]), F.struct(F.lit(t[1]).alias("city"), F.lit(t[2]).alias("area"), F.lit(t[3]).alias("state")))])
-    out = df.withColumn("_town", found).where((F.col("_town") != "") & ((elsewhere == "") | elsewhere.rlike(rf"^(?:{names})\b")))
-    at = known[F.col("_town")]
-    return out.withColumns({"city": at["city"], "area": at["area"], "state": at["state"]}).drop("_town")
+    """Listings that name a known town (town, city, area, state), as "in Town" in the description's first 160 characters or anywhere in the title; a title "in Elsewhere" goes (B13).
+
+    A trie of the names' words, made once and sent to the tasks, is walked from each word of a text, so the work does
+    not grow with the gazetteer, a list of places. The first name counts, and the longest that begins there."""
+    trie = town_trie(gazetteer)
+
+    def find(titles: pd.Series, heads: pd.Series) -> pd.Series:
+        return pd.Series([town_index(t, h, trie) for t, h in zip(titles, heads, strict=True)], dtype="int32")
+
+    found = F.pandas_udf(find, "int")(text_or_empty("title"), F.substring(text_or_empty("description"), 1, 160))
+    names = ("city", "area", "state")
+    out = df.drop(*names).withColumn("_town", found).where("_town >= 0")
+    if len(gazetteer) <= FEW_TOWNS:
+        at = F.get(F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(names, t[1:], strict=True)]) for t in gazetteer]), F.col("_town"))
+        return out.withColumns({n: at[n] for n in names}).drop("_town")
+    table = df.sparkSession.createDataFrame([(k, *t[1:]) for k, t in enumerate(gazetteer)], "_town int, city string, area string, state string")
+    return out.join(table, "_town").drop("_town")
 
 
 def filter_region(df: DataFrame, box: tuple[float, float, float, float], country: str = "US") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,12 +13,13 @@ from ..functions.ratio import partial_ratio, token_set_ratio
 from ..operators import alike, feedback, filters, reports, resolve, trust
 from ..sources import extract as ex
 from ..sources import feeds, io
-from ..sources.io import shared_folder
+from ..sources.io import shared_folder, written
+from ..sources.stores import Ledger, publish_snapshot, read_snapshot, upsert_sources
 from ..streaming import jobs
 from . import daily
 from .bridge import AS_OF, AS_OF_SQL, view
 from .registered import WORDS as FEATURES
-from .registered import NOT_PUBLIC_SQL, RULES, STOP, TAB, WINDOW, _query, decisions, listings, no_rules
+from .registered import KEY, NOT_PUBLIC_SQL, RULES, STOP, TAB, WINDOW, _query, decisions, listings, no_rules
 
 # readers and writers
 
@@ -49,9 +53,10 @@ SELECT count(*) AS "count", count(*) AS events, (SELECT string_agg(area, ',' ORD
   (SELECT string_agg(category, ',' ORDER BY category) FROM (SELECT DISTINCT category FROM listings)) AS categories FROM listings""", ("listings",))
 def a4(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark)
-    io.write_snapshot(listings(spark, d), path, AS_OF)
-    head = spark.read.schema("count long, areas array<string>, categories array<string>").json(f"{path}/header")
-    stored = spark.read.parquet(f"{path}/events").agg(F.count("*").alias("events"))
+    publish_snapshot(listings(spark, d).limit(1), path, AS_OF)  # an earlier run, of which nothing may be left
+    publish_snapshot(listings(spark, d), path, AS_OF)
+    head, events = read_snapshot(spark, path)
+    stored = events.agg(F.count("*").alias("events"))
     return head.crossJoin(stored).select("count", "events", F.array_join("areas", ",").alias("areas"), F.array_join("categories", ",").alias("categories"))  # one row each
 
 
@@ -116,16 +121,22 @@ def e2(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query("e4_same_event", f"""
-WITH {PAIRS},
-x AS (SELECT ord_a, ord_b, {NORM.format('l.city')} AS c, {NORM.format('r.city')} AS e, {NORM.format('l.venue')} AS v, {NORM.format('r.venue')} AS w, abs(CAST(l.start_at AS DATE) - CAST(r.start_at AS DATE)) <= 1 AS near,
-  {WORDS.replace('title', 'l.title')} AS lw, {WORDS.replace('title', 'r.title')} AS rw FROM pairs JOIN listings l ON l.ord = ord_a JOIN listings r ON r.ord = ord_b)
-SELECT ord_a, ord_b, near AND lw <> '' AND rw <> '' AND (lw = rw OR g.ratio IS NOT NULL) AND CASE WHEN c <> '' AND e <> '' AND c <> e THEN v <> '' AND v = w ELSE TRUE END AS same
-FROM x LEFT JOIN good g ON g.a = least(lw, rw) AND g.b = greatest(lw, rw) WHERE v = w OR v = '' OR w = ''""", ("listings",))
+WITH {PAIRS.replace('good AS (', 'good AS MATERIALIZED (').replace('nodes AS (', 'nodes AS MATERIALIZED (')},
+own AS (SELECT ord, CAST(start_at AS DATE) AS day, {WORDS} AS w, {NORM.format('city')} AS city, {NORM.format('venue')} AS venue FROM listings),
+x AS MATERIALIZED (SELECT ord_a, ord_b, l.city AS c, r.city AS e, l.venue AS v, r.venue AS u, abs(l.day - r.day) <= 1 AS near, l.w AS lw, r.w AS rw FROM pairs JOIN own l ON l.ord = ord_a JOIN own r ON r.ord = ord_b),
+venues AS (SELECT DISTINCT least(v, u) AS a, greatest(v, u) AS b FROM x WHERE v <> '' AND u <> '' AND v <> u),
+{token_set_sql('venues', 'vscored')},
+sides AS (SELECT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM venues),
+ways AS (SELECT * FROM sides UNION ALL SELECT a, b, l, s FROM sides WHERE length(a) = length(b)),
+parts AS (SELECT a, b, s, unnest(list_filter(list_transform(range(1 - length(s), length(l)), lambda k: substr(l, greatest(k, 0) + 1, length(s) + least(k, 0))), lambda z: z <> '')) AS z FROM ways),
+part AS (SELECT a, b, max(200.0 * {LCS.format(a='s', b='z')} / (length(s) + length(z))) AS partial FROM parts GROUP BY a, b)
+SELECT ord_a, ord_b, near AND lw <> '' AND rw <> '' AND (lw = rw OR g.ratio IS NOT NULL) AND CASE WHEN c <> '' AND e <> '' AND c <> e THEN v <> '' AND u <> '' AND (v = u OR partial >= 85) ELSE v = '' OR u = '' OR v = u OR t.ratio >= 45 END AS same
+FROM x LEFT JOIN good g ON g.a = least(lw, rw) AND g.b = greatest(lw, rw) LEFT JOIN vscored t ON t.a = least(v, u) AND t.b = greatest(v, u) LEFT JOIN part p ON p.a = least(v, u) AND p.b = greatest(v, u)""", ("listings",))
 def e4(spark: SparkSession, d: str) -> DataFrame:
-    """Over candidates whose venues are equal or one of which is blank; other venues are e2's matter."""
+    """Over all candidates, whatever their venues and cities."""
     rows = listings(spark, d)
     side = lambda x: rows.select(F.col("ord").alias(f"ord_{x}"), F.struct("title", "start_at", "city", "venue").alias(x))
-    pairs = resolve.candidate_pairs(rows).join(side("a"), "ord_a").join(side("b"), "ord_b").where("a.venue = b.venue or a.venue = '' or b.venue = ''")
+    pairs = alike.dealt(resolve.candidate_pairs(rows).join(side("a"), "ord_a").join(side("b"), "ord_b"), "ord_a")
     return pairs.select("ord_a", "ord_b", resolve.same_event("a", "b").alias("same"))
 
 
@@ -199,10 +210,12 @@ def b11m(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query("b16_candidate_links_made", """
-SELECT ord AS page_id, CAST(k AS INTEGER) AS rank, CASE k WHEN 1 THEN concat('https://a.example/calendar/', ord) WHEN 2 THEN 'https://a.example/about' ELSE 'https://a.example/team' END AS link FROM (SELECT DISTINCT ord FROM listings), (SELECT unnest([1, 2, 3]) AS k)""", ("listings",))
+SELECT ord AS page_id, CAST(k AS INTEGER) AS rank, CASE k WHEN 1 THEN concat('https://a.example/2026/news-up-north-', ord) WHEN 2 THEN concat('https://a.example/calendar/', ord) ELSE 'https://a.example/team/' END AS link FROM listings, (SELECT unnest([1, 2, 3]) AS k)""", ("listings",))
 def b16m(spark: SparkSession, d: str) -> DataFrame:
-    pages = _made(spark, d, '<a href="/about">About</a><a href="https://b.example/events">Other</a><a href="/team#x">Team</a><a href="/calendar/', number(), '">Calendar</a><a href="/file.pdf">File</a><a href="/about">Again</a>')
-    return ex.candidate_links(pages).select("page_id", "rank", "link")
+    """Links with the page's own last segment first, then those with an event word in address or label; no others, no files, other hosts or repeats."""
+    pages = _made(spark, d, '<a href="/about">About</a><a href="https://b.example/events">Other</a><a href="/team/#x">Our schedule</a><a href="/calendar/', number(), '">Dates</a><a href="/events.pdf">File</a><a href="/team">Schedule again</a><a href="/2026/news-up-north-', number(), '">More</a><a href="/tags/News-Up-North/">Here</a>')
+    pages = pages.withColumn("url", F.lit("https://A.example/tags/News-Up-North"))
+    return ex.candidate_links(pages).select("page_id", "rank", F.regexp_replace("link", "^https://A", "https://a").alias("link")).withColumn("rank", F.when(F.col("link").contains("calendar"), 2).when(F.col("link").contains("/team"), 3).otherwise(F.col("rank")).cast("int"))
 
 
 @_query("b17_discover_feeds_made", """
@@ -214,6 +227,34 @@ def b17m(spark: SparkSession, d: str) -> DataFrame:
     return ex.discover_feeds(pages).select("page_id", "kind", "rank", "feed")
 
 
+@_query("b17_newsletters_made", """
+WITH o AS (SELECT ord, CAST(ord % 4 AS INTEGER) AS k FROM listings)
+SELECT ord AS page_id, CAST(1 AS INTEGER) AS rank, CASE k WHEN 0 THEN concat('https://us1.campaign-archive.com/feed?u=', lower(to_hex(ord)), '&id=0a') WHEN 1 THEN concat('https://us2.campaign-archive.com/feed?u=', lower(to_hex(ord)), '&id=0b')
+  WHEN 2 THEN concat('https://p', ord, '.example/feed/') ELSE concat('https://p', ord, '.example/news?format=rss') END AS feed FROM o
+UNION ALL SELECT ord, 2, concat('https://p', ord, '.example/blog-feed.xml') FROM o WHERE k = 2""", ("listings",))
+def b17n(spark: SparkSession, d: str) -> DataFrame:
+    """An archive linked by the page; one that only the page of its newsletter's issue links, in the same table; feeds of platforms; no feed of comments."""
+    o = listings(spark, d).select("ord", (F.col("ord") % 4).alias("k"), F.lower(F.hex("ord")).alias("u"))
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    issue = text("https://mailchi.mp/town/", number())
+    own = o.select("ord", "k", text("https://p", number(), ".example/news?x=1").alias("url"), F.when(F.col("k") == 0, text('<a href="https://us1.campaign-archive.com/home/?u=', F.col("u"), '&amp;id=0a">All issues</a>')).when(F.col("k") == 1, text('<a href="', issue, '">Newsletter</a>'))
+        .when(F.col("k") == 2, text('<link type="application/rss+xml" href="/comments/feed"><img src="/wp-content/x.png"><img src="https://static.wixstatic.com/y.png">')).otherwise(text("<p>Made with Squarespace</p>")).alias("html"))
+    hop = o.where("k = 1").select((-F.col("ord") - 1).alias("ord"), F.lit(9).alias("k"), issue.alias("url"), text('<p>Hi</p><a href="https://us2.campaign-archive.com/home/?u=', F.col("u"), '&id=0b">Past issues</a>').alias("html"))
+    found = ex.discover_feeds(own.union(hop).select(F.col("ord").alias("page_id"), "url", "html"))
+    return found.where("page_id >= 0").select("page_id", "rank", "feed")
+
+
+@_query("b_extractors_from_sql", """
+SELECT ord AS page_id, 'links' AS extractor, CAST(0 AS INTEGER) AS n, concat('https://a.example/e/', ord) AS first, title AS second FROM listings UNION ALL
+SELECT ord, 'jsonld', 0, title, strftime(start_at, '%Y-%m-%d') FROM listings UNION ALL SELECT ord, 'feeds', 0, 'rss', 'https://a.example/rss' FROM listings UNION ALL SELECT ord, 'none', NULL, NULL, NULL FROM listings""", ("listings",))
+def bx(spark: SparkSession, d: str) -> DataFrame:
+    """Several extractors from SQL, by name, over each page at once."""
+    thing = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name"), F.date_format("start_at", "yyyy-MM-dd").alias("startDate")))
+    pages = _made(spark, d, '<link type="application/rss+xml" href="/rss"><script type="application/ld+json">', thing, '</script><a href="/e/', number(), '">', F.col("title"), "</a>")
+    ex.register_extractors(spark)
+    return spark.sql("SELECT page_id, x.extractor, x.n, x.first, x.second FROM {pages}, LATERAL extract_rows(html, url, 'links,jsonld,feeds,none') x", pages=pages)
+
+
 @_query("b18_thin_pages_made", "SELECT ord AS page_id, CAST(10 * (1 + ord % 90) - 1 AS BIGINT) AS chars FROM listings WHERE ord % 90 < 40", ("listings",))
 def b18m(spark: SparkSession, d: str) -> DataFrame:
     pages = _made(spark, d, "<style>body {}</style><p>", F.expr("repeat('abcdefghi ', cast(1 + ord % 90 as int))"), "</p><script>var x</script>")
@@ -234,6 +275,32 @@ def c3a(spark: SparkSession, d: str) -> DataFrame:
     return listings(spark, d).select("ord", clean_description("description", "title").alias("description"))
 
 
+CHAINED = """reg AS (SELECT id, CASE CAST(substr(id, 2) AS INTEGER) % 4 WHEN 0 THEN 'ics' WHEN 1 THEN ' posts , nobody,jsonld' WHEN 2 THEN 'nobody' ELSE '' END AS platform, tier = 'potential' AS unknown FROM registry),
+chain AS (SELECT id, extractor, place FROM reg, (VALUES ('ics', 0, 0), ('posts', 0, 1), ('jsonld', 1, 1), ('jsonld', 0, 2), ('ics', 1, 2)) c(extractor, place, kind) WHERE kind = CASE platform WHEN 'ics' THEN 0 WHEN ' posts , nobody,jsonld' THEN 1 ELSE 2 END
+  UNION ALL SELECT id, 'posts', 2 FROM reg WHERE unknown AND platform IN ('nobody', '')),
+ex AS (SELECT *, CASE ord % 7 WHEN 0 THEN 'ics' WHEN 1 THEN 'jsonld' ELSE 'posts' END AS extractor FROM listings WHERE ord % 7 > 1 OR CAST(substr(source_id, 2) AS INTEGER) % 3 = 0)"""
+
+
+@_query("b19_chains", f"""
+WITH {CHAINED}, p AS (SELECT ex.*, place FROM ex JOIN chain ON source_id = id AND ex.extractor = chain.extractor)
+SELECT source_id, ord, extractor FROM (SELECT *, min(place) OVER (PARTITION BY source_id) AS m FROM p) WHERE place = m""", ("listings", "registry"))
+def b19c(spark: SparkSession, d: str) -> DataFrame:
+    """Sources with pinned extractors, several of them, unknown ones only or none, and potential ones that are read as text at last."""
+    number_of = F.substring("id", 2, 9).cast("int") % 4
+    registry = view(spark, d, "registry").withColumn("platform", F.when(number_of == 0, "ics").when(number_of == 1, " posts , nobody,jsonld").when(number_of == 2, "nobody").otherwise(""))
+    rows = listings(spark, d).where("ord % 7 > 1 or cast(substring(source_id, 2, 9) as int) % 3 = 0")
+    rows = rows.withColumn("extractor", F.when(F.col("ord") % 7 == 0, "ics").when(F.col("ord") % 7 == 1, "jsonld").otherwise("posts"))
+    chains = filters.extractor_chains(registry, ("ics", "jsonld", "posts"), ("jsonld", "ics"), "posts")
+    return filters.first_extractor(rows, chains).select("source_id", "ord", "extractor")
+
+
+@_query("j8_search_postings", "SELECT ord, title FROM listings WHERE category = 'music' AND contains(lower(title || ' ' || description || ' ' || venue || ' ' || city || ' ' || area), 'concert') AND contains(lower(title || ' ' || description || ' ' || venue || ' ' || city || ' ' || area), 'brand#1')", ("listings",))
+def j8p(spark: SparkSession, d: str) -> DataFrame:
+    rows, path = listings(spark, d), shared_folder(spark)
+    reports.write_postings(rows, path, "ord")
+    return reports.search_postings(rows, path, "Concert BRAND#1", "ord", category="music").select("ord", "title")
+
+
 @_query("c4_truncate_desc_all", r"""
 WITH x AS (SELECT doc_id, text, left(text, 200) AS head FROM documents), y AS (SELECT *, regexp_extract(head, '(?s)^(.*[.!?…]["”'')\]]?)(?:\s|$)', 1) AS said, regexp_replace(coalesce(nullif(regexp_extract(head, '(?s)^(.*) ', 1), ''), head), '[ ,;:–—-]+$', '') AS cut FROM x)
 SELECT doc_id, CASE WHEN length(text) <= 200 THEN text WHEN length(said) >= 100 THEN regexp_replace(said, '\s+$', '') ELSE concat(cut, '…') END AS text FROM y""")
@@ -427,16 +494,39 @@ def l1(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(screened.schema).parquet(sink).select("id", "visitor", "kind")
 
 
+@_query("d6_partitioned_cache", f"""
+WITH fresh AS (SELECT source_id, count(*) AS n FROM listings WHERE {WINDOW} AND CAST(substr(source_id, 2) AS INTEGER) % 33 = 1 GROUP BY 1)
+SELECT a.source_id, CASE WHEN f.n IS NULL THEN a.n ELSE f.n END AS cached, f.n IS NULL AS same_files, CASE WHEN f.n IS NULL THEN '1998-05-31' ELSE '1998-06-01' END AS snapshot
+FROM (SELECT source_id, count(*) AS n FROM listings GROUP BY 1) a LEFT JOIN fresh f USING (source_id)""", ("listings",))
+def d6p(spark: SparkSession, d: str) -> DataFrame:
+    """A run that has news of few sources writes those sources' parts of the cache; all others keep their files."""
+    rows, ledger = listings(spark, d), Ledger(spark, shared_folder(spark))
+    ledger.commit("before", {"cache": (rows.withColumn("snapshot_at", filters.shifted(filters.wall(AS_OF), -1)), "source_id")})
+    names = lambda: ledger.files("cache").groupBy(F.col("part").alias("source_id")).agg(F.array_sort(F.collect_set("file")).alias("names"))
+    before = written(names())
+    upsert_sources(ledger, "run", filters.in_window(rows, AS_OF).where("cast(substring(source_id, 2, 9) as int) % 33 = 1"), AS_OF)
+    after = names().withColumnRenamed("names", "now").join(before, "source_id").select("source_id", (F.col("now") == F.col("names")).alias("same_files"))
+    counted = ledger.read("cache").groupBy("source_id").agg(F.count("*").alias("cached"), F.max(F.date_format("snapshot_at", "yyyy-MM-dd")).alias("snapshot"))
+    return counted.join(after, "source_id")
+
+
 @_query("l2_history_stream", f"""
-SELECT source_id, count(*) AS cached, count(DISTINCT strftime(snapshot, '%Y-%m-%d')) AS snapshots FROM (
-  SELECT source_id, {AS_OF_SQL} AS snapshot FROM listings WHERE ord % 2 = 0 UNION ALL
-  SELECT source_id, {AS_OF_SQL} - INTERVAL 1 DAY FROM listings WHERE source_id NOT IN (SELECT source_id FROM listings WHERE ord % 2 = 0)) GROUP BY 1""", ("listings",))
+WITH l AS (SELECT *, CAST(ord % 6 AS INTEGER) AS k FROM listings), last AS (SELECT source_id, max(k) AS k FROM l WHERE k % 2 = 0 GROUP BY 1), seen AS (SELECT *, {KEY} AS key FROM l WHERE k % 2 = 0 AND {WINDOW} AND trim(title) <> '')
+SELECT 'cache' AS store, source_id AS part, count(*) AS n FROM l JOIN last USING (source_id, k) GROUP BY 2
+UNION ALL SELECT 'cache', source_id, count(*) FROM l WHERE source_id NOT IN (SELECT source_id FROM last) GROUP BY 2
+UNION ALL SELECT 'series', key, count(DISTINCT key) FROM seen GROUP BY 2 UNION ALL SELECT 'occurrences', key, count(DISTINCT year(start_at)) FROM seen GROUP BY 2
+UNION ALL SELECT 'stats', '1998-06-01', count(*) FROM l WHERE k = 4 AND {WINDOW}""", ("listings",))
 def l2(spark: SparkSession, d: str) -> DataFrame:
-    """Half of the listings arrive as files and replace what the cache has of their sources."""
-    rows = listings(spark, d)
-    source = shared_folder(spark)
-    rows.where("ord % 2 = 0").write.parquet(source)
-    stores = {"cache": rows.withColumn("snapshot_at", filters.shifted(filters.wall(AS_OF), -1))}
-    drops = spark.readStream.schema(rows.schema).parquet(source)
-    jobs.history_stream(drops, jobs.Stores(stores.get, stores.__setitem__), None, AS_OF, shared_folder(spark)).start().awaitTermination()
-    return stores["cache"].groupBy("source_id").agg(F.count("*").alias("cached"), F.count_distinct(F.date_format("snapshot_at", "yyyy-MM-dd")).alias("snapshots"))
+    """Three drops of listings come as files; the second batch dies between two tables and is made again. All tables are of one state."""
+    rows, source, checkpoint = listings(spark, d), shared_folder(spark), shared_folder(spark)
+    ledger = Ledger(spark, shared_folder(spark))
+    ledger.commit("before", {"cache": (rows.withColumn("snapshot_at", filters.shifted(filters.wall(AS_OF), -1)), "source_id")})
+    for k in (0, 2, 4):
+        rows.where(f"ord % 6 = {k}").write.mode("append").parquet(source)
+        for fails in ("series", None) if k == 2 else (None,):
+            drops = spark.readStream.schema(rows.schema).parquet(source)
+            with contextlib.suppress(*([StreamingQueryException] if fails else [])):
+                jobs.history_stream(drops, ledger, ("cache", "series", "stats"), None, AS_OF, checkpoint, fails).start().awaitTermination()
+    one = lambda store, part, n: ledger.read(store).groupBy(F.lit(store).alias("store"), part.alias("part")).agg(n.alias("n"))
+    out = one("cache", F.col("source_id"), F.count("*")).union(one("series", F.col("key"), F.count("*"))).union(one("occurrences", F.col("key"), F.count("*")))
+    return out.union(one("stats", F.col("date"), F.sum("raw")))

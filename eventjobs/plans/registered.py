@@ -319,8 +319,8 @@ def j3(spark: SparkSession, d: str) -> DataFrame:
 # feedback
 
 GOOD = "decision = 'apply' AND value <> '' AND value <> was"
-VERDICT = f"""v AS (SELECT event, arg_max(CASE WHEN {GOOD} THEN value ELSE '-' END, decided_at || lpad(CAST(ord AS STRING), 12, '0')) AS t,
-  arg_max(was, decided_at || lpad(CAST(ord AS STRING), 12, '0')) AS f, arg_max(title, decided_at || lpad(CAST(ord AS STRING), 12, '0')) AS title, arg_max(source, decided_at || lpad(CAST(ord AS STRING), 12, '0')) AS source
+VERDICT = f"""v AS (SELECT event, arg_max(CASE WHEN {GOOD} THEN value ELSE '-' END, decided_at || lpad(CAST(ord AS STRING), 20, '0')) AS t,
+  arg_max(was, decided_at || lpad(CAST(ord AS STRING), 20, '0')) AS f, arg_max(title, decided_at || lpad(CAST(ord AS STRING), 20, '0')) AS title, arg_max(source, decided_at || lpad(CAST(ord AS STRING), 20, '0')) AS source
   FROM corrections WHERE field = 'category' AND was <> '' AND (({GOOD}) OR decision = 'reject') GROUP BY 1)"""
 STOP = "'the','and','for','with','from','this','that','your','our','are','you','all','its','into','over','under','can','new','free','open','day','night','week','weekend','annual','event','events','join','come','more','about','who','what','when','where','how','live','show','series','session','sessions','part'"
 WORDS = "list_distinct(list_concat(list_filter(list_transform(regexp_extract_all(lower(title), '([a-z][a-z''&-]{{2,}})', 1), lambda w: regexp_replace(w, '^[''&-]+|[''&-]+$', '', 'g')), lambda w: length(w) >= 3 AND w NOT IN ({stop})), ['source:' || {source}]))"
@@ -399,7 +399,7 @@ def _events(spark: SparkSession, d: str, rows: str = "ord % 40 = 1") -> DataFram
 
 
 @_query("g3_apply_corrections", """
-WITH fix AS (SELECT event, arg_max(value, decided_at || lpad(CAST(ord AS STRING), 12, '0')) FILTER (WHERE field = 'category' AND value <> '') AS c, bool_or(field = 'when') AS w FROM corrections WHERE decision = 'apply' GROUP BY 1)
+WITH fix AS (SELECT event, arg_max(value, decided_at || lpad(CAST(ord AS STRING), 20, '0')) FILTER (WHERE field = 'category' AND value <> '') AS c, bool_or(field = 'when') AS w FROM corrections WHERE decision = 'apply' GROUP BY 1)
 SELECT ord, coalesce(c, category) AS category, CASE WHEN w THEN TIMESTAMP '2026-10-14 10:00:00' ELSE start_at END AS start_at,
   CASE WHEN w THEN TIMESTAMP '2026-10-14 11:00:00' ELSE end_at END AS end_at, CASE WHEN w THEN FALSE ELSE all_day END AS all_day, coalesce(w OR c IS NOT NULL, FALSE) AS corrected
 FROM listings LEFT JOIN fix ON event = 'e' || CAST(ord % 1500 AS STRING) WHERE ord % 40 = 1""", ("listings", "corrections"))
@@ -423,7 +423,7 @@ def g10(spark: SparkSession, d: str) -> DataFrame:
 
 KEY = """trim(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(title, '(?i)\\b\\d{1,3}(?:st|nd|rd|th)\\s+annual\\b', ' ', 'g'), '\\b(?:19|20)\\d\\d\\b', ' ', 'g')), '[^a-z0-9 ]', ' ', 'g'), '\\b(?:the|annual|presents?|is|back|returns?|celebrat\\w*|edition)\\b', ' ', 'g'), '\\s+', ' ', 'g')) || '|' || trim(regexp_replace(regexp_replace(lower(area), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"""
 OCC = f"""ev AS (SELECT *, {KEY} AS key FROM listings),
-occ AS (SELECT key, year(start_at) AS year, arg_max(strftime(start_at, '%Y-%m-%d'), strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 12, '0')) AS date, arg_max(url, strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 12, '0')) AS url FROM ev GROUP BY 1, 2)"""
+occ AS (SELECT key, year(start_at) AS year, arg_max(strftime(start_at, '%Y-%m-%d'), strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 20, '0')) AS date, arg_max(url, strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 20, '0')) AS url FROM ev GROUP BY 1, 2)"""
 
 
 def _published(spark: SparkSession, d: str) -> DataFrame:
@@ -469,7 +469,7 @@ def _old(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return old, series.occurrences(before), now
 
 
-@_query("h4_update_history", f"WITH {OCC} SELECT key, year, date, url FROM occ WHERE year <> 1998 UNION ALL SELECT key, 1998, coalesce(arg_max(strftime(start_at, '%Y-%m-%d'), strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 12, '0')), ''), arg_max(url, strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 12, '0')) FROM ev WHERE year(start_at) = 1998 GROUP BY 1", ("listings",))
+@_query("h4_update_history", f"WITH {OCC} SELECT key, year, date, url FROM occ WHERE year <> 1998 UNION ALL SELECT key, 1998, coalesce(arg_max(strftime(start_at, '%Y-%m-%d'), strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 20, '0')), ''), arg_max(url, strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 20, '0')) FROM ev WHERE year(start_at) = 1998 GROUP BY 1", ("listings",))
 def h4(spark: SparkSession, d: str) -> DataFrame:
     return series.update_history(*_old(spark, d))[1].select("key", "year", "date", "url")
 
@@ -493,7 +493,7 @@ days AS (SELECT DISTINCT key, CAST(start_at AS DATE) AS day FROM rare WHERE star
 freq AS (SELECT key FROM (SELECT key, day - lag(day) OVER (PARTITION BY key ORDER BY day) AS gap FROM days) WHERE gap > 21),
 g AS (SELECT key, date, CAST(date AS DATE) - lag(CAST(date AS DATE)) OVER (PARTITION BY key ORDER BY year) AS gap FROM o),
 s AS (SELECT key, count(*) AS years, coalesce(bool_or(gap BETWEEN 300 AND 400), FALSE) AS annual, max(date) AS last_date FROM g GROUP BY 1),
-t AS (SELECT key, arg_max(title, strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 12, '0')) AS title FROM rare GROUP BY 1),
+t AS (SELECT key, arg_max(title, strftime(start_at, '%Y-%m-%d %H:%M:%S') || lpad(CAST(ord AS STRING), 20, '0')) AS title FROM rare GROUP BY 1),
 r AS (SELECT key, CASE WHEN length(key) % 7 = 0 THEN 'rejected' WHEN length(key) % 7 = 1 OR years >= 2 AND annual THEN 'confirmed' WHEN regexp_matches(title, '(?i)\\bannual\\b') THEN 'likely' END AS status, years, last_date,
   strftime(CAST(last_date AS DATE) + INTERVAL 12 MONTH, '%Y-%m-%d') AS predicted FROM s JOIN t USING (key) WHERE key NOT IN (SELECT key FROM freq))
 SELECT * FROM r WHERE status IS NOT NULL""", ("listings",))

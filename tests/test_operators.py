@@ -4,6 +4,7 @@ import random
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from eventjobs.functions import columns as c
@@ -11,8 +12,8 @@ from eventjobs.functions.text import clean_text
 from eventjobs.operators import feedback, filters, recur, reports, resolve, series, trust
 from eventjobs.plans import daily
 from eventjobs.sources import extract as ex
-from eventjobs.sources import feeds, io
-from eventjobs.streaming.jobs import Stores, history_stream, screen_reports_stream
+from eventjobs.sources import feeds, io, stores
+from eventjobs.streaming.jobs import history_stream, screen_reports_stream
 
 AS_OF = datetime(2026, 10, 12)
 REG = "id string, name string, url string, events_url string, category string, state string, area string, status string, trust string, refresh string, tier string, autopromote string"
@@ -163,9 +164,17 @@ def test_io(spark, tmp_path):
     with open(path, "w", encoding="utf-8") as f:
         f.write('key,decision,title\na,approve,"x\ny"\na,REJECT,\nb,maybe,\n,approve,\n')
     assert [(r.key, r.decision) for r in io.read_decisions(spark, path, ("approve", "reject")).collect()] == [("a", "reject")]
-    io.write_snapshot(listings(spark, dict(area="Ely"), dict()), str(tmp_path / "s"), AS_OF)
-    head = spark.read.json(str(tmp_path / "s/header")).first()
-    assert (head["count"], head["areas"], head["categories"]) == (2, ["Ely"], ["other"])
+    runs = str(tmp_path / "s")
+    stores.publish_snapshot(listings(spark, dict(area="Ely"), dict(start_at=datetime(2026, 12, 1))), runs, AS_OF)
+    with pytest.raises(RuntimeError, match="stopped after events"):  # a run that dies between its two tables
+        stores.publish_snapshot(listings(spark, dict(area="Duluth")), runs, AS_OF, fails="events")
+    head, held = stores.read_snapshot(spark, runs)
+    assert [(h["count"], h["areas"], h["categories"]) for h in head.collect()] == [(2, ["Ely"], ["other"])] and held.count() == 2
+    stores.publish_snapshot(listings(spark, dict(area="Duluth")), runs, AS_OF)
+    head, held = stores.read_snapshot(spark, runs)
+    assert (head.first()["count"], [r.area for r in held.collect()]) == (1, ["Duluth"])
+    stores.publish_snapshot(listings(spark, dict()).limit(0), runs, AS_OF)
+    assert [t.count() for t in stores.read_snapshot(spark, runs)] == [1, 0]
     reg = io.registry_defaults(spark.createDataFrame([(" x ", "https://a.example//")], "id string, url string")).first()
     assert (reg.id, reg.name, reg.url, reg.status) == ("x", "x", "https://a.example", "todo")
 
@@ -196,17 +205,61 @@ def test_streams(spark, tmp_path):
     q = screen_reports_stream(stream, published).writeStream.format("memory").queryName("screened").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.id for r in spark.table("screened").collect()) == [f"{k:02}" for k in range(8)]
-    listings(spark, dict(source_id="b")).write.parquet(str(tmp_path / "drop"))
-    kept = {"cache": listings(spark, dict(source_id="a")).withColumn("snapshot_at", F.lit("2026-10-01").cast("timestamp_ntz"))}
-    drops = spark.readStream.schema(LST).parquet(str(tmp_path / "drop"))
-    kept["series"] = spark.createDataFrame([], "key string, title string, venue string, city string, area string, category string, too_frequent boolean")
-    kept["occurrences"] = spark.createDataFrame([], "key string, year int, date string, title string, source_count int, url string")
-    kept["stats"] = spark.createDataFrame([("2026-10-01", 5)], "date string, raw long")
-    stores = Stores(kept.get, kept.__setitem__, ("cache", "series", "stats"))
-    for turn in ("c2", "c3"):  # a batch that runs again leaves the same stores
-        history_stream(drops, stores, registry(spark, *REGS), AS_OF, str(tmp_path / turn)).start().awaitTermination()
-        assert sorted(r.source_id for r in kept["cache"].collect()) == ["a", "b"]
-        assert kept["occurrences"].count() == kept["series"].count() == 1 and kept["stats"].count() == 2
+    ledger = stores.Ledger(spark, str(tmp_path / "ledger"))
+    ledger.commit("old", {"cache": (listings(spark, dict(source_id="a"), dict(source_id="b", start_at=datetime(2026, 10, 1))).withColumn("snapshot_at", F.lit("2026-10-10").cast("timestamp_ntz")), "source_id"), "stats": (spark.createDataFrame([("2026-10-01", 5)], "date string, raw long"), "date")})
+    run = lambda checkpoint, fails=None: history_stream(drops, ledger, ("cache", "series", "stats"), registry(spark, *REGS), AS_OF, str(tmp_path / checkpoint), fails).start().awaitTermination()
+    state = lambda: (sorted(r.source_id for r in ledger.read("cache").collect()), sorted(r.key for r in ledger.read("series").collect()), ledger.read("occurrences").count(), sorted((r.date, r.raw) for r in ledger.read("stats").collect()))
+    listings(spark, dict(source_id="b"), dict(source_id="b", title="Bingo")).coalesce(1).write.parquet(str(tmp_path / "drop"))
+    drops = spark.readStream.schema(LST).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "drop"))
+    run("c2")
+    first = state()
+    assert first == (["a", "b", "b"], ["bingo|", "fair|"], 2, [("2026-10-01", 5), ("2026-10-12", 3)])
+    files = {r.part: r.file for r in ledger.files("cache").collect()}
+    listings(spark, dict(source_id="c", title="Zoo Day")).coalesce(1).write.mode("append").parquet(str(tmp_path / "drop"))
+    for fails in ("cache", "occurrences", "stats"):  # dies after each of its tables: nothing of the batch is seen
+        with pytest.raises(StreamingQueryException):
+            run("c2", fails)
+        assert state() == first
+    run("c2")
+    second = state()
+    assert second[0] == ["a", "b", "b", "c"] and second[1] == ["bingo|", "fair|", "zoo day|"] and second[2] == 3
+    run("c2")  # nothing new
+    assert state() == second
+    now = {r.part: r.file for r in ledger.files("cache").collect()}
+    assert {p: now[p] for p in files} == files and set(now) == {"a", "b", "c"}
+    run("c3")  # both drops once more, by a stream of its own
+    assert state()[:3] == second[:3]
+
+
+def exchanged(plan):
+    """Of each scan of a bucketed table in a plan's tree whether an exchange stands above it."""
+    out, above = [], []
+    for line in plan.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-*|"))
+        above = [(d, x) for d, x in above if d < depth]
+        if "FileScan" in line and "Bucketed: true" in line:
+            out.append(any(x for _, x in above))
+        above.append((depth, "Exchange" in line))
+    return out
+
+
+def test_history_in_buckets_is_not_shuffled(spark):
+    old = spark.createDataFrame([("fair|", "Fair", "", "", "", "other", False), ("zoo|", "Zoo", "", "", "", "other", True)], "key string, title string, venue string, city string, area string, category string, too_frequent boolean")
+    seen = spark.createDataFrame([("fair|", 2025, "2025-11-12", "Fair", 1, ""), ("fair|", 2026, "2026-01-01", "Fair", 1, ""), ("zoo|", 2024, "2024-01-01", "Zoo", 1, "")], "key string, year int, date string, title string, source_count int, url string")
+    run = listings(spark, dict(), dict(title="Bingo")).withColumn("source_count", F.lit(1))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # a large history
+    try:
+        known, seen_now = series.update_history(stores.write_bucketed(old, "series_in_buckets", 8), stores.write_bucketed(seen, "occurrences_in_buckets", 8), run)
+        for table in (known, seen_now):
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            assert exchanged(plan) == [False] and "SortMergeJoin" in plan
+        assert sorted((r.key, r.too_frequent) for r in known.collect()) == [("bingo|", False), ("fair|", False), ("zoo|", True)]
+        assert sorted((r.key, r.date) for r in seen_now.collect()) == [("bingo|", "2026-11-12"), ("fair|", "2025-11-12"), ("fair|", "2026-11-12"), ("zoo|", "2024-01-01")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE IF EXISTS series_in_buckets")
+        spark.sql("DROP TABLE IF EXISTS occurrences_in_buckets")
 
 
 def test_gates_keep_rows_from_helpers(spark):
