@@ -7,7 +7,8 @@ at them after growing parts, and stops only on proof: when the k-th best lower b
 cannot reach the result. Those possible members (ties included) are rescored exactly, and the shards' best are ranked
 together.
 
-Queries and vectors meet in cells (shard, block of queries), so no task holds more than one shard and one block.
+A vector goes to its own shard only, whose index is made once; all queries are streamed past it, a batch at a time, so
+no task holds more than one shard and one batch. Queries are copied to every shard, as an exact search must look at each.
 
 Defined cases. A vector that is null, or holds a null or a component that is not finite, takes no part, neither as a
 query nor as a candidate. Vectors of different lengths: missing components count as 0. Ties go to the smaller vec_id;
@@ -18,16 +19,18 @@ part. Further columns are not looked at; vectors of any length are used whole. W
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import spread, written
 
-#: Vectors of a shard and queries of a block, on average.
-SHARD, BLOCK = 16384, 1024
+#: Vectors of a shard, on average.
+SHARD = 16384
 #: Segments of a dimension at most.
 SEGMENTS = 32
 #: Parts of the segments after which the bounds are looked at.
@@ -95,38 +98,70 @@ class ShardIndex:
         return can, read
 
 
-def _cell(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    if len(vectors) and len(queries):
-        dims = max(vectors["v"].map(len).max(), queries["v"].map(len).max())
-        filled = lambda s: np.array([x if len(x) == dims else np.pad(x, (0, dims - len(x))) for x in s], dtype=np.int64).reshape(len(s), dims)
-        ids, matrix = vectors["vec_id"].to_numpy(), filled(vectors["v"])
-        index = ShardIndex(matrix)
-        asked, names = filled(queries["v"]), queries["vec_id"].to_numpy()
-        held, times = np.unique(ids, return_counts=True)
-        own = dict(zip(held.tolist(), times.tolist(), strict=True))  # rows that a query must not find
-        for query_id, q in zip(names.tolist(), asked, strict=True):
-            rows, _ = index.possible(q, k + own.get(query_id, 0))
-            rows = rows[ids[rows] != query_id]
-            scores = matrix[rows] @ q
-            best = np.lexsort((ids[rows], -scores))[:k]
-            found.append((np.full(best.size, query_id), ids[rows][best], scores[best]))
-    columns = [np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in zip(*found, strict=True)] if found else [np.zeros(0, dtype=np.int64)] * 3
-    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+def _matrix(vectors: list[np.ndarray], dims: int) -> np.ndarray:
+    return np.array([x if len(x) == dims else np.pad(x, (0, dims - len(x))) for x in vectors], dtype=np.int64).reshape(len(vectors), dims)
+
+
+class Shard:
+    """One shard as its rows come: first its vectors, of which the index is made once, then all queries past it."""
+
+    def __init__(self, k: int):
+        self.k, self.ids, self.vectors, self.index = k, [], [], None
+
+    def add(self, ids: np.ndarray, vectors: list[np.ndarray]) -> None:
+        self.ids.append(ids)
+        self.vectors += vectors
+
+    def ask(self, names: np.ndarray, queries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """query_id, vec_id, score of the shard's best k of each query."""
+        if not self.vectors:
+            return (np.zeros(0, dtype=np.int64),) * 3
+        if self.index is None:
+            self.dims = max(map(len, self.vectors))
+            self.index, self.ids = ShardIndex(_matrix(self.vectors, self.dims)), np.concatenate(self.ids)
+            held, times = np.unique(self.ids, return_counts=True)
+            self.own = dict(zip(held.tolist(), times.tolist(), strict=True))  # rows that a query must not find
+        found = []
+        for query_id, q in zip(names.tolist(), queries, strict=True):
+            q = _matrix([q[: self.dims]], self.dims)[0]  # what the shard's vectors lack counts as 0
+            rows, _ = self.index.possible(q, self.k + self.own.get(query_id, 0))
+            rows = rows[self.ids[rows] != query_id]
+            scores = self.index.vectors[rows] @ q
+            best = np.lexsort((self.ids[rows], -scores))[: self.k]
+            found.append((np.full(best.size, query_id), self.ids[rows][best], scores[best]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The best of each shard from rows sorted by shard and kind (0: its vectors, 1: queries)."""
+    number, shard = None, Shard(k)
+    for batch in batches:
+        shards, kinds, ids = (batch.column(c).to_numpy() for c in ("shard", "kind", "vec_id"))
+        column = batch.column(batch.schema.get_field_index("v"))
+        flat, at = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), column.offsets.to_numpy() - column.offsets[0].as_py()
+        code = shards.astype(np.int64) * 2 + kinds
+        cuts = [0, *(np.flatnonzero(np.diff(code)) + 1).tolist(), code.size] if code.size else []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if shards[a] != number:
+                number, shard = shards[a], Shard(k)
+            vectors = [flat[at[x] : at[x + 1]] for x in range(a, b)]
+            if kinds[a] == 0:
+                shard.add(ids[a:b].copy(), [v.copy() for v in vectors])
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in shard.ask(ids[a:b], vectors)], names=["query_id", "vec_id", "score"])
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """vectors (vec_id, v: array of whole numbers) -> query_id, rank, vec_id, score for the rows where is_query holds."""
     vectors = written(vectors.select("vec_id", "v", F.coalesce(is_query, F.lit(False)).alias("asks")).where("v is not null and vec_id is not null"))
-    n, asked = vectors.agg(F.count("*"), F.count_if("asks")).first()
-    shards, blocks = max(1, math.ceil(n / SHARD)), max(1, math.ceil(asked / BLOCK))
-    copies = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-    row = F.struct("vec_id", "v")
-    left = vectors.select("vec_id", "v", spread(row, shards, 1).alias("shard"), copies(blocks).alias("block"))
-    right = vectors.where("asks").select("vec_id", "v", spread(row, blocks, 2).alias("block"), copies(shards).alias("shard"))
-    cells = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(lambda a, b: _cell(a, b, k), OUT)
+    shards = max(1, math.ceil(vectors.count() / SHARD))
+    held = vectors.select(spread(F.struct("vec_id", "v"), shards, 1).cast("int").alias("shard"), F.lit(0).alias("kind"), "vec_id", "v")
+    # Every query meets every shard, in blocks as they come; a vector is sent once, to its own shard.
+    asked = vectors.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "vec_id", "v")
+    stream = held.union(asked).repartition(max(shards, 1), "shard").sortWithinPartitions("shard", "kind")
+    found = stream.select("shard", "kind", F.col("vec_id").cast("long"), "v").mapInArrow(partial(_searched, k=k), OUT)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return cells.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:
