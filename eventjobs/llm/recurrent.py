@@ -20,10 +20,12 @@ are not looked at.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -313,6 +315,17 @@ def learn(m: Model, symbols: np.ndarray, at: np.ndarray, p: Params, descent: Des
     return loss / n
 
 
+def one_thread() -> None:
+    """Keeps numpy's products in this task's own thread: with more, threads wait for one another in a loop, at the cost of twice the CPU and no time won."""
+    maps = Path("/proc/self/maps")
+    paths = {line.split()[-1] for line in maps.read_text().splitlines() if "openblas" in line} if maps.exists() else set()
+    for path in paths:
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 class Reader:
     """Texts as symbols of the model, by the table of frequent words that every task has."""
 
@@ -347,6 +360,7 @@ def _learned(batches: Iterator[pa.RecordBatch], m: Model, counts: Counts, p: Par
     """chunk, part, tokens, weights (times tokens) of the model that this task's texts lead to."""
     from pyspark import TaskContext
 
+    one_thread()
     reader, descent, tokens = Reader(counts.words, counts.symbols), Descent(m, p.later), 0
     for batch in batches:
         symbols, at = symbols_of(reader, batch.column(0))
@@ -405,6 +419,7 @@ SCORED = "n_tokens long, n_known long, base double, score double, rare array<str
 
 def _scored(batches: Iterator[pa.RecordBatch], m: Model, counts: Counts, p: Params, names: list[str]) -> Iterator[pa.RecordBatch]:
     """The other columns, and of each text: tokens, those known by the table, sums over those, the model's log10, and words that the table lacks."""
+    one_thread()
     reader = Reader(counts.words, counts.symbols)
     logs = np.log10(counts.counts + 0.5)
     end = np.log10(counts.ends + 0.5)
