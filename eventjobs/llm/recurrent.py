@@ -30,6 +30,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ from .shared import Words, release, text_passes, written
 
 #: Bytes of a word that stands for itself; of a task's distinct words held before they are handed on.
 LONGEST, HELD = 40, 400_000
+#: How a symbol is kept; a vocabulary has no more.
+SYMBOL = np.dtype(np.uint16)
 #: The model's symbols before words: any word beyond the vocabulary, and a document's end (also its beginning).
 RARE, END = 0, 1
 #: Tokens of an output pass; numbers of a row of weights; parts in which tasks' weights are first summed.
@@ -45,13 +48,13 @@ PASS, CHUNK, PARTS = 1 << 14, 1 << 16, 64
 
 @dataclass(frozen=True)
 class Params:
-    """vocabulary: symbols of the model. classes: of the factored softmax. state: numbers of it. window: tokens of truncated backpropagation. table: counts that go to all tasks. warm: training documents in the bounded sample of the beginning, and epochs over it."""
+    """vocabulary: symbols of the model. classes: of the factored softmax. state: numbers of it. window: tokens of truncated backpropagation. table: counts that go to all tasks. warm: about how many training documents are in the sample of the beginning (twice as many at most), and epochs over it."""
 
-    vocabulary: int = 4096
-    classes: int = 64
-    state: int = 24
+    vocabulary: int = 2048
+    classes: int = 40
+    state: int = 16
     window: int = 32
-    lanes: int = 256
+    lanes: int = 384
     table: int = 1 << 16
     warm: int = 1500
     epochs: int = 2
@@ -117,14 +120,32 @@ class Counts:
         return np.concatenate([[self.rare_tokens, self.ends], self.counts[: self.symbols - 2]]).astype(float)
 
 
+def most_frequent(table: DataFrame, most: int) -> Column:
+    """Which words are among about so many most frequent ones, not more. The driver gets two histograms of bounded size, not every task's first words.
+
+    Words are taken by steps of their count, and of the step that does not fit whole by steps of a hash."""
+    step, part = F.floor(F.log2("n") * 16).cast("int"), F.pmod(F.xxhash64("word"), F.lit(1 << 14)).cast("int")
+    left, lowest = most, 1 << 30
+    for k, n in sorted(((r[0], r[1]) for r in table.groupBy(step).agg(F.count("*")).collect()), reverse=True):
+        if n > left:
+            last = 0
+            for h, m in sorted((r[0], r[1]) for r in table.where(step == k).groupBy(part).agg(F.count("*")).collect()):
+                if m > left:
+                    break
+                left, last = left - m, h + 1
+            return (step >= lowest) | ((step == k) & (part < last))
+        left, lowest = left - n, k
+    return step >= lowest
+
+
 def count(train: DataFrame, p: Params) -> tuple[Counts, DataFrame]:
     """The counts of train (text), and all of them as a written table (word, n)."""
     table = written(train.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     said, kinds = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = train.count()
-    top = table.orderBy(F.desc("n"), "word").limit(p.table).toPandas()
+    top = table.where(most_frequent(table, p.table)).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words, counts = [bytes(w) for w in top["word"]], top["n"].to_numpy(dtype=np.int64)
-    known = min(p.vocabulary - 2, len(words))
+    known = min(p.vocabulary - 2, len(words), (1 << 16) - 2)
     return Counts(said + ends, kinds + (ends > 0), ends, words, counts, known + 2, int(said - counts[:known].sum()), kinds - known), table
 
 
@@ -166,9 +187,29 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
-def log_sums(x: np.ndarray) -> np.ndarray:
-    most = x.max(axis=1)
-    return np.log(np.exp(x - most[:, None]).sum(axis=1)) + most
+def shares(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x) by a factor of each row, and the sums of its rows; what the factor's logarithm is, is added by log_sums.
+
+    One factor for all rows does, where no row lies so far below the largest number that it vanishes."""
+    e = np.exp(x - x.max()) if x.size else x
+    sums = e @ np.ones(x.shape[1], e.dtype)
+    low = np.flatnonzero(sums < 1e-25)
+    if low.size:
+        e[low] = np.exp(x[low] - x[low].max(axis=1)[:, None])
+        sums[low] = e[low].sum(axis=1)
+    return e, sums
+
+
+def log_of(x: np.ndarray, e: np.ndarray, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's share at one place; from the numbers themselves where the share has vanished."""
+    rows = np.arange(at.size)
+    own = e[rows, at]
+    out = np.log(np.maximum(own, 1e-37) / sums)
+    low = np.flatnonzero(own < 1e-30)
+    if low.size:
+        most = x[low].max(axis=1)
+        out[low] = x[low, at[low]] - most - np.log(np.exp(x[low] - most[:, None]).sum(axis=1))
+    return out
 
 
 def by_class(m: Model, symbols: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -184,10 +225,10 @@ def by_class(m: Model, symbols: np.ndarray) -> Iterator[tuple[int, int, np.ndarr
 
 def log_probabilities(m: Model, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     logits = states @ m.classes.T + m.class_bias
-    out = (logits[np.arange(symbols.size), m.class_of[symbols]] - log_sums(logits)).astype(np.float64)
+    out = log_of(logits, *shares(logits), m.class_of[symbols]).astype(np.float64)
     for a, b, rows in by_class(m, symbols):
         logits = states[rows] @ m.words[a:b].T + m.word_bias[a:b]
-        out[rows] += logits[np.arange(rows.size), symbols[rows] - a] - log_sums(logits)
+        out[rows] += log_of(logits, *shares(logits), symbols[rows] - a)
     return out
 
 
@@ -276,22 +317,22 @@ def learn(m: Model, symbols: np.ndarray, at: np.ndarray, p: Params, descent: Des
         rows = np.arange(target.size)
         # The softmax of classes, then that of each class: the gradient of logits is the probability less what is.
         logits = states @ m.classes.T + m.class_bias
-        sums = log_sums(logits)
-        loss += float((weight * (sums - logits[rows, m.class_of[target]])).sum())
-        g = np.exp(logits - sums[:, None])
-        g[rows, m.class_of[target]] -= 1
-        g *= (weight / total)[:, None]
+        g, sums = shares(logits)
+        of = m.class_of[target]
+        loss -= float(weight @ log_of(logits, g, sums, of))
+        g *= (weight / total / sums)[:, None]
+        g[rows, of] -= weight / total
         into = g @ m.classes
         updates = [("classes", g.T @ states, slice(None)), ("class_bias", g.sum(axis=0), slice(None))]
         for lo, hi, some in by_class(m, target):
-            logits = states[some] @ m.words[lo:hi].T + m.word_bias[lo:hi]
-            sums, own = log_sums(logits), np.arange(some.size)
-            loss += float((weight[some] * (sums - logits[own, target[some] - lo])).sum())
-            g = np.exp(logits - sums[:, None])
-            g[own, target[some] - lo] -= 1
-            g *= (weight[some] / total)[:, None]
+            held, own, at_ = states[some], weight[some], target[some] - lo
+            logits = held @ m.words[lo:hi].T + m.word_bias[lo:hi]
+            g, sums = shares(logits)
+            loss -= float(own @ log_of(logits, g, sums, at_))
+            g *= (own / total / sums)[:, None]
+            g[np.arange(some.size), at_] -= own / total
             into[some] += g @ m.words[lo:hi]
-            updates += [("words", g.T @ states[some], slice(lo, hi)), ("word_bias", g.sum(axis=0), slice(lo, hi))]
+            updates += [("words", g.T @ held, slice(lo, hi)), ("word_bias", g.sum(axis=0), slice(lo, hi))]
         into = into.reshape(steps, lanes, h)
         inputs = np.empty((steps, lanes, 3 * h), np.float32)
         recurrent, back = np.zeros_like(m.recurrent), np.zeros((lanes, h), np.float32)
@@ -346,24 +387,20 @@ class Reader:
         return out, at, places[which] if places.size else places, keys, which
 
 
-def symbols_of(reader: Reader, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of a text column and where each text's begin."""
-    parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-    for _, _, texts in text_passes(column):
-        some, at, *_ = reader.read(texts)
-        parts.append(some)
-        sizes.append(np.diff(at))
-    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+def symbols_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of encoded documents, one after another, and where each one's begin."""
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64) // SYMBOL.itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=SYMBOL).astype(np.int32), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _learned(batches: Iterator[pa.RecordBatch], m: Model, counts: Counts, p: Params) -> Iterator[pa.RecordBatch]:
-    """chunk, part, tokens, weights (times tokens) of the model that this task's texts lead to."""
+def _learned(batches: Iterator[pa.RecordBatch], m: Model, p: Params) -> Iterator[pa.RecordBatch]:
+    """chunk, part, tokens, weights (times tokens) of the model that this task's documents lead to."""
     from pyspark import TaskContext
 
     one_thread()
-    reader, descent, tokens = Reader(counts.words, counts.symbols), Descent(m, p.later), 0
+    descent, tokens = Descent(m, p.later), 0
     for batch in batches:
-        symbols, at = symbols_of(reader, batch.column(0))
+        symbols, at = symbols_of(batch.column(0))
         learn(m, symbols, at, p, descent)
         tokens += symbols.size
     if tokens:
@@ -394,39 +431,39 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(train: DataFrame, counts: Counts, p: Params) -> Model:
-    """The model: begun on a bounded sample, then learnt from all of train (key, text) in its tasks and averaged."""
+    """The model: begun on a bounded sample, then learnt from all of train (key, symbols) in its tasks and averaged."""
     m = Model(counts, p)
-    reader = Reader(counts.words, counts.symbols)
+    # About so many keys by their hash, and of each one document; one beyond a megabyte does not take part in the beginning.
     order = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(p.seed))
-    # At most so many keys, and of each one text; a text beyond a megabyte does not take part in the beginning.
-    chosen = train.where(F.octet_length("text") < 1 << 20).select(order.alias("o"), F.col("key")).distinct().orderBy("o", "key").limit(p.warm)
-    texts = train.where(F.octet_length("text") < 1 << 20).join(F.broadcast(chosen.select("key")), "key").groupBy("key").agg(F.min("text").alias("text")).toPandas().sort_values("key")["text"]
-    if len(texts):
-        symbols, at = symbols_of(reader, pa.array(list(texts), pa.string()))
+    share = min(1.0, p.warm / max(1, counts.ends))
+    short = train.where((F.octet_length("symbols") < 1 << 20) & (order <= min(2**63 - 1, int(share * 2**64) - 2**63)))
+    chosen = short.select("key").distinct().limit(2 * p.warm)
+    found = short.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("symbols").alias("symbols")).toPandas().sort_values("key")["symbols"]
+    if len(found):
+        symbols, at = symbols_of(pa.array([bytes(x) for x in found], pa.binary()))
         descent = Descent(m, p.rate)
-        for k in range(p.epochs):
+        for _ in range(p.epochs):
             learn(m, symbols, at, replace(p, lanes=max(8, p.lanes // 4)), descent)
-    replicas = train.select("text").mapInArrow(partial(_learned, m=m, counts=counts, p=p), WEIGHTS)
+    replicas = train.select("symbols").mapInArrow(partial(_learned, m=m, p=p), WEIGHTS)
     some = replicas.repartition(PARTS, "chunk", "part").mapInArrow(_summed, WEIGHTS)
-    found: pd.DataFrame = some.repartition(8, "chunk").mapInArrow(_summed, WEIGHTS).toPandas().sort_values("chunk")
-    if len(found):
-        m.load(np.concatenate([np.frombuffer(w) / n for w, n in zip(found["weights"], found["tokens"], strict=True)]))
+    done: pd.DataFrame = some.repartition(8, "chunk").mapInArrow(_summed, WEIGHTS).toPandas().sort_values("chunk")
+    if len(done):
+        m.load(np.concatenate([np.frombuffer(w) / n for w, n in zip(done["weights"], done["tokens"], strict=True)]))
     return m
 
 
-SCORED = "n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,n:bigint>>"
+ENCODED = "n_tokens long, n_known long, base double, beyond double, rare array<struct<word:binary,n:bigint>>, symbols binary"
 
 
-def _scored(batches: Iterator[pa.RecordBatch], m: Model, counts: Counts, p: Params, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """The other columns, and of each text: tokens, those known by the table, sums over those, the model's log10, and words that the table lacks."""
-    one_thread()
+def _encoded(batches: Iterator[pa.RecordBatch], counts: Counts, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The other columns, and of each text: tokens, those known by the table, sums over those, the words that the table lacks, and its symbols."""
     reader = Reader(counts.words, counts.symbols)
     logs = np.log10(counts.counts + 0.5)
     end = np.log10(counts.ends + 0.5)
     kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
     for batch in batches:
         column = batch.column(batch.schema.get_field_index("text"))
-        parts, sizes, known, sums, beyond, lists, words, times = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], [], [], [0], [], []
+        tokens, known, sums, beyond, lists, words, times, encoded = [], [], [], [], [0], [], [], []
         for _, _, texts in text_passes(column):
             some, at, places, keys, which = reader.read(texts)
             first = at - np.arange(at.size)  # of each text's words
@@ -434,45 +471,54 @@ def _scored(batches: Iterator[pa.RecordBatch], m: Model, counts: Counts, p: Para
             held = places >= 0
             by_text = lambda w: np.bincount(text[held], weights=w, minlength=len(texts))  # noqa: E731, B023
             known.append(by_text(None) + (counts.ends > 0))
-            sums.append(by_text(logs[places[held]]) + end)
+            sums.append(by_text(logs[places[held]]) + end - np.diff(at) * counts.floor)
             low = places[held] >= counts.symbols - 2  # known words beyond the model's vocabulary
-            beyond.append(by_text(logs[places[held]] * low))
+            beyond.append(by_text(logs[places[held]] * low) - np.add.reduceat((some == RARE).astype(np.int64), at[:-1]) * counts.rare_floor)
             # Distinct words of a text that the table lacks, with how often.
             codes, n = np.unique(text[~held] * len(keys) + which[~held], return_counts=True)
             lists += (lists[-1] + np.cumsum(np.bincount(codes // len(keys), minlength=len(texts)))).tolist() if len(keys) else [lists[-1]] * len(texts)
             words += [keys[c] for c in (codes % max(1, len(keys))).tolist()]
             times += n.tolist()
-            parts.append(some)
-            sizes.append(np.diff(at))
-        symbols, tokens = np.concatenate(parts), np.concatenate(sizes)
-        at = np.concatenate([[0], np.cumsum(tokens)])
-        rare = np.add.reduceat(np.append(symbols == RARE, False).astype(np.int64), at[:-1]) if tokens.size else tokens
+            tokens.append(np.diff(at))
+            data = some.astype(SYMBOL).tobytes()
+            encoded += [data[a * SYMBOL.itemsize : b * SYMBOL.itemsize] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         joined = lambda x: np.concatenate(x) if x else np.zeros(0)
-        model = likelihoods(m, symbols, at, p.window) / np.log(10)
         arrays = [
-            pa.array(tokens, pa.int64()), pa.array(joined(known).astype(np.int64)), pa.array(joined(sums) - tokens * counts.floor),
-            pa.array(model + joined(beyond) - rare * counts.rare_floor),
+            pa.array(joined(tokens).astype(np.int64)), pa.array(joined(known).astype(np.int64)), pa.array(joined(sums)), pa.array(joined(beyond)),
             pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], fields=list(kind.value_type))),
+            pa.array(encoded, pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *arrays], names=[*names, *(x.split()[0] for x in SCORED.split(", "))])
+        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *arrays], names=[*names, *(x.split()[0] for x in ENCODED.split(", "))])
+    release()
+
+
+def _scored(batches: Iterator[pa.RecordBatch], m: Model, window: int) -> Iterator[pa.RecordBatch]:
+    """The columns before symbols, and the model's log10 of each document's probability with what is known of rare words."""
+    one_thread()
+    for batch in batches:
+        symbols, at = symbols_of(batch.column(batch.num_columns - 1))
+        score = likelihoods(m, symbols, at, window) / np.log(10) + batch.column(batch.schema.get_field_index("beyond")).to_numpy()
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*batch.schema.names[:-1], "score"])
     release()
 
 
 def score_documents(documents: DataFrame, train: Column, p: Params = Params(), id_column: str = "doc_id") -> DataFrame:
     """doc_id, trains, n_tokens, n_known, train_tokens, base_score, score of every row of documents (doc_id, text); rows where train holds are learnt from."""
     rows = documents.select(F.col(id_column), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(train, F.lit(True)).alias("trains"))
-    learnt = rows.where("trains")
-    counts, table = count(learnt.select("text"), p)
-    m = fit(learnt.select(F.col(id_column).alias("key"), "text"), counts, p)
+    counts, table = count(rows.where("trains").select("text"), p)
     kind = documents.schema[id_column].dataType.simpleString()
-    scored = rows.mapInArrow(partial(_scored, m=m, counts=counts, p=p, names=[id_column, "trains"]), f"{id_column} {kind}, trains boolean, {SCORED}")
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()))
+    # Texts are read into symbols once; the model is learnt from and asked about those.
+    encoded = rows.mapInArrow(partial(_encoded, counts=counts, names=[id_column, "trains"]), f"{id_column} {kind}, trains boolean, {ENCODED}")
+    encoded = written(encoded.withColumn("row", F.monotonically_increasing_id()))
+    m = fit(encoded.where("trains").select(F.col(id_column).alias("key"), "symbols"), counts, p)
+    kept = ["row", id_column, "trains", "n_tokens", "n_known", "base", "beyond"]
+    scored = encoded.select(*kept, "symbols").mapInArrow(partial(_scored, m=m, window=p.window), f"row long, {id_column} {kind}, trains boolean, n_tokens long, n_known long, base double, beyond double, score double")
     # Words that the table lacks: one row for each document and word, looked up by a join; none of them is frequent.
-    asked = scored.select("row", F.explode("rare").alias("w")).select("row", "w.word", F.col("w.n").alias("times"))
+    asked = encoded.select("row", F.explode("rare").alias("w")).select("row", "w.word", F.col("w.n").alias("times"))
     met = asked.join(table, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     more = met.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("also"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return scored.drop("rare").join(more, "row", "left").select(
+    return scored.join(more, "row", "left").select(
         id_column, "trains", "n_tokens", (F.col("n_known") + zero("also")).alias("n_known"), F.lit(counts.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("more")).alias("base_score"), (F.col("score") + zero("more")).alias("score"),
     )

@@ -126,6 +126,15 @@ def test_defined_cases(spark):
     assert recurrent.score_documents(df.limit(0), F.lit(True), SMALL).count() == 0
 
 
+def test_most_frequent_words(spark):
+    table = spark.createDataFrame([(f"w{k}".encode(), 1 + 4000 // (k + 1)) for k in range(3_000)], "word binary, n long")
+    for most in (0, 5, 100, 1_500, 5_000):
+        held = sorted((r.n for r in table.where(recurrent.most_frequent(table, most)).collect()), reverse=True)
+        assert len(held) <= most and len(held) >= min(3_000, most) * 0.9 - 1
+        rest = sorted((1 + 4000 // (k + 1) for k in range(3_000)), reverse=True)[len(held)] if len(held) < 3_000 else 0
+        assert not held or held[-1] * 1.05 >= rest / 1.05
+
+
 def test_models_of_tasks_are_averaged_by_tokens():
     flat = [np.arange(5.0), np.full(5, 2.0)]
     rows = [recurrent.weights_batch({0: x * n}, 0, n) for x, n in zip(flat, (10, 30), strict=True)]
