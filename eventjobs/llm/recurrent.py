@@ -22,9 +22,11 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import partial
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -34,10 +36,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, release, text_passes, written
+from .shared import release, text_passes, written
 
 #: Bytes of a word that stands for itself; of a task's distinct words held before they are handed on.
-LONGEST, HELD = 40, 400_000
+LONGEST, HELD, HELD_BYTES = 40, 400_000, 1 << 28
 #: How a symbol is kept; a vocabulary has no more.
 SYMBOL = np.dtype(np.uint16)
 #: The model's symbols before words: any word beyond the vocabulary, and a document's end (also its beginning).
@@ -54,7 +56,7 @@ class Params:
     classes: int = 40
     state: int = 16
     window: int = 32
-    lanes: int = 384
+    lanes: int = 768
     table: int = 1 << 16
     warm: int = 1500
     epochs: int = 2
@@ -68,26 +70,25 @@ def key_of(word: bytes) -> bytes:
     return word if len(word) <= LONGEST else b" " + hashlib.md5(word).digest()
 
 
-def distinct(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct words (keys) of some texts, which one each word of them is, and where each text's words begin."""
-    words = Words([t.lower() for t in texts])  # bytes.lower changes A-Z only
-    _, some, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-    spans = zip(words.starts[some].tolist(), words.ends[some].tolist(), strict=True)
-    return [key_of(words.raw[a:b]) for a, b in spans], which, words.first
+def words_of(text: bytes) -> list[bytes]:
+    """The words between blanks and the bytes 9 to 13, A-Z in small letters, as bytes.split and bytes.lower have them."""
+    return text.lower().split()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """word (key), n of a task's texts, a few hundred thousand words at a time."""
-    held: dict[bytes, int] = {}
-    batch_of = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+    """word (key), n of a task's texts, a few hundred thousand words or some hundred megabytes of text at a time."""
+    held: Counter[bytes] = Counter()
+    batch_of = lambda: pa.RecordBatch.from_arrays([pa.array(map(key_of, held), pa.binary()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+    read = 0
     for batch in batches:
         for _, _, texts in text_passes(batch.column(0)):
-            keys, which, _ = distinct(texts)
-            for key, n in zip(keys, np.bincount(which, minlength=len(keys)).tolist(), strict=True):
-                held[key] = held.get(key, 0) + n
-            if len(held) >= HELD:
+            for text in texts:
+                held.update(words_of(text))
+                read += len(text)
+            if len(held) >= HELD or read >= HELD_BYTES:
                 yield batch_of()
                 held.clear()
+                read = 0
     yield batch_of()
 
 
@@ -373,18 +374,15 @@ class Reader:
     def __init__(self, words: list[bytes], symbols: int):
         self.place, self.symbols = {w: k for k, w in enumerate(words)}, symbols
 
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Symbols of the texts with their ends, where each begins; places in the table of all words (-1: none), the distinct words, and which each is."""
-        keys, which, first = distinct(texts)
-        places = np.array([self.place.get(k, -1) for k in keys], dtype=np.int64)
-        own = np.where((places >= 0) & (places < self.symbols - 2), places + 2, RARE) if places.size else places
-        sizes = np.diff(first) + 1
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        out = np.full(at[-1], END, dtype=np.int32)
-        inside = np.ones(at[-1], dtype=bool)
-        inside[at[1:] - 1] = False
-        out[inside] = own[which]
-        return out, at, places[which] if places.size else places, keys, which
+    def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, Counter[bytes]]:
+        """The text's symbols with its end; the places in the table of its words (-1: none); and the words without one, with how often."""
+        words = words_of(text)
+        if len(text) > LONGEST and words and max(map(len, words)) > LONGEST:
+            words = list(map(key_of, words))
+        places = np.fromiter(map(self.place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        symbols = np.full(places.size + 1, END, dtype=SYMBOL)
+        symbols[:-1] = np.where((places >= 0) & (places < self.symbols - 2), places + 2, RARE)
+        return symbols, places, Counter([words[k] for k in np.flatnonzero(places < 0).tolist()])
 
 
 def symbols_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -465,26 +463,20 @@ def _encoded(batches: Iterator[pa.RecordBatch], counts: Counts, names: list[str]
         column = batch.column(batch.schema.get_field_index("text"))
         tokens, known, sums, beyond, lists, words, times, encoded = [], [], [], [], [0], [], [], []
         for _, _, texts in text_passes(column):
-            some, at, places, keys, which = reader.read(texts)
-            first = at - np.arange(at.size)  # of each text's words
-            text = np.repeat(np.arange(len(texts)), np.diff(first))
-            held = places >= 0
-            by_text = lambda w: np.bincount(text[held], weights=w, minlength=len(texts))  # noqa: E731, B023
-            known.append(by_text(None) + (counts.ends > 0))
-            sums.append(by_text(logs[places[held]]) + end - np.diff(at) * counts.floor)
-            low = places[held] >= counts.symbols - 2  # known words beyond the model's vocabulary
-            beyond.append(by_text(logs[places[held]] * low) - np.add.reduceat((some == RARE).astype(np.int64), at[:-1]) * counts.rare_floor)
-            # Distinct words of a text that the table lacks, with how often.
-            codes, n = np.unique(text[~held] * len(keys) + which[~held], return_counts=True)
-            lists += (lists[-1] + np.cumsum(np.bincount(codes // len(keys), minlength=len(texts)))).tolist() if len(keys) else [lists[-1]] * len(texts)
-            words += [keys[c] for c in (codes % max(1, len(keys))).tolist()]
-            times += n.tolist()
-            tokens.append(np.diff(at))
-            data = some.astype(SYMBOL).tobytes()
-            encoded += [data[a * SYMBOL.itemsize : b * SYMBOL.itemsize] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        joined = lambda x: np.concatenate(x) if x else np.zeros(0)
+            for text in texts:
+                symbols, places, lacking = reader.read(text)
+                held = places[places >= 0]
+                tokens.append(symbols.size)
+                known.append(held.size + (counts.ends > 0))
+                sums.append(logs[held].sum() + end - symbols.size * counts.floor)
+                # Rare words to the model: what is known of them here, over all that are rare.
+                beyond.append(logs[held[held >= counts.symbols - 2]].sum() - np.count_nonzero(symbols == RARE) * counts.rare_floor)
+                words += lacking.keys()
+                times += lacking.values()
+                lists.append(len(words))
+                encoded.append(symbols.tobytes())
         arrays = [
-            pa.array(joined(tokens).astype(np.int64)), pa.array(joined(known).astype(np.int64)), pa.array(joined(sums)), pa.array(joined(beyond)),
+            pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(beyond, pa.float64()),
             pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], fields=list(kind.value_type))),
             pa.array(encoded, pa.binary()),
         ]
