@@ -299,7 +299,19 @@ def test_daily_run(spark, tmp_path):
     daily.store(out, str(tmp_path / "day"), AS_OF)
     read = lambda name: spark.read.parquet(str(tmp_path / "day" / name))
     assert {r.source_id: (r.events, r.queued) for r in read("runs").collect()}["b"] == (1, 1) and read("history").count() == 1
-    assert [r.decision for r in read("decisions").collect()] == [""] and read("counters").first().hidden == 0 and read("snapshot/events").count() == 1
+    assert [r.decision for r in read("decisions").collect()] == [""] and read("counters").first().hidden == 0
+    assert [t.count() for t in stores.read_snapshot(spark, str(tmp_path / "day/snapshot"))] == [1, 1]
+
+
+def test_two_hours_of_one_day_are_two_events(spark):
+    """They share title, day and city, so a fingerprint; the second hour has one witness only."""
+    rows = listings(spark, *[dict(source_id=s, title="Harvest Fair", city="Ely", start_at=datetime(2026, 11, 12, h)) for s, h in (("b", 10), ("e", 10), ("b", 19))])
+    none = lambda s: spark.createDataFrame([], s)
+    inputs = daily.Inputs(rows, registry(spark, *REGS), rows.where("false").withColumn("snapshot_at", filters.wall(AS_OF)), none("key string, decision string"), none(COR), none("key string, decision string"),
+                          none("key string, title string, venue string, city string, area string, category string, too_frequent boolean"), none("key string, year int, date string, title string, source_count int, url string"))
+    out = daily.daily_run(inputs, AS_OF)
+    assert [(r.start_at.hour, r.verification, r.source_ids) for r in out.published.collect()] == [(10, "confirmed", ["b", "e"])]
+    assert [(r.start_at.hour, r.source_ids) for r in out.queue.collect()] == [(19, ["b"])]
 
 
 def test_blocks_and_series(spark):
