@@ -6,6 +6,8 @@ that follow one another under one occurrence of an anchor are a path. Paths with
 corpus hold no repeated window and go. An anchor whose paths all have the same content does not branch: its whole path
 is one edge of the compacted graph. Where contents branch, the windows of one path per content are compared one by
 one. Source coordinates (document, word) say which occurrence is the first and give the exact spans of all later ones.
+A path that its own text holds earlier is a later one whatever other texts hold: such paths are laid together where they
+are found and join nothing, so a word said a thousand times (a path for each window) is one path and one span.
 
 Work: scans of the texts, of which the first shuffles one (anchor, count) pair for every few words, the second only
 paths whose anchor repeats, and the third only the first path of each content whose anchor branches, with its windows. Fixed-size bitmaps
@@ -96,8 +98,26 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, anchor: int) -> Ite
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["anchor", "n"])
 
 
+def _again(row: np.ndarray, anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Which paths, by row and start, have an anchor and content that an earlier path of their row has."""
+    order = np.lexsort((content, anchor, row))
+    out = np.zeros(row.size, dtype=bool)
+    out[order[1:]] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (row, anchor, content)])
+    return out
+
+
+def _laid_together(row: np.ndarray, start: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """row, start and n (windows) of paths, by row and start, where those of a row whose words overlap or touch are one."""
+    new = np.ones(row.size, dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > start[:-1] + n[:-1] + window - 1)
+    first = np.flatnonzero(new)
+    last = np.flatnonzero(np.append(new[1:], True)[: row.size])  # paths of a text end in the order in which they start
+    return row[first], start[first], start[last] + n[last] - start[first]
+
+
 def _paths(batches: Iterator[pa.RecordBatch], window: int, anchor: int, bits: np.ndarray, unrolled: bool) -> Iterator[pa.RecordBatch]:
-    """The paths whose anchor may be in bits; unrolled: those whose place may be, with the hash of each of their windows."""
+    """The paths whose anchor may be in bits, the first of each anchor and content of a text, and spans of its others (again);
+    unrolled: those whose place may be, with the hash of each of their windows."""
     for batch in batches:
         keys = batch.column(0).to_numpy()
         for a, _, texts in text_passes(batch.column(2)):
@@ -106,13 +126,21 @@ def _paths(batches: Iterator[pa.RecordBatch], window: int, anchor: int, bits: np
                 continue
             named = _place(p.content, keys[p.row + a], p.start) if unrolled else p.anchor.view(np.int64)
             keep = np.flatnonzero(in_bitmap(bits, named))
+            if not unrolled:
+                again = _again(p.row[keep], p.anchor[keep], p.content[keep])
+                row, start, n = _laid_together(p.row[keep[again]], p.start[keep[again]], p.n[keep[again]], window)
+                keep = keep[~again]
+                rows = pa.array(np.concatenate([p.row[keep], row]) + a)
+                hashes = [pa.concat_arrays([pa.array(x[keep].view(np.int64)), pa.nulls(row.size, pa.int64())]) for x in (p.anchor, p.content)]
+                columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate([p.start[keep], start])), pa.array(np.concatenate([p.n[keep], n])), *hashes, pa.array(np.arange(len(rows)) >= keep.size)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_key", "text_hash", "start", "n", "anchor", "content", "again"])
+                continue
             rows = pa.array(p.row[keep] + a)
             columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(p.start[keep]), pa.array(p.n[keep]), pa.array(p.anchor[keep].view(np.int64)), pa.array(p.content[keep].view(np.int64))]
-            if unrolled:
-                hashes, ends = p.windows(keep)
-                offsets = np.concatenate([[0], ends * 8]).astype(np.int32)
-                columns.append(pa.Array.from_buffers(pa.binary(), keep.size, [None, pa.py_buffer(offsets), pa.py_buffer(hashes)]))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_key", "text_hash", "start", "n", "anchor", "content", "windows"][: len(columns)])
+            hashes, ends = p.windows(keep)
+            offsets = np.concatenate([[0], ends * 8]).astype(np.int32)
+            columns.append(pa.Array.from_buffers(pa.binary(), keep.size, [None, pa.py_buffer(offsets), pa.py_buffer(hashes)]))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_key", "text_hash", "start", "n", "anchor", "content", "windows"])
 
 
 def _unrolled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,11 +159,13 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANC
     repeated = written(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
     bits = bitmap(repeated, "anchor")
     columns = "doc_key long, text_hash long, start long, n long, anchor long, content long"
-    paths = written(keyed.mapInArrow(partial(_paths, window=window, anchor=anchor, bits=bits, unrolled=False), columns))
+    paths = written(keyed.mapInArrow(partial(_paths, window=window, anchor=anchor, bits=bits, unrolled=False), f"{columns}, again boolean"))
+    once = paths.where("not again")
 
-    contents = written(paths.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_key", "start")).alias("first")).select("anchor", "content", "times", F.col("first.doc_key").alias("first_doc"), F.col("first.start").alias("first_start")))
+    contents = written(once.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_key", "start")).alias("first")).select("anchor", "content", "times", F.col("first.doc_key").alias("first_doc"), F.col("first.start").alias("first_start")))
     # Paths of a content after its first one are repeated as a whole.
-    later = paths.join(contents.where("times > 1").drop("times"), ["anchor", "content"]).where("doc_key > first_doc or start > first_start").select("doc_key", "text_hash", "start", (F.col("n") + window - 1).alias("n"))
+    later = once.join(contents.where("times > 1").drop("times"), ["anchor", "content"]).where("doc_key > first_doc or start > first_start").select("doc_key", "text_hash", "start", "n")
+    later = later.union(paths.where("again").select("doc_key", "text_hash", "start", "n")).withColumn("n", F.col("n") + window - 1)
     # Where an anchor's contents branch, the windows of each content's first path are compared one by one.
     branching = contents.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1").select("anchor")
     firsts = written(contents.join(branching, "anchor", "left_semi").select("anchor", "content", F.col("first_doc").alias("doc_key"), F.col("first_start").alias("start")))

@@ -435,6 +435,19 @@ def test_substring_dedup(spark):
     assert {r.doc_id: r.n_removed > 0 for r in null} == {None: False, 5: len(texts[0].split()) >= 20}
 
 
+def test_what_a_text_repeats_in_itself_is_one_span(spark):
+    """Paths that their own text holds earlier join nothing: a few spans stand for thousands of windows, with the same result."""
+    said, rng = "w " * 3000, random.Random(8)
+    assert substring_dedup.repeated_spans(docs(spark, [said, said, "a b c " * 900])).count() <= 6
+    line, words = " ".join(f"l{k}" for k in range(30)), [f"v{k}" for k in range(40)]
+    parts = lambda: rng.choice(["w " * rng.randint(5, 60), "a b " * rng.randint(5, 40), line + " ", " ".join(rng.choices(words, k=25)) + " ", line[:70] + " "])
+    texts = [said, "x " + said + "y " + said, *("".join(parts() for _ in range(rng.randint(1, 12))) for _ in range(80))]
+    ids = list(range(len(texts)))
+    ids[5], ids[9] = ids[4], ids[8]
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(docs(spark, texts, ids)).collect())
+    assert got == brute_repeats([(i, WORD.findall(t)) for i, t in zip(ids, texts, strict=True)], 20)
+
+
 @pytest.fixture(scope="module")
 def params():
     import public_tokenizers
