@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import release
-from .tokens import encoder
+from .shared import release, text_passes
+from .tokens import TOGETHER, encoder
 
 #: Bits of a sequence's number below its partition's.
 LOCAL_BITS = 36
@@ -71,12 +71,9 @@ def documents_of(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple
     """doc_id and ids, the end id included, of each row."""
     encode, end = encoder(p.tokenizer), np.array([p.end], dtype="<u4")
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            for doc_id, ids in zip(part.column(0).to_pylist(), encode.ids(texts), strict=True):
+        for a, b, texts in text_passes(batch.column(1), TOGETHER):
+            for doc_id, ids in zip(batch.column(0).slice(a, b - a).to_pylist(), encode.ids([t.decode() for t in texts]), strict=True):
                 yield doc_id, np.concatenate([ids, end])
-    encode.rest()
     release()
 
 

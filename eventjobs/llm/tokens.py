@@ -1,9 +1,10 @@
 """Token ids of whole texts with a public byte-level BPE file, at the speed a corpus needs.
 
 A text is cut before single spaces and line ends, which is where the tokenizer's own splitting cuts it if no white
-space touches the cut's. Pieces repeat a lot, so their ids are kept in a bounded table of the worker, and the unknown
-pieces of a batch are encoded in one call. A text with other white space, or with a special token's text in it, goes
-to the tokenizer as a whole. Either way the ids are the tokenizer's, as a test shows.
+space touches the cut's. Pieces repeat a lot, so the texts of a pass are cut as one run of bytes, Arrow finds the distinct
+pieces, those are encoded in one call, and their ids are laid out in the texts' order. Nothing is kept from pass to pass.
+A text with other white space, or with a special token's text in it, goes to the tokenizer as a whole. Either way the ids
+are the tokenizer's, as a test shows.
 """
 
 from __future__ import annotations
@@ -12,16 +13,14 @@ import json
 import re
 
 import numpy as np
+import pyarrow as pa
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Pieces that a worker keeps the ids of; when it is full it starts again.
-KEPT = 800_000
-#: Pieces that stay in a worker after a task, for the next one.
-RESTING = 100_000
-#: Texts that are looked at together.
-TOGETHER = 256
-_PIECE = re.compile(r"[ \n]?[^ \n]+")
+from .shared import passes
+
+#: Bytes of text whose pieces are looked at together.
+TOGETHER = 1 << 23
 _OTHER_WHITE = re.compile(r"[^\S \n]")
 _loaded: dict[str, Encoder] = {}
 
@@ -45,44 +44,53 @@ class Encoder:
         ranks = {bytes(byte[c] for c in token): n for token, n in spec["model"]["vocab"].items() if token not in self.special}
         self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.line = ranks[b"\n"]
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, unknown: set[str]) -> None:
-        bare = [p[1:] if p[0] == "\n" else p for p in unknown]
-        ids = np.array(self.fast.encode_ordinary("\n".join(bare)), dtype="<u4")
-        ends = np.append(np.flatnonzero(ids == self.line), ids.size)  # no piece holds a line end
-        raw, line = ids.tobytes(), np.array([self.line], dtype="<u4").tobytes()
-        at = 0
-        for p, end in zip(unknown, (ends * 4).tolist(), strict=True):
-            self.known[p] = line + raw[at:end] if p[0] == "\n" else raw[at:end]
-            at = end + 4
-
-    def rest(self) -> None:
-        """Lets go of a large table at a task's end."""
-        if len(self.known) > RESTING:
-            self.known = {}
+
+    def _plain(self, text: str) -> bool:
+        """Whether text is pieces of a single space or line end, or none, and other characters."""
+        double = any(pair in text for pair in ("  ", " \n", "\n ", "\n\n"))
+        return not double and not text.endswith((" ", "\n")) and not _OTHER_WHITE.search(text) and not any(s in text for s in self.special)
+
+    def _piece_ids(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each of some distinct pieces, as bytes."""
+        words = pieces.to_pylist()
+        lines = np.fromiter((p[0] == 10 for p in words), dtype=bool, count=len(words))
+        bare = b"\n".join(p[1:] if line else p for p, line in zip(words, lines, strict=True))
+        ids = np.array(self.fast.encode_ordinary(bare.decode()), dtype="<u4")
+        # No piece holds a line end: those between pieces give way to those that pieces begin with.
+        between = np.flatnonzero(ids == self.line)
+        keep = np.ones(ids.size, dtype=bool)
+        keep[between] = lines[1:]
+        ends = np.append(np.cumsum(keep)[between] - lines[1:], keep.sum())
+        ids = ids[keep]
+        if lines[0]:
+            ids, ends = np.append(np.uint32(self.line), ids), ends + 1
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.append(0, ends) * 4), pa.py_buffer(ids)])
+
+    def _cut(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of texts that are plain and not empty."""
+        buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        text_at = np.append(0, np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))))
+        begins = (buf == 32) | (buf == 10)
+        begins[text_at[:-1]] = True
+        at = np.append(np.flatnonzero(begins), buf.size)
+        pieces = pa.Array.from_buffers(pa.large_binary(), at.size - 1, [None, pa.py_buffer(at), pa.py_buffer(buf)]).dictionary_encode()
+        ids = self._piece_ids(pieces.dictionary).take(pieces.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64, count=at.size) // 4
+        flat = np.frombuffer(ids.buffers()[2], dtype="<u4", count=ends[-1])
+        cuts = ends[np.searchsorted(at, text_at)]
+        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Of each text, as unsigned 32-bit numbers."""
-        out: list[np.ndarray] = []
-        for at in range(0, len(texts), TOGETHER):
-            cut: list[list[str] | None] = []
-            for text in texts[at : at + TOGETHER]:
-                pieces = _PIECE.findall(text)
-                plain = sum(map(len, pieces)) == len(text) and not _OTHER_WHITE.search(text) and not any(s in text for s in self.special)
-                cut.append(pieces if plain else None)
-            unknown = {p for pieces in cut if pieces for p in pieces if p not in self.known}
-            if len(self.known) + len(unknown) > KEPT:
-                self.known.clear()
-                unknown = {p for pieces in cut if pieces for p in pieces}
-            if unknown:
-                self._learn(unknown)
-            get = self.known.__getitem__
-            for text, pieces in zip(texts[at : at + TOGETHER], cut, strict=True):
-                if pieces is None:
-                    out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4"))
-                else:
-                    out.append(np.frombuffer(b"".join(map(get, pieces)), dtype="<u4"))
+        raw = [text.encode() for text in texts]
+        out: list[np.ndarray] = [np.zeros(0, dtype="<u4")] * len(texts)
+        for a, b in passes(raw, TOGETHER):
+            plain = [k for k in range(a, b) if texts[k] and self._plain(texts[k])]
+            for k in set(range(a, b)).difference(plain):
+                out[k] = np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, dtype="<u4")
+            if plain:
+                for k, ids in zip(plain, self._cut([raw[k] for k in plain]), strict=True):
+                    out[k] = ids
         return out
 
 

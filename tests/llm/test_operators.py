@@ -464,6 +464,24 @@ def ids_of(params, text):
     return [*Tokenizer.from_file(params.tokenizer).encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def test_token_ids_keep_nothing_between_texts(params):
+    """Any mixture of pieces has the tokenizer's ids; no table of pieces is filled, which has to be let go and made anew."""
+    import tracemalloc
+
+    from eventjobs.llm.tokens import encoder
+
+    rng, encode = random.Random(3), encoder(params.tokenizer)
+    texts = [rng.choice(("", " ", "\n")) + "".join(rng.choice(("a", "é", "'s", "中", "b2", "<|endoftext|>"[: rng.choice((3, 13))])) * rng.randint(1, 2) + rng.choice((" ", "\n", " ", "\n", "")) for _ in range(rng.randint(0, 9))) for _ in range(500)]
+    texts += [f"\n{t.strip()}" for t in texts[:200]] + EDGE
+    assert [x.tolist() for x in encode.ids(texts)] == [encode.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encode.ids([]) == [] and [x.tolist() for x in encode.ids(["", ""])] == [[], []]
+    tracemalloc.start()
+    encode.ids([" ".join(f"n{k}x{j}" for j in range(200)) for k in range(200)])
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 1_000_000
+
+
 def test_harmonic_packing(spark, params):
     texts = [*corpus(40), *EDGE]
     rows = packing.pack_harmonic(docs(spark, texts).repartition(3), params).collect()
