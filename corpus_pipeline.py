@@ -22,7 +22,7 @@ from eventjobs.llm.packing import pack_harmonic
 from eventjobs.llm.quality import Params as QualityParams
 from eventjobs.llm.quality import score_quality
 from eventjobs.llm.queries import packing_params, quality_model, table
-from eventjobs.llm.shared import bitmap, rows_by_bitmap, written
+from eventjobs.llm.shared import bitmap, rows_by_bitmap, small_batches, written
 from eventjobs.llm.substring_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,12 +32,14 @@ GOOD = 0.7
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    small_batches(spark)
     return score_quality(docs, quality_model(spark, sf_dir), QualityParams()).where(F.col("score") >= GOOD).select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates stays (five words, 0.8), each row judged by its own text; of rows that repeat
     a doc_id in one group the least text_hash, of whole rows that repeat one. Rows without a doc_id all stay."""
+    small_batches(spark)
     rows = written(judged_rows(docs).where("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.first("kept").alias("kept"), F.first("component").alias("component")))
     first = rows.where("kept and component is not null").groupBy("doc_id", "component").agg(F.min("text_hash").alias("least"), F.count("*").alias("texts")).where("texts > 1")
     later = rows.where("kept").join(first, ["doc_id", "component"]).where("text_hash <> least")
@@ -54,6 +56,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that repeat an earlier window go from the texts; every document stays."""
+    small_batches(spark)
     done = remove_repeats(docs.select(*COLUMNS))
     text = F.col("kept_text")
     return done.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
@@ -61,11 +64,13 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     return clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rest as pieces of packed sequences."""
+    small_batches(spark)
     return pack_harmonic(docs, packing_params(), with_ids=False)
 
 

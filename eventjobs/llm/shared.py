@@ -21,6 +21,8 @@ BITMAP_BITS = 1 << 24
 NULL_DOC = -(1 << 63)
 #: Bytes of text that one numpy pass works on.
 PASS_BYTES = 1 << 18
+#: Bytes of rows that go to a Python worker together.
+BATCH_BYTES = 1 << 22
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -40,6 +42,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of BATCH_BYTES or one row: Spark's own bound (10,000 rows, 64 MB) is held several times over for long texts,
+    by the executor and by each of its workers. What the session sets itself stays."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, BATCH_BYTES)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, survives lost executors, keeps column pruning."""
     path = shared_folder(df.sparkSession)

@@ -62,3 +62,26 @@ def test_near_copies_are_judged_by_row(spark):
     assert got == sorted([(1, one), (2, other), (3, third), (4, ""), (None, one), (None, one), (5, "a b c d e f"), (5, "f e d c b a")], key=str)
     same = spark.createDataFrame([(7, one, "en", None, None), (7, near, "en", None, None)], df.schema)
     assert corpus_pipeline.near_copies(spark, same, SMALL).count() == 1
+
+
+def test_long_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """Every stage bounds the bytes that a worker and its executor hold at once; all rows arrive; a setting of the session's own stays."""
+    from eventjobs.llm import packing, shared
+
+    def seen(batches, p, with_ids):
+        for batch in batches:
+            yield packing.pa.RecordBatch.from_pylist([{"doc_id": batch.num_rows, "length": batch.nbytes}], schema=packing.PIECE)
+
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(packing, "_harmonic", seen)
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b "), F.expr("repeat('x', 20000)"), F.col("id")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(20007).cast("long").alias("n_chars")).coalesce(1)
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(bound)
+        done = stage(spark, df if name == "packed" else df.limit(3), SMALL)
+        assert spark.conf.get(bound) == str(shared.BATCH_BYTES), name
+    got = done.collect()
+    assert sum(r.doc_id for r in got) == 1000 and max(r.length for r in got) < 1.1 * shared.BATCH_BYTES
+    spark.conf.set(bound, "1m")
+    own = corpus_pipeline.packed(spark, df, SMALL).collect()
+    spark.conf.unset(bound)
+    assert sum(r.doc_id for r in own) == 1000 and max(r.length for r in own) < 1.1 * (1 << 20)
