@@ -67,17 +67,21 @@ def forget(*tables: DataFrame) -> None:
 
 
 def bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """Bits set at column (a long) modulo bits. At most bits/64 words reach the driver, however many rows there are."""
+    """Bits set at column (a long) modulo bits. At most bits/64 words reach the driver, however many rows there are.
+
+    They come as Arrow's columns: as rows they would be objects of ten times that size in the driver's JVM and its Python."""
     at = F.pmod(F.col(column), F.lit(bits))
     words = (
         hashes.where(F.col(column).isNotNull())
         .select(F.shiftright(at, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod({column}, {bits}) & 63 as int))").alias("mask"))
         .groupBy("word")
         .agg(F.bit_or("mask").alias("mask"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(bits // 64, dtype=np.uint64)
-    out[words["word"].to_numpy(dtype=np.int64)] = words["mask"].to_numpy(dtype=np.int64).view(np.uint64)
+    out[words["word"].to_numpy()] = words["mask"].to_numpy().view(np.uint64)
+    del words
+    release()
     return out
 
 

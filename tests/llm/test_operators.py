@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -580,3 +581,15 @@ def test_bitmap(spark):
     bits = bitmap(spark.range(0, 1000, 7).withColumn("h", F.xxhash64("id")), "h", 1 << 12)
     held = np.array([r.h for r in spark.range(0, 1000, 7).select(F.xxhash64("id").alias("h")).collect()])
     assert in_bitmap(bits, held).all() and bits.size == 64 and in_bitmap(bits, np.arange(4096)).mean() < 0.06
+
+
+def test_a_full_bitmap_is_small_on_the_driver(spark):
+    hashes = spark.range(1_500_000).select(F.xxhash64("id").alias("h"))
+    bitmap(hashes.limit(9), "h")
+    tracemalloc.start()
+    try:
+        bits = bitmap(hashes, "h")
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.count_nonzero(bits) > 250_000 and most < 5 * bits.nbytes
