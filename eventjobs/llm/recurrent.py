@@ -44,8 +44,8 @@ LONGEST, HELD, HELD_BYTES = 40, 400_000, 1 << 28
 SYMBOL = np.dtype(np.uint16)
 #: The model's symbols before words: any word beyond the vocabulary, and a document's end (also its beginning).
 RARE, END = 0, 1
-#: Tokens of an output pass; numbers of a row of weights; parts in which tasks' weights are first summed.
-PASS, CHUNK, PARTS = 1 << 14, 1 << 16, 64
+#: Tokens of an output pass, and of a part of it whose shares of classes a processor's cache holds; documents whose states it holds; numbers of a row of weights; parts in which tasks' weights are first summed.
+PASS, CACHED, TOGETHER, CHUNK, PARTS = 1 << 14, 1 << 11, 1 << 10, 1 << 16, 64
 
 
 @dataclass(frozen=True)
@@ -184,91 +184,127 @@ def class_starts(often: np.ndarray, classes: int) -> np.ndarray:
     return np.unique(np.concatenate([[0, 1], at[at < often.size]]))
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+def sigmoid(x: np.ndarray) -> None:
+    """Of all numbers of x, in their place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
 
 
-def shares(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(x) by a factor of each row, and the sums of its rows; what the factor's logarithm is, is added by log_sums.
+def logits(weights: np.ndarray, bias: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """A row for each weight, a column for each state."""
+    return weights @ states.T + bias[:, None]
 
-    One factor for all rows does, where no row lies so far below the largest number that it vanishes."""
-    e = np.exp(x - x.max()) if x.size else x
-    sums = e @ np.ones(x.shape[1], e.dtype)
+
+def shares(weights: np.ndarray, bias: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of logits by a factor of each column, and the sums of columns; what the factor is does not matter to a share.
+
+    One factor for all columns does, where no column lies so far below the largest number that it vanishes."""
+    e = weights @ states.T
+    if e.size:
+        e += (bias - bias.max() - e.max())[:, None]
+    np.exp(e, out=e)
+    sums = np.ones(e.shape[0], e.dtype) @ e
     low = np.flatnonzero(sums < 1e-25)
     if low.size:
-        e[low] = np.exp(x[low] - x[low].max(axis=1)[:, None])
-        sums[low] = e[low].sum(axis=1)
+        x = logits(weights, bias, states[low])
+        e[:, low] = x = np.exp(x - x.max(axis=0))
+        sums[low] = x.sum(axis=0)
     return e, sums
 
 
-def log_of(x: np.ndarray, e: np.ndarray, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The logarithm of each row's share at one place; from the numbers themselves where the share has vanished."""
-    rows = np.arange(at.size)
-    own = e[rows, at]
+def log_of(weights: np.ndarray, bias: np.ndarray, states: np.ndarray, e: np.ndarray, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of each column's share at one place; from the logits themselves where the share has vanished."""
+    own = e[at, np.arange(at.size)]
     out = np.log(np.maximum(own, 1e-37) / sums)
     low = np.flatnonzero(own < 1e-30)
     if low.size:
-        most = x[low].max(axis=1)
-        out[low] = x[low, at[low]] - most - np.log(np.exp(x[low] - most[:, None]).sum(axis=1))
+        x = logits(weights, bias, states[low])
+        most = x.max(axis=0)
+        out[low] = x[at[low], np.arange(low.size)] - most - np.log(np.exp(x - most).sum(axis=0))
     return out
 
 
-def by_class(m: Model, symbols: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """First and last symbol (exclusive) of each class that holds several, and which of symbols are of it."""
+def sorted_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys (16 bits do), and where in it runs of equal ones begin."""
+    order = np.argsort(keys.astype(SYMBOL), kind="stable")
+    held = keys[order]
+    return order, np.flatnonzero(np.append(True, held[1:] != held[:-1])[: held.size])
+
+
+def by_class(m: Model, symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+    """The order of symbols by class; first and last symbol (exclusive) of each class that holds several, and from where to where it goes in that order."""
     of = m.class_of[symbols]
-    order = np.argsort(of, kind="stable")
-    held, at = np.unique(of[order], return_index=True)
+    order, at = sorted_runs(of)
     ends = np.append(m.starts[1:], m.class_of.size)
-    for c, a, b in zip(held.tolist(), at.tolist(), [*at[1:].tolist(), order.size], strict=True):
-        if ends[c] - m.starts[c] > 1:
-            yield int(m.starts[c]), int(ends[c]), order[a:b]
+    runs = zip(of[order[at]].tolist(), at.tolist(), [*at[1:].tolist(), order.size], strict=True)
+    return order, [(int(m.starts[c]), int(ends[c]), a, b) for c, a, b in runs if ends[c] - m.starts[c] > 1]
 
 
 def log_probabilities(m: Model, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    logits = states @ m.classes.T + m.class_bias
-    out = log_of(logits, *shares(logits), m.class_of[symbols]).astype(np.float64)
-    for a, b, rows in by_class(m, symbols):
-        logits = states[rows] @ m.words[a:b].T + m.word_bias[a:b]
-        out[rows] += log_of(logits, *shares(logits), symbols[rows] - a)
+    states = np.ascontiguousarray(states)
+    of, out = m.class_of[symbols], np.zeros(symbols.size)
+    for a in range(0, of.size, CACHED):
+        of_class = (m.classes, m.class_bias, states[a : a + CACHED])
+        out[a : a + CACHED] = log_of(*of_class, *shares(*of_class), of[a : a + CACHED])
+    order, runs = by_class(m, symbols)
+    states, symbols, inner = states[order], symbols[order], np.zeros(order.size)
+    for lo, hi, a, b in runs:
+        of_words = (m.words[lo:hi], m.word_bias[lo:hi], states[a:b])
+        inner[a:b] = log_of(*of_words, *shares(*of_words), symbols[a:b] - lo)
+    out[order] += inner
     return out
 
 
-def stepped(m: Model, state: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The state after symbols, and what backpropagation needs: r, z, n and the recurrent part of n."""
-    h = state.shape[1]
-    given, own = m.inputs[symbols], state @ m.recurrent
-    gates = sigmoid(given[:, : 2 * h] + own[:, : 2 * h])
-    r, z, part = gates[:, :h], gates[:, h:], own[:, 2 * h :]
-    n = np.tanh(given[:, 2 * h :] + r * part)
-    return n + z * (state - n), r, z, n, part
+def stepped(m: Model, state: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The state (a column for each text) after symbols, and what backpropagation needs: r, z, n and the recurrent part of n.
+
+    given: the columns of inputs of the symbols, in whose place the last three are made. With numbers of one kind in whole rows numpy goes
+    through a row at a time; a row for each text would be gone through by the few numbers of a state."""
+    h = state.shape[0]
+    own = m.recurrent.T @ state
+    gates, n, part = given[: 2 * h], given[2 * h :], own[2 * h :]
+    gates += own[: 2 * h]
+    sigmoid(gates)
+    r, z = gates[:h], gates[h:]
+    n += r * part
+    np.tanh(n, out=n)
+    new = state - n
+    new *= z
+    new += n
+    return new, r, z, n, part
 
 
 def likelihoods(m: Model, symbols: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     """Of each document (symbols from at[k] to at[k + 1], the end included) the natural logarithm of its probability."""
     sizes = np.diff(at)
     order = np.argsort(-sizes, kind="stable")
-    begin, left = at[:-1][order], sizes[order]
-    out, state = np.zeros(order.size), np.zeros((order.size, m.recurrent.shape[0]), np.float32)
-    last = np.full(order.size, END)
+    inputs = np.ascontiguousarray(m.inputs.T)
+    out = np.zeros(order.size)
     waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def settle() -> None:
-        states, wanted, lanes = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        states, wanted, lanes = (np.concatenate(x, axis=-1) for x in zip(*waiting, strict=True))
         waiting.clear()
         for a in range(0, wanted.size, PASS):
-            found = log_probabilities(m, states[a : a + PASS], wanted[a : a + PASS])
+            found = log_probabilities(m, states[:, a : a + PASS].T, wanted[a : a + PASS])
             np.add.at(out, lanes[a : a + PASS], found)
 
     held = 0
-    for t in range(int(left[0]) if left.size else 0):
-        active = int(np.searchsorted(-left, -t, side="left"))  # documents of more than t symbols
-        state = stepped(m, state[:active], last[:active])[0]
-        last = symbols[begin[:active] + t]
-        waiting.append((state, last, np.arange(active)))
-        held += active
-        if held >= PASS and (held >= 8 * PASS or t % window == window - 1):
-            settle()
-            held = 0
+    for first in range(0, order.size, TOGETHER):
+        some = order[first : first + TOGETHER]
+        begin, left, last = at[:-1][some], -sizes[some], np.full(some.size, END)
+        state = np.zeros((m.recurrent.shape[0], some.size), np.float32)
+        for t in range(-int(left[0])):
+            active = int(np.searchsorted(left, -t, side="left"))  # documents of more than t symbols
+            state = stepped(m, state[:, :active], inputs.take(last[:active], axis=1))[0]
+            last = symbols[begin[:active] + t]
+            waiting.append((state, last, np.arange(first, first + active)))
+            held += active
+            if held >= PASS and (held >= 8 * PASS or t % window == window - 1):
+                settle()
+                held = 0
     if waiting:
         settle()
     back = np.zeros(order.size)
@@ -296,61 +332,80 @@ def learn(m: Model, symbols: np.ndarray, at: np.ndarray, p: Params, descent: Des
         return 0.0
     lanes = max(1, min(p.lanes, n // (8 * p.window)))
     size = -(-n // lanes)
-    before = np.append(END, symbols[:-1])
+    symbols = symbols.astype(SYMBOL)
+    before = np.roll(symbols, 1)
+    before[0] = END
     before[at[:-1]] = END
-    stays = np.ones(n, np.float32)
-    stays[at[:-1]] = 0
-    grid = lambda x, rest: np.append(x, np.full(lanes * size - n, rest, x.dtype)).reshape(lanes, size)
-    wanted, given, stays, counts = grid(symbols, END), grid(before, END), grid(stays, 0), grid(np.ones(n, np.float32), 0)
-    state, loss = np.zeros((lanes, h), np.float32), 0.0
+    stays = np.ones(n, bool)
+    stays[at[:-1]] = False
+    # A row for each step, a column for each lane.
+    grid = lambda x, rest: np.ascontiguousarray(np.append(x, np.full(lanes * size - n, rest, x.dtype)).reshape(lanes, size).T)
+    wanted, given, stays, counts = grid(symbols, END), grid(before, END), grid(stays, False), grid(np.ones(n, bool), False)
+    state, loss = np.zeros((h, lanes), np.float32), 0.0
     for a in range(0, size, p.window):
         steps = min(p.window, size - a)
-        olds, news, kept = [], [], []
-        for t in range(a, a + steps):
-            old = state * stays[:, t : t + 1]
-            state, *rest = stepped(m, old, given[:, t])
-            olds.append(old)
-            news.append(state)
-            kept.append(rest)
-        states, target = np.concatenate(news), wanted[:, a : a + steps].T.ravel()
-        weight = counts[:, a : a + steps].T.ravel()
+        table, read = np.ascontiguousarray(m.inputs.T), given[a : a + steps].astype(np.intp)
+        states, kept = np.empty((steps, lanes, h), table.dtype), []
+        for t in range(steps):
+            old = state * stays[a + t]
+            state, *rest = stepped(m, old, table.take(read[t], axis=1))
+            states[t] = state.T
+            kept.append((old, *rest))
+        states, target, weight = states.reshape(-1, h), wanted[a : a + steps].ravel().astype(np.intp), counts[a : a + steps].ravel().astype(np.float32)
         total = max(1.0, float(weight.sum()))
-        rows = np.arange(target.size)
         # The softmax of classes, then that of each class: the gradient of logits is the probability less what is.
-        logits = states @ m.classes.T + m.class_bias
-        g, sums = shares(logits)
-        of = m.class_of[target]
-        loss -= float(weight @ log_of(logits, g, sums, of))
-        g *= (weight / total / sums)[:, None]
-        g[rows, of] -= weight / total
-        into = g @ m.classes
-        updates = [("classes", g.T @ states, slice(None)), ("class_bias", g.sum(axis=0), slice(None))]
-        for lo, hi, some in by_class(m, target):
-            held, own, at_ = states[some], weight[some], target[some] - lo
-            logits = held @ m.words[lo:hi].T + m.word_bias[lo:hi]
-            g, sums = shares(logits)
-            loss -= float(own @ log_of(logits, g, sums, at_))
-            g *= (own / total / sums)[:, None]
-            g[np.arange(some.size), at_] -= own / total
-            into[some] += g @ m.words[lo:hi]
-            updates += [("words", g.T @ held, slice(lo, hi)), ("word_bias", g.sum(axis=0), slice(lo, hi))]
+        of, into, by_classes, by_bias = m.class_of[target], np.empty_like(states), np.zeros_like(m.classes), np.zeros_like(m.class_bias)
+        for x in range(0, of.size, CACHED):
+            some, at_, own = states[x : x + CACHED], of[x : x + CACHED], weight[x : x + CACHED]
+            g, sums = shares(m.classes, m.class_bias, some)
+            loss -= float(own @ log_of(m.classes, m.class_bias, some, g, sums, at_))
+            g *= own / total / sums
+            g[at_, np.arange(at_.size)] -= own / total
+            into[x : x + CACHED] = g.T @ m.classes
+            by_classes += g @ some
+            by_bias += g.sum(axis=1)
+        updates = [("classes", by_classes, slice(None)), ("class_bias", by_bias, slice(None))]
+        order, runs = by_class(m, target)
+        states, target, weight, inner = states[order], target[order], weight[order], np.zeros_like(into)
+        for lo, hi, x, y in runs:
+            of_words, at_ = (m.words[lo:hi], m.word_bias[lo:hi], states[x:y]), target[x:y] - lo
+            g, sums = shares(*of_words)
+            loss -= float(weight[x:y] @ log_of(*of_words, g, sums, at_))
+            g *= weight[x:y] / total / sums
+            g[at_, np.arange(y - x)] -= weight[x:y] / total
+            inner[x:y] = g.T @ m.words[lo:hi]
+            updates += [("words", g @ states[x:y], slice(lo, hi)), ("word_bias", g.sum(axis=1), slice(lo, hi))]
+        into[order] += inner
         into = into.reshape(steps, lanes, h)
-        inputs = np.empty((steps, lanes, 3 * h), np.float32)
-        recurrent, back = np.zeros_like(m.recurrent), np.zeros((lanes, h), np.float32)
+        inputs = np.empty((3 * h, steps * lanes + 16), table.dtype)  # 16 more, as rows that are a power of two apart share their place in a cache
+        recurrent, back = np.zeros_like(m.recurrent), np.zeros((h, lanes), table.dtype)
         for t in range(steps - 1, -1, -1):
-            old, (r, z, new, part) = olds[t], kept[t]
-            back = back + into[t]
-            dn = back * (1 - z) * (1 - new * new)
-            dz = back * (old - new) * z * (1 - z)
-            dr = dn * part * r * (1 - r)
-            inputs[t, :, :h], inputs[t, :, h : 2 * h], inputs[t, :, 2 * h :] = dr, dz, dn
-            own = np.concatenate([dr, dz, dn * r], axis=1)
-            recurrent += old.T @ own
-            back = (back * z + own @ m.recurrent.T) * stays[:, a + t : a + t + 1]
-        read = given[:, a : a + steps].T.ravel()
-        order = np.argsort(read, kind="stable")
-        held, first = np.unique(read[order], return_index=True)
-        descent.step("inputs", np.add.reduceat(inputs.reshape(-1, 3 * h)[order], first, axis=0), held)
+            old, r, z, new, part = kept[t]
+            back += into[t].T
+            own = np.empty((3 * h, lanes), table.dtype)
+            dr, dz, dn = own[:h], own[h : 2 * h], own[2 * h :]
+            z_left = 1 - z
+            np.multiply(new, new, out=dn)
+            np.subtract(1, dn, out=dn)
+            dn *= back
+            dn *= z_left
+            np.subtract(old, new, out=dz)
+            dz *= back
+            dz *= z
+            dz *= z_left
+            np.multiply(dn, part, out=dr)
+            dr *= r
+            dr *= 1 - r
+            inputs[:, t * lanes : (t + 1) * lanes] = own
+            dn *= r
+            recurrent += old @ own.T
+            back *= z
+            back += m.recurrent @ own
+            back *= stays[a + t]
+        read = read.ravel()
+        order, first = sorted_runs(read)
+        summed = np.add.reduceat(inputs.take(order, axis=1), first, axis=1)
+        descent.step("inputs", np.ascontiguousarray(summed.T), read[order[first]])
         descent.step("recurrent", np.clip(recurrent, -1, 1))
         for name, gradient, which in updates:
             descent.step(name, gradient, which)
@@ -372,17 +427,26 @@ class Reader:
     """Texts as symbols of the model, by the table of frequent words that every task has."""
 
     def __init__(self, words: list[bytes], symbols: int):
-        self.place, self.symbols = {w: k for k, w in enumerate(words)}, symbols
+        self.place = {w: k for k, w in enumerate(words)}
+        self.symbol = np.full(len(words) + 1, RARE, dtype=SYMBOL)  # the last one for place -1
+        self.symbol[: symbols - 2] = np.arange(2, symbols)
 
     def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, Counter[bytes]]:
         """The text's symbols with its end; the places in the table of its words (-1: none); and the words without one, with how often."""
         words = words_of(text)
-        if len(text) > LONGEST and words and max(map(len, words)) > LONGEST:
-            words = list(map(key_of, words))
         places = np.fromiter(map(self.place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        lacking = []
+        for k in np.flatnonzero(places < 0).tolist():  # a long word is not in the table but by its digest
+            word = words[k]
+            if len(word) > LONGEST:
+                word = key_of(word)
+                places[k] = self.place.get(word, -1)
+                if places[k] >= 0:
+                    continue
+            lacking.append(word)
         symbols = np.full(places.size + 1, END, dtype=SYMBOL)
-        symbols[:-1] = np.where((places >= 0) & (places < self.symbols - 2), places + 2, RARE)
-        return symbols, places, Counter([words[k] for k in np.flatnonzero(places < 0).tolist()])
+        symbols[:-1] = self.symbol[places]
+        return symbols, places, Counter(lacking)
 
 
 def symbols_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
